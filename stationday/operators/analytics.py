@@ -38,6 +38,11 @@ def group_averages(df: DataFrame) -> DataFrame:
     )
 
 
+def grouped_average(df: DataFrame, keys, measures: dict) -> DataFrame:
+    """``avg`` of each measure per group, named by ``measures`` keys (A3, general form)."""
+    return df.groupBy(*keys).agg(*[F.avg(c).alias(name) for name, c in measures.items()])
+
+
 def station_analytics(daily: DataFrame, stations: DataFrame, avg_fn=avg_temp, change_fn=temp_change) -> DataFrame:
     return group_averages(with_daily_functions(join_dimension(daily, stations), avg_fn, change_fn))
 

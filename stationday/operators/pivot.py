@@ -22,12 +22,13 @@ def pivot_max(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequen
     two-phase aggregate with two shuffles; both give the same rows.
     """
     names = list(names or values)
+    # only rows of the listed kinds form groups (filter pushed to the scan)
+    f = df.filter(F.col(pivot_col).isin(list(values)))
     if method == "pivot":
-        out = df.groupBy(*keys).pivot(pivot_col, list(values)).agg(F.max(value_col))
+        out = f.groupBy(*keys).pivot(pivot_col, list(values)).agg(F.max(value_col))
         return out.toDF(*keys, *names)
     if method != "when":
         raise ValueError(f"unknown pivot method {method!r}")
-    f = df.filter(F.col(pivot_col).isin(list(values)))
     aggs = [F.max(F.when(F.col(pivot_col) == F.lit(v), F.col(value_col))).alias(n) for v, n in zip(values, names)]
     return f.groupBy(*keys).agg(*aggs)
 

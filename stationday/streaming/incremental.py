@@ -40,7 +40,8 @@ from stationday.schemas import OBSERVATIONS
 def observation_stream(spark: SparkSession, landing: str, column: str = "weather_json", kind: str = "lines",
                        max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming rows of the files that arrive in ``landing``, one VARIANT each."""
-    r = spark.readStream
+    # files may land in sub-folders (one per drop or day)
+    r = spark.readStream.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     meta = [F.col("_metadata.file_path").alias("_file"),
