@@ -31,8 +31,9 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     """
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    rest = [c for c in df.columns if c not in keys and c not in tiebreak]
-    fields = [c.alias(f"__o{i}") for i, c in enumerate(order_cols)]
+    named = {o for o in order if isinstance(o, str)}
+    rest = [c for c in df.columns if c not in keys and c not in tiebreak and c not in named]
+    fields = [c if isinstance(o, str) else c.alias(f"__o{i}") for i, (o, c) in enumerate(zip(order, order_cols))]
     fields += [F.col(c) for c in tiebreak] + [F.col(c) for c in rest]
     best = F.max(F.struct(*fields)).alias("__best")
     out = df.groupBy(*keys).agg(best)

@@ -97,9 +97,13 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
 class MergeResult:
     table: str
     source_rows: int
-    touched_partitions: int | None  # None: the whole table was rewritten
+    touched: list | None  # partition values rewritten; None: the whole table
     dropped_null_keys: int = 0
 
+    @property
+    def touched_partitions(self) -> int | None:
+        return None if self.touched is None else len(self.touched)
+
 
 def prepare_source(source: DataFrame, keys: Sequence[str], on_duplicate: str = "latest",
                    order: Sequence[str | Column] = (), tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -156,20 +160,25 @@ def merge_into(spark: SparkSession, table: str, spec: TableSpec, source: DataFra
     # recomputing the parse/dedupe; blocks lost with an executor are rebuilt
     src = src.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n_src = src.count()
-        if n_src == 0:
-            return MergeResult(table, 0, 0, dropped)
-        target = spark.table(table)
         touched = None
         if spec.partition_col:
-            parts = src.select(spec.partition_col).distinct()
-            n_parts = parts.count()
-            if n_parts <= max_touched:
-                touched = [r[0] for r in parts.collect()]
-                target = target.filter(_partition_filter(spec, touched))
+            # one job: rows per touched partition (a bounded set; the limit is
+            # only a guard, beyond it the whole table is rewritten)
+            counts = src.groupBy(spec.partition_col).count().limit(max_touched + 1).collect()
+            if len(counts) <= max_touched:
+                touched = [r[0] for r in counts]
+                n_src = sum(r[1] for r in counts)
+            else:
+                n_src = src.count()
+        else:
+            n_src = src.count()
+        if n_src == 0:
+            return MergeResult(table, 0, [], dropped)
+        target = spark.table(table)
+        if touched is not None:
+            target = target.filter(_partition_filter(spec, touched))
         merged = merge_frames(spec.logical(target), spec.logical(src), keys, update, insert, spec.columns)
         overwrite_partitions(spec.with_partition(merged), table)
-        spark.catalog.refreshTable(table)
-        return MergeResult(table, n_src, None if touched is None else len(touched), dropped)
+        return MergeResult(table, n_src, touched, dropped)
     finally:
         src.unpersist()

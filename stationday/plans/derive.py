@@ -93,7 +93,7 @@ def as_variant(df: DataFrame, column: str, fields: list[str], keep: tuple[str, .
 
 
 def write_array_files(df: DataFrame, path: str, key_cols: list[str], order_col: str,
-                      rows_per_file: int = 50_000) -> str:
+                      rows_per_file: int = 10_000) -> str:
     """Write ``df`` as JSON array files, every record of a key in one file,
     ordered by ``order_col`` inside it (so array position is ingest order).
 

@@ -3,7 +3,7 @@
 ``refresh``: load, then overwrite stations, observations and daily temps
 from the whole staging tables, then upsert analytics.
 ``upsert``: load, then merge stations and observations, recompute the daily
-temps of the dates the merge touched (all when the table is empty) and
+temps of the month partitions the merge touched (all when the table is empty) and
 upsert analytics for them.
 The incremental stream (``stationday.streaming``) is the third mode; an
 outside scheduler calls :func:`run_pipeline` and the stream in turn.

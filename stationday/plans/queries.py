@@ -359,10 +359,9 @@ def q_pivot_touched_dates(spark, sf):
     overwrite_table(OBSERVATIONS.with_partition(_old(d)), t.name("observations"))
     pivot_stage(spark, t.cfg)
     src = _new(d).withColumn("obs_value", F.col("obs_value") * 2)
-    merge_into(spark, t.name("observations"), OBSERVATIONS, src,
-               update={c: "source" for c in OBSERVATION_UPDATES}, on_duplicate="none")
-    touched = src.select(F.col("observation_date").cast("date").alias("observation_date")).distinct()
-    pivot_stage(spark, t.cfg, touched)
+    r = merge_into(spark, t.name("observations"), OBSERVATIONS, src,
+                   update={c: "source" for c in OBSERVATION_UPDATES}, on_duplicate="none")
+    pivot_stage(spark, t.cfg, r.touched)
     return DAILY_TEMPS.logical(spark.table(t.name("daily_temps")))
 
 

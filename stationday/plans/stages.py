@@ -129,18 +129,17 @@ def transform_stations(spark: SparkSession, cfg: PipelineConfig, mode: str = "up
 
 
 def transform_observations(spark: SparkSession, cfg: PipelineConfig, mode: str = "upsert",
-                           parse_mode: str = "strict", dedupe: bool | None = None) -> tuple[StageResult, DataFrame | None]:
+                           parse_mode: str = "strict", dedupe: bool | None = None) -> tuple[StageResult, list | None]:
     """Staged observation JSON -> observations.
 
-    Returns the stage result and the distinct dates the stage touched (None
-    after a refresh, which touches everything). ``refresh`` does not dedupe
-    unless asked, as the reference's full refresh does not.
+    Returns the stage result and the months (partitions) the stage touched;
+    None after a refresh or a merge that rewrote everything. ``refresh``
+    does not dedupe unless asked, as the reference's full refresh does not.
     """
     t = Tables(cfg)
     raw = spark.table(t.name("observation_staging"))
     if raw.isEmpty():
-        return StageResult("observations", "skipped: no staged rows"), spark.range(0).select(
-            F.lit(None).cast("date").alias("observation_date"))
+        return StageResult("observations", "skipped: no staged rows"), []
     parsed = parse_observations(raw, mode=parse_mode)
     if mode == "refresh":
         src = parsed
@@ -152,45 +151,56 @@ def transform_observations(spark: SparkSession, cfg: PipelineConfig, mode: str =
     r = merge_into(spark, t.name("observations"), OBSERVATIONS, parsed,
                    update={c: "source" for c in OBSERVATION_UPDATES},
                    order=INGEST_ORDER, tiebreak=OBSERVATION_TIEBREAK)
-    touched = parsed.select(F.col("observation_date").cast("date").alias("observation_date")).distinct()
-    return StageResult("observations", "merged", r.source_rows), touched
+    return StageResult("observations", "merged", r.source_rows), r.touched
 
 
-def _restrict_to_dates(df: DataFrame, dates: DataFrame | None) -> DataFrame:
-    if dates is None:
+def _restrict_to_months(df: DataFrame, months: list | None) -> DataFrame:
+    """Rows of the given month partitions only: a partition filter, pruned at the scan."""
+    if months is None:
         return df
-    d = dates.select(F.col("observation_date").cast("date").alias("__d")).distinct()
-    return df.join(d, F.col("observation_date").cast("date") == F.col("__d"), "left_semi")
+    col = F.col("obs_month")
+    present = [m for m in months if m is not None]
+    cond = col.isin(present) if present else F.lit(False)
+    if any(m is None for m in months):
+        cond = cond | col.isNull()
+    return df.filter(cond)
 
 
-def pivot_stage(spark: SparkSession, cfg: PipelineConfig, dates: DataFrame | None = None,
+def pivot_stage(spark: SparkSession, cfg: PipelineConfig, months: list | None = None,
                 mode: str = "upsert") -> StageResult:
     """Observations -> daily temps. ``upsert`` merges with COALESCE, so a new
-    NULL never erases a stored value; with ``dates`` only those days are
-    recomputed (all days when the target is still empty)."""
+    NULL never erases a stored value; with ``months`` only the days of those
+    month partitions are recomputed (all when the target is still empty).
+    Recomputing a whole touched month gives the same values for its
+    untouched days, since observations are never deleted."""
     t = Tables(cfg)
     obs = spark.table(t.name("observations"))
     if mode == "refresh":
         overwrite_table(DAILY_TEMPS.with_partition(daily_temps(obs, cfg.pivot_values)), t.name("daily_temps"))
         return StageResult("daily_temps", "refreshed")
+    if months is not None and not months:
+        return StageResult("daily_temps", "skipped: nothing touched")
     if spark.table(t.name("daily_temps")).isEmpty():
-        dates = None
-    src = daily_temps(_restrict_to_dates(obs, dates), cfg.pivot_values)
+        months = None
+    src = daily_temps(_restrict_to_months(obs, months), cfg.pivot_values)
     r = merge_into(spark, t.name("daily_temps"), DAILY_TEMPS, src,
                    update={"tmax": coalesce_source_target("tmax"), "tmin": coalesce_source_target("tmin")},
                    on_duplicate="none")  # one row per key already: the pivot groups by it
     return StageResult("daily_temps", "merged", r.source_rows)
 
 
-def analytics_stage(spark: SparkSession, cfg: PipelineConfig, dates: DataFrame | None = None) -> StageResult:
+def analytics_stage(spark: SparkSession, cfg: PipelineConfig, months: list | None = None) -> StageResult:
     """Daily temps joined to stations, averaged and upserted into analytics.
-    Matched rows keep their station_name."""
+    Matched rows keep their station_name. With ``months`` only those month
+    partitions of daily temps are read."""
     t = Tables(cfg)
     daily = spark.table(t.name("daily_temps"))
+    if months is not None and not months:
+        return StageResult("analytics", "skipped: nothing touched")
     if daily.isEmpty():
         return StageResult("analytics", "skipped: no daily temps")
     stations = spark.table(t.name("stations"))
-    src = station_analytics(_restrict_to_dates(daily, dates), stations)
+    src = station_analytics(_restrict_to_months(daily, months), stations)
     r: MergeResult = merge_into(spark, t.name("analytics"), ANALYTICS, src,
                                 update={c: "source" for c in ANALYTICS_UPDATES},
                                 on_duplicate="none")  # grouped by the key and a name that depends on it

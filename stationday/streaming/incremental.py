@@ -102,9 +102,8 @@ def incremental_upsert(spark: SparkSession, cfg: PipelineConfig, landing: str, c
         run.source_rows += r.source_rows
         run.dropped_null_keys += r.dropped_null_keys
         if downstream and r.source_rows:
-            dates = parsed.select(F.col("observation_date").cast("date").alias("observation_date")).distinct()
-            run.results.append(pivot_stage(spark, cfg, dates))
-            run.results.append(analytics_stage(spark, cfg, dates))
+            run.results.append(pivot_stage(spark, cfg, r.touched))
+            run.results.append(analytics_stage(spark, cfg, r.touched))
 
     _run(spark, observation_stream(spark, landing, "weather_json", kind, max_files_per_trigger), checkpoint, on_batch)
     return run
