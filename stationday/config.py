@@ -53,7 +53,7 @@ class PipelineConfig:
     # datatypes that become the two pivoted columns
     pivot_values: tuple[str, str] = ("TMAX", "TMIN")
     # number of hash buckets that partition the stations dimension
-    station_buckets: int = 16
+    station_buckets: int = 4
     extra: dict = field(default_factory=dict)
 
     @staticmethod

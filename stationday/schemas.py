@@ -121,7 +121,7 @@ ANALYTICS_SCHEMA = T.StructType([
 ])
 
 
-def stations_spec(buckets: int = 16) -> TableSpec:
+def stations_spec(buckets: int = 4) -> TableSpec:
     return TableSpec(
         "stations", STATIONS_SCHEMA, ("station_id",),
         "station_bucket", T.IntegerType(), bucket_of("station_id", buckets),
