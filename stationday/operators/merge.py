@@ -24,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,7 +95,7 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
 @dataclass(frozen=True)
 class MergeResult:
     table: str
-    source_rows: int
+    source_rows: int  # rows offered, before the source was made unique
     touched: list | None  # partition values rewritten; None: the whole table
     dropped_null_keys: int = 0
 
@@ -144,41 +143,48 @@ def merge_into(spark: SparkSession, table: str, spec: TableSpec, source: DataFra
                max_touched: int = 10_000) -> MergeResult:
     """Upsert ``source`` into the partitioned table ``table`` (M1)."""
     keys = list(spec.keys)
+    if null_keys not in ("insert", "drop"):
+        raise ValueError("null_keys must be 'insert' or 'drop'")
+    has_null = F.lit(False)
+    for k in keys:
+        has_null = has_null | F.col(k).isNull()
     src = source
-    dropped = 0
+    touched, dropped = None, 0
+    if spec.partition_col:
+        # The partition of a row depends on its keys only, so the touched set
+        # is read from the raw source: a narrow scan of the key columns,
+        # aggregated map-side, in one job that also counts rows with a NULL
+        # key. The limit only guards the set's size; beyond it the whole
+        # table is rewritten.
+        part = spec.partition_expr().cast(spec.partition_type).alias(spec.partition_col)
+        guard = 2 * (max_touched + 1)
+        counts = (src.select(part, has_null.alias("__null")).groupBy(spec.partition_col, "__null").count()
+                  .limit(guard).collect())
+        if null_keys == "drop":
+            dropped = sum(r[2] for r in counts if r[1])
+            counts = [r for r in counts if not r[1]]
+        parts = {r[0] for r in counts}
+        if len(counts) < guard and len(parts) <= max_touched:
+            touched = list(parts)
+            n_src = sum(r[2] for r in counts)
+        else:
+            n_src = None
+    else:
+        n_src = None
+        if null_keys == "drop":
+            dropped = src.filter(has_null).count()
     if null_keys == "drop":
-        has_null = F.lit(False)
-        for k in keys:
-            has_null = has_null | F.col(k).isNull()
-        dropped = src.filter(has_null).count()
         src = src.filter(~has_null)
-    elif null_keys != "insert":
-        raise ValueError("null_keys must be 'insert' or 'drop'")
-    src = prepare_source(src, keys, on_duplicate, order, tiebreak)
-    src = spec.with_partition(src)
-    # used for the touched set and for the join: keep it instead of
-    # recomputing the parse/dedupe; blocks lost with an executor are rebuilt
-    src = src.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        touched = None
-        if spec.partition_col:
-            # one job: rows per touched partition (a bounded set; the limit is
-            # only a guard, beyond it the whole table is rewritten)
-            counts = src.groupBy(spec.partition_col).count().limit(max_touched + 1).collect()
-            if len(counts) <= max_touched:
-                touched = [r[0] for r in counts]
-                n_src = sum(r[1] for r in counts)
-            else:
-                n_src = src.count()
-        else:
-            n_src = src.count()
-        if n_src == 0:
-            return MergeResult(table, 0, [], dropped)
-        target = spark.table(table)
-        if touched is not None:
-            target = target.filter(_partition_filter(spec, touched))
-        merged = merge_frames(spec.logical(target), spec.logical(src), keys, update, insert, spec.columns)
-        overwrite_partitions(spec.with_partition(merged), table)
-        return MergeResult(table, n_src, touched, dropped)
-    finally:
-        src.unpersist()
+    if n_src is None:
+        n_src = src.count()
+    if n_src == 0:
+        return MergeResult(table, 0, [], dropped)
+    # dedupe, join and write are one plan: the source is not cached, so a
+    # refresh-sized source never has to fit in executor storage
+    prepared = spec.logical(spec.with_partition(prepare_source(src, keys, on_duplicate, order, tiebreak)))
+    target = spark.table(table)
+    if touched is not None:
+        target = target.filter(_partition_filter(spec, touched))
+    merged = merge_frames(spec.logical(target), prepared, keys, update, insert, spec.columns)
+    overwrite_partitions(spec.with_partition(merged), table)
+    return MergeResult(table, n_src, touched, dropped)
