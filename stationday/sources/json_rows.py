@@ -3,7 +3,7 @@
 Two file kinds are read:
 
 * **array files** -- the whole file is one JSON array and every element
-  becomes a row (the reference's ``STRIP_OUTER_ARRAY`` format). A file is
+  becomes a row (the outer array is stripped). A file is
   read whole by one task, so land many files for large volumes. Parsing
   runs in FAILFAST mode: a truncated or malformed file raises instead of
   silently loading zero rows.
