@@ -54,10 +54,13 @@ class PipelineConfig:
     pivot_values: tuple[str, str] = ("TMAX", "TMIN")
     # number of hash buckets that partition the stations dimension
     station_buckets: int = 4
+    # optional JSON key holding a record's ingest sequence number; when set,
+    # it decides "the latest record wins" before file time, name and position
+    sequence_field: str | None = None
     extra: dict = field(default_factory=dict)
 
     @staticmethod
-    def fresh(spark: SparkSession, prefix: str = "run") -> "PipelineConfig":
+    def fresh(spark: SparkSession, prefix: str = "run", **kw) -> "PipelineConfig":
         """Config in a new folder of the work dir, with unique db names."""
         tag = uuid.uuid4().hex[:8]
         return PipelineConfig(
@@ -65,8 +68,15 @@ class PipelineConfig:
             raw_db=f"raw_{tag}",
             harmonized_db=f"harmonized_{tag}",
             analytics_db=f"analytics_{tag}",
+            **kw,
         )
 
+    @property
+    def ingest_order(self) -> tuple[str, ...]:
+        """Columns that order duplicates of a key, greatest wins."""
+        base = ("_mtime", "_file", "_pos")
+        return ("_seq",) + base if self.sequence_field else base
+
     def db_path(self, db: str) -> str:
         return f"{self.root.rstrip('/')}/{db}"
 

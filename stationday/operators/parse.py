@@ -43,15 +43,21 @@ def json_field(column, key: str, type_: str, mode: str = "strict") -> Column:
     raise ValueError(f"mode must be 'strict' or 'permissive', not {mode!r}")
 
 
-def extract(df: DataFrame, column: str, fields, mode: str = "strict", keep: tuple[str, ...] = ()) -> DataFrame:
+def extract(df: DataFrame, column: str, fields, mode: str = "strict", keep: tuple[str, ...] = (),
+            extra: tuple[Column, ...] = ()) -> DataFrame:
     cols = [json_field(column, k, t, mode).alias(name) for k, name, t in fields]
-    return df.select(*cols, *[c for c in keep if c in df.columns])
+    return df.select(*cols, *[c for c in keep if c in df.columns], *extra)
 
 
 def parse_observations(staging: DataFrame, column: str = "weather_json", mode: str = "strict",
-                       keep_ingest: bool = True) -> DataFrame:
-    """Typed observation rows from the observation staging rows."""
-    return extract(staging, column, OBSERVATION_FIELDS, mode, INGEST if keep_ingest else ())
+                       keep_ingest: bool = True, sequence_field: str | None = None) -> DataFrame:
+    """Typed observation rows from the observation staging rows.
+
+    With ``sequence_field`` the record's own sequence number is kept as
+    ``_seq`` (permissive: a missing or bad one is NULL, ordered first).
+    """
+    extra = (json_field(column, sequence_field, "bigint", "permissive").alias("_seq"),) if sequence_field else ()
+    return extract(staging, column, OBSERVATION_FIELDS, mode, INGEST if keep_ingest else (), extra)
 
 
 def parse_stations(staging: DataFrame, column: str = "station_json", mode: str = "strict",

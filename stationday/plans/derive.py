@@ -62,11 +62,16 @@ def stations_from_customers(customer: DataFrame) -> DataFrame:
     )
 
 
+SEQUENCE_FIELD = "seq"
+
+
 def observation_records(events: DataFrame) -> DataFrame:
     """Observation records shaped like the source's JSON (keys date, datatype,
-    station, attributes, value, zip_code), with ``event_id`` for ordering."""
+    station, attributes, value, zip_code) plus ``seq``, the event id as the
+    record's ingest sequence number; ``event_id`` orders array files."""
     return events.select(
         F.col("event_id"),
+        F.col("event_id").alias(SEQUENCE_FIELD),
         F.date_format(F.col("ts"), "yyyy-MM-dd'T'00:00:00").alias("date"),
         kind_of(F.col("event_type")).alias("datatype"),
         F.col("user_id").cast("string").alias("station"),
@@ -92,17 +97,16 @@ def as_variant(df: DataFrame, column: str, fields: list[str], keep: tuple[str, .
     return df.select(F.parse_json(F.to_json(F.struct(*fields))).alias(column), *keep)
 
 
-def write_array_files(df: DataFrame, path: str, key_cols: list[str], order_col: str,
-                      rows_per_file: int = 10_000) -> str:
-    """Write ``df`` as JSON array files, every record of a key in one file,
-    ordered by ``order_col`` inside it (so array position is ingest order).
+def write_array_files(df: DataFrame, path: str, order_col: str, rows_per_file: int = 10_000) -> str:
+    """Write ``df`` as JSON array files, ordered by ``order_col`` inside each.
 
-    The number of files grows with the data (``rows_per_file`` each on
-    average), so no file and no task has to hold an unbounded share.
+    ``order_col`` must be unique: rows are spread over files by its hash,
+    so every file holds about ``rows_per_file`` rows whatever the keys'
+    skew, and the number of files grows with the data.
     """
     n = max(1, math.ceil(df.count() / rows_per_file))
     payload = [c for c in df.columns if c != order_col]
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in key_cols]), F.lit(n)).alias("bucket")
+    bucket = F.pmod(F.xxhash64(F.col(order_col)), F.lit(n)).alias("bucket")
     grouped = df.select(bucket, F.struct(F.col(order_col).alias("__o"), *payload).alias("r")).groupBy("bucket").agg(
         F.array_sort(F.collect_list("r")).alias("rs"))
     text = grouped.select(
@@ -111,9 +115,3 @@ def write_array_files(df: DataFrame, path: str, key_cols: list[str], order_col:
     )
     text.write.partitionBy("bucket").text(path)
     return path
-
-
-def write_lines_by_key(df: DataFrame, path: str, key_cols: list[str], files: int = 4) -> str:
-    """Write JSON Lines with every record of a key in the same file."""
-    df.repartition(files, *key_cols).write.json(path)
-    return path

@@ -159,8 +159,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM t FULL OUTER JOIN s USING (observation_date, station_id)""",
     "incremental_merge": w(OBS) + f"""SELECT {OBS5} FROM obs
         WHERE observation_date >= TIMESTAMP '2024-01-04'
-        QUALIFY row_number() OVER (PARTITION BY observation_date, datatype, station_id
-                                   ORDER BY obs_value DESC NULLS LAST, attributes DESC NULLS LAST) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY observation_date, datatype, station_id ORDER BY event_id DESC) = 1""",
     "pivot_touched_dates": w(OBS, DD, f"t AS (SELECT *, 1 AS tm FROM dd WHERE {OLD})",
                              f"""s AS (SELECT observation_date, datatype, station_id, attributes,
                                  obs_value * 2 AS obs_value, 1 AS sm FROM dd WHERE {NEW})""",

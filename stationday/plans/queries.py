@@ -109,18 +109,16 @@ def _fresh_tables(spark, tag) -> Tables:
 
 def _land_array(spark, sf, land):
     ev = _events(spark, sf)
-    derive.write_array_files(derive.observation_records(ev), f"{land}/weather",
-                             ["date", "datatype", "station"], "event_id")
+    derive.write_array_files(derive.observation_records(ev), f"{land}/weather", "event_id")
     st = derive.station_records(derive.table(spark, sf, "customer")).withColumn("__o", F.col("id"))
-    derive.write_array_files(st, f"{land}/stations", ["id"], "__o")
+    derive.write_array_files(st, f"{land}/stations", "__o")
 
 
 # ---- sources -----------------------------------------------------------------
 
 def q_load_json_rows(spark, sf):
     land = fresh_dir(spark, "q-load")
-    derive.write_array_files(derive.observation_records(_events(spark, sf)), f"{land}/weather",
-                             ["date", "datatype", "station"], "event_id")
+    derive.write_array_files(derive.observation_records(_events(spark, sf)), f"{land}/weather", "event_id")
     t = _fresh_tables(spark, "q-load")
     load_json_rows(spark, f"{land}/weather", t.name("observation_staging"), "weather_json", "array")
     return parse_observations(spark.table(t.name("observation_staging")), keep_ingest=False)
@@ -139,7 +137,7 @@ def q_project_columns(spark, sf):
 def q_full_refresh(spark, sf):
     land = fresh_dir(spark, "q-refresh")
     _land_array(spark, sf, land)
-    cfg = PipelineConfig.fresh(spark, "q-refresh")
+    cfg = PipelineConfig.fresh(spark, "q-refresh", sequence_field=derive.SEQUENCE_FIELD)
     run_pipeline(spark, cfg, f"{land}/weather", f"{land}/stations", kind="array", mode="refresh")
     return DAILY_TEMPS.logical(spark.table(Tables(cfg).name("daily_temps")))
 
@@ -333,7 +331,7 @@ def q_merge_analytics(spark, sf):
 
 
 def q_incremental_merge(spark, sf):
-    t = _fresh_tables(spark, "q-stream")
+    t = setup(spark, PipelineConfig.fresh(spark, "q-stream", sequence_field=derive.SEQUENCE_FIELD))
     land, ckpt = fresh_dir(spark, "q-landing"), fresh_dir(spark, "q-ckpt")
     rec = derive.observation_records(_events(spark, sf)).drop("event_id")
     day = F.to_date(F.substring("date", 1, 10))
@@ -344,7 +342,7 @@ def q_incremental_merge(spark, sf):
             cond = cond & (day >= F.to_date(F.lit(bounds[i])))
         if bounds[i + 1]:
             cond = cond & (day < F.to_date(F.lit(bounds[i + 1])))
-        derive.write_lines_by_key(rec.filter(cond), f"{land}/drop{i}", ["date", "datatype", "station"])
+        write_json_lines(rec.filter(cond), f"{land}/drop{i}")
         if i == 0:
             # files present before the feed starts are not part of it
             skip_existing_files(spark, land, ckpt)
@@ -368,7 +366,7 @@ def q_pivot_touched_dates(spark, sf):
 def q_pipeline_flagship(spark, sf):
     land = fresh_dir(spark, "q-flagship")
     _land_array(spark, sf, land)
-    cfg = PipelineConfig.fresh(spark, "q-flagship")
+    cfg = PipelineConfig.fresh(spark, "q-flagship", sequence_field=derive.SEQUENCE_FIELD)
     run_pipeline(spark, cfg, f"{land}/weather", f"{land}/stations", kind="array", mode="upsert")
     return ANALYTICS.logical(spark.table(Tables(cfg).name("analytics")))
 

@@ -39,7 +39,8 @@ from stationday.sources.tables import (
 STATION_UPDATES = ("name", "latitude", "longitude", "elevation", "min_date", "max_date")
 OBSERVATION_UPDATES = ("obs_value", "attributes")
 ANALYTICS_UPDATES = ("avg_tmax", "avg_tmin", "avg_tavg", "avg_daily_temp_change")
-# Ingest order for "the latest record wins", then the greatest (value, attributes).
+# Ingest order for "the latest record wins", then the greatest (value, attributes);
+# a config with a sequence field puts it first (PipelineConfig.ingest_order).
 INGEST_ORDER = ("_mtime", "_file", "_pos")
 OBSERVATION_TIEBREAK = ("obs_value", "attributes")
 
@@ -140,17 +141,17 @@ def transform_observations(spark: SparkSession, cfg: PipelineConfig, mode: str =
     raw = spark.table(t.name("observation_staging"))
     if raw.isEmpty():
         return StageResult("observations", "skipped: no staged rows"), []
-    parsed = parse_observations(raw, mode=parse_mode)
+    parsed = parse_observations(raw, mode=parse_mode, sequence_field=cfg.sequence_field)
     if mode == "refresh":
         src = parsed
         if dedupe:
             from stationday.operators.dedupe import dedupe_latest
-            src = dedupe_latest(parsed, OBSERVATIONS.keys, INGEST_ORDER, OBSERVATION_TIEBREAK)
+            src = dedupe_latest(parsed, OBSERVATIONS.keys, cfg.ingest_order, OBSERVATION_TIEBREAK)
         overwrite_table(OBSERVATIONS.with_partition(src), t.name("observations"))
         return StageResult("observations", "refreshed"), None
     r = merge_into(spark, t.name("observations"), OBSERVATIONS, parsed,
                    update={c: "source" for c in OBSERVATION_UPDATES},
-                   order=INGEST_ORDER, tiebreak=OBSERVATION_TIEBREAK)
+                   order=cfg.ingest_order, tiebreak=OBSERVATION_TIEBREAK)
     return StageResult("observations", "merged", r.source_rows), r.touched
 
 

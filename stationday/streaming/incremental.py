@@ -25,7 +25,6 @@ from stationday.config import PipelineConfig
 from stationday.operators.merge import merge_into
 from stationday.operators.parse import parse_observations
 from stationday.plans.stages import (
-    INGEST_ORDER,
     OBSERVATION_TIEBREAK,
     OBSERVATION_UPDATES,
     StageResult,
@@ -94,10 +93,10 @@ def incremental_upsert(spark: SparkSession, cfg: PipelineConfig, landing: str, c
     run = IncrementalRun()
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_observations(batch, mode=parse_mode)
+        parsed = parse_observations(batch, mode=parse_mode, sequence_field=cfg.sequence_field)
         r = merge_into(spark, t.name("observations"), OBSERVATIONS, parsed,
                        update={c: "source" for c in OBSERVATION_UPDATES},
-                       order=INGEST_ORDER, tiebreak=OBSERVATION_TIEBREAK, null_keys="drop")
+                       order=cfg.ingest_order, tiebreak=OBSERVATION_TIEBREAK, null_keys="drop")
         run.batches.append(batch_id)
         run.source_rows += r.source_rows
         run.dropped_null_keys += r.dropped_null_keys

@@ -19,9 +19,9 @@ def landed(spark):
     ev = derive.table(spark, SF001, "events")
     rec = derive.observation_records(ev)
     uniq = rec.dropDuplicates(["date", "datatype", "station"])
-    derive.write_array_files(uniq, f"{land}/weather", ["date", "datatype", "station"], "event_id", 300)
+    derive.write_array_files(uniq, f"{land}/weather", "event_id", 300)
     st = derive.station_records(derive.table(spark, SF001, "customer")).withColumn("__o", F.col("id"))
-    derive.write_array_files(st, f"{land}/stations", ["id"], "__o", 100)
+    derive.write_array_files(st, f"{land}/stations", "__o", 100)
     return land
 
 
