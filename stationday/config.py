@@ -54,6 +54,8 @@ class PipelineConfig:
     pivot_values: tuple[str, str] = ("TMAX", "TMIN")
     # number of hash buckets that partition the stations dimension
     station_buckets: int = 4
+    # partition grain of the fact tables: "month" or "day"
+    fact_grain: str = "month"
     # optional JSON key holding a record's ingest sequence number; when set,
     # it decides "the latest record wins" before file time, name and position
     sequence_field: str | None = None

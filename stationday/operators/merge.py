@@ -140,8 +140,14 @@ def merge_into(spark: SparkSession, table: str, spec: TableSpec, source: DataFra
                update: Mapping[str, UpdateExpr | str], insert: Sequence[str] | None = None,
                on_duplicate: str = "latest", order: Sequence[str | Column] = (),
                tiebreak: Sequence[str] = (), null_keys: str = "insert",
-               max_touched: int = 10_000) -> MergeResult:
-    """Upsert ``source`` into the partitioned table ``table`` (M1)."""
+               max_touched: int = 10_000, partitions: list | None = None) -> MergeResult:
+    """Upsert ``source`` into the partitioned table ``table`` (M1).
+
+    ``partitions``: when the caller already knows which partitions the
+    source's rows fall in (a stage that recomputes given months), they are
+    used as the touched set and the source is computed only once, by the
+    write; ``source_rows`` is then -1 (not counted).
+    """
     keys = list(spec.keys)
     if null_keys not in ("insert", "drop"):
         raise ValueError("null_keys must be 'insert' or 'drop'")
@@ -150,7 +156,11 @@ def merge_into(spark: SparkSession, table: str, spec: TableSpec, source: DataFra
         has_null = has_null | F.col(k).isNull()
     src = source
     touched, dropped = None, 0
-    if spec.partition_col:
+    if partitions is not None and null_keys == "insert" and spec.partition_col:
+        if not partitions:
+            return MergeResult(table, 0, [], 0)
+        touched, n_src = list(partitions), -1
+    elif spec.partition_col:
         # The partition of a row depends on its keys only, so the touched set
         # is read from the raw source: a narrow scan of the key columns,
         # aggregated map-side, in one job that also counts rows with a NULL

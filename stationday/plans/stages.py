@@ -19,11 +19,10 @@ from stationday.operators.parse import parse_observations, parse_stations
 from stationday.operators.pivot import daily_temps
 from stationday.schemas import (
     ANALYTICS,
-    DAILY_TEMPS,
     OBSERVATION_STAGING,
-    OBSERVATIONS,
     STATION_STAGING,
     TableSpec,
+    fact_specs,
     stations_spec,
 )
 from stationday.sources.json_rows import LoadSpec, load_all
@@ -62,14 +61,15 @@ class Tables:
     def __init__(self, cfg: PipelineConfig):
         self.cfg = cfg
         self.stations_spec = stations_spec(cfg.station_buckets)
+        facts = fact_specs(cfg.fact_grain)
         r, h, a = cfg.raw_db, cfg.harmonized_db, cfg.analytics_db
         self.specs: dict[str, tuple[str, TableSpec]] = {
             "observation_staging": (r, OBSERVATION_STAGING),
             "station_staging": (r, STATION_STAGING),
             "stations": (h, self.stations_spec),
-            "observations": (h, OBSERVATIONS),
-            "daily_temps": (h, DAILY_TEMPS),
-            "analytics": (a, ANALYTICS),
+            "observations": (h, facts["observations"]),
+            "daily_temps": (h, facts["daily_temps"]),
+            "analytics": (a, facts["analytics"]),
         }
 
     def name(self, key: str) -> str:
@@ -133,7 +133,7 @@ def transform_observations(spark: SparkSession, cfg: PipelineConfig, mode: str =
                            parse_mode: str = "strict", dedupe: bool | None = None) -> tuple[StageResult, list | None]:
     """Staged observation JSON -> observations.
 
-    Returns the stage result and the months (partitions) the stage touched;
+    Returns the stage result and the date partitions (months or days) the stage touched;
     None after a refresh or a merge that rewrote everything. ``refresh``
     does not dedupe unless asked, as the reference's full refresh does not.
     """
@@ -146,65 +146,69 @@ def transform_observations(spark: SparkSession, cfg: PipelineConfig, mode: str =
         src = parsed
         if dedupe:
             from stationday.operators.dedupe import dedupe_latest
-            src = dedupe_latest(parsed, OBSERVATIONS.keys, cfg.ingest_order, OBSERVATION_TIEBREAK)
-        overwrite_table(OBSERVATIONS.with_partition(src), t.name("observations"))
+            src = dedupe_latest(parsed, t.spec("observations").keys, cfg.ingest_order, OBSERVATION_TIEBREAK)
+        overwrite_table(t.spec("observations").with_partition(src), t.name("observations"))
         return StageResult("observations", "refreshed"), None
-    r = merge_into(spark, t.name("observations"), OBSERVATIONS, parsed,
+    r = merge_into(spark, t.name("observations"), t.spec("observations"), parsed,
                    update={c: "source" for c in OBSERVATION_UPDATES},
                    order=cfg.ingest_order, tiebreak=OBSERVATION_TIEBREAK)
     return StageResult("observations", "merged", r.source_rows), r.touched
 
 
-def _restrict_to_months(df: DataFrame, months: list | None) -> DataFrame:
-    """Rows of the given month partitions only: a partition filter, pruned at the scan."""
-    if months is None:
+def _restrict_to_periods(df: DataFrame, periods: list | None, spec: TableSpec) -> DataFrame:
+    """Rows of the given date partitions only: a partition filter, pruned at the scan."""
+    if periods is None:
         return df
-    col = F.col("obs_month")
-    present = [m for m in months if m is not None]
+    col = F.col(spec.partition_col)
+    present = [m for m in periods if m is not None]
     cond = col.isin(present) if present else F.lit(False)
-    if any(m is None for m in months):
+    if any(m is None for m in periods):
         cond = cond | col.isNull()
     return df.filter(cond)
 
 
-def pivot_stage(spark: SparkSession, cfg: PipelineConfig, months: list | None = None,
+def pivot_stage(spark: SparkSession, cfg: PipelineConfig, periods: list | None = None,
                 mode: str = "upsert") -> StageResult:
     """Observations -> daily temps. ``upsert`` merges with COALESCE, so a new
-    NULL never erases a stored value; with ``months`` only the days of those
-    month partitions are recomputed (all when the target is still empty).
-    Recomputing a whole touched month gives the same values for its
+    NULL never erases a stored value; with ``periods`` only the days of those
+    date partitions are recomputed (all when the target is still empty).
+    Recomputing a whole touched partition gives the same values for its
     untouched days, since observations are never deleted."""
     t = Tables(cfg)
     obs = spark.table(t.name("observations"))
     if mode == "refresh":
-        overwrite_table(DAILY_TEMPS.with_partition(daily_temps(obs, cfg.pivot_values)), t.name("daily_temps"))
+        overwrite_table(t.spec("daily_temps").with_partition(daily_temps(obs, cfg.pivot_values)),
+                        t.name("daily_temps"))
         return StageResult("daily_temps", "refreshed")
-    if months is not None and not months:
+    if periods is not None and not periods:
         return StageResult("daily_temps", "skipped: nothing touched")
     if spark.table(t.name("daily_temps")).isEmpty():
-        months = None
-    src = daily_temps(_restrict_to_months(obs, months), cfg.pivot_values)
-    r = merge_into(spark, t.name("daily_temps"), DAILY_TEMPS, src,
+        periods = None
+    src = daily_temps(_restrict_to_periods(obs, periods, t.spec("observations")), cfg.pivot_values)
+    # a day falls in the same period as its observations: the touched set is known
+    r = merge_into(spark, t.name("daily_temps"), t.spec("daily_temps"), src,
                    update={"tmax": coalesce_source_target("tmax"), "tmin": coalesce_source_target("tmin")},
-                   on_duplicate="none")  # one row per key already: the pivot groups by it
+                   on_duplicate="none",  # one row per key already: the pivot groups by it
+                   partitions=periods)
     return StageResult("daily_temps", "merged", r.source_rows)
 
 
-def analytics_stage(spark: SparkSession, cfg: PipelineConfig, months: list | None = None) -> StageResult:
+def analytics_stage(spark: SparkSession, cfg: PipelineConfig, periods: list | None = None) -> StageResult:
     """Daily temps joined to stations, averaged and upserted into analytics.
-    Matched rows keep their station_name. With ``months`` only those month
+    Matched rows keep their station_name. With ``periods`` only those date
     partitions of daily temps are read."""
     t = Tables(cfg)
     daily = spark.table(t.name("daily_temps"))
-    if months is not None and not months:
+    if periods is not None and not periods:
         return StageResult("analytics", "skipped: nothing touched")
     if daily.isEmpty():
         return StageResult("analytics", "skipped: no daily temps")
     stations = spark.table(t.name("stations"))
-    src = station_analytics(_restrict_to_months(daily, months), stations)
-    r: MergeResult = merge_into(spark, t.name("analytics"), ANALYTICS, src,
+    src = station_analytics(_restrict_to_periods(daily, periods, t.spec("daily_temps")), stations)
+    r: MergeResult = merge_into(spark, t.name("analytics"), t.spec("analytics"), src,
                                 update={c: "source" for c in ANALYTICS_UPDATES},
-                                on_duplicate="none")  # grouped by the key and a name that depends on it
+                                on_duplicate="none",  # grouped by the key and a name that depends on it
+                                partitions=periods)
     return StageResult("analytics", "merged", r.source_rows)
 
 

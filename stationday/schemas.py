@@ -1,8 +1,8 @@
 """One declared schema per table, with its logical key and partitioning.
 
 The harmonized and analytics tables are Parquet tables. Facts are
-partitioned by month of their date so that an upsert rewrites only the
-months it touches; the stations dimension is partitioned by a hash bucket of
+partitioned by month (or day, see ``fact_specs``) of their date so that an
+upsert rewrites only the periods it touches; the stations dimension is partitioned by a hash bucket of
 its key for the same reason. The partition column is derived from the row
 and is never part of the logical schema a reader sees.
 """
@@ -58,6 +58,16 @@ def month_of(col: str) -> Callable[[], Column]:
     return lambda: F.trunc(F.col(col).cast("date"), "month")
 
 
+def day_of(col: str) -> Callable[[], Column]:
+    return lambda: F.col(col).cast("date")
+
+
+# Partition grain of the fact tables. "month" suits up to a few TB; for very
+# large tables "day" keeps an incremental upsert from rewriting a whole month.
+GRAINS = {"month": month_of, "day": day_of}
+PERIOD_COL = "obs_period"
+
+
 def bucket_of(col: str, n: int) -> Callable[[], Column]:
     return lambda: F.pmod(F.xxhash64(F.col(col)), F.lit(n)).cast("int")
 
@@ -128,18 +138,25 @@ def stations_spec(buckets: int = 4) -> TableSpec:
     )
 
 
-OBSERVATIONS = TableSpec(
-    "observations", OBSERVATIONS_SCHEMA, ("observation_date", "station_id", "datatype"),
-    "obs_month", T.DateType(), month_of("observation_date"),
-)
-DAILY_TEMPS = TableSpec(
-    "daily_temps", DAILY_TEMPS_SCHEMA, ("observation_date", "station_id"),
-    "obs_month", T.DateType(), month_of("observation_date"),
-)
-ANALYTICS = TableSpec(
-    "analytics", ANALYTICS_SCHEMA, ("observation_date", "station_id"),
-    "obs_month", T.DateType(), month_of("observation_date"),
-)
+def fact_specs(grain: str = "month") -> dict[str, TableSpec]:
+    """Observations, daily temps and analytics, partitioned by ``grain`` of their date."""
+    if grain not in GRAINS:
+        raise ValueError(f"grain must be one of {sorted(GRAINS)}")
+    part = GRAINS[grain]("observation_date")
+    return {
+        "observations": TableSpec("observations", OBSERVATIONS_SCHEMA,
+                                  ("observation_date", "station_id", "datatype"), PERIOD_COL, T.DateType(), part),
+        "daily_temps": TableSpec("daily_temps", DAILY_TEMPS_SCHEMA,
+                                 ("observation_date", "station_id"), PERIOD_COL, T.DateType(), part),
+        "analytics": TableSpec("analytics", ANALYTICS_SCHEMA,
+                               ("observation_date", "station_id"), PERIOD_COL, T.DateType(), part),
+    }
+
+
+_MONTHLY = fact_specs("month")
+OBSERVATIONS = _MONTHLY["observations"]
+DAILY_TEMPS = _MONTHLY["daily_temps"]
+ANALYTICS = _MONTHLY["analytics"]
 
 
 def assert_schema(df: DataFrame, schema: T.StructType) -> None:

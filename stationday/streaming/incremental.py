@@ -33,7 +33,6 @@ from stationday.plans.stages import (
     pivot_stage,
     require_table,
 )
-from stationday.schemas import OBSERVATIONS
 
 
 def observation_stream(spark: SparkSession, landing: str, column: str = "weather_json", kind: str = "lines",
@@ -94,7 +93,7 @@ def incremental_upsert(spark: SparkSession, cfg: PipelineConfig, landing: str, c
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_observations(batch, mode=parse_mode, sequence_field=cfg.sequence_field)
-        r = merge_into(spark, t.name("observations"), OBSERVATIONS, parsed,
+        r = merge_into(spark, t.name("observations"), t.spec("observations"), parsed,
                        update={c: "source" for c in OBSERVATION_UPDATES},
                        order=cfg.ingest_order, tiebreak=OBSERVATION_TIEBREAK, null_keys="drop")
         run.batches.append(batch_id)

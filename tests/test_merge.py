@@ -78,12 +78,12 @@ def _files(root, part):
 def test_untouched_partitions_keep_their_files(spark, tables):
     upsert_obs(spark, tables, obs(spark, BASE[:3]))
     root = tables.path("observations").removeprefix("file:")
-    feb_before = _files(root, "obs_month=2020-02-01")
-    jan_before = _files(root, "obs_month=2020-01-01")
+    feb_before = _files(root, "obs_period=2020-02-01")
+    jan_before = _files(root, "obs_period=2020-01-01")
     r = upsert_obs(spark, tables, obs(spark, [(D(2020, 1, 5), "TMAX", "S1", "q", 1.0)]))
     assert r.touched == [dt.date(2020, 1, 1)]
-    assert _files(root, "obs_month=2020-02-01") == feb_before
-    assert _files(root, "obs_month=2020-01-01") != jan_before
+    assert _files(root, "obs_period=2020-02-01") == feb_before
+    assert _files(root, "obs_period=2020-01-01") != jan_before
     assert len(read(spark, tables)) == 4
 
 

@@ -69,3 +69,35 @@ def test_entry_smoke(spark):
     assert df.columns == [f.name for f in ANALYTICS_SCHEMA.fields]
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_day_grain_gives_the_same_tables(spark, landed):
+    month = PipelineConfig.fresh(spark, "test")
+    day = PipelineConfig.fresh(spark, "test", fact_grain="day")
+    run_pipeline(spark, month, f"{landed}/weather", f"{landed}/stations", mode="upsert")
+    run_pipeline(spark, day, f"{landed}/weather", f"{landed}/stations", mode="upsert")
+    assert _all(spark, month) == _all(spark, day)
+    parts = spark.table(Tables(day).name("observations")).select("obs_period").distinct().count()
+    assert parts > 1  # one partition per day
+
+
+def test_sequence_field_beats_file_time(spark, scratch):
+    import json
+    import os
+
+    cfg = PipelineConfig.fresh(spark, "test", sequence_field="seq")
+    rec = {"date": "2020-01-01T00:00:00", "datatype": "TMAX", "station": "S1", "attributes": ""}
+    os.makedirs(f"{scratch}/w", exist_ok=True)
+    with open(f"{scratch}/w/new.json", "w") as f:  # newer file, older sequence number
+        json.dump([dict(rec, value=1, seq=1)], f)
+    with open(f"{scratch}/w/old.json", "w") as f:
+        json.dump([dict(rec, value=2, seq=2)], f)
+    os.utime(f"{scratch}/w/old.json", (1, 1))
+    with open(f"{scratch}/s.json", "w") as f:
+        json.dump([{"id": "S1", "name": "One"}], f)
+    run_pipeline(spark, cfg, f"{scratch}/w", f"{scratch}/s.json", mode="upsert")
+    t = Tables(cfg)
+    assert [r.obs_value for r in spark.table(t.name("observations")).collect()] == [2.0]
+    plain = PipelineConfig.fresh(spark, "test")
+    run_pipeline(spark, plain, f"{scratch}/w", f"{scratch}/s.json", mode="upsert")
+    assert [r.obs_value for r in spark.table(Tables(plain).name("observations")).collect()] == [1.0]

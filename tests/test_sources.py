@@ -120,7 +120,7 @@ def test_empty_tables(spark, tables):
     assert e.count() == 0
     assert_schema(e, ANALYTICS_SCHEMA)
     like = empty_like(spark, tables.name("observations"))
-    assert like.count() == 0 and "obs_month" in like.columns
+    assert like.count() == 0 and "obs_period" in like.columns
 
 
 def test_sink_round_trip(spark, scratch):
