@@ -22,23 +22,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 def main() -> None:
-    from pyspark.sql import SparkSession
+    from stationday.session import local_session
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     reps = int(os.environ.get("BENCH_REPS", "3"))
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName("stationday-bench")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(cpus))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark = local_session(cpus, "stationday-bench", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
 
     from stationday.plans.queries import QUERIES
 

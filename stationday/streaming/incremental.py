@@ -36,12 +36,26 @@ from stationday.plans.stages import (
 
 
 def observation_stream(spark: SparkSession, landing: str, column: str = "weather_json", kind: str = "lines",
-                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming rows of the files that arrive in ``landing``, one VARIANT each."""
+                       max_files_per_trigger: int | None = None, clean_source: str = "off",
+                       archive_dir: str | None = None, max_file_age: str | None = None) -> DataFrame:
+    """Streaming rows of the files that arrive in ``landing``, one VARIANT each.
+
+    ``max_files_per_trigger`` bounds a micro-batch. On a long-lived landing
+    folder, ``clean_source="archive"`` (with ``archive_dir``) or ``"delete"``
+    moves consumed files away and ``max_file_age`` lets the source forget
+    old entries, so neither the listing nor the source's file log grows
+    without bound.
+    """
     # files may land in sub-folders (one per drop or day)
     r = spark.readStream.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if clean_source != "off":
+        r = r.option("cleanSource", clean_source)
+        if archive_dir:
+            r = r.option("sourceArchiveDir", archive_dir)
+    if max_file_age:
+        r = r.option("maxFileAge", max_file_age)
     meta = [F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_modification_time").alias("_mtime")]
     if kind == "lines":
