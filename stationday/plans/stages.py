@@ -167,6 +167,13 @@ def _restrict_to_periods(df: DataFrame, periods: list | None, spec: TableSpec) -
     return df.filter(cond)
 
 
+def _present_periods(df: DataFrame, spec: TableSpec, limit: int = 10_000) -> list | None:
+    """Partition values present in a table: a scan of its partition column
+    only (no data columns are read). None when there are more than ``limit``."""
+    vals = df.select(spec.partition_col).distinct().limit(limit + 1).collect()
+    return None if len(vals) > limit else [r[0] for r in vals]
+
+
 def pivot_stage(spark: SparkSession, cfg: PipelineConfig, periods: list | None = None,
                 mode: str = "upsert") -> StageResult:
     """Observations -> daily temps. ``upsert`` merges with COALESCE, so a new
@@ -185,6 +192,10 @@ def pivot_stage(spark: SparkSession, cfg: PipelineConfig, periods: list | None =
     if spark.table(t.name("daily_temps")).isEmpty():
         periods = None
     src = daily_temps(_restrict_to_periods(obs, periods, t.spec("observations")), cfg.pivot_values)
+    if periods is None:
+        # every period of the observations; read from the partition column, so
+        # the pivot itself is computed once, by the write
+        periods = _present_periods(obs, t.spec("observations"))
     # a day falls in the same period as its observations: the touched set is known
     r = merge_into(spark, t.name("daily_temps"), t.spec("daily_temps"), src,
                    update={"tmax": coalesce_source_target("tmax"), "tmin": coalesce_source_target("tmin")},
@@ -205,6 +216,8 @@ def analytics_stage(spark: SparkSession, cfg: PipelineConfig, periods: list | No
         return StageResult("analytics", "skipped: no daily temps")
     stations = spark.table(t.name("stations"))
     src = station_analytics(_restrict_to_periods(daily, periods, t.spec("daily_temps")), stations)
+    if periods is None:
+        periods = _present_periods(daily, t.spec("daily_temps"))
     r: MergeResult = merge_into(spark, t.name("analytics"), t.spec("analytics"), src,
                                 update={c: "source" for c in ANALYTICS_UPDATES},
                                 on_duplicate="none",  # grouped by the key and a name that depends on it
