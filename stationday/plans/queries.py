@@ -19,7 +19,6 @@ from stationday.functions import avg_temp, call_by_name, outlier_label, register
 from stationday.functions.registry import AVG_TEMP_FN, OUTLIER_FN, TEMP_CHANGE_FN
 from stationday.operators.analytics import (
     grouped_average,
-    has_rows,  # noqa: F401 - driver-side form of exists_scalar
     join_dimension,
     order_latest_first,
     station_analytics,

@@ -1,5 +1,7 @@
 """Whole pipeline runs, modes, guards and the driver contract."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +103,24 @@ def test_sequence_field_beats_file_time(spark, scratch):
     plain = PipelineConfig.fresh(spark, "test")
     run_pipeline(spark, plain, f"{scratch}/w", f"{scratch}/s.json", mode="upsert")
     assert [r.obs_value for r in spark.table(Tables(plain).name("observations")).collect()] == [1.0]
+
+
+def test_lines_input_and_command_line(spark, scratch):
+    import json
+
+    from stationday.__main__ import main
+
+    os.makedirs(f"{scratch}/w", exist_ok=True)
+    recs = [{"date": "2020-01-01T00:00:00", "datatype": "TMAX", "station": "S1", "attributes": "", "value": 70},
+            {"date": "2020-01-01T00:00:00", "datatype": "TMIN", "station": "S1", "attributes": "", "value": 30}]
+    with open(f"{scratch}/w/part.json", "w") as f:
+        f.write("\n".join(json.dumps(r) for r in recs))
+    with open(f"{scratch}/s.json", "w") as f:
+        f.write(json.dumps({"id": "S1", "name": "One"}))
+    cfg = PipelineConfig.fresh(spark, "test")
+    argv = ["run", "--root", cfg.root, "--raw-db", cfg.raw_db, "--harmonized-db", cfg.harmonized_db,
+            "--analytics-db", cfg.analytics_db, "--weather", f"{scratch}/w", "--stations", f"{scratch}/s.json",
+            "--kind", "lines"]
+    assert main(argv) == 0
+    a = spark.table(Tables(cfg).name("analytics")).first()
+    assert (a.station_name, a.avg_tavg, a.avg_daily_temp_change) == ("One", 50.0, 40.0)

@@ -78,3 +78,14 @@ def test_downstream_recompute(spark, tables, scratch):
     assert [r.stage for r in run.results] == ["daily_temps", "analytics"]
     daily = _rows(spark, tables, "daily_temps", DAILY_TEMPS)
     assert (dt.date(2020, 1, 1), "S1", 55.0, 20.0) in daily
+
+
+def test_array_files_stream(spark, tables, scratch):
+    land, ckpt = f"{scratch}/land", f"{scratch}/ckpt"
+    os.makedirs(f"{land}/d1", exist_ok=True)
+    with open(f"{land}/d1/a.json", "w") as f:
+        json.dump(D1[:2] + D2, f)
+    run = incremental_upsert(spark, tables.cfg, land, ckpt, kind="array")
+    assert run.source_rows == 4
+    got = {(r[1], r[2]): r[4] for r in _rows(spark, tables)}
+    assert got[("TMAX", "S1")] == 55.0  # later position in the array wins
