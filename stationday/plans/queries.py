@@ -28,7 +28,6 @@ from stationday.operators.dedupe import dedupe_latest, distinct_keys, distinct_r
 from stationday.operators.merge import coalesce_source_target, merge_into
 from stationday.operators.parse import (
     OBSERVATION_FIELDS,
-    STATION_FIELDS,
     clean_column_names,
     drop_nulls,
     ensure_columns,
