@@ -16,8 +16,13 @@ def work_dir(spark: SparkSession) -> str:
     cluster names). Only where it is unset, as in tests and local runs, a
     fresh folder is made and set as the checkpoint dir of this session.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        sc = None
+    d = None
+    if sc is not None:
+        d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         try:
             d = spark.conf.get("spark.checkpoint.dir", None)
@@ -25,7 +30,7 @@ def work_dir(spark: SparkSession) -> str:
             d = None
     if not d:
         d = tempfile.mkdtemp(prefix="stationday-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 

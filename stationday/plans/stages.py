@@ -118,14 +118,16 @@ def transform_stations(spark: SparkSession, cfg: PipelineConfig, mode: str = "up
     ``refresh`` overwrites the table."""
     t = Tables(cfg)
     raw = spark.table(t.name("station_staging"))
-    if raw.isEmpty():
-        return StageResult("stations", "skipped: no staged rows")
     parsed = parse_stations(raw, mode=parse_mode)
     if mode == "refresh":
+        if raw.isEmpty():  # never replace a table by nothing
+            return StageResult("stations", "skipped: no staged rows")
         overwrite_table(t.stations_spec.with_partition(parsed), t.name("stations"))
         return StageResult("stations", "refreshed")
     r = merge_into(spark, t.name("stations"), t.stations_spec, parsed, update={c: "source" for c in STATION_UPDATES},
                    order=INGEST_ORDER)
+    if r.source_rows == 0:  # the merge's touched-partition job is the emptiness check
+        return StageResult("stations", "skipped: no staged rows")
     return StageResult("stations", "merged", r.source_rows)
 
 
@@ -139,10 +141,10 @@ def transform_observations(spark: SparkSession, cfg: PipelineConfig, mode: str =
     """
     t = Tables(cfg)
     raw = spark.table(t.name("observation_staging"))
-    if raw.isEmpty():
-        return StageResult("observations", "skipped: no staged rows"), []
     parsed = parse_observations(raw, mode=parse_mode, sequence_field=cfg.sequence_field)
     if mode == "refresh":
+        if raw.isEmpty():  # never replace a table by nothing
+            return StageResult("observations", "skipped: no staged rows"), []
         src = parsed
         if dedupe:
             from stationday.operators.dedupe import dedupe_latest
@@ -152,6 +154,8 @@ def transform_observations(spark: SparkSession, cfg: PipelineConfig, mode: str =
     r = merge_into(spark, t.name("observations"), t.spec("observations"), parsed,
                    update={c: "source" for c in OBSERVATION_UPDATES},
                    order=cfg.ingest_order, tiebreak=OBSERVATION_TIEBREAK)
+    if r.source_rows == 0:
+        return StageResult("observations", "skipped: no staged rows"), []
     return StageResult("observations", "merged", r.source_rows), r.touched
 
 
