@@ -73,6 +73,8 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """
     columns = list(columns or target.columns)
     insert = set(columns if insert is None else insert)
+    ttypes = {f.name: f.dataType for f in target.schema.fields}
+    stypes = {f.name: f.dataType for f in source.schema.fields}
     t = target.select(*[F.col(c).alias(f"__t_{c}") for c in columns], F.lit(True).alias("__t"))
     s = source.select(*[F.col(c).alias(f"__s_{c}") for c in columns], F.lit(True).alias("__s"))
     j = t.join(s, key_condition(keys), "full_outer")
@@ -88,7 +90,10 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
             u = set_from_source(c)
         upd = u(_src, _tgt) if u is not None else _tgt(c)
         ins = _src(c) if c in insert else F.lit(None)
-        out.append(F.when(matched, upd).when(in_t, _tgt(c)).otherwise(ins).cast(target.schema[c].dataType).alias(c))
+        v = F.when(matched, upd).when(in_t, _tgt(c)).otherwise(ins)
+        if ttypes[c] != stypes.get(c):  # same types on both sides (the usual case) need no cast
+            v = v.cast(ttypes[c].simpleString())
+        out.append(v.alias(c))
     return j.select(*out)
 
 

@@ -41,10 +41,16 @@ class TableSpec:
         )
 
     def with_partition(self, df: DataFrame) -> DataFrame:
-        """Logical columns in declared order, then the partition column."""
-        cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        """Logical columns in declared order, then the partition column.
+
+        Only columns whose type differs from the declared one are cast (a
+        cast crosses into the JVM once per column when the plan is built).
+        """
+        have = {f.name: f.dataType for f in df.schema.fields}
+        cols = [F.col(f.name) if have.get(f.name) == f.dataType else
+                F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in self.schema.fields]
         if self.partition_col:
-            cols.append(self.partition_expr().cast(self.partition_type).alias(self.partition_col))
+            cols.append(self.partition_expr().cast(self.partition_type.simpleString()).alias(self.partition_col))
         return df.select(*cols)
 
     def logical(self, df: DataFrame) -> DataFrame:
