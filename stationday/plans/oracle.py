@@ -168,7 +168,7 @@ ORACLE_SQL: dict[str, str] = {
                                  FROM t FULL OUTER JOIN s USING (observation_date, datatype, station_id))""",
                              daily("m", "d"))
     + "SELECT * FROM d",
-    "pipeline_flagship": w(OBS, DD, ST, daily("dd", "d"), analytics("d", "st", "a")) + "SELECT * FROM a",
+    "flagship_analytics": w(OBS, DD, ST, daily("dd", "d"), analytics("d", "st", "a")) + "SELECT * FROM a",
     "split_yearly": """WITH RECURSIVE r AS (
           SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b
           FROM orders GROUP BY o_custkey),

@@ -361,7 +361,7 @@ def q_pivot_touched_dates(spark, sf):
     return DAILY_TEMPS.logical(spark.table(t.name("daily_temps")))
 
 
-def q_pipeline_flagship(spark, sf):
+def q_flagship_analytics(spark, sf):
     land = fresh_dir(spark, "q-flagship")
     _land_array(spark, sf, land)
     cfg = PipelineConfig.fresh(spark, "q-flagship", sequence_field=derive.SEQUENCE_FIELD)
@@ -426,7 +426,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_analytics": q_merge_analytics,
     "incremental_merge": q_incremental_merge,
     "pivot_touched_dates": q_pivot_touched_dates,
-    "pipeline_flagship": q_pipeline_flagship,
+    "flagship_analytics": q_flagship_analytics,
     "split_yearly": q_split_yearly,
     "page_plan": q_page_plan,
     "missing_dimension": q_missing_dimension,

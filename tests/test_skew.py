@@ -22,6 +22,6 @@ def test_hot_station_through_the_pipeline(spark, scratch):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet/*.parquet')")
     share = con.sql("SELECT avg(CASE WHEN user_id = 7 THEN 1.0 ELSE 0 END) FROM events").fetchall()[0][0]
     assert share > 0.33
-    for name in ("pipeline_flagship", "dedupe_latest", "merge_upsert"):
+    for name in ("flagship_analytics", "dedupe_latest", "merge_upsert"):
         r = compare(spark, con, name, QUERIES[name], ORACLE_SQL[name], d)
         assert r["cols_ok"] and r["rows"] == r["oracle_rows"] and r["hash_ok"], r
