@@ -66,13 +66,29 @@ def read_json_rows(spark: SparkSession, path, column: str, kind: str = "array")
 
 
 def load_json_rows(spark: SparkSession, path, table: str, column: str, kind: str = "array",
-                   comment: str | None = None) -> None:
-    """Append the records of ``path`` to the staging ``table``."""
-    append_table(read_json_rows(spark, path, column, kind), table)
+                   comment: str | None = None, skip_loaded: bool = True) -> None:
+    """Append the records of ``path`` to the staging ``table``.
+
+    Like a bulk copy with load history, a file already loaded (same path
+    and modification time) is not loaded again; a rewritten file is. The
+    check is an anti join on the staging table's distinct (file, mtime)
+    pairs, one row per loaded file, which AQE broadcasts while small.
+    """
+    rows = read_json_rows(spark, path, column, kind)
+    if skip_loaded:
+        loaded = spark.table(table).select("_file", "_mtime").distinct()
+        rows = rows.join(loaded, ["_file", "_mtime"], "left_anti").select(column, "_file", "_mtime", "_pos")
+    append_table(rows, table)
     if comment is not None:
         comment_table(spark, table, comment)
 
 
+def tag_from_path(df: DataFrame, name: str, pattern: str, group: int = 1) -> DataFrame:
+    """Add a column taken from each row's file path, e.g. the zip code of
+    ``.../zip=02128/part-0.json`` with ``pattern=r"zip=([^/]+)"`` (P14)."""
+    return df.withColumn(name, F.regexp_extract(F.col("_file"), pattern, group))
+
+
 @dataclass(frozen=True)
 class LoadSpec:
     """One staging table and where its files are."""

@@ -101,8 +101,17 @@ def test_load_into_staging_with_comment(spark, tables, scratch):
     p = _write(f"{scratch}/load/w.json", OBS)
     name = tables.name("observation_staging")
     load_json_rows(spark, p, name, "weather_json", "array", comment='{"origin":"test"}')
-    load_json_rows(spark, p, name, "weather_json", "array")  # append
+    load_json_rows(spark, p, name, "weather_json", "array")  # already loaded: skipped
+    assert spark.table(name).count() == 4
+    os.utime(p, (10, 10))  # a rewritten file is loaded again
+    load_json_rows(spark, p, name, "weather_json", "array")
     assert spark.table(name).count() == 8
+    p2 = _write(f"{scratch}/load/zip=02130/w.json", OBS[:1])
+    load_json_rows(spark, p2, name, "weather_json", "array")
+    assert spark.table(name).count() == 9
+    from stationday.sources.json_rows import tag_from_path
+    zips = tag_from_path(spark.table(name), "zip_code", r"zip=([^/]+)").filter("zip_code != ''")
+    assert [r.zip_code for r in zips.collect()] == ["02130"]
     comment_table(spark, name, "it's tagged")
     desc = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
     assert desc.get("Comment") == "it's tagged"

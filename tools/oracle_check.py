@@ -61,17 +61,15 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 def main():
     import duckdb
-    from pyspark.sql import SparkSession
 
     from stationday.plans.oracle import ORACLE_SQL
     from stationday.plans.queries import QUERIES
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
-    spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
-             .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
-             .getOrCreate())
-    spark.sparkContext.setLogLevel("ERROR")
+    from stationday.session import local_session
+
+    spark = local_session(8, "stationday-oracle-check")
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"
