@@ -2,7 +2,8 @@
 
 ``refresh``: load, then overwrite stations, observations and daily temps
 from the whole staging tables, then upsert analytics.
-``upsert``: load, then merge stations and observations, recompute the daily
+``upsert``: load, then merge the stations and observations of this load
+(all staged rows when nothing new was loaded), recompute the daily
 temps of the month partitions the merge touched (all when the table is empty) and
 upsert analytics for them.
 The incremental stream (``stationday.streaming``) is the third mode; an
@@ -32,10 +33,13 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig, weather_path=None, st
         raise ValueError("mode must be 'upsert' or 'refresh'")
     setup(spark, cfg)
     out: list[StageResult] = []
+    loads = None  # no new files: an upsert goes over all staged rows
     if weather_path is not None and station_path is not None:
-        out.append(load_raw(spark, cfg, weather_path, station_path, kind))
-    out.append(transform_stations(spark, cfg, mode, parse_mode))
-    res, touched = transform_observations(spark, cfg, mode, parse_mode, dedupe=dedupe_refresh)
+        loaded = load_raw(spark, cfg, weather_path, station_path, kind)
+        out.append(loaded)
+        loads = [loaded.status]  # upsert only what this run loaded
+    out.append(transform_stations(spark, cfg, mode, parse_mode, loads=loads))
+    res, touched = transform_observations(spark, cfg, mode, parse_mode, dedupe=dedupe_refresh, loads=loads)
     out.append(res)
     if mode == "refresh":
         out.append(pivot_stage(spark, cfg, mode="refresh"))

@@ -19,6 +19,7 @@ from stationday.operators.parse import parse_observations, parse_stations
 from stationday.operators.pivot import daily_temps
 from stationday.schemas import (
     ANALYTICS,
+    LOAD_ID,
     OBSERVATION_STAGING,
     STATION_STAGING,
     TableSpec,
@@ -100,24 +101,31 @@ PROVENANCE = '{"origin":"stationday","layer":"raw","format":"json"}'
 
 
 def load_raw(spark: SparkSession, cfg: PipelineConfig, weather_path, station_path, kind: str = "array") -> StageResult:
-    """Append the raw observation and station files to the staging tables."""
+    """Append the raw observation and station files to the staging tables;
+    the status is the load id (the staging partition the rows went to)."""
     t = Tables(cfg)
     specs = {
         "observations": LoadSpec(weather_path, t.name("observation_staging"), "weather_json", kind),
         "stations": LoadSpec(station_path, t.name("station_staging"), "station_json", kind),
     }
-    load_all(spark, specs, comment=PROVENANCE)
-    return StageResult("load", "loaded")
+    return StageResult("load", load_all(spark, specs, comment=PROVENANCE))
+
+
+def _staged(spark: SparkSession, name: str, loads: list[str] | None) -> DataFrame:
+    """Staging rows, of the given loads only (pruned partitions) or all."""
+    raw = spark.table(name)
+    return raw if loads is None else raw.filter(F.col(LOAD_ID).isin(list(loads)))
 
 
 # ---- transform -------------------------------------------------------------
 
 def transform_stations(spark: SparkSession, cfg: PipelineConfig, mode: str = "upsert",
-                       parse_mode: str = "strict") -> StageResult:
-    """Staged station JSON -> stations. ``upsert`` merges by station_id;
-    ``refresh`` overwrites the table."""
+                       parse_mode: str = "strict", loads: list[str] | None = None) -> StageResult:
+    """Staged station JSON -> stations. ``upsert`` merges by station_id
+    (with ``loads``: only the rows of those loads); ``refresh`` overwrites
+    the table from all staged rows."""
     t = Tables(cfg)
-    raw = spark.table(t.name("station_staging"))
+    raw = _staged(spark, t.name("station_staging"), loads if mode == "upsert" else None)
     parsed = parse_stations(raw, mode=parse_mode)
     if mode == "refresh":
         if raw.isEmpty():  # never replace a table by nothing
@@ -132,15 +140,18 @@ def transform_stations(spark: SparkSession, cfg: PipelineConfig, mode: str = "up
 
 
 def transform_observations(spark: SparkSession, cfg: PipelineConfig, mode: str = "upsert",
-                           parse_mode: str = "strict", dedupe: bool | None = None) -> tuple[StageResult, list | None]:
+                           parse_mode: str = "strict", dedupe: bool | None = None,
+                           loads: list[str] | None = None) -> tuple[StageResult, list | None]:
     """Staged observation JSON -> observations.
 
     Returns the stage result and the date partitions (months or days) the stage touched;
     None after a refresh or a merge that rewrote everything. ``refresh``
     does not dedupe unless asked, as the reference's full refresh does not.
+    With ``loads`` an upsert reads only those loads' staging partitions: the
+    same result as re-merging all history, as later loads win anyway.
     """
     t = Tables(cfg)
-    raw = spark.table(t.name("observation_staging"))
+    raw = _staged(spark, t.name("observation_staging"), loads if mode == "upsert" else None)
     parsed = parse_observations(raw, mode=parse_mode, sequence_field=cfg.sequence_field)
     if mode == "refresh":
         if raw.isEmpty():  # never replace a table by nothing

@@ -87,10 +87,16 @@ INGEST_COLUMNS = T.StructType([
 ])
 
 
+LOAD_ID = "_load_id"
+
+
 def staging_spec(name: str, column: str) -> TableSpec:
+    """Staging rows, partitioned by the load that brought them, so a run can
+    process only its own load (partition pruning) instead of all history."""
     return TableSpec(
         name=name,
         schema=T.StructType([T.StructField(column, T.VariantType(), True)] + list(INGEST_COLUMNS.fields)),
+        partition_col=LOAD_ID, partition_type=T.StringType(), partition_expr=lambda: F.col(LOAD_ID),
     )
 
 

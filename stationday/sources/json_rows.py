@@ -18,11 +18,14 @@ make "the latest record wins" deterministic.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationday.schemas import LOAD_ID
 from stationday.sources.tables import append_table, comment_table
 
 
@@ -66,21 +69,25 @@ def read_json_rows(spark: SparkSession, path, column: str, kind: str = "array")
 
 
 def load_json_rows(spark: SparkSession, path, table: str, column: str, kind: str = "array",
-                   comment: str | None = None, skip_loaded: bool = True) -> None:
+                   comment: str | None = None, skip_loaded: bool = True, load_id: str | None = None) -> str:
     """Append the records of ``path`` to the staging ``table``.
 
     Like a bulk copy with load history, a file already loaded (same path
     and modification time) is not loaded again; a rewritten file is. The
     check is an anti join on the staging table's distinct (file, mtime)
     pairs, one row per loaded file, which AQE broadcasts while small.
+    The rows go to a new partition named by ``load_id`` (generated when not
+    given), which is returned.
     """
+    load_id = load_id or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     rows = read_json_rows(spark, path, column, kind)
     if skip_loaded:
         loaded = spark.table(table).select("_file", "_mtime").distinct()
-        rows = rows.join(loaded, ["_file", "_mtime"], "left_anti").select(column, "_file", "_mtime", "_pos")
-    append_table(rows, table)
+        rows = rows.join(loaded, ["_file", "_mtime"], "left_anti")
+    append_table(rows.select(column, "_file", "_mtime", "_pos", F.lit(load_id).alias(LOAD_ID)), table)
     if comment is not None:
         comment_table(spark, table, comment)
+    return load_id
 
 
 def tag_from_path(df: DataFrame, name: str, pattern: str, group: int = 1) -> DataFrame:
@@ -99,10 +106,10 @@ class LoadSpec:
     kind: str = "array"
 
 
-def load_all(spark: SparkSession, specs: dict[str, LoadSpec], comment: str | None = None) -> dict[str, str]:
-    """Load every declared staging table; returns a status per entry."""
-    out = {}
-    for key, s in specs.items():
-        load_json_rows(spark, s.path, s.table, s.column, s.kind, comment)
-        out[key] = f"loaded {s.path} into {s.table}"
-    return out
+def load_all(spark: SparkSession, specs: dict[str, LoadSpec], comment: str | None = None,
+             load_id: str | None = None) -> str:
+    """Load every declared staging table under one load id, which is returned."""
+    load_id = load_id or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    for s in specs.values():
+        load_json_rows(spark, s.path, s.table, s.column, s.kind, comment, load_id=load_id)
+    return load_id

@@ -124,3 +124,31 @@ def test_lines_input_and_command_line(spark, scratch):
     assert main(argv) == 0
     a = spark.table(Tables(cfg).name("analytics")).first()
     assert (a.station_name, a.avg_tavg, a.avg_daily_temp_change) == ("One", 50.0, 40.0)
+
+
+def test_upsert_reads_only_the_new_load(spark, scratch):
+    import json
+
+    cfg = PipelineConfig.fresh(spark, "test")
+    rec = {"datatype": "TMAX", "station": "S1", "attributes": ""}
+    os.makedirs(f"{scratch}/a", exist_ok=True)
+    os.makedirs(f"{scratch}/b", exist_ok=True)
+    with open(f"{scratch}/a/w.json", "w") as f:
+        json.dump([dict(rec, date=f"2020-01-0{d}T00:00:00", value=d) for d in range(1, 6)], f)
+    with open(f"{scratch}/b/w.json", "w") as f:
+        json.dump([dict(rec, date="2020-01-01T00:00:00", value=9), dict(rec, date="2020-02-01T00:00:00", value=8)], f)
+    with open(f"{scratch}/s.json", "w") as f:
+        json.dump([{"id": "S1", "name": "One"}], f)
+    first = run_pipeline(spark, cfg, f"{scratch}/a", f"{scratch}/s.json", mode="upsert")
+    second = run_pipeline(spark, cfg, f"{scratch}/b", f"{scratch}/s.json", mode="upsert")
+    assert first[0].status != second[0].status  # two loads, two staging partitions
+    obs2 = [r for r in second if r.stage == "observations"][0]
+    assert obs2.rows == 2  # only the second load's rows were merged
+    stations2 = [r for r in second if r.stage == "stations"][0]
+    assert stations2.status.startswith("skipped")  # the station file was loaded already
+    t = Tables(cfg)
+    got = {str(r.observation_date)[:10]: r.obs_value for r in spark.table(t.name("observations")).collect()}
+    assert got == {"2020-01-01": 9.0, "2020-01-02": 2.0, "2020-01-03": 3.0, "2020-01-04": 4.0,
+                   "2020-01-05": 5.0, "2020-02-01": 8.0}
+    daily = {str(r.observation_date): r.tmax for r in spark.table(t.name("daily_temps")).collect()}
+    assert daily["2020-01-01"] == 9.0 and daily["2020-02-01"] == 8.0
