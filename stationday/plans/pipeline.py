@@ -23,6 +23,7 @@ from stationday.plans.stages import (
     setup,
     transform_observations,
     transform_stations,
+    validate_tables,
 )
 
 
@@ -47,4 +48,5 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig, weather_path=None, st
     else:
         out.append(pivot_stage(spark, cfg, touched))
         out.append(analytics_stage(spark, cfg, touched))
+    out.append(validate_tables(spark, cfg))
     return out

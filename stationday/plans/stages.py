@@ -240,6 +240,18 @@ def analytics_stage(spark: SparkSession, cfg: PipelineConfig, periods: list | No
     return StageResult("analytics", "merged", r.source_rows)
 
 
+def validate_tables(spark: SparkSession, cfg: PipelineConfig) -> StageResult:
+    """Every table's columns and types equal its declared schema (S13);
+    reads no data."""
+    from stationday.schemas import assert_schema
+
+    t = Tables(cfg)
+    for key in t.specs:
+        spec = t.spec(key)
+        assert_schema(spark.table(t.name(key)), spec.storage_schema)
+    return StageResult("validate", f"{len(t.specs)} tables match their schemas")
+
+
 def require_table(spark: SparkSession, name: str) -> None:
     """A stage that needs a table fails clearly when it is missing."""
     if not table_exists(spark, name):
