@@ -20,6 +20,7 @@ from stationday.operators.pivot import daily_temps
 from stationday.schemas import (
     ANALYTICS,
     LOAD_ID,
+    LOAD_LOG,
     OBSERVATION_STAGING,
     STATION_STAGING,
     TableSpec,
@@ -65,6 +66,7 @@ class Tables:
         facts = fact_specs(cfg.fact_grain)
         r, h, a = cfg.raw_db, cfg.harmonized_db, cfg.analytics_db
         self.specs: dict[str, tuple[str, TableSpec]] = {
+            "load_log": (r, LOAD_LOG),
             "observation_staging": (r, OBSERVATION_STAGING),
             "station_staging": (r, STATION_STAGING),
             "stations": (h, self.stations_spec),
@@ -108,7 +110,7 @@ def load_raw(spark: SparkSession, cfg: PipelineConfig, weather_path, station_pat
         "observations": LoadSpec(weather_path, t.name("observation_staging"), "weather_json", kind),
         "stations": LoadSpec(station_path, t.name("station_staging"), "station_json", kind),
     }
-    return StageResult("load", load_all(spark, specs, comment=PROVENANCE))
+    return StageResult("load", load_all(spark, specs, comment=PROVENANCE, log_table=t.name("load_log")))
 
 
 def _staged(spark: SparkSession, name: str, loads: list[str] | None) -> DataFrame:

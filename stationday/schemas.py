@@ -100,6 +100,17 @@ def staging_spec(name: str, column: str) -> TableSpec:
     )
 
 
+# One row per loaded file: the load-once check reads this, not the staged rows.
+LOAD_LOG = TableSpec(
+    name="load_log",
+    schema=T.StructType([
+        T.StructField("staging_table", T.StringType(), True),
+        T.StructField("_file", T.StringType(), True),
+        T.StructField("_mtime", T.TimestampType(), True),
+        T.StructField(LOAD_ID, T.StringType(), True),
+    ]),
+)
+
 OBSERVATION_STAGING = staging_spec("observation_staging", "weather_json")
 STATION_STAGING = staging_spec("station_staging", "station_json")
 

@@ -69,7 +69,8 @@ def read_json_rows(spark: SparkSession, path, column: str, kind: str = "array")
 
 
 def load_json_rows(spark: SparkSession, path, table: str, column: str, kind: str = "array",
-                   comment: str | None = None, skip_loaded: bool = True, load_id: str | None = None) -> str:
+                   comment: str | None = None, skip_loaded: bool = True, load_id: str | None = None,
+                   log_table: str | None = None) -> str:
     """Append the records of ``path`` to the staging ``table``.
 
     Like a bulk copy with load history, a file already loaded (same path
@@ -77,14 +78,24 @@ def load_json_rows(spark: SparkSession, path, table: str, column: str, kind: str
     check is an anti join on the staging table's distinct (file, mtime)
     pairs, one row per loaded file, which AQE broadcasts while small.
     The rows go to a new partition named by ``load_id`` (generated when not
-    given), which is returned.
+    given), which is returned. With ``log_table`` the loaded files are
+    recorded there, one row each, and the check reads that log instead of
+    the staged rows, so its cost follows the number of files, not rows.
     """
     load_id = load_id or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     rows = read_json_rows(spark, path, column, kind)
     if skip_loaded:
-        loaded = spark.table(table).select("_file", "_mtime").distinct()
+        if log_table:
+            loaded = spark.table(log_table).filter(F.col("staging_table") == table).select("_file", "_mtime")
+        else:
+            loaded = spark.table(table).select("_file", "_mtime").distinct()
         rows = rows.join(loaded, ["_file", "_mtime"], "left_anti")
     append_table(rows.select(column, "_file", "_mtime", "_pos", F.lit(load_id).alias(LOAD_ID)), table)
+    if log_table:
+        # the files of this load, read from its own staging partition only
+        new = spark.table(table).filter(F.col(LOAD_ID) == load_id).select("_file", "_mtime").distinct()
+        append_table(new.select(F.lit(table).alias("staging_table"), "_file", "_mtime",
+                                F.lit(load_id).alias(LOAD_ID)), log_table)
     if comment is not None:
         comment_table(spark, table, comment)
     return load_id
@@ -107,9 +118,9 @@ class LoadSpec:
 
 
 def load_all(spark: SparkSession, specs: dict[str, LoadSpec], comment: str | None = None,
-             load_id: str | None = None) -> str:
+             load_id: str | None = None, log_table: str | None = None) -> str:
     """Load every declared staging table under one load id, which is returned."""
     load_id = load_id or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     for s in specs.values():
-        load_json_rows(spark, s.path, s.table, s.column, s.kind, comment, load_id=load_id)
+        load_json_rows(spark, s.path, s.table, s.column, s.kind, comment, load_id=load_id, log_table=log_table)
     return load_id
