@@ -158,3 +158,13 @@ def test_empty_source_changes_nothing(spark, tables):
     before = read(spark, tables)
     r = upsert_obs(spark, tables, obs(spark, []))
     assert r.source_rows == 0 and read(spark, tables) == before
+
+
+def test_row_number_form_picks_the_same_survivors(spark):
+    from stationday.operators.dedupe import dedupe_by_row_number
+
+    df = spark.range(3000).select((F.col("id") % 97).alias("k"), (F.col("id") * 7 % 1000).alias("seq"),
+                                  F.col("id").cast("string").alias("v"))
+    a = sorted(tuple(r) for r in dedupe_latest(df, ["k"], order=["seq"], tiebreak=["v"]).collect())
+    b = sorted(tuple(r) for r in dedupe_by_row_number(df, ["k"], [F.desc("seq"), F.desc("v")]).collect())
+    assert a == b and len(a) == 97

@@ -158,3 +158,12 @@ def test_missing_dimension_and_window(spark):
     got = filter_window(rows, "ts", "2020-01-01", "2020-01-05", kinds=["TMAX", "TMIN"]).count()
     assert got == 2
     assert filter_window(rows, "ts", end="2020-01-10").count() == 4  # start defaults to 2020-01-01
+
+
+def test_cluster_conf_sizes_shuffles_from_input():
+    from stationday.session import cluster_conf
+
+    c = cluster_conf(input_bytes=100 * 2**40, cores=4000)  # 100 TB on 4000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600  # one per 256 MB
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf()["spark.sql.shuffle.partitions"]) == 200
