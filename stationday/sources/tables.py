@@ -11,8 +11,14 @@ from stationday.schemas import TableSpec
 
 
 @contextmanager
-def _conf(spark: SparkSession, key: str, value: str):
+def session_conf(spark: SparkSession, key: str, value: str):
+    """Set a session setting for a block and restore it after. When it
+    already has the value nothing is touched, so nested blocks (and writes
+    running in threads inside an outer block) never reset it early."""
     old = spark.conf.get(key, None)
+    if old is not None and old.lower() == value.lower():
+        yield
+        return
     spark.conf.set(key, value)
     try:
         yield
@@ -23,6 +29,10 @@ def _conf(spark: SparkSession, key: str, value: str):
             spark.conf.set(key, old)
 
 
+_conf = session_conf
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def ensure_database(spark: SparkSession, db: str, location: str | None = None) -> None:
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{loc}")
@@ -49,7 +59,7 @@ def append_table(df: DataFrame, full_name: str) -> None:
 
 def overwrite_table(df: DataFrame, full_name: str) -> None:
     """Replace all rows (S7). The plan must not read the same table."""
-    with _conf(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "static"):
+    with _conf(df.sparkSession, OVERWRITE_MODE, "static"):
         df.write.insertInto(full_name, overwrite=True)
 
 
@@ -60,7 +70,7 @@ def overwrite_partitions(df: DataFrame, full_name: str) -> None:
     swapped in at job commit, so a lost executor's task is simply rerun
     against the old files, which are still in place until then.
     """
-    with _conf(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with _conf(df.sparkSession, OVERWRITE_MODE, "dynamic"):
         df.write.insertInto(full_name, overwrite=True)
 
 
