@@ -94,6 +94,9 @@ CHUNKS = [
     ("2020-01-01", "2021-01-01", [("2020-01-01", "2020-12-31")]),
     ("2020-01-01", "2020-01-01", []),
     ("2023-03-01", "2023-03-02", [("2023-03-01", "2023-03-02")]),
+    ("2019-03-01", "2024-05-05", [("2019-03-01", "2020-02-29"), ("2020-03-01", "2021-02-28"),
+                                  ("2021-03-01", "2022-02-28"), ("2022-03-01", "2023-02-28"),
+                                  ("2023-03-01", "2024-02-29"), ("2024-03-01", "2024-05-05")]),
 ]
 
 
