@@ -1,9 +1,9 @@
-"""Command line: run the pipeline or the incremental stream, e.g. with spark-submit.
+"""Command line: run the pipeline or the incremental stream.
 
-    spark-submit -m stationday run --root s3a://b/wh --weather s3a://b/land/weather \
-        --stations s3a://b/land/stations --kind lines --mode upsert
-    spark-submit -m stationday incremental --root s3a://b/wh --landing s3a://b/land/weather \
-        --checkpoint s3a://b/ckpt/obs --downstream
+    spark-submit --py-files stationday.zip stationday/__main__.py run --root s3a://b/wh \
+        --weather s3a://b/land/weather --stations s3a://b/land/stations --kind lines --mode upsert
+    spark-submit --py-files stationday.zip stationday/__main__.py incremental --root s3a://b/wh \
+        --landing s3a://b/land/weather --checkpoint s3a://b/ckpt/obs --downstream
 """
 
 from __future__ import annotations
