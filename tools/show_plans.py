@@ -61,7 +61,9 @@ def main():
     merged = obs_spec.with_partition(merge_frames(obs_spec.logical(target), obs_spec.logical(obs_spec.with_partition(src)),
                                                   list(obs_spec.keys), {"obs_value": "source", "attributes": "source"},
                                                   None, obs_spec.columns))
+    load_id = spark.table(t.name("observation_staging")).select("_load_id").first()[0]
     plans = {
+        "staging of one load (upsert input)": stages._staged(spark, t.name("observation_staging"), [load_id]),
         "dedupe (observations)": dedupe_latest(staged, obs_spec.keys, cfg.ingest_order, stages.OBSERVATION_TIEBREAK),
         "touched partitions": staged.select(obs_spec.partition_expr().alias("p")).groupBy("p").count(),
         "upsert (observations, one month)": merged,
