@@ -89,3 +89,20 @@ def test_array_files_stream(spark, tables, scratch):
     assert run.source_rows == 4
     got = {(r[1], r[2]): r[4] for r in _rows(spark, tables)}
     assert got[("TMAX", "S1")] == 55.0  # later position in the array wins
+
+
+def test_incremental_command_line(spark, scratch, capsys):
+    from stationday.__main__ import main
+    from stationday.config import PipelineConfig
+
+    cfg = PipelineConfig.fresh(spark, "test")
+    land = f"{scratch}/land"
+    _drop(f"{land}/old", "a.json", D1)
+    base = ["incremental", "--root", cfg.root, "--raw-db", cfg.raw_db, "--harmonized-db", cfg.harmonized_db,
+            "--analytics-db", cfg.analytics_db, "--landing", land, "--checkpoint", f"{scratch}/ckpt"]
+    assert main(base + ["--skip-existing"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["source_rows"] == 0
+    _drop(f"{land}/new", "b.json", D2)
+    assert main(base + ["--downstream"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["source_rows"] == 2 and len(out["batches"]) == 1
