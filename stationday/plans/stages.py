@@ -1,8 +1,10 @@
 """Pipeline stages: load, stations, observations, daily temps, analytics.
 
 Each stage is one lazy plan ending in a single write. Where the reference
-materialises work tables, counts and shows between steps, here nothing runs
-until the write, except the cheap ``isEmpty`` gates.
+materialises work tables, counts and shows between steps, here the only
+other jobs are small ones: the upsert's narrow touched-partition aggregate
+(skipped when the stage already knows its partitions) and, in refresh mode,
+an ``isEmpty`` gate so that an empty staging table never wipes a table.
 """
 
 from __future__ import annotations
