@@ -42,3 +42,24 @@ def test_merge_frames_matches_model(spark, target, source, coalesce, insert_v):
     py_update = {2: (lambda s_, t_: s_ if s_ is not None else t_) if coalesce else (lambda s_, t_: s_)}
     want = model(target, source, py_update, {0, 1, 3} | ({2} if insert_v else set()))
     assert got == want
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.one_of(st.none(), st.integers(0, 3)),
+                               st.one_of(st.none(), st.integers(-3, 3)), st.sampled_from(["x", "y", None])),
+                     max_size=15))
+def test_dedupe_latest_matches_model(spark, rows):
+    from stationday.operators.dedupe import dedupe_latest
+
+    df = spark.createDataFrame(rows, "k string, seq int, v int, s string")
+    got = sorted((tuple(r) for r in dedupe_latest(df, ["k"], order=["seq"], tiebreak=["v", "s"]).collect()),
+                 key=repr)
+
+    def rank(r):  # NULL orders below any value, field by field
+        return tuple((x is not None, x if x is not None else 0) for x in (r[1], r[2], r[3]))
+
+    best = {}
+    for r in rows:
+        if r[0] not in best or rank(r) > rank(best[r[0]]):
+            best[r[0]] = r
+    assert got == sorted(best.values(), key=repr)
