@@ -33,14 +33,19 @@ def main() -> None:
 
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
         fn = QUERIES[name]
         runs = []
-        for i in range(reps + 1):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:  # the first run warms the JVM and caches of this plan shape
-                runs.append(time.perf_counter() - t0)
+        try:
+            for i in range(reps + 1):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:  # the first run warms the JVM and caches of this plan shape
+                    runs.append(time.perf_counter() - t0)
+        except Exception as e:  # noqa: BLE001 - report the failure, time the others
+            errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
+            continue
         times[name] = round(statistics.median(runs), 3)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
@@ -51,6 +56,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "reps": reps,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
