@@ -44,6 +44,9 @@ def main(argv=None) -> int:
     i.add_argument("--downstream", action="store_true")
     i.add_argument("--max-files-per-trigger", type=int, default=None)
     i.add_argument("--skip-existing", action="store_true", help="mark files already landed as consumed")
+    i.add_argument("--clean-source", default="off", choices=["off", "archive", "delete"])
+    i.add_argument("--archive-dir", default=None)
+    i.add_argument("--max-file-age", default=None, help="e.g. 7d: the source forgets older files")
     a = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -63,7 +66,9 @@ def main(argv=None) -> int:
         if a.skip_existing:
             skip_existing_files(spark, a.landing, a.checkpoint, a.kind)
         run = incremental_upsert(spark, cfg, a.landing, a.checkpoint, kind=a.kind, parse_mode=a.parse_mode,
-                                 downstream=a.downstream, max_files_per_trigger=a.max_files_per_trigger)
+                                 downstream=a.downstream, max_files_per_trigger=a.max_files_per_trigger,
+                                 clean_source=a.clean_source, archive_dir=a.archive_dir,
+                                 max_file_age=a.max_file_age)
         print(json.dumps({"batches": run.batches, "source_rows": run.source_rows,
                           "dropped_null_keys": run.dropped_null_keys}))
     return 0

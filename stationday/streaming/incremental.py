@@ -95,7 +95,8 @@ def skip_existing_files(spark: SparkSession, landing: str, checkpoint: str, kind
 
 def incremental_upsert(spark: SparkSession, cfg: PipelineConfig, landing: str, checkpoint: str,
                        kind: str = "lines", parse_mode: str = "strict", downstream: bool = False,
-                       max_files_per_trigger: int | None = None) -> IncrementalRun:
+                       max_files_per_trigger: int | None = None, clean_source: str = "off",
+                       archive_dir: str | None = None, max_file_age: str | None = None) -> IncrementalRun:
     """Upsert every newly arrived file of ``landing`` into observations.
 
     With ``downstream`` the daily temps and analytics of the dates a batch
@@ -117,5 +118,7 @@ def incremental_upsert(spark: SparkSession, cfg: PipelineConfig, landing: str, c
             run.results.append(pivot_stage(spark, cfg, r.touched))
             run.results.append(analytics_stage(spark, cfg, r.touched))
 
-    _run(spark, observation_stream(spark, landing, "weather_json", kind, max_files_per_trigger), checkpoint, on_batch)
+    stream = observation_stream(spark, landing, "weather_json", kind, max_files_per_trigger,
+                                clean_source, archive_dir, max_file_age)
+    _run(spark, stream, checkpoint, on_batch)
     return run
