@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# JSON key -> column name and type. Key names are the source's own.
+# The JSON keys of the source records (which must match its
+# data), each with the column it becomes and that column's type.
 OBSERVATION_FIELDS = (
     ("date", "observation_date", "timestamp_ntz"),
     ("datatype", "datatype", "string"),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed values of the source's request planning.
 DEFAULT_START = "2020-01-01"  # default first day of the date window
 PAGE_SIZE = 1000              # records per page of the remote service
 

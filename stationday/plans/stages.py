@@ -38,7 +38,8 @@ from stationday.sources.tables import (
     table_exists,
 )
 
-# Columns a matched row takes from the source; the others keep the target's value.
+# The columns a matched row takes from the source in each upsert
+# (the others keep the target's value), as the source pipeline's merges set them.
 STATION_UPDATES = ("name", "latitude", "longitude", "elevation", "min_date", "max_date")
 OBSERVATION_UPDATES = ("obs_value", "attributes")
 ANALYTICS_UPDATES = ("avg_tmax", "avg_tmin", "avg_tavg", "avg_daily_temp_change")
