@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,10 @@ def session_conf(spark: SparkSession, key: str, value: str):
 
 _conf = session_conf
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+# The overwrite mode is a session setting read when a write is planned:
+# writes that depend on it hold this lock, so concurrent callers in one
+# process (threads sharing a session) never see each other's mode.
+_WRITE_LOCK = threading.RLock()
 
 
 def ensure_database(spark: SparkSession, db: str, location: str | None = None) -> None:
@@ -59,7 +64,7 @@ def append_table(df: DataFrame, full_name: str) -> None:
 
 def overwrite_table(df: DataFrame, full_name: str) -> None:
     """Replace all rows (S7). The plan must not read the same table."""
-    with _conf(df.sparkSession, OVERWRITE_MODE, "static"):
+    with _WRITE_LOCK, _conf(df.sparkSession, OVERWRITE_MODE, "static"):
         df.write.insertInto(full_name, overwrite=True)
 
 
@@ -70,7 +75,7 @@ def overwrite_partitions(df: DataFrame, full_name: str) -> None:
     swapped in at job commit, so a lost executor's task is simply rerun
     against the old files, which are still in place until then.
     """
-    with _conf(df.sparkSession, OVERWRITE_MODE, "dynamic"):
+    with _WRITE_LOCK, _conf(df.sparkSession, OVERWRITE_MODE, "dynamic"):
         df.write.insertInto(full_name, overwrite=True)
 
 
