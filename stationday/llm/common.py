@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,7 +16,17 @@ from stationday.llm.words import row_slices
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers on this host import the package, wherever the driver
+    was started; on other hosts it comes with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
