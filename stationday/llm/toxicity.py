@@ -20,8 +20,8 @@ scores; a logistic calibration on labelled rows makes it a probability.
 Insults are learned: among the words of a bounded sample of labelled texts
 (``SAMPLE_DOCS`` of each label, texts over ``SAMPLE_BYTES`` left out) those that
 cover toxic texts and nearly no other ones, chosen greedily so that words which
-only come along with a chosen one are not taken. A few seeds stand for what the
-sample may lack. Scoring is one pass over all whole texts without a shuffle.
+only come along with a chosen one are not taken. A stem with any ending is learned
+like a word (``lostr*``). A few seeds stand for what the sample may lack. Scoring is one pass over all whole texts without a shuffle.
 
 NULL and empty texts have evidence 0. Without labels the seeds and a fixed
 calibration are used. Rows are judged one by one; an empty table gives an empty
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -44,9 +45,11 @@ from pyspark.sql import functions as F
 from stationday.llm.common import crc_mod, table
 from stationday.llm.quality import labelled_sample, platt
 
-SAMPLE_DOCS = 3000
+SAMPLE_DOCS = 1500
 SAMPLE_BYTES = 16_000
 MOST_INSULTS = 500
+SHORTEST, LONGEST = 4, 8  # letters of a stem
+COST = 20.0
 THRESHOLD = 0.3
 
 CLASSES = {
@@ -65,7 +68,7 @@ SEEDS = {"idiot": 3.0, "moron": 3.0, "stupid": 2.5, "scum": 3.0, "loser": 2.5, "
 
 #: Added for a target or an intensifier beside an insult, weight of a whole
 #: threat, and what negation and report leave of a match.
-NEAR, STRONG, THREAT, NEGATED, REPORTED = 1.0, 0.5, 4.0, 0.35, 0.6
+NEAR, STRONG, THREAT, NEGATED, REPORTED = 1.0, 0.5, 4.0, 0.5, 0.7
 
 _TOKEN = re.compile(r"[^\W\d_]+|[\"“”«»]")
 _CUT = re.compile(r"[.!?;:\n|]+")
@@ -210,32 +213,40 @@ class Reader:
 
     def __init__(self, model: Model):
         self.cls = {w: c for c, ws in CLASSES.items() for w in ws.split()}
-        self.cls |= {q: "quote" for q in '"“”«»'} | {w: "insult" for w in model.insults}
-        self.weight = model.insults
+        self.cls |= {q: "quote" for q in '"“”«»'}
+        self.weight = {w: x for w, x in model.insults.items() if w[-1] != "*"}
+        self.stems = {w[:-1]: x for w, x in model.insults.items() if w[-1] == "*"}
+        self.lengths = sorted({len(w) for w in self.stems}, reverse=True)
         self.machines = grammar()
         self.triggers = ahocorasick.Automaton()
-        for w in {*model.insults, *CLASSES["threat"].split()}:
-            self.triggers.add_word(w, len(w))
+        whole = {*self.weight, *CLASSES["threat"].split()}
+        for w in {*whole, *self.stems}:
+            self.triggers.add_word(w, (len(w), w not in self.stems))
         self.triggers.make_automaton()
 
+    def insult(self, word: str) -> float:
+        """What a word weighs: as itself or by its longest stem."""
+        if (x := self.weight.get(word)) is not None:
+            return x
+        return next((x for n in self.lengths if (x := self.stems.get(word[:n])) is not None and len(word) >= n), 0.0)
+
     def clause(self, words: list[str]) -> float:
-        classes = [self.cls.get(w, "*") for w in words]
+        weights = [self.insult(w) for w in words]
+        classes = ["insult" if x else self.cls.get(w, "*") for w, x in zip(words, weights)]
         if "insult" not in classes and "threat" not in classes:
             return 0.0
-        weights = [self.weight.get(w, 0.0) if c == "insult" else 0.0 for w, c in zip(words, classes)]
         return max(best_path(m, classes, weights) for m in self.machines)
 
     def matches(self, text: str | None) -> list[tuple[int, int, float]]:
-        """(start, end, score) of the clauses that score above 0."""
-        if not text:
+        """(start, end, score) of the clauses that score above 0; places are
+        those of the lower-cased text."""
+        if not text or not len(self.triggers):
             return []
         low = text.lower()
-        if len(low) != len(text):  # a letter that lower-cases to two: match places in the folded text
-            text = low
         found, done = [], 0
-        for last, n in self.triggers.iter(low):
+        for last, (n, whole) in self.triggers.iter(low):
             first = last - n + 1
-            if first < done or (first and low[first - 1].isalpha()) or (last + 1 < len(low) and low[last + 1].isalpha()):
+            if first < done or (first and low[first - 1].isalpha()) or (whole and last + 1 < len(low) and low[last + 1].isalpha()):
                 continue
             start = done
             for cut in _CUT.finditer(low, done, first):
@@ -251,43 +262,58 @@ class Reader:
         return np.array([sum(s for _, _, s in self.matches(t)) for t in texts])
 
 
+def forms(text: str) -> set[str]:
+    """The words of a text and their stems, written with a ``*``."""
+    out = set(_TOKEN.findall(text.lower()))
+    out |= {w[:n] + "*" for w in out for n in range(SHORTEST, min(LONGEST, len(w)) + 1)}
+    return out
+
+
 def learn_insults(rows: list[tuple[int, str]]) -> dict[str, float]:
-    """Words that cover toxic texts and next to no other ones, greedily."""
-    toxic = [set(_TOKEN.findall(t.lower())) for y, t in rows if y == 1]
-    clean: dict[str, int] = {}
-    n_clean = 0
-    for y, t in rows:
-        if y == 0:
-            n_clean += 1
-            for w in set(_TOKEN.findall(t.lower())):
-                clean[w] = clean.get(w, 0) + 1
-    least = max(3, len(toxic) // 200)
-    found: dict[str, float] = {}
+    """Words and stems that cover toxic texts and next to no other ones: greedily
+    the form in most of the toxic texts not yet covered, less ``COST`` times what
+    is expected of it by its share of clean texts."""
+    of = {y: [t for l, t in rows if l == y] for y in (0, 1)}
+    least = max(3, len(of[1]) // 500)
+    hits: Counter = Counter()
+    for t in of[1]:
+        hits.update(forms(t))
+    useful = {w for w, c in hits.items() if c >= least and len(w) > 2}
+    del hits
+    toxic = [forms(t) & useful for t in of[1]]
+    clean: Counter = Counter()
+    for t in of[0]:
+        clean.update(forms(t) & useful)
+    n_clean = len(of[0])
+    chosen: dict[str, float] = {}
+    hits = Counter(w for s in toxic for w in s)
+    total = dict(hits)
     open_ = toxic
-    while open_ and len(found) < MOST_INSULTS:
-        hits: dict[str, int] = {}
-        for words in open_:
-            for w in words:
-                hits[w] = hits.get(w, 0) + 1
-        # most of the texts not yet covered, and far more often there than in clean ones
-        good = [(c, w) for w, c in hits.items() if c >= least and len(w) > 2 and clean.get(w, 0) / max(n_clean, 1) < 0.05 * c / len(open_)]
-        if not good:
+    while open_ and len(chosen) < MOST_INSULTS:
+        share = COST * len(open_) / max(n_clean, 1)
+        # of equal ones the longest form, and a word rather than its stem
+        best, gain = None, (least - 0.5, 0, "")
+        for w, c in hits.items():
+            if c >= least and (g := (c - share * clean.get(w, 0), len(w) - 1.5 * (w[-1] == "*"), w)) > gain:
+                best, gain = w, g
+        if best is None:
             break
-        best = max(c for c, _ in good)
-        for c, w in sorted(good):
-            if c >= 0.5 * best:
-                found[w] = min(6.0, max(1.0, math.log((sum(w in s for s in toxic) + 0.5) / (len(toxic) + 1)) - math.log((clean.get(w, 0) + 0.5) / (n_clean + 1))))
-        open_ = [s for s in open_ if s.isdisjoint(found)]
-    return found
+        odds = math.log((total[best] + 0.5) / (len(toxic) + 1)) - math.log((clean.get(best, 0) + 0.5) / (n_clean + 1))
+        chosen[best] = min(6.0, max(1.0, odds))
+        for s in open_:
+            if best in s:
+                hits.subtract(s)
+        open_ = [s for s in open_ if best not in s]
+    return chosen
 
 
 def fit(rows: list[tuple[int, str]], share: float | None) -> Model:
-    """share: of all labels, how many are 1 (the sample is balanced)."""
-    half = rows[::2]
-    model = Model({**SEEDS, **learn_insults(half)})
-    y = np.array([l for l, _ in rows[1::2]])
+    """Insults and the calibration, which has two numbers, from all rows.
+    share: of all labels, how many are 1 (the sample is balanced)."""
+    model = Model({**SEEDS, **learn_insults(rows)})
+    y = np.array([l for l, _ in rows])
     if len(y) and 0 < y.sum() < len(y):
-        model.slope, model.intercept = platt(np.log1p(model.reader().evidence([t for _, t in rows[1::2]])), y)
+        model.slope, model.intercept = platt(np.log1p(model.reader().evidence([t for _, t in rows])), y)
         if share and 0 < share < 1:
             model.intercept += math.log(share / (1 - share)) - math.log(y.sum() / (len(y) - y.sum()))
     return model
