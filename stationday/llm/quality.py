@@ -51,7 +51,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
         return []
     share = F.when(F.col("y") == 1, min(1.0, per_label / max(n.get(1, 0), 1))).otherwise(min(1.0, per_label / max(n.get(0, 0), 1)))
     y = y.filter(unit_hash(F.lit(seed), F.col("doc_id")) < share)
-    rows = texts.join(y, "doc_id").select("y", "text", unit_hash(F.lit(seed), F.lit(1), F.col("doc_id")).alias("u")).collect()
+    # the sample's ids are as many as it has rows: bounded, so the texts need not move
+    rows = texts.join(F.broadcast(y), "doc_id").select("y", "text", unit_hash(F.lit(seed), F.lit(1), F.col("doc_id")).alias("u")).collect()
     return [(r["y"], r["text"]) for r in sorted(rows, key=lambda r: (r["u"], r["text"]))]
 
 
