@@ -48,9 +48,9 @@ from stationday.llm.common import crc_mod, on_workers, saved, table
 K = 5
 MOST_HOT = 65_000  # fits two bytes beside the marks
 HOT_SHARE = 2.0**-16
-BLOCK_TOKENS = 4_000_000
-BUCKET_TOKENS = 2_500_000
-CHUNK_BYTES = 4 << 20
+BLOCK_TOKENS = 1_000_000
+BUCKET_TOKENS = 1_000_000
+CHUNK_BYTES = 2 << 20
 CHUNK_ROWS = 60_000
 
 START, END = np.uint64(1), np.uint64(2)

@@ -19,15 +19,21 @@ paired. Both sides of the join meet under keys:
 The boundary ``x`` minimises the cost: subsets to enumerate against list
 entries times the mean list length an entry meets.
 
-A pair is looked at once, under its smallest common key. Long lists are cut
-into blocks and each pair of blocks is a group of its own, so no group grows
-with a list. Groups do not emit pairs: each gives, for every class, the number
-of documents it links with and a local root; the roots are merged by
+A pair is looked at once, under its smallest common key. It stays a candidate
+if its sizes allow a link and so do its bitmaps: a set's bitmap has a bit
+toggled by each shingle, so two bitmaps differ in at most as many bits as the
+sets differ in shingles, and no link is lost. Candidates go on as one packed row
+per class, and their connected components gather the sets to compare: a set
+travels once, not once for every list. Each component gives, for every class,
+the number of documents it links with and a root; the roots are merged by
 large-star/small-star rounds on tables in the shared folder.
 
+Long lists and large components are cut into blocks, and each pair of blocks is
+a group of its own, so no group grows with a list or with a group of copies.
+
 What the driver gets is of fixed size: two bitmaps of ``BITS`` bits (shingles
-with long lists, keys that more than one row has), which only save work and
-never decide a link, a histogram of small set sizes and single numbers.
+that more than one class has among its first ones, keys that more than one class
+has), which only save work and never decide a link, a histogram of small set sizes and single numbers.
 
 Rows that share a doc_id are separate documents of the same name. NULL ids
 order first and take part; NULL and empty texts are their own component with no
@@ -51,10 +57,10 @@ from stationday.llm.common import map_texts, on_workers, saved, table
 
 K, PERCENT = 3, 90
 BITS = 24  # log2 of the bits of a bitmap
-LONG_LIST = 50  # a shingle met by more rows than this goes last in the order
 MOST_LIGHT = 40  # sets above are never light, so that subsets stay few
 BLOCK_COST = 1_000_000  # shingles (2,000 at least for each set) in a block
 MIN_COST = 2_000
+TOGGLED = 1024  # bits of a set's bitmap
 
 _SUBSET = np.uint64(0x5851F42D4C957F2D)
 
@@ -83,6 +89,15 @@ def _sums(h: np.ndarray, ptr: np.ndarray, seed: int) -> np.ndarray:
     return W.mix(total[ptr[1:]] - total[ptr[:-1]])
 
 
+def _toggled(h: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """The bitmap of each set, one row of 64-bit words each: every shingle
+    toggles one bit, so the distance of two bitmaps bounds that of the sets."""
+    bits = np.zeros((len(ptr) - 1, TOGGLED), np.uint8)
+    doc = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
+    np.bitwise_xor.at(bits, (doc, (h & np.uint64(TOGGLED - 1)).astype(np.int64)), 1)
+    return np.packbits(bits, axis=1).view(np.uint64)
+
+
 def _first(h: np.ndarray, ptr: np.ndarray, percent: int, last: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """The first shingles of each set in the global order: the hash itself,
     after all shingles that ``last`` flags. Returns them and their offsets."""
@@ -163,71 +178,75 @@ def _keys(h: np.ndarray, ptr: np.ndarray, percent: int, light: int, last: np.nda
 
 
 def class_keys(docs: DataFrame, k: int, percent: int, seed: int, light: int, long_lists: np.ndarray) -> DataFrame:
-    """(cid, n, keys), one row per document with a set."""
+    """(cid, n, keys, bits), one row per document with a set."""
     shared = docs.sparkSession.sparkContext.broadcast(long_lists)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         h, ptr = _sets(batch.column(0), k)
         keys, at = _keys(h, ptr, percent, light, _flagged(shared.value, h))
-        out = pa.RecordBatch.from_arrays([pa.array(_sums(h, ptr, seed).view(np.int64)), pa.array(np.diff(ptr), pa.int64()), _lists(keys.view(np.int64), at, pa.int64())], names=["cid", "n", "keys"])
+        out = pa.RecordBatch.from_arrays([pa.array(_sums(h, ptr, seed).view(np.int64)), pa.array(np.diff(ptr), pa.int64()), _lists(keys.view(np.int64), at, pa.int64()), pa.array([x.tobytes() for x in _toggled(h, ptr)], pa.binary())], names=["cid", "n", "keys", "bits"])
         return out.filter(pa.array(np.diff(ptr) > 0))
 
-    return map_texts(docs.select("text"), run, "cid bigint, n bigint, keys array<bigint>")
+    return map_texts(docs.select("text"), run, "cid bigint, n bigint, keys array<bigint>, bits binary")
 
 
 def shared_entries(keyed: DataFrame) -> DataFrame:
-    """(key, cid, n): classes under every key that more than one class has."""
+    """(key, cid, n, keys, bits, blocks): classes under the keys that more than
+    one class has, with all their such keys; blocks is what the key's list is
+    cut into."""
     spark = keyed.sparkSession
-    counts = keyed.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    counts = keyed.select("cid", F.explode("keys").alias("key")).groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("b")).filter("a != b")
     bitmap = spark.sparkContext.broadcast(_bitmap(counts, F.shiftrightunsigned("key", 64 - BITS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for batch in batches:
             keys = batch.column(2)
-            flat = keys.flatten()
-            counts_ = np.diff(keys.offsets.to_numpy())
-            hit = _flagged(bitmap.value, flat.to_numpy().view(np.uint64))
-            cid, n = (np.repeat(batch.column(i).to_numpy(), counts_)[hit] for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([flat.filter(pa.array(hit)), pa.array(cid), pa.array(n)], names=["key", "cid", "n"])
-
-    entries = keyed.mapInArrow(run, "key bigint, cid bigint, n bigint").groupBy("key", "cid").agg(F.max("n").alias("n"))
-    entries = saved(entries, "join-entries")
-    lists = entries.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum(F.greatest("n", F.lit(MIN_COST))).alias("cost")).filter("c > 1")
-    return entries.join(lists.select("key", F.ceil(F.col("cost") / BLOCK_COST).cast("int").alias("blocks")), "key")
-
-
-def in_blocks(entries: DataFrame) -> DataFrame:
-    """Every entry in each group (key, i, j) of two blocks that it belongs to."""
+            flat = keys.flatten().to_numpy()
+            offs = keys.offsets.to_numpy()
+            offs = offs - offs[0]
+            hit = _flagged(bitmap.value, flat.view(np.uint64))
+            many = np.zeros(len(hit) + 1, np.int64)
+            np.cumsum(hit, out=many[1:])
+            at = many[offs]
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(flat[hit], at, pa.int64()), batch.column(3)], names=["cid", "n", "keys", "bits"])
+            # a class leaves a task once, however many copies it has there
+            cids = batch.column(0).to_pylist()
+            yield out.filter(pa.array([bool(m) and c not in sent and not sent.add(c) for c, m in zip(cids, np.diff(at) > 0)]))
+
+    classes = saved(keyed.mapInArrow(run, keyed.schema).dropDuplicates(["cid"]).withColumn("keys", F.sort_array("keys")), "join-entries")
+    entries = classes.select(F.explode("keys").alias("key"), "cid", "n", "keys", "bits")
+    lists = entries.groupBy("key").agg(F.sum(F.greatest("n", F.lit(MIN_COST))).alias("cost"))
+    lists = lists.select("key", F.ceil(F.col("cost") / BLOCK_COST).cast("int").alias("blocks")).filter("blocks > 1")
+    return entries.join(lists, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+
+
+def in_blocks(rows: DataFrame, group: str, *more: str) -> DataFrame:
+    """Every row in each group (group, i, j) of two blocks that it belongs to."""
     own = F.pmod(F.xxhash64("cid"), F.col("blocks").cast("long")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    out = entries.withColumn("b", own).withColumn("o", other)
-    return out.select("key", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "cid", "n", "keys")
+    out = rows.withColumn("b", own).withColumn("o", other)
+    return out.select(F.col(group).alias("key"), F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "cid", "n", *more)
 
 
-def _pairs(key: int, cross: bool, block: np.ndarray, n: np.ndarray, keys: list[np.ndarray], percent: int) -> list[np.ndarray]:
-    """For each member of a group, the later members it may link with: sizes
-    that allow a link, the group's two blocks, and ``key`` the smallest common
-    key."""
+def _pairs(key: int, cross: bool, block: np.ndarray, n: np.ndarray, keys: list[np.ndarray], bits: np.ndarray, percent: int) -> list[np.ndarray]:
+    """For each member of a list, smallest sets first, the later members it may
+    link with: their sizes, bitmaps and the group's two blocks allow it, and
+    ``key`` is the smallest common key."""
     m = len(n)
-    smaller = [x[: np.searchsorted(x, key)] for x in keys]
-    flat = np.concatenate(smaller)
-    owner = np.repeat(np.arange(m), [len(x) for x in smaller])
-    values, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    common = counts[inverse] > 1
-    owner, inverse = owner[common], inverse[common]
-    by = np.argsort(inverse, kind="stable")
-    owners, starts = owner[by], np.searchsorted(inverse[by], np.arange(len(values) + 1))
-    at = np.searchsorted(owner, np.arange(m + 1))
+    smaller = [set(x[: np.searchsorted(x, key)].tolist()) for x in keys]
     out = []
     for a in range(m):
-        ok = np.zeros(m, bool)
-        ok[a + 1 :] = 100 * np.minimum(n[a], n[a + 1 :]) >= percent * np.maximum(n[a], n[a + 1 :])
+        last = np.searchsorted(n, 100 * n[a] // percent, side="right")
+        later = np.arange(a + 1, max(last, a + 1))
         if cross:
-            ok &= block != block[a]
-        if ok.any():
-            for v in inverse[at[a] : at[a + 1]]:
-                ok[owners[starts[v] : starts[v + 1]]] = False
-        out.append(np.flatnonzero(ok))
+            later = later[block[later] != block[a]]
+        if len(later):
+            both = n[a] + n[later]
+            # J >= t needs an overlap of t / (1 + t) of both sizes
+            most = both - 2 * (-(-percent * both // (100 + percent)))
+            later = later[np.bitwise_count(bits[later] ^ bits[a]).sum(axis=1) <= most]
+        out.append(np.array([x for x in later.tolist() if smaller[a].isdisjoint(smaller[x])], np.int64))
     return out
 
 
@@ -253,39 +272,54 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list
         yield held, [(0, held.num_rows)]
 
 
-def _candidates(t: pa.Table, ranges: list[tuple[int, int]], percent: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """For each group its rows, smallest sets first, and what ``_pairs`` says."""
-    key, i, j, b, cid, n = (t.column(c).to_numpy() for c in ("key", "i", "j", "b", "cid", "n"))
-    lists = t.column("keys").combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    flat, offs = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-    offs = offs - offs[0]
-    for lo, hi in ranges:
-        rows = lo + np.lexsort((cid[lo:hi], n[lo:hi]))
-        if hi - lo == 1:
-            continue
-        keys = [flat[offs[r] : offs[r + 1]] for r in rows]
-        yield rows, _pairs(key[lo], i[lo] != j[lo], b[rows], n[rows], keys, percent)
-
-
 def _by_group(groups: DataFrame) -> DataFrame:
     return groups.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
-def members(groups: DataFrame, percent: int) -> DataFrame:
-    """Entries of a group that have a pair to look at there."""
+def candidates(groups: DataFrame, percent: int) -> DataFrame:
+    """(cid, partners, root): for each class of a list that may link with others
+    there, those that come after it, packed, and the first class of the list's
+    component it is in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, ranges in _grouped(batches):
-            use = np.zeros(t.num_rows, bool)
-            for rows, pairs in _candidates(t, ranges, percent):
+            key, i, j, b, cid, n = (t.column(c).to_numpy() for c in ("key", "i", "j", "b", "cid", "n"))
+            lists, bits = t.column("keys").chunk(0), np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, TOGGLED // 64)
+            flat, offs = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+            offs = offs - offs[0]
+            out: list[tuple[int, bytes, int]] = []
+            for lo, hi in ranges:
+                if hi - lo == 1:
+                    continue
+                rows = lo + np.lexsort((cid[lo:hi], n[lo:hi]))
+                pairs = _pairs(key[lo], i[lo] != j[lo], b[rows], n[rows], [flat[offs[r] : offs[r + 1]] for r in rows], bits[rows], percent)
+                root = _roots(len(rows), pairs)
+                own = cid[rows]
                 for a, partners in enumerate(pairs):
-                    if len(partners):
-                        use[rows[a]] = True
-                        use[rows[partners]] = True
-            yield from t.filter(pa.array(use)).to_batches()
+                    if len(partners) or root[a] != a:
+                        out.append((int(own[a]), own[partners].tobytes(), int(own[root[a]])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*out), (pa.int64(), pa.binary(), pa.int64()))], names=["cid", "partners", "root"])
+
+    return _by_group(groups).mapInArrow(run, "cid bigint, partners binary, root bigint")
+
+
+def _roots(m: int, pairs: list[np.ndarray]) -> np.ndarray:
+    """The first member of each member's component."""
+    root = list(range(m))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
 
-    return _by_group(groups).mapInArrow(run, groups.schema)
+    for a, partners in enumerate(pairs):
+        for p in partners.tolist():
+            x, y = find(a), find(p)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+    return np.array([find(x) for x in range(m)], dtype=np.int64)
 
 
 def needed_sets(docs: DataFrame, wanted: DataFrame, k: int, seed: int) -> DataFrame:
@@ -309,20 +343,28 @@ def needed_sets(docs: DataFrame, wanted: DataFrame, k: int, seed: int) -> DataFr
 
 
 def verified(groups: DataFrame, percent: int) -> DataFrame:
-    """(cid, links, root): for each class of a group that links there, the
-    documents of the classes it links with, and the smallest class of its local
-    component."""
+    """(cid, links, root): for each class of a component that links in it, the
+    documents of the classes it links with, and the first class it is linked to
+    there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, ranges in _grouped(batches):
-            cids, ns, copies_ = (t.column(c).to_numpy() for c in ("cid", "n", "copies"))
-            shingles = t.column("shingles")
+            i, j, b, cid, n, copies = (t.column(c).to_numpy() for c in ("i", "j", "b", "cid", "n", "copies"))
             found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for rows, pairs in _candidates(t, ranges, percent):
-                sets = [np.frombuffer(shingles[int(r)].as_py(), np.uint64) for r in rows]
-                links, root = _linked(sets, ns[rows], copies_[rows], pairs, percent)
-                at = np.flatnonzero(links > 0)
-                found.append((cids[rows[at]], links[at], cids[rows[root[at]]]))
+            for lo, hi in ranges:
+                part = t.slice(lo, hi - lo)
+                at = {int(c): x for x, c in enumerate(cid[lo:hi])}
+                cross = i[lo] != j[lo]
+                block = b[lo:hi]
+                pairs = []
+                for a, raw in enumerate(part.column("partners").to_pylist()):
+                    # lists name a pair more than once only if their keys do: it is compared once
+                    own = {at[p] for x in raw or () for p in np.frombuffer(x, np.int64).tolist() if p in at}
+                    pairs.append(np.array(sorted(p for p in own if (block[p] != block[a]) == cross), np.int64))
+                sets = [np.frombuffer(x, np.uint64) for x in part.column("shingles").to_pylist()]
+                links, pairs = _linked(sets, n[lo:hi], copies[lo:hi], pairs, percent)
+                root, use = _roots(hi - lo, pairs), np.flatnonzero(links > 0)
+                found.append((cid[lo:hi][use], links[use], cid[lo:hi][root[use]]))
             if found:
                 cols = [pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)]
                 yield pa.RecordBatch.from_arrays(cols, names=["cid", "links", "root"])
@@ -330,33 +372,22 @@ def verified(groups: DataFrame, percent: int) -> DataFrame:
     return _by_group(groups).mapInArrow(run, "cid bigint, links bigint, root bigint")
 
 
-def _linked(sets: list[np.ndarray], n: np.ndarray, copies: np.ndarray, pairs: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _linked(sets: list[np.ndarray], n: np.ndarray, copies: np.ndarray, pairs: list[np.ndarray], percent: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Exact overlaps of the candidate pairs: for each member the documents it
-    links with and the first member of its component."""
-    links, root = np.zeros(len(n), np.int64), list(range(len(n)))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
+    links with, and the pairs that link."""
+    links, out = np.zeros(len(n), np.int64), []
     for a, partners in enumerate(pairs):
-        if not len(partners):
-            continue
-        theirs = np.concatenate([sets[p] for p in partners])
-        at = np.minimum(np.searchsorted(sets[a], theirs), n[a] - 1)
-        ends = np.cumsum(n[partners])
-        hits = np.concatenate([[0], np.cumsum(sets[a][at] == theirs)])
-        common = hits[ends] - hits[ends - n[partners]]
-        yes = partners[100 * common >= percent * (n[a] + n[partners] - common)]
-        links[a] += copies[yes].sum()
-        links[yes] += copies[a]
-        for p in yes.tolist():
-            x, y = find(a), find(p)
-            if x != y:
-                root[max(x, y)] = min(x, y)
-    return links, np.array([find(x) for x in range(len(n))], dtype=np.int64)
+        if len(partners):
+            theirs = np.concatenate([sets[p] for p in partners])
+            at = np.minimum(np.searchsorted(sets[a], theirs), n[a] - 1)
+            ends = np.cumsum(n[partners])
+            hits = np.concatenate([[0], np.cumsum(sets[a][at] == theirs)])
+            common = hits[ends] - hits[ends - n[partners]]
+            partners = partners[100 * common >= percent * (n[a] + n[partners] - common)]
+            links[a] += copies[partners].sum()
+            links[partners] += copies[a]
+        out.append(partners)
+    return links, out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -395,19 +426,22 @@ def join_classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[D
         if classes.groupBy("cid").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty():
             break
         seed += 1  # two sets share a fingerprint: take another one
-    lists = saved(prints.select(F.explode("first").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "join-lists")
-    # ``s`` is a shingle's upper half, so its upper BITS bits are the shingle's.
-    long_lists = _bitmap(lists.filter(F.col("c") > LONG_LIST), F.shiftrightunsigned("s", 32 - BITS))
-    kept = lists.filter(F.col("c") <= LONG_LIST).agg(F.sum(F.col("c") * F.col("c")), F.sum("c")).first()
-    light = boundary({r["n"]: r["c"] for r in classes.filter(F.col("n") <= 2 * MOST_LIGHT).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}, percent, max(1.0, (kept[0] or 0) / max(kept[1] or 1, 1)))
-    keyed = saved(class_keys(docs, k, percent, seed, light, long_lists), "join-keys")
-    entries = shared_entries(keyed)
-    of_class = entries.groupBy("cid").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    groups = in_blocks(entries.join(of_class, "cid"))
-    use = saved(members(groups, percent), "join-members")
-    sets = needed_sets(docs, use, k, seed)
-    full = use.join(sets, "cid").join(classes.select("cid", "copies"), "cid")
-    found = saved(verified(full, percent), "join-links")
+    lists = prints.select("cid", F.explode("first").alias("s")).groupBy("s").agg(F.min("cid").alias("a"), F.max("cid").alias("b"), F.count(F.lit(1)).alias("c"))
+    lists = saved(lists.filter("a != b").select("s", "c"), "join-lists")
+    # ``s`` is a shingle's upper half, so its upper BITS bits are the shingle's
+    last = _bitmap(lists, F.shiftrightunsigned("s", 32 - BITS))
+    few = classes.filter(F.col("n") <= 2 * MOST_LIGHT).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()
+    mean = lists.agg((F.sum(F.col("c") * F.col("c")) / F.sum("c"))).first()[0] or 1.0
+    light = boundary({r["n"]: r["c"] for r in few}, percent, mean)
+    keyed = saved(class_keys(docs, k, percent, seed, light, last), "join-keys")
+    found = saved(candidates(in_blocks(shared_entries(keyed), "key", "keys", "bits"), percent), "join-candidates")
+    groups = saved(components(found.select(F.col("cid").alias("a"), F.col("root").alias("b"))).withColumnsRenamed({"node": "cid", "label": "cluster"}), "join-clusters")
+    sets = needed_sets(docs, groups, k, seed)
+    partners = found.filter(F.octet_length("partners") > 0).groupBy("cid").agg(F.collect_list("partners").alias("partners"))
+    rows = groups.join(classes.select("cid", "n", "copies"), "cid").join(partners, "cid", "left")
+    size = rows.groupBy("cluster").agg(F.ceil(F.sum(F.greatest("n", F.lit(MIN_COST))) / BLOCK_COST).cast("int").alias("blocks"))
+    rows = rows.join(size, "cluster").join(sets, "cid")
+    found = saved(verified(in_blocks(rows, "cluster", "copies", "partners", "shingles"), percent), "join-links")
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     out = classes.drop("f2").join(links, "cid", "left").join(roots.withColumnRenamed("node", "cid"), "cid", "left")

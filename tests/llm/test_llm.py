@@ -304,7 +304,6 @@ def test_ngram_join_any_boundary_and_blocks(odd, light, monkeypatch):
     rows, df = odd
     monkeypatch.setattr(ngram_join, "boundary", lambda *a: light)
     monkeypatch.setattr(ngram_join, "BLOCK_COST", 9000)
-    monkeypatch.setattr(ngram_join, "LONG_LIST", 3)
     got = [tuple(r) for r in ngram_join.near_duplicates(df, 3, 90).collect()]
     same(got, brute.near_duplicates([(i, t) for i, t, *_ in rows], 3, 90))
 
