@@ -10,14 +10,14 @@ paired. Both sides of the join meet under keys:
 
 * heavy sets (more than ``x`` shingles) scan inverted lists: a set is listed
   under its first ``s - ceil(t*s) + 1`` shingles in a global order, and any two
-  sets that link share one of them. The order puts shingles with long lists
-  last, so that lists stay short;
+  sets that link share one of them. The order puts shingles with a rare word
+  first, so that lists stay short;
 * light sets enumerate fixed-size subsets: all that leave out at most
   ``s - ceil(t*s)`` shingles. Two light sets that link share the subset that is
   their intersection. Light sets that may link with a heavy one are listed too.
 
-The boundary ``x`` minimises the cost: subsets to enumerate against list
-entries times the mean list length an entry meets.
+The boundary ``x`` minimises the cost over the sizes there are: subsets to
+enumerate against list entries, each of which costs ``SCAN_COST`` subsets.
 
 A pair is looked at once, under its smallest common key. It stays a candidate
 if its sizes allow a link and so do its bitmaps: a set's bitmap has a bit
@@ -31,9 +31,10 @@ large-star/small-star rounds on tables in the shared folder.
 Long lists and large components are cut into blocks, and each pair of blocks is
 a group of its own, so no group grows with a list or with a group of copies.
 
-What the driver gets is of fixed size: two bitmaps of ``BITS`` bits (shingles
-that more than one class has among its first ones, keys that more than one class
-has), which only save work and never decide a link, a histogram of small set sizes and single numbers.
+What the driver gets is of fixed size: word counts in ``2**WORD_BITS`` buckets and
+a bitmap of ``2**BITS`` bits of the keys that more than one class has, which only
+save work and never decide a link, a histogram of small set sizes and single
+numbers.
 
 Rows that share a doc_id are separate documents of the same name. NULL ids
 order first and take part; NULL and empty texts are their own component with no
@@ -57,10 +58,12 @@ from stationday.llm.common import map_texts, on_workers, saved, table
 
 K, PERCENT = 3, 90
 BITS = 24  # log2 of the bits of a bitmap
+WORD_BITS = 20  # log2 of the buckets of word counts
+SCAN_COST = 4.0
 MOST_LIGHT = 40  # sets above are never light, so that subsets stay few
 BLOCK_COST = 1_000_000  # shingles (2,000 at least for each set) in a block
 MIN_COST = 2_000
-TOGGLED = 1024  # bits of a set's bitmap
+TOGGLED = 512  # bits of a set's bitmap
 
 _SUBSET = np.uint64(0x5851F42D4C957F2D)
 
@@ -75,11 +78,43 @@ def subsets(size: int, percent: int) -> int:
     return sum(math.comb(size, d) for d in range(size - least_common(size, percent) + 1))
 
 
-def _sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of every text, sorted, and the offsets of the texts."""
-    h, doc, _ = W.shingles(W.words(texts), k)
-    h, doc = W.distinct_per_text(h, doc)
-    return h, np.searchsorted(doc, np.arange(len(texts) + 1))
+def _sets(texts: pa.Array, k: int, weight: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Distinct shingles of every text, sorted, and the offsets of the texts;
+    with the words' weights also that of the rarest word of each shingle."""
+    w = W.words(texts)
+    h, doc, pos = W.shingles(w, k)
+    place = None
+    if weight is not None:
+        of_word = weight[(w.hash >> np.uint64(64 - WORD_BITS)).astype(np.int64)]
+        place = of_word[pos]
+        last = w.ptr[1:][doc] - 1
+        for j in range(1, k):
+            place = np.minimum(place, of_word[np.minimum(pos + j, last)])
+    order = W.order_per_text(h, doc)
+    h, doc = h[order], doc[order]
+    keep = np.ones(len(h), bool)
+    keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    ptr = np.searchsorted(doc[keep], np.arange(len(texts) + 1))
+    return (h[keep], ptr) if place is None else (h[keep], ptr, place[order][keep])
+
+
+def word_weights(docs: DataFrame) -> np.ndarray:
+    """For each bucket of words a whole number that grows with the log of their
+    count in the corpus."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << WORD_BITS, np.int64)
+        for batch in batches:
+            for lo, hi in W.row_slices(batch.column(0)):
+                h = W.words(batch.column(0).slice(lo, hi - lo)).hash
+                total += np.bincount((h >> np.uint64(64 - WORD_BITS)).astype(np.int64), minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["b", "c"])
+
+    found = docs.select("text").mapInArrow(run, "b int, c bigint").groupBy("b").agg(F.sum("c").alias("c")).toArrow()
+    out = np.zeros(1 << WORD_BITS)
+    out[found.column("b").to_numpy()] = found.column("c").to_numpy()
+    return np.round(8 * np.log2(1 + out)).astype(np.int64)
 
 
 def _sums(h: np.ndarray, ptr: np.ndarray, seed: int) -> np.ndarray:
@@ -98,17 +133,17 @@ def _toggled(h: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1).view(np.uint64)
 
 
-def _first(h: np.ndarray, ptr: np.ndarray, percent: int, last: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """The first shingles of each set in the global order: the hash itself,
-    after all shingles that ``last`` flags. Returns them and their offsets."""
+def _first(h: np.ndarray, ptr: np.ndarray, percent: int, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of each set in the global order (``place``, then the
+    hash), and their offsets."""
     n = np.diff(ptr)
     take = np.where(n > 0, n - least_common(n, percent) + 1, 0)
     doc = np.repeat(np.arange(len(n)), n)
-    order = np.arange(len(h)) if last is None else np.lexsort((h, last, doc))
-    place = np.arange(len(h)) - ptr[:-1][doc]
+    order = np.lexsort((h, place, doc))
+    rank = np.arange(len(h)) - ptr[:-1][doc]
     out = np.zeros(len(n) + 1, np.int64)
     np.cumsum(take, out=out[1:])
-    return h[order][place < take[doc]], out
+    return h[order][rank < take[doc]], out
 
 
 def _bit(h: np.ndarray) -> np.ndarray:
@@ -135,23 +170,21 @@ def _lists(h: np.ndarray, ptr: np.ndarray, type_: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ptr, pa.int32()), pa.array(h, type_))
 
 
-def fingerprints(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
-    """(doc_id, n, cid, f2, first): set size, two fingerprints, and the upper
-    halves of the first shingles in hash order."""
+def fingerprints(docs: DataFrame, k: int, seed: int) -> DataFrame:
+    """(doc_id, n, cid, f2): set size and two fingerprints of every document."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         h, ptr = _sets(batch.column(1), k)
-        first, at = _first(h, ptr, percent, None)
-        cols = [batch.column(0), pa.array(np.diff(ptr), pa.int64()), pa.array(_sums(h, ptr, seed).view(np.int64)), pa.array(_sums(h, ptr, seed + 7919).view(np.int64)), _lists((first >> np.uint64(32)).astype(np.uint32).view(np.int32), at, pa.int32())]
-        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "cid", "f2", "first"])
+        cols = [batch.column(0), pa.array(np.diff(ptr), pa.int64()), *(pa.array(_sums(h, ptr, x).view(np.int64)) for x in (seed, seed + 7919))]
+        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "cid", "f2"])
 
-    return map_texts(docs.select("doc_id", "text"), run, f"doc_id {dict(docs.dtypes)['doc_id']}, n bigint, cid bigint, f2 bigint, first array<int>")
+    return map_texts(docs.select("doc_id", "text"), run, f"doc_id {dict(docs.dtypes)['doc_id']}, n bigint, cid bigint, f2 bigint")
 
 
-def _keys(h: np.ndarray, ptr: np.ndarray, percent: int, light: int, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _keys(h: np.ndarray, ptr: np.ndarray, percent: int, light: int, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All keys of every set, with offsets."""
     n = np.diff(ptr)
-    first, at = _first(h, ptr, percent, last)
+    first, at = _first(h, ptr, percent, place)
     listed = (n > light) | (n >= least_common(light + 1, percent))
     keep = np.repeat(listed, np.diff(at))
     counts = np.where(listed, np.diff(at), 0)
@@ -177,13 +210,13 @@ def _keys(h: np.ndarray, ptr: np.ndarray, percent: int, light: int, last: np.nda
     return np.concatenate(parts), np.concatenate([[0], np.cumsum(counts)])
 
 
-def class_keys(docs: DataFrame, k: int, percent: int, seed: int, light: int, long_lists: np.ndarray) -> DataFrame:
+def class_keys(docs: DataFrame, k: int, percent: int, seed: int, light: int, weight: np.ndarray) -> DataFrame:
     """(cid, n, keys, bits), one row per document with a set."""
-    shared = docs.sparkSession.sparkContext.broadcast(long_lists)
+    shared = docs.sparkSession.sparkContext.broadcast(weight)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        h, ptr = _sets(batch.column(0), k)
-        keys, at = _keys(h, ptr, percent, light, _flagged(shared.value, h))
+        h, ptr, place = _sets(batch.column(0), k, shared.value)
+        keys, at = _keys(h, ptr, percent, light, place)
         out = pa.RecordBatch.from_arrays([pa.array(_sums(h, ptr, seed).view(np.int64)), pa.array(np.diff(ptr), pa.int64()), _lists(keys.view(np.int64), at, pa.int64()), pa.array([x.tobytes() for x in _toggled(h, ptr)], pa.binary())], names=["cid", "n", "keys", "bits"])
         return out.filter(pa.array(np.diff(ptr) > 0))
 
@@ -191,9 +224,10 @@ def class_keys(docs: DataFrame, k: int, percent: int, seed: int, light: int, lon
 
 
 def shared_entries(keyed: DataFrame) -> DataFrame:
-    """(key, cid, n, keys, bits, blocks): classes under the keys that more than
-    one class has, with all their such keys; blocks is what the key's list is
-    cut into."""
+    """(key, at, cid, n, bits, marks, blocks): classes under the keys that more
+    than one class has; the key is the class's ``at``-th of those in order, marks
+    are the lower halves of all of them; blocks is what the key's list is cut
+    into (long lists only are looked up)."""
     spark = keyed.sparkSession
     counts = keyed.select("cid", F.explode("keys").alias("key")).groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("b")).filter("a != b")
     bitmap = spark.sparkContext.broadcast(_bitmap(counts, F.shiftrightunsigned("key", 64 - BITS)))
@@ -209,16 +243,19 @@ def shared_entries(keyed: DataFrame) -> DataFrame:
             many = np.zeros(len(hit) + 1, np.int64)
             np.cumsum(hit, out=many[1:])
             at = many[offs]
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(flat[hit], at, pa.int64()), batch.column(3)], names=["cid", "n", "keys", "bits"])
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(offs))[hit]
+            own = flat[hit][np.lexsort((flat[hit], doc))]
+            marks = [own[x:y].astype(np.uint32).tobytes() for x, y in zip(at[:-1], at[1:])]
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(own, at, pa.int64()), batch.column(3), pa.array(marks, pa.binary())], names=["cid", "n", "keys", "bits", "marks"])
             # a class leaves a task once, however many copies it has there
             cids = batch.column(0).to_pylist()
             yield out.filter(pa.array([bool(m) and c not in sent and not sent.add(c) for c, m in zip(cids, np.diff(at) > 0)]))
 
-    classes = saved(keyed.mapInArrow(run, keyed.schema).dropDuplicates(["cid"]).withColumn("keys", F.sort_array("keys")), "join-entries")
-    entries = classes.select(F.explode("keys").alias("key"), "cid", "n", "keys", "bits")
+    classes = saved(keyed.mapInArrow(run, "cid bigint, n bigint, keys array<bigint>, bits binary, marks binary").dropDuplicates(["cid"]), "join-entries")
+    entries = classes.select(F.posexplode("keys").alias("at", "key"), "cid", "n", "bits", "marks")
     lists = entries.groupBy("key").agg(F.sum(F.greatest("n", F.lit(MIN_COST))).alias("cost"))
     lists = lists.select("key", F.ceil(F.col("cost") / BLOCK_COST).cast("int").alias("blocks")).filter("blocks > 1")
-    return entries.join(lists, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    return entries.join(saved(lists, "join-long"), "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
 
 
 def in_blocks(rows: DataFrame, group: str, *more: str) -> DataFrame:
@@ -229,14 +266,14 @@ def in_blocks(rows: DataFrame, group: str, *more: str) -> DataFrame:
     return out.select(F.col(group).alias("key"), F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "cid", "n", *more)
 
 
-def _pairs(key: int, cross: bool, block: np.ndarray, n: np.ndarray, keys: list[np.ndarray], bits: np.ndarray, percent: int) -> list[np.ndarray]:
+def _pairs(cross: bool, block: np.ndarray, n: np.ndarray, smaller: list[set[int]], bits: np.ndarray, percent: int) -> list[np.ndarray]:
     """For each member of a list, smallest sets first, the later members it may
-    link with: their sizes, bitmaps and the group's two blocks allow it, and
-    ``key`` is the smallest common key."""
-    m = len(n)
-    smaller = [set(x[: np.searchsorted(x, key)].tolist()) for x in keys]
+    link with: their sizes, bitmaps and the group's two blocks allow it, and not
+    two smaller keys are common by their marks. (A pair meets under its smallest
+    common key and mostly under the next; one mark may agree by chance, two do as
+    rarely as two shingles share a hash.)"""
     out = []
-    for a in range(m):
+    for a in range(len(n)):
         last = np.searchsorted(n, 100 * n[a] // percent, side="right")
         later = np.arange(a + 1, max(last, a + 1))
         if cross:
@@ -246,7 +283,7 @@ def _pairs(key: int, cross: bool, block: np.ndarray, n: np.ndarray, keys: list[n
             # J >= t needs an overlap of t / (1 + t) of both sizes
             most = both - 2 * (-(-percent * both // (100 + percent)))
             later = later[np.bitwise_count(bits[later] ^ bits[a]).sum(axis=1) <= most]
-        out.append(np.array([x for x in later.tolist() if smaller[a].isdisjoint(smaller[x])], np.int64))
+        out.append(np.array([x for x in later.tolist() if len(smaller[a] & smaller[x]) < 2], np.int64))
     return out
 
 
@@ -283,16 +320,16 @@ def candidates(groups: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, ranges in _grouped(batches):
-            key, i, j, b, cid, n = (t.column(c).to_numpy() for c in ("key", "i", "j", "b", "cid", "n"))
-            lists, bits = t.column("keys").chunk(0), np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, TOGGLED // 64)
-            flat, offs = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-            offs = offs - offs[0]
+            i, j, b, cid, n, at = (t.column(c).to_numpy() for c in ("i", "j", "b", "cid", "n", "at"))
+            bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, TOGGLED // 64)
+            marks = t.column("marks").to_pylist()
             out: list[tuple[int, bytes, int]] = []
             for lo, hi in ranges:
                 if hi - lo == 1:
                     continue
                 rows = lo + np.lexsort((cid[lo:hi], n[lo:hi]))
-                pairs = _pairs(key[lo], i[lo] != j[lo], b[rows], n[rows], [flat[offs[r] : offs[r + 1]] for r in rows], bits[rows], percent)
+                smaller = [set(np.frombuffer(marks[r], np.uint32, at[r]).tolist()) for r in rows]
+                pairs = _pairs(i[lo] != j[lo], b[rows], n[rows], smaller, bits[rows], percent)
                 root = _roots(len(rows), pairs)
                 own = cid[rows]
                 for a, partners in enumerate(pairs):
@@ -358,7 +395,7 @@ def verified(groups: DataFrame, percent: int) -> DataFrame:
                 block = b[lo:hi]
                 pairs = []
                 for a, raw in enumerate(part.column("partners").to_pylist()):
-                    # lists name a pair more than once only if their keys do: it is compared once
+                    # a pair that met in two lists is compared once
                     own = {at[p] for x in raw or () for p in np.frombuffer(x, np.int64).tolist() if p in at}
                     pairs.append(np.array(sorted(p for p in own if (block[p] != block[a]) == cross), np.int64))
                 sets = [np.frombuffer(x, np.uint64) for x in part.column("shingles").to_pylist()]
@@ -420,21 +457,16 @@ def join_classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[D
     on_workers(spark)
     seed = 1
     while True:
-        prints = saved(fingerprints(docs, k, percent, seed), "join-prints")
+        prints = saved(fingerprints(docs, k, seed), "join-prints")
         ids = prints.filter("n > 0").select("doc_id", "n", "cid", "f2")
         classes = saved(ids.groupBy("cid", "f2").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("doc_id").isNotNull().alias("has"), F.col("doc_id").alias("id"))).alias("first_id")), "join-classes")
         if classes.groupBy("cid").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty():
             break
         seed += 1  # two sets share a fingerprint: take another one
-    lists = prints.select("cid", F.explode("first").alias("s")).groupBy("s").agg(F.min("cid").alias("a"), F.max("cid").alias("b"), F.count(F.lit(1)).alias("c"))
-    lists = saved(lists.filter("a != b").select("s", "c"), "join-lists")
-    # ``s`` is a shingle's upper half, so its upper BITS bits are the shingle's
-    last = _bitmap(lists, F.shiftrightunsigned("s", 32 - BITS))
     few = classes.filter(F.col("n") <= 2 * MOST_LIGHT).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()
-    mean = lists.agg((F.sum(F.col("c") * F.col("c")) / F.sum("c"))).first()[0] or 1.0
-    light = boundary({r["n"]: r["c"] for r in few}, percent, mean)
-    keyed = saved(class_keys(docs, k, percent, seed, light, last), "join-keys")
-    found = saved(candidates(in_blocks(shared_entries(keyed), "key", "keys", "bits"), percent), "join-candidates")
+    light = boundary({r["n"]: r["c"] for r in few}, percent)
+    keyed = saved(class_keys(docs, k, percent, seed, light, word_weights(docs)), "join-keys")
+    found = saved(candidates(in_blocks(shared_entries(keyed), "key", "at", "bits", "marks"), percent), "join-candidates")
     groups = saved(components(found.select(F.col("cid").alias("a"), F.col("root").alias("b"))).withColumnsRenamed({"node": "cid", "label": "cluster"}), "join-clusters")
     sets = needed_sets(docs, groups, k, seed)
     partners = found.filter(F.octet_length("partners") > 0).groupBy("cid").agg(F.collect_list("partners").alias("partners"))
@@ -449,12 +481,12 @@ def join_classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[D
     return prints.select("doc_id", "n", F.when(F.col("n") > 0, F.col("cid")).alias("cid")), out, seed
 
 
-def boundary(sizes: dict[int, int], percent: int, mean_list: float) -> int:
+def boundary(sizes: dict[int, int], percent: int) -> int:
     """The largest light size, by cost."""
 
     def cost(x: int) -> float:
         enumerate_ = sum(c * subsets(s, percent) for s, c in sizes.items() if s <= x)
-        listed = sum(c * (s - least_common(s, percent) + 1) * mean_list for s, c in sizes.items() if s > x or s >= least_common(x + 1, percent))
+        listed = sum(c * (s - least_common(s, percent) + 1) * SCAN_COST for s, c in sizes.items() if s > x or s >= least_common(x + 1, percent))
         return enumerate_ + listed
 
     return min(range(MOST_LIGHT + 1), key=lambda x: (cost(x), x))

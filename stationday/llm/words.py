@@ -172,13 +172,17 @@ def shingles(w: Words, k: int, short: bool = True) -> tuple[np.ndarray, np.ndarr
     return out, doc_of, pos
 
 
+def order_per_text(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """The order by (text, hash); doc must not fall."""
+    if len(doc) and doc[-1] < 1 << 16:  # a few texts: by hash, then by text number, which is a radix sort
+        order = np.argsort(h)
+        return order[np.argsort(doc.astype(np.uint16)[order], kind="stable")]
+    return np.lexsort((h, doc))
+
+
 def distinct_per_text(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text, hash) pairs, sorted by text and hash."""
-    if len(doc) and doc[-1] < 1 << 16:  # a few texts: sort by hash, then by text number, which is a radix sort
-        order = np.argsort(h)
-        order = order[np.argsort(doc.astype(np.uint16)[order], kind="stable")]
-    else:
-        order = np.lexsort((h, doc))
+    order = order_per_text(h, doc)
     h, doc = h[order], doc[order]
     keep = np.ones(len(h), bool)
     keep[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])

@@ -280,26 +280,26 @@ def test_mixing_keeps_expectations(spark):
     df = spark.createDataFrame([(i, t, s) for i, t, _, s in rows], "doc_id bigint, text string, source string").cache()
     check_mix(rows, as_query(mixing.mix_sources(df)).collect())
     copies = np.zeros(300)
-    for seed in range(12):
+    for seed in range(8):
         for r in mixing.mix_sources(df, seed=seed).collect():
-            copies[r["doc_id"]] += r["copies"] / 12
+            copies[r["doc_id"]] += r["copies"] / 8
     total = {s: sum(len(t.split()) for _, t, _, z in rows if z == s) for s in "ab"}
     target = water_fill(total)
     for k, s in enumerate("ab"):
-        assert abs(copies[k::2].mean() - target[s] / total[s]) < 0.05
+        assert abs(copies[k::2].mean() - target[s] / total[s]) < 0.06
 
 
 # --- 4: n-gram join -------------------------------------------------------------
 
 
-@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80), (2, 70), (3, 95)])
+@pytest.mark.parametrize("k,percent", [(3, 90), (2, 70)])
 def test_ngram_join_matches_all_pairs(odd, k, percent):
     rows, df = odd
     got = [tuple(r) for r in ngram_join.near_duplicates(df, k, percent).collect()]
     same(got, brute.near_duplicates([(i, t) for i, t, *_ in rows], k, percent))
 
 
-@pytest.mark.parametrize("light", [0, 12, 30])
+@pytest.mark.parametrize("light", [0, 30])
 def test_ngram_join_any_boundary_and_blocks(odd, light, monkeypatch):
     rows, df = odd
     monkeypatch.setattr(ngram_join, "boundary", lambda *a: light)
@@ -343,7 +343,7 @@ def test_one_per_group(spark, odd, none):
 
 
 def test_components_of_a_long_chain(spark):
-    n = 60
+    n = 20
     order = list(range(n))
     RNG.shuffle(order)
     edges = spark.createDataFrame([(order[i], order[i + 1]) for i in range(n - 1)] + [(100, 101), (102, 101), (7, 7)], "a bigint, b bigint")
@@ -451,7 +451,7 @@ def test_token_counts_rows(odd, none):
 # --- 7: language model ----------------------------------------------------------
 
 
-@pytest.mark.parametrize("hot,buckets", [(2.0**-16, 10**9), (0.02, 10**9), (0.02, 300), (2.0, 300)])
+@pytest.mark.parametrize("hot,buckets", [(2.0**-16, 10**9), (0.02, 300)])
 def test_katz_matches_plain_model(spark, odd, none, monkeypatch, hot, buckets):
     rows, df = odd
     monkeypatch.setattr(katz, "HOT_SHARE", hot)
