@@ -4,6 +4,11 @@
         --weather s3a://b/land/weather --stations s3a://b/land/stations --kind lines --mode upsert
     spark-submit --py-files stationday.zip stationday/__main__.py incremental --root s3a://b/wh \
         --landing s3a://b/land/weather --checkpoint s3a://b/ckpt/obs --downstream
+
+With a catalog that does not outlive the session (the default without a
+metastore) each call creates the tables anew over the files under ``--root`` and
+registers their partitions, so calls see each other's data either way; one
+writer at a time.
 """
 
 from __future__ import annotations
@@ -18,7 +23,8 @@ def _cfg(a):
     from stationday.config import PipelineConfig
 
     return PipelineConfig(root=a.root, raw_db=a.raw_db, harmonized_db=a.harmonized_db,
-                          analytics_db=a.analytics_db, fact_grain=a.grain, sequence_field=a.sequence_field)
+                          analytics_db=a.analytics_db, fact_grain=a.grain, sequence_field=a.sequence_field,
+                          null_keys=a.null_keys)
 
 
 def main(argv=None) -> int:
@@ -30,7 +36,10 @@ def main(argv=None) -> int:
         s.add_argument("--raw-db", default="raw")
         s.add_argument("--harmonized-db", default="harmonized")
         s.add_argument("--analytics-db", default="analytics")
-        s.add_argument("--grain", default="month", choices=["month", "day"])
+        s.add_argument("--grain", default="day", choices=["day", "month"])
+        s.add_argument("--null-keys", default="insert", choices=["insert", "drop"])
+        s.add_argument("--input-bytes", type=int, default=None, help="volume of a run, to size shuffles")
+        s.add_argument("--cores", type=int, default=None, help="cores of the cluster, to size shuffles")
         s.add_argument("--sequence-field", default=None)
         s.add_argument("--kind", default="lines", choices=["array", "lines"])
         s.add_argument("--parse-mode", default="strict", choices=["strict", "permissive"])
@@ -51,7 +60,15 @@ def main(argv=None) -> int:
 
     from pyspark.sql import SparkSession
 
-    spark = SparkSession.builder.appName(f"stationday-{a.cmd}").getOrCreate()
+    from stationday.session import cluster_conf
+
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        spark = SparkSession.builder.appName(f"stationday-{a.cmd}").getOrCreate()
+        given = spark.sparkContext.getConf()
+        for k, v in cluster_conf(a.input_bytes, a.cores).items():
+            if not given.contains(k):  # what spark-submit was told stays
+                spark.conf.set(k, v)
     cfg = _cfg(a)
     if a.cmd == "run":
         from stationday.plans.pipeline import run_pipeline

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -13,8 +13,9 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for tables, stream checkpoints and lineage cuts.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared filesystem the
-    cluster names). Only where it is unset, as in tests and local runs, a
-    fresh folder is made and set as the checkpoint dir of this session.
+    cluster names). Where it is unset a local session gets a fresh folder, set
+    as its checkpoint dir; on a cluster, where every executor would write to a
+    disk of its own, that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -29,6 +30,9 @@ def work_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - conf not readable on some clients
             d = None
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="stationday-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
@@ -52,19 +56,22 @@ class PipelineConfig:
     raw_db: str = "raw"
     harmonized_db: str = "harmonized"
     analytics_db: str = "analytics"
-    # outlier thresholds (Fahrenheit in the reference); parameters, see UF3
+    # outlier thresholds (Fahrenheit in the reference) of the SQL functions, see UF3
     tmax_range: tuple[float, float] = (68.0, 104.0)
     tmin_range: tuple[float, float] = (14.0, 59.0)
     # datatypes that become the two pivoted columns
     pivot_values: tuple[str, str] = ("TMAX", "TMIN")
     # number of hash buckets that partition the stations dimension
     station_buckets: int = 4
-    # partition grain of the fact tables: "month" or "day"
-    fact_grain: str = "month"
+    # partition grain of the fact tables: "day", or "month" for small volumes
+    fact_grain: str = "day"
     # optional JSON key holding a record's ingest sequence number; when set,
     # it decides "the latest record wins" before file time, name and position
     sequence_field: str | None = None
-    extra: dict = field(default_factory=dict)
+    # what a batch upsert does with observations that have a NULL in their key:
+    # "insert" them (SQL's = never matches, so each merge of such a row adds one)
+    # or "drop" them, as the stream does
+    null_keys: str = "insert"
 
     @staticmethod
     def fresh(spark: SparkSession, prefix: str = "run", **kw) -> "PipelineConfig":

@@ -55,13 +55,3 @@ def order_latest_first(df: DataFrame, *tiebreak: str) -> DataFrame:
 def top_n(df: DataFrame, n: int, *order) -> DataFrame:
     """First ``n`` rows by an order (O2): a top-k, planned as TakeOrderedAndProject."""
     return df.orderBy(*order).limit(n)
-
-
-def count_rows(df: DataFrame) -> int:
-    """A1."""
-    return df.count()
-
-
-def has_rows(df: DataFrame) -> bool:
-    """EXISTS as a scalar; stops at the first row."""
-    return not df.isEmpty()

@@ -5,28 +5,32 @@ on the keys, and per column the value a ``MERGE ... WHEN MATCHED UPDATE /
 WHEN NOT MATCHED INSERT`` would leave. ``merge_into`` applies it to a
 partitioned table and rewrites only the partitions the source touches:
 
-1. touched = distinct partition values of the source (a bounded set: months
-   or hash buckets, checked against ``max_touched``);
-2. the target is read with a partition filter on them, so untouched
-   partitions are pruned at the scan and keep their files;
+1. touched = distinct partition values of the source, kept as a small table in
+   the work folder: a narrow, map-side-aggregated scan of the key columns that
+   also counts rows and NULL keys. No value of it comes to the driver;
+2. the target is semi-joined with it, and dynamic partition pruning keeps
+   untouched partitions out of the scan; they keep their files;
 3. merged rows replace exactly those partitions (dynamic partition
    overwrite), and the target's old files stay in place until job commit,
    so a lost executor's tasks are rerun against them.
 
 Keys are compared with ``=``, as in SQL: a NULL key never matches. Such
 source rows are inserted (``null_keys="insert"``) or dropped
-(``null_keys="drop"``); target rows with NULL keys are kept. The
-partition filter is NULL-safe so a touched NULL partition keeps its rows.
+(``null_keys="drop"``); target rows with NULL keys are kept. Partition values
+are never NULL (rows without a date have a partition of their own), so they
+compare with ``=``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from stationday.config import fresh_dir
 from stationday.operators.dedupe import dedupe_latest
 from stationday.schemas import TableSpec
 from stationday.sources.tables import overwrite_partitions
@@ -101,13 +105,9 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str],
 class MergeResult:
     table: str
     source_rows: int  # rows offered, before the source was made unique
-    touched: list | None  # partition values rewritten; None: the whole table
+    touched: DataFrame | None  # partition values rewritten; None: the whole table
     dropped_null_keys: int = 0
 
-    @property
-    def touched_partitions(self) -> int | None:
-        return None if self.touched is None else len(self.touched)
-
 
 def prepare_source(source: DataFrame, keys: Sequence[str], on_duplicate: str = "latest",
                    order: Sequence[str | Column] = (), tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -132,74 +132,68 @@ def prepare_source(source: DataFrame, keys: Sequence[str], on_duplicate: str = "
     raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
 
 
-def _partition_filter(spec: TableSpec, values: list) -> Column:
-    col = F.col(spec.partition_col)
-    non_null = [v for v in values if v is not None]
-    cond = col.isin(non_null) if non_null else F.lit(False)
-    if any(v is None for v in values):
-        cond = cond | col.isNull()
-    return cond
+def kept_values(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` written once to the work folder and read back under a filter on
+    the run's mark. A join with it on a partition column prunes the other side's
+    partitions at run time, which needs a selective filter on this one."""
+    mark = uuid.uuid4().hex
+    path = f"{fresh_dir(df.sparkSession, kind)}"
+    df.withColumn("__mark", F.lit(mark)).write.parquet(path)
+    return df.sparkSession.read.parquet(path).filter(F.col("__mark") == mark).drop("__mark")
+
+
+def in_partitions(df: DataFrame, col: str, touched: DataFrame | None) -> DataFrame:
+    """Rows of the given partitions only (all when None)."""
+    return df if touched is None else df.join(touched.select(col).distinct(), col, "left_semi").select(*df.columns)
+
+
+def touched_partitions(source: DataFrame, spec: TableSpec) -> DataFrame:
+    """(partition, has_null_key, n) of a source: the partition of a row depends
+    on its keys only, so this reads no other column."""
+    has_null = F.lit(False)
+    for k in spec.keys:
+        has_null = has_null | F.col(k).isNull()
+    part = spec.partition_expr().cast(spec.partition_type).alias(spec.partition_col)
+    counts = source.select(part, has_null.alias("null_key")).groupBy(spec.partition_col, "null_key")
+    return kept_values(counts.agg(F.count(F.lit(1)).alias("n")), "touched")
 
 
 def merge_into(spark: SparkSession, table: str, spec: TableSpec, source: DataFrame,
                update: Mapping[str, UpdateExpr | str], insert: Sequence[str] | None = None,
                on_duplicate: str = "latest", order: Sequence[str | Column] = (),
                tiebreak: Sequence[str] = (), null_keys: str = "insert",
-               max_touched: int = 10_000, partitions: list | None = None) -> MergeResult:
+               periods: DataFrame | None = None, whole: bool = False) -> MergeResult:
     """Upsert ``source`` into the partitioned table ``table`` (M1).
 
-    ``partitions``: when the caller already knows which partitions the
-    source's rows fall in (a stage that recomputes given months), they are
-    used as the touched set and the source is computed only once, by the
-    write; ``source_rows`` is then -1 (not counted).
+    ``periods`` (a frame with the partition column): when the caller knows
+    which partitions the source's rows fall in, as a stage that recomputes
+    given periods does, the source is computed only once, by the write.
+    ``whole``: the source covers the whole table.
     """
     keys = list(spec.keys)
     if null_keys not in ("insert", "drop"):
         raise ValueError("null_keys must be 'insert' or 'drop'")
-    has_null = F.lit(False)
-    for k in keys:
-        has_null = has_null | F.col(k).isNull()
-    src = source
-    touched, dropped = None, 0
-    if partitions is not None and null_keys == "insert" and spec.partition_col:
-        if not partitions:
-            return MergeResult(table, 0, [], 0)
-        touched, n_src = list(partitions), -1
-    elif spec.partition_col:
-        # The partition of a row depends on its keys only, so the touched set
-        # is read from the raw source: a narrow scan of the key columns,
-        # aggregated map-side, in one job that also counts rows with a NULL
-        # key. The limit only guards the set's size; beyond it the whole
-        # table is rewritten.
-        part = spec.partition_expr().cast(spec.partition_type).alias(spec.partition_col)
-        guard = 2 * (max_touched + 1)
-        counts = (src.select(part, has_null.alias("__null")).groupBy(spec.partition_col, "__null").count()
-                  .limit(guard).collect())
+    src, dropped, n_src, seen = source, 0, None, None
+    touched = periods
+    if null_keys == "drop" or not (whole or periods is not None):
+        counts = touched_partitions(source, spec)
+        total = counts.agg(F.sum("n"), F.sum(F.when(F.col("null_key"), F.col("n")).otherwise(0))).first()
+        n_src, nulls = total[0] or 0, total[1] or 0
         if null_keys == "drop":
-            dropped = sum(r[2] for r in counts if r[1])
-            counts = [r for r in counts if not r[1]]
-        parts = {r[0] for r in counts}
-        if len(counts) < guard and len(parts) <= max_touched:
-            touched = list(parts)
-            n_src = sum(r[2] for r in counts)
-        else:
-            n_src = None
+            dropped, n_src = nulls, n_src - nulls
+            counts = counts.filter(~F.col("null_key"))
+            src = src.dropna("any", subset=keys)
+        if n_src == 0:
+            return MergeResult(table, 0, counts.select(spec.partition_col), dropped)
+        if touched is None and not whole:
+            touched = counts.select(spec.partition_col)
     else:
-        n_src = None
-        if null_keys == "drop":
-            dropped = src.filter(has_null).count()
-    if null_keys == "drop":
-        src = src.filter(~has_null)
-    if n_src is None:
-        n_src = src.count()
-    if n_src == 0:
-        return MergeResult(table, 0, [], dropped)
+        seen = Observation()
+        src = src.observe(seen, F.count(F.lit(1)).alias("n"))
     # dedupe, join and write are one plan: the source is not cached, so a
     # refresh-sized source never has to fit in executor storage
     prepared = spec.logical(spec.with_partition(prepare_source(src, keys, on_duplicate, order, tiebreak)))
-    target = spark.table(table)
-    if touched is not None:
-        target = target.filter(_partition_filter(spec, touched))
+    target = in_partitions(spark.table(table), spec.partition_col, touched)
     merged = merge_frames(spec.logical(target), prepared, keys, update, insert, spec.columns)
     overwrite_partitions(spec.with_partition(merged), table)
-    return MergeResult(table, n_src, touched, dropped)
+    return MergeResult(table, seen.get["n"] if seen is not None else n_src, touched, dropped)

@@ -108,8 +108,7 @@ ORACLE_SQL: dict[str, str] = {
     "top_n": w(OBS) + "SELECT * FROM obs ORDER BY observation_date DESC, station_id, datatype, event_id LIMIT 10",
     "merge_upsert": w(OBS, DD, f"t AS (SELECT *, 1 AS tm FROM dd WHERE {OLD})",
                       f"""s AS (SELECT observation_date, datatype, station_id, upper(attributes) AS attributes,
-                          obs_value * 2 AS obs_value, 1 AS sm FROM dd
-                          WHERE {NEW} AND datatype IN ('TMAX', 'TMIN', 'SIGNUP'))""")
+                          obs_value * 2 AS obs_value, 1 AS sm FROM dd WHERE {NEW})""")
     + """SELECT observation_date, datatype, station_id,
         CASE WHEN tm IS NOT NULL AND sm IS NOT NULL THEN s.attributes WHEN tm IS NOT NULL THEN t.attributes
              ELSE s.attributes END AS attributes,
@@ -169,6 +168,8 @@ ORACLE_SQL: dict[str, str] = {
                              daily("m", "d"))
     + "SELECT * FROM d",
     "flagship_analytics": w(OBS, DD, ST, daily("dd", "d"), analytics("d", "st", "a")) + "SELECT * FROM a",
+    "pipeline_restart": w(OBS, DD, ST, daily("dd", "d"), analytics("d", "st", "a")) + "SELECT * FROM a",
+    "analytics_late_station": w(OBS, DD, ST, daily("dd", "d"), analytics("d", "st", "a")) + "SELECT * FROM a",
     "split_yearly": """WITH RECURSIVE r AS (
           SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b
           FROM orders GROUP BY o_custkey),
@@ -182,6 +183,6 @@ ORACLE_SQL: dict[str, str] = {
         FROM c""",
     "page_plan": """SELECT l_suppkey, n, unnest(generate_series(1, greatest(n, 1), 100)) AS page_offset
         FROM (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey)""",
-    "missing_dimension": """SELECT DISTINCT o_custkey FROM orders o WHERE NOT EXISTS (
-        SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_acctbal >= 0)""",
+    "missing_dimension": """SELECT DISTINCT c_custkey FROM customer c WHERE NOT EXISTS (
+        SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)""",
 }

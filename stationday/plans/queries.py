@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationday.config import PipelineConfig, fresh_dir
-from stationday.functions import avg_temp, call_by_name, outlier_label, register_sql_functions, temp_change
+from stationday.functions import avg_temp, call_by_name, outlier_label, temp_change
 from stationday.functions.registry import AVG_TEMP_FN, OUTLIER_FN, TEMP_CHANGE_FN
 from stationday.operators.analytics import (
     grouped_average,
@@ -40,15 +40,18 @@ from stationday.operators.parse import (
 )
 from stationday.operators.pivot import daily_temps, pivot_max
 from stationday.operators.planning import filter_window, missing_dimension, page_plan, split_yearly, union_tagged
-from stationday.plans import derive
+from stationday.plans import derive, progress
 from stationday.plans.pipeline import run_pipeline
 from stationday.plans.stages import (
     ANALYTICS_UPDATES,
     OBSERVATION_UPDATES,
     STATION_UPDATES,
     Tables,
+    load_raw,
     pivot_stage,
     setup,
+    transform_observations,
+    transform_stations,
 )
 from stationday.schemas import ANALYTICS, DAILY_TEMPS, DAILY_TEMPS_SCHEMA, OBSERVATIONS
 from stationday.sources.json_rows import load_json_rows, read_json_lines
@@ -118,7 +121,8 @@ def q_load_json_rows(spark, sf):
     land = fresh_dir(spark, "q-load")
     derive.write_array_files(derive.observation_records(_events(spark, sf)), f"{land}/weather", "event_id")
     t = _fresh_tables(spark, "q-load")
-    load_json_rows(spark, f"{land}/weather", t.name("observation_staging"), "weather_json", "array")
+    load_json_rows(spark, f"{land}/weather", t.name("observation_staging"), "weather_json", "array",
+                   log_table=t.name("load_log"))
     return parse_observations(spark.table(t.name("observation_staging")), keep_ingest=False)
 
 
@@ -203,12 +207,12 @@ def q_outlier_label(spark, sf):
 
 
 def q_call_by_name(spark, sf):
-    register_sql_functions(spark)
+    db = _fresh_tables(spark, "q-functions").cfg.analytics_db  # set-up creates the functions there
     d = _daily(_obs(spark, sf))
     return d.select(*d.columns,
-                    call_by_name(AVG_TEMP_FN, "tmax", "tmin").alias("tavg"),
-                    call_by_name(TEMP_CHANGE_FN, "tmax", "tmin").alias("daily_temp_change"),
-                    call_by_name(OUTLIER_FN, "tmax", "tmin").alias("outlier"))
+                    call_by_name(f"{db}.{AVG_TEMP_FN}", "tmax", "tmin").alias("tavg"),
+                    call_by_name(f"{db}.{TEMP_CHANGE_FN}", "tmax", "tmin").alias("daily_temp_change"),
+                    call_by_name(f"{db}.{OUTLIER_FN}", "tmax", "tmin").alias("outlier"))
 
 
 def q_union_tagged(spark, sf):
@@ -283,7 +287,7 @@ def q_merge_upsert(spark, sf):
     t = _fresh_tables(spark, "q-upsert")
     d = _deduped(spark, sf)
     overwrite_table(OBSERVATIONS.with_partition(_old(d)), t.name("observations"))
-    src = _new(d).filter(F.col("datatype").isin("TMAX", "TMIN", "SIGNUP")).select(
+    src = _new(d).select(
         "observation_date", "datatype", "station_id", F.upper("attributes").alias("attributes"),
         (F.col("obs_value") * 2).alias("obs_value"))
     merge_into(spark, t.name("observations"), OBSERVATIONS, src,
@@ -369,6 +373,41 @@ def q_flagship_analytics(spark, sf):
     return ANALYTICS.logical(spark.table(Tables(cfg).name("analytics")))
 
 
+def q_pipeline_restart(spark, sf):
+    """Runs that stop after each stage, then one that finishes all loads."""
+    land = fresh_dir(spark, "q-restart")
+    ev = _events(spark, sf)
+    rec = derive.observation_records(ev)
+    early = F.substring("date", 1, 10) < SPLIT_NEW_FROM
+    derive.write_array_files(rec.filter(early), f"{land}/w1", "event_id")
+    derive.write_array_files(rec.filter(~early | early.isNull()), f"{land}/w2", "event_id")
+    st = derive.station_records(derive.table(spark, sf, "customer")).withColumn("__o", F.col("id"))
+    derive.write_array_files(st, f"{land}/stations", "__o")
+    t = setup(spark, PipelineConfig.fresh(spark, "q-restart", sequence_field=derive.SEQUENCE_FIELD))
+    load_raw(spark, t.cfg, f"{land}/w1")  # stops after the load
+    load_raw(spark, t.cfg, f"{land}/w2", f"{land}/stations")
+    loads = progress.pending(spark, t, "stations")
+    transform_stations(spark, t.cfg, loads=loads)  # stops before the step is recorded
+    transform_observations(spark, t.cfg, loads=loads)
+    progress.mark(spark, t, loads, "observations")  # stops before daily temps
+    run_pipeline(spark, t.cfg)
+    return ANALYTICS.logical(spark.table(t.name("analytics")))
+
+
+def q_analytics_late_station(spark, sf):
+    """Half of the stations arrive after all observations, without new ones."""
+    land = fresh_dir(spark, "q-late")
+    derive.write_array_files(derive.observation_records(_events(spark, sf)), f"{land}/weather", "event_id")
+    st = derive.station_records(derive.table(spark, sf, "customer")).withColumn("__o", F.col("id"))
+    first = F.col("latitude") < 12
+    derive.write_array_files(st.filter(first), f"{land}/s1", "__o")
+    derive.write_array_files(st.filter(~first | first.isNull()), f"{land}/s2", "__o")
+    cfg = PipelineConfig.fresh(spark, "q-late", sequence_field=derive.SEQUENCE_FIELD)
+    run_pipeline(spark, cfg, f"{land}/weather", f"{land}/s1")
+    run_pipeline(spark, cfg, station_path=f"{land}/s2")
+    return ANALYTICS.logical(spark.table(Tables(cfg).name("analytics")))
+
+
 # ---- planning ------------------------------------------------------------------------
 
 def q_split_yearly(spark, sf):
@@ -384,9 +423,9 @@ def q_page_plan(spark, sf):
 
 
 def q_missing_dimension(spark, sf):
-    orders = derive.table(spark, sf, "orders")
-    known = derive.table(spark, sf, "customer").filter(F.col("c_acctbal") >= 0)
-    return missing_dimension(orders, known, "o_custkey", "c_custkey")
+    """Customers without any event."""
+    customers = derive.table(spark, sf, "customer")
+    return missing_dimension(customers, _events(spark, sf), "c_custkey", "user_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -427,6 +466,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_merge": q_incremental_merge,
     "pivot_touched_dates": q_pivot_touched_dates,
     "flagship_analytics": q_flagship_analytics,
+    "pipeline_restart": q_pipeline_restart,
+    "analytics_late_station": q_analytics_late_station,
     "split_yearly": q_split_yearly,
     "page_plan": q_page_plan,
     "missing_dimension": q_missing_dimension,

@@ -1,7 +1,7 @@
 """One declared schema per table, with its logical key and partitioning.
 
 The harmonized and analytics tables are Parquet tables. Facts are
-partitioned by month (or day, see ``fact_specs``) of their date so that an
+partitioned by day (or month, see ``fact_specs``) of their date so that an
 upsert rewrites only the periods it touches; the stations dimension is partitioned by a hash bucket of
 its key for the same reason. The partition column is derived from the row
 and is never part of the logical schema a reader sees.
@@ -9,6 +9,7 @@ and is never part of the logical schema a reader sees.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -60,16 +61,21 @@ class TableSpec:
         return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.storage_schema.fields)
 
 
+# Partition of rows without a date: not NULL, so that partition values compare
+# with = and prune like any other. Rows of that very day may share it.
+NO_DATE = dt.date(1600, 1, 1)
+
+
 def month_of(col: str) -> Callable[[], Column]:
-    return lambda: F.trunc(F.col(col).cast("date"), "month")
+    return lambda: F.coalesce(F.trunc(F.col(col).cast("date"), "month"), F.lit(NO_DATE))
 
 
 def day_of(col: str) -> Callable[[], Column]:
-    return lambda: F.col(col).cast("date")
+    return lambda: F.coalesce(F.col(col).cast("date"), F.lit(NO_DATE))
 
 
-# Partition grain of the fact tables. "month" suits up to a few TB; for very
-# large tables "day" keeps an incremental upsert from rewriting a whole month.
+# Partition grain of the fact tables. "day" keeps an incremental upsert from
+# rewriting a whole month; "month" gives fewer, larger files for small volumes.
 GRAINS = {"month": month_of, "day": day_of}
 PERIOD_COL = "obs_period"
 
@@ -111,11 +117,28 @@ LOAD_LOG = TableSpec(
     ]),
 )
 
+# How far each load has come, so that a run takes every unfinished load once:
+# the steps that are done, the periods its observations fall in, and the
+# stations it brought that were not there before. All are only appended to.
+LOAD_PROGRESS = TableSpec("load_progress", T.StructType([
+    T.StructField(LOAD_ID, T.StringType(), True),
+    T.StructField("step", T.StringType(), True),
+]))
+LOAD_PERIODS = TableSpec("load_periods", T.StructType([
+    T.StructField(LOAD_ID, T.StringType(), True),
+    T.StructField(PERIOD_COL, T.DateType(), True),
+]))
+LOAD_STATIONS = TableSpec("load_stations", T.StructType([
+    T.StructField(LOAD_ID, T.StringType(), True),
+    T.StructField("station_id", T.StringType(), True),
+]))
+
 OBSERVATION_STAGING = staging_spec("observation_staging", "weather_json")
 STATION_STAGING = staging_spec("station_staging", "station_json")
 
 # ---- harmonized layer ------------------------------------------------------
 
+# Column names and types of the shared data model.
 STATIONS_SCHEMA = T.StructType([
     T.StructField("station_id", T.StringType(), True),
     T.StructField("name", T.StringType(), True),
@@ -161,7 +184,7 @@ def stations_spec(buckets: int = 4) -> TableSpec:
     )
 
 
-def fact_specs(grain: str = "month") -> dict[str, TableSpec]:
+def fact_specs(grain: str = "day") -> dict[str, TableSpec]:
     """Observations, daily temps and analytics, partitioned by ``grain`` of their date."""
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {sorted(GRAINS)}")
@@ -176,10 +199,10 @@ def fact_specs(grain: str = "month") -> dict[str, TableSpec]:
     }
 
 
-_MONTHLY = fact_specs("month")
-OBSERVATIONS = _MONTHLY["observations"]
-DAILY_TEMPS = _MONTHLY["daily_temps"]
-ANALYTICS = _MONTHLY["analytics"]
+_DAILY = fact_specs()
+OBSERVATIONS = _DAILY["observations"]
+DAILY_TEMPS = _DAILY["daily_temps"]
+ANALYTICS = _DAILY["analytics"]
 
 
 def assert_schema(df: DataFrame, schema: T.StructType) -> None:

@@ -40,15 +40,9 @@ def _ingest_cols(pos=None):
 def read_json_array_files(spark: SparkSession, path, column: str) -> DataFrame:
     """One row per element of the outer array of each file."""
     raw = spark.read.option("wholetext", True).text(path)
+    # FAILFAST raises on anything that is not an array
     parsed = F.from_json(F.col("value"), "array<variant>", {"mode": "FAILFAST"})
-    # a file that is not an array (an object, a bare value) parses to NULL:
-    # fail rather than load nothing from it
-    checked = (
-        F.when(parsed.isNull() & (F.trim(F.col("value")) != F.lit("")),
-               F.raise_error(F.concat(F.lit("not a JSON array file: "), F.col("_metadata.file_path"))))
-        .otherwise(parsed)
-    )
-    staged = raw.select(checked.alias("_arr"), *_ingest_cols(F.lit(None)))
+    staged = raw.select(parsed.alias("_arr"), *_ingest_cols(F.lit(None)))
     return staged.select(
         F.posexplode("_arr").alias("_p", column), "_file", "_mtime"
     ).select(column, "_file", "_mtime", F.col("_p").cast("bigint").alias("_pos"))
@@ -68,37 +62,57 @@ def read_json_rows(spark: SparkSession, path, column: str, kind: str = "array")
     raise ValueError(f"unknown JSON file kind {kind!r}")
 
 
+def new_load_id() -> str:
+    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+
+
+def listed_files(spark: SparkSession, path) -> DataFrame:
+    """(path, _file, _mtime) of the files of ``path``: a listing, no content is read."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select("path", F.col("_metadata.file_path").alias("_file"),
+                        F.col("_metadata.file_modification_time").alias("_mtime"))
+
+
 def load_json_rows(spark: SparkSession, path, table: str, column: str, kind: str = "array",
-                   comment: str | None = None, skip_loaded: bool = True, load_id: str | None = None,
-                   log_table: str | None = None) -> str:
-    """Append the records of ``path`` to the staging ``table``.
-
-    Like a bulk copy with load history, a file already loaded (same path
-    and modification time) is not loaded again; a rewritten file is. The
-    check is an anti join on the staging table's distinct (file, mtime)
-    pairs, one row per loaded file, which AQE broadcasts while small.
-    The rows go to a new partition named by ``load_id`` (generated when not
-    given), which is returned. With ``log_table`` the loaded files are
-    recorded there, one row each, and the check reads that log instead of
-    the staged rows, so its cost follows the number of files, not rows.
+                   comment: str | None = None, load_id: str | None = None, log_table: str | None = None) -> int:
+    """Append the records of the files of ``path`` to the staging ``table``
+    (S1, S12); returns how many files were loaded.
+
+    Like a bulk copy with load history, a file already loaded (same path and
+    modification time) is not loaded again; a rewritten file is. The listing
+    is compared with the load log, one row per file, and only new files are
+    opened. Their rows go to a new partition named by ``load_id``.
+
+    The load is committed by its rows in the log, written last: readers take
+    committed loads only (``committed``), so a load that failed before leaves
+    rows that nobody sees, and its files are loaded again by the next run.
+    Without a log the staged rows themselves are the history.
     """
-    load_id = load_id or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    rows = read_json_rows(spark, path, column, kind)
-    if skip_loaded:
-        if log_table:
-            loaded = spark.table(log_table).filter(F.col("staging_table") == table).select("_file", "_mtime")
-        else:
-            loaded = spark.table(table).select("_file", "_mtime").distinct()
-        rows = rows.join(loaded, ["_file", "_mtime"], "left_anti")
-    append_table(rows.select(column, "_file", "_mtime", "_pos", F.lit(load_id).alias(LOAD_ID)), table)
+    load_id = load_id or new_load_id()
     if log_table:
-        # the files of this load, read from its own staging partition only
-        new = spark.table(table).filter(F.col(LOAD_ID) == load_id).select("_file", "_mtime").distinct()
-        append_table(new.select(F.lit(table).alias("staging_table"), "_file", "_mtime",
-                                F.lit(load_id).alias(LOAD_ID)), log_table)
+        loaded = spark.table(log_table).filter(F.col("staging_table") == table).select("_file", "_mtime")
+    else:
+        loaded = spark.table(table).select("_file", "_mtime").distinct()
+    # the listing was made on the driver already; what is new of it names the input
+    new = listed_files(spark, path).join(loaded, ["_file", "_mtime"], "left_anti").select(
+        "path", "_file", F.unix_micros("_mtime").alias("us")).collect()
+    if new:
+        rows = read_json_rows(spark, [r["path"] for r in new], column, kind)
+        append_table(rows.select(column, "_file", "_mtime", "_pos", F.lit(load_id).alias(LOAD_ID)), table)
+        if log_table:
+            log = spark.createDataFrame([(r["_file"], r["us"]) for r in new], "f string, us bigint").coalesce(1)
+            append_table(log.select(F.lit(table).alias("staging_table"), F.col("f").alias("_file"),
+                                    F.timestamp_micros("us").alias("_mtime"), F.lit(load_id).alias(LOAD_ID)), log_table)
     if comment is not None:
         comment_table(spark, table, comment)
-    return load_id
+    return len(new)
+
+
+def committed(spark: SparkSession, table: str, log_table: str) -> DataFrame:
+    """Rows of a staging table that belong to a load in the log."""
+    loads = spark.table(log_table).filter(F.col("staging_table") == table).select(LOAD_ID).distinct()
+    staged = spark.table(table)
+    return staged.join(loads, LOAD_ID, "left_semi").select(*staged.columns)
 
 
 def tag_from_path(df: DataFrame, name: str, pattern: str, group: int = 1) -> DataFrame:
@@ -118,9 +132,8 @@ class LoadSpec:
 
 
 def load_all(spark: SparkSession, specs: dict[str, LoadSpec], comment: str | None = None,
-             load_id: str | None = None, log_table: str | None = None) -> str:
-    """Load every declared staging table under one load id, which is returned."""
-    load_id = load_id or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    for s in specs.values():
-        load_json_rows(spark, s.path, s.table, s.column, s.kind, comment, load_id=load_id, log_table=log_table)
-    return load_id
+             load_id: str | None = None, log_table: str | None = None) -> int:
+    """Load every declared staging table under one load id; how many files."""
+    load_id = load_id or new_load_id()
+    return sum(load_json_rows(spark, s.path, s.table, s.column, s.kind, comment, load_id=load_id, log_table=log_table)
+               for s in specs.values())

@@ -48,24 +48,43 @@ def table_exists(spark: SparkSession, full_name: str) -> bool:
     return spark.catalog.tableExists(full_name)
 
 
+def _folder_exists(spark: SparkSession, location: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def ensure_table(spark: SparkSession, full_name: str, spec: TableSpec, location: str | None = None) -> bool:
-    """Create the table from its declared schema if missing (S8); True if created."""
+    """Create the table from its declared schema if missing (S8); True if created.
+
+    A catalog that does not outlive its session creates the table anew over
+    the files of earlier ones: their partitions are registered again, or the
+    table would read as empty and the next upsert would replace them."""
     if table_exists(spark, full_name):
         return False
     part = f" PARTITIONED BY (`{spec.partition_col}`)" if spec.partition_col else ""
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {full_name} ({spec.ddl()}) USING parquet{part}{loc}")
+    if spec.partition_col and location and _folder_exists(spark, location):
+        spark.sql(f"ALTER TABLE {full_name} RECOVER PARTITIONS")
     return True
 
 
+def spread(df: DataFrame, full_name: str) -> DataFrame:
+    """Rows of a partition brought together before a write, so that a period
+    gets about one file and not one from every task; AQE splits large periods
+    and joins small ones."""
+    cols = [c.name for c in df.sparkSession.catalog.listColumns(full_name) if c.isPartition]
+    return df.hint("rebalance", *cols) if cols else df
+
+
 def append_table(df: DataFrame, full_name: str) -> None:
-    df.write.insertInto(full_name, overwrite=False)
+    spread(df, full_name).write.insertInto(full_name, overwrite=False)
 
 
 def overwrite_table(df: DataFrame, full_name: str) -> None:
     """Replace all rows (S7). The plan must not read the same table."""
     with _WRITE_LOCK, _conf(df.sparkSession, OVERWRITE_MODE, "static"):
-        df.write.insertInto(full_name, overwrite=True)
+        spread(df, full_name).write.insertInto(full_name, overwrite=True)
 
 
 def overwrite_partitions(df: DataFrame, full_name: str) -> None:
@@ -76,7 +95,7 @@ def overwrite_partitions(df: DataFrame, full_name: str) -> None:
     against the old files, which are still in place until then.
     """
     with _WRITE_LOCK, _conf(df.sparkSession, OVERWRITE_MODE, "dynamic"):
-        df.write.insertInto(full_name, overwrite=True)
+        spread(df, full_name).write.insertInto(full_name, overwrite=True)
 
 
 def empty_like(spark: SparkSession, full_name: str) -> DataFrame:

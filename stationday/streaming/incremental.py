@@ -3,18 +3,22 @@
 The reference consumes a change feed on its staging table. Here the feed
 is the landing folder itself: a Structured Streaming file source lists it,
 the checkpoint remembers which files were consumed, and each micro-batch
-is parsed, deduped and upserted into the observations table inside
-``foreachBatch``. ``trigger(availableNow=True)`` processes what has arrived
-and stops; an idle run starts no batch at all.
-
-Exactly-once effect: the upsert of a batch is idempotent (same keys, same
-values), so a batch replayed after a failure before its commit changes
-nothing. No state is kept beyond the checkpoint: the target table is the
-state.
+is parsed once, into a staging partition of its own, and deduped and upserted
+into the observations table from there, inside ``foreachBatch``.
+``trigger(availableNow=True)`` processes what has arrived and stops; an idle
+run starts no batch at all.
+
+Exactly-once effect: a batch's load id follows from its checkpoint and
+number, its staging partition is overwritten and its upsert is idempotent (same
+keys, same values), so a batch replayed after a failure before its commit
+changes nothing. The batch is recorded like a batch load
+(``plans/progress.py``): daily temps and analytics are recomputed once per run,
+for all loads that have not had them, also those of a run that stopped before.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -22,17 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationday.config import PipelineConfig
-from stationday.operators.merge import merge_into
 from stationday.operators.parse import parse_observations
-from stationday.plans.stages import (
-    OBSERVATION_TIEBREAK,
-    OBSERVATION_UPDATES,
-    StageResult,
-    Tables,
-    analytics_stage,
-    pivot_stage,
-    require_table,
-)
+from stationday.plans import progress
+from stationday.plans.pipeline import run_downstream
+from stationday.plans.stages import StageResult, Tables, require_table, upsert_observations
+from stationday.schemas import LOAD_ID
+from stationday.sources.tables import append_table, overwrite_partitions
 
 
 def observation_stream(spark: SparkSession, landing: str, column: str = "weather_json", kind: str = "lines",
@@ -99,26 +98,33 @@ def incremental_upsert(spark: SparkSession, cfg: PipelineConfig, landing: str, c
                        archive_dir: str | None = None, max_file_age: str | None = None) -> IncrementalRun:
     """Upsert every newly arrived file of ``landing`` into observations.
 
-    With ``downstream`` the daily temps and analytics of the dates a batch
-    touched are recomputed after its upsert.
+    With ``downstream`` the daily temps and analytics of all unfinished loads
+    are recomputed once, after the last batch.
     """
     t = Tables(cfg)
     require_table(spark, t.name("observations"))
     run = IncrementalRun()
+    feed = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex[:12]
+    staging, log = t.name("observation_staging"), t.name("load_log")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_observations(batch, mode=parse_mode, sequence_field=cfg.sequence_field)
-        r = merge_into(spark, t.name("observations"), t.spec("observations"), parsed,
-                       update={c: "source" for c in OBSERVATION_UPDATES},
-                       order=cfg.ingest_order, tiebreak=OBSERVATION_TIEBREAK, null_keys="drop")
+        load_id = f"stream-{feed}-{batch_id:012d}"
+        overwrite_partitions(batch.select("weather_json", "_file", "_mtime", "_pos", F.lit(load_id).alias(LOAD_ID)), staging)
+        rows = spark.table(staging).filter(F.col(LOAD_ID) == load_id)
+        parsed = parse_observations(rows, mode=parse_mode, sequence_field=cfg.sequence_field)
+        n, dropped = upsert_observations(spark, t, parsed, "drop", load_id)
+        # committed last: until then no batch run takes these rows for its own
+        progress.mark(spark, t, [load_id], "stations", "observations")
+        files = rows.select("_file", "_mtime").distinct()
+        append_table(files.select(F.lit(staging).alias("staging_table"), "_file", "_mtime",
+                                  F.lit(load_id).alias(LOAD_ID)), log)
         run.batches.append(batch_id)
-        run.source_rows += r.source_rows
-        run.dropped_null_keys += r.dropped_null_keys
-        if downstream and r.source_rows:
-            run.results.append(pivot_stage(spark, cfg, r.touched))
-            run.results.append(analytics_stage(spark, cfg, r.touched))
+        run.source_rows += n
+        run.dropped_null_keys += dropped
 
     stream = observation_stream(spark, landing, "weather_json", kind, max_files_per_trigger,
                                 clean_source, archive_dir, max_file_age)
     _run(spark, stream, checkpoint, on_batch)
+    if downstream:
+        run.results = run_downstream(spark, t)
     return run

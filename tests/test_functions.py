@@ -50,13 +50,28 @@ def test_outlier_thresholds_are_parameters(spark):
     assert got == NEITHER
 
 
+DB = "default"
+
+
+def test_thresholds_come_from_the_config(spark):
+    from stationday.config import PipelineConfig
+    from stationday.plans.stages import setup
+
+    cfg = PipelineConfig.fresh(spark, "test", tmax_range=(0.0, 10.0), tmin_range=(0.0, 10.0))
+    setup(spark, cfg)
+    df = _frame(spark, [(5.0, 5.0, None)])
+    assert df.select(call_by_name(f"{cfg.analytics_db}.{OUTLIER_FN}", "tmax", "tmin")).first()[0] == NEITHER
+
+
+# Input and output cases that must equal the source's.
 @pytest.mark.parametrize("name,col_fn,cases", [
     (AVG_TEMP_FN, avg_temp, AVG_CASES),
     (TEMP_CHANGE_FN, temp_change, CHANGE_CASES),
     (OUTLIER_FN, outlier_label, OUTLIER_CASES),
 ])
 def test_sql_functions_match_columns(spark, name, col_fn, cases):
-    register_sql_functions(spark)
+    register_sql_functions(spark, DB)
+    name = f"{DB}.{name}"
     df = _frame(spark, cases)
     _check(df.withColumn("got", call_by_name(name, "tmax", "tmin")).collect())
     # callable from SQL text too
@@ -66,17 +81,17 @@ def test_sql_functions_match_columns(spark, name, col_fn, cases):
 
 def test_sql_average_check_passes(spark):
     """The reference's SQL check: average of 100 and 60 is 80, as a Pass/Fail column."""
-    register_sql_functions(spark)
-    r = spark.sql(f"""SELECT 100 AS tmax_value, 60 AS tmin_value,
-        {AVG_TEMP_FN}(100, 60) AS avg_temp,
-        CASE WHEN {AVG_TEMP_FN}(100, 60) = 80 THEN 'Pass' ELSE 'Fail' END AS test_status""").first()
+    register_sql_functions(spark, DB)
+    r = spark.newSession().sql(f"""SELECT 100 AS tmax_value, 60 AS tmin_value,
+        {DB}.{AVG_TEMP_FN}(100, 60) AS avg_temp,
+        CASE WHEN {DB}.{AVG_TEMP_FN}(100, 60) = 80 THEN 'Pass' ELSE 'Fail' END AS test_status""").first()
     assert r.avg_temp == 80.0 and r.test_status == "Pass"
 
 
 def test_no_python_worker_in_plan(spark):
-    register_sql_functions(spark)
+    register_sql_functions(spark, DB)
     df = _frame(spark, CHANGE_CASES).select(
         avg_temp("tmax", "tmin"), temp_change("tmax", "tmin"), outlier_label("tmax", "tmin"),
-        call_by_name(OUTLIER_FN, "tmax", "tmin"))
+        call_by_name(f"{DB}.{OUTLIER_FN}", "tmax", "tmin"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

@@ -80,8 +80,8 @@ def test_untouched_partitions_keep_their_files(spark, tables):
     root = tables.path("observations").removeprefix("file:")
     feb_before = _files(root, "obs_period=2020-02-01")
     jan_before = _files(root, "obs_period=2020-01-01")
-    r = upsert_obs(spark, tables, obs(spark, [(D(2020, 1, 5), "TMAX", "S1", "q", 1.0)]))
-    assert r.touched == [dt.date(2020, 1, 1)]
+    r = upsert_obs(spark, tables, obs(spark, [(D(2020, 1, 1), "TMAX", "S2", "q", 1.0)]))
+    assert [x[0] for x in r.touched.distinct().collect()] == [dt.date(2020, 1, 1)]
     assert _files(root, "obs_period=2020-02-01") == feb_before
     assert _files(root, "obs_period=2020-01-01") != jan_before
     assert len(read(spark, tables)) == 4
@@ -98,6 +98,32 @@ def test_null_partition_keeps_its_rows(spark, tables):
     assert r.dropped_null_keys == 1 and len([x for x in read(spark, tables) if x[0] is None]) == 2
 
 
+def test_more_than_ten_thousand_periods(spark, tables):
+    days = 10_500
+    every = spark.range(days).select(
+        F.date_add(F.lit(dt.date(1990, 1, 1)), F.col("id").cast("int")).cast("timestamp_ntz").alias("observation_date"),
+        F.lit("TMAX").alias("datatype"), F.lit("S1").alias("station_id"), F.lit("a").alias("attributes"),
+        F.col("id").cast("double").alias("obs_value"))
+    spec, name = tables.spec("observations"), tables.name("observations")
+    overwrite_table(spec.with_partition(every), name)
+    root = tables.path("observations").removeprefix("file:")
+    parts = [x for x in os.listdir(root) if x.startswith("obs_period=")]
+    assert len(parts) == days
+    before = {p: os.stat(os.path.join(root, p)).st_mtime_ns for p in parts}
+    r = upsert_obs(spark, tables, every.filter("obs_value % 21 = 0").withColumn("obs_value", F.lit(-1.0)))
+    changed = [p for p in parts if os.stat(os.path.join(root, p)).st_mtime_ns != before[p]]
+    assert r.source_rows == r.touched.count() == len(changed) == 500
+    assert spark.table(name).filter("obs_value = -1").count() == 500 and spark.table(name).count() == days
+
+
+def test_dropped_null_keys_are_all_counted(spark, tables):
+    rows = [(D(2020, m, 1), "TMAX", "S1", "a", 1.0) for m in range(1, 13)]
+    rows += [(D(2020, m, 1), "TMAX", None, "a", 1.0) for m in range(1, 13)] + [(None, "TMAX", "S1", "a", 1.0)] * 12
+    r = upsert_obs(spark, tables, obs(spark, rows), null_keys="drop")
+    assert (r.dropped_null_keys, r.source_rows) == (24, 12)
+    assert len(read(spark, tables)) == 12
+
+
 def test_duplicate_source_keys(spark, tables):
     dup = [(D(2020, 1, 1), "TMAX", "S1", "x", 1.0), (D(2020, 1, 1), "TMAX", "S1", "y", 2.0)]
     with pytest.raises(ValueError, match="duplicate"):

@@ -161,6 +161,10 @@ def test_missing_dimension_and_window(spark):
     got = filter_window(rows, "ts", "2020-01-01", "2020-01-05", kinds=["TMAX", "TMIN"]).count()
     assert got == 2
     assert filter_window(rows, "ts", end="2020-01-10").count() == 4  # start defaults to 2020-01-01
+    placed = rows.withColumn("zip_code", F.when(F.dayofmonth("ts") < 3, "02128").otherwise("02130"))
+    some = filter_window(placed, "ts", "2020-01-01", "2020-01-10", places=["02128"])
+    assert {r.zip_code for r in some.collect()} == {"02128"}
+    assert filter_window(placed, "ts", "2020-01-01", "2020-01-10", places=[]).count() == 0
 
 
 def test_cluster_conf_sizes_shuffles_from_input():

@@ -75,7 +75,7 @@ def test_entry_smoke(spark):
 
 
 def test_day_grain_gives_the_same_tables(spark, landed):
-    month = PipelineConfig.fresh(spark, "test")
+    month = PipelineConfig.fresh(spark, "test", fact_grain="month")
     day = PipelineConfig.fresh(spark, "test", fact_grain="day")
     run_pipeline(spark, month, f"{landed}/weather", f"{landed}/stations", mode="upsert")
     run_pipeline(spark, day, f"{landed}/weather", f"{landed}/stations", mode="upsert")
@@ -153,3 +153,147 @@ def test_upsert_reads_only_the_new_load(spark, scratch):
                    "2020-01-05": 5.0, "2020-02-01": 8.0}
     daily = {str(r.observation_date): r.tmax for r in spark.table(t.name("daily_temps")).collect()}
     assert daily["2020-01-01"] == 9.0 and daily["2020-02-01"] == 8.0
+
+
+# ---- restarts, late stations, second processes -------------------------------
+
+REC = {"datatype": "TMAX", "attributes": ""}
+
+
+def _land(folder, name, records):
+    import json
+
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as f:
+        f.write("\n".join(json.dumps(r) for r in records))
+    return folder
+
+
+def _obs(station, day, value, kind="TMAX"):
+    return dict(REC, station=station, date=f"{day}T00:00:00", value=value, datatype=kind)
+
+
+@pytest.fixture(scope="module")
+def drops(spark):
+    """Two drops of files and the tables that two clean runs over them give."""
+    land = fresh_dir(spark, "test-drops").removeprefix("file:")
+    w1 = _land(f"{land}/w1", "a.json", [_obs("S1", "2020-01-01", 50), _obs("S2", "2020-01-01", 60)])
+    w2 = _land(f"{land}/w2", "b.json", [_obs("S1", "2020-01-01", 55), _obs("S1", "2020-02-01", 70)])
+    s1 = _land(f"{land}/s1", "s.json", [{"id": "S1", "name": "One"}])
+    s2 = _land(f"{land}/s2", "s.json", [{"id": "S2", "name": "Two"}])
+    os.utime(f"{w1}/a.json", (1, 1))
+    clean = PipelineConfig.fresh(spark, "test")
+    run_pipeline(spark, clean, w1, s1, kind="lines")
+    run_pipeline(spark, clean, w2, s2, kind="lines")
+    want = _all(spark, clean)
+    assert len(want["analytics"]) == 3
+    return w1, s1, w2, s2, want
+
+
+@pytest.mark.parametrize("stop", ["staged", "stations", "observations", "observations recorded", "daily_temps"])
+def test_run_stopped_after_any_stage(spark, drops, stop, monkeypatch):
+    from stationday.plans import pipeline
+
+    w1, s1, w2, s2, want = drops
+    cfg = PipelineConfig.fresh(spark, "test")
+    run_pipeline(spark, cfg, w1, s1, kind="lines")
+
+    class Stop(Exception):
+        pass
+
+    def failing(fn, before=False):
+        def run(*a, **k):
+            if not before:
+                fn(*a, **k)
+            raise Stop
+        return run
+
+    with monkeypatch.context() as m:
+        if stop == "staged":  # rows appended, load not in the log
+            from stationday.sources import json_rows
+            append, calls = json_rows.append_table, []
+
+            def first_only(df, name):
+                calls.append(name)
+                if len(calls) == 2:
+                    raise Stop
+                append(df, name)
+            m.setattr(json_rows, "append_table", first_only)
+        elif stop.endswith("recorded"):
+            mark = pipeline.progress.mark
+
+            def stop_after(spark_, t, loads, *steps):
+                mark(spark_, t, loads, *steps)
+                if stop.split()[0] in steps:
+                    raise Stop
+            m.setattr(pipeline.progress, "mark", stop_after)
+        else:
+            name = {"load": "load_raw", "stations": "transform_stations", "observations": "transform_observations",
+                    "daily_temps": "pivot_stage", "analytics": "analytics_stage"}[stop]
+            m.setattr(pipeline, name, failing(getattr(pipeline, name)))
+        with pytest.raises(Stop):
+            run_pipeline(spark, cfg, w2, s2, kind="lines")
+    run_pipeline(spark, cfg, w2, s2, kind="lines")
+    assert _all(spark, cfg) == want
+    if stop == "staged":  # the rows of the load that was not committed are not seen
+        idle = run_pipeline(spark, cfg, w2, s2, kind="lines")
+        assert all(r.status.startswith("skipped") for r in idle if r.stage != "validate")
+        run_pipeline(spark, cfg, mode="refresh")
+        assert len(_all(spark, cfg)["observations"]) == 4
+
+
+def test_one_path_only(spark, scratch):
+    cfg = PipelineConfig.fresh(spark, "test")
+    w = _land(f"{scratch}/w", "a.json", [_obs("S1", "2020-01-01", 50)])
+    res = {r.stage: r for r in run_pipeline(spark, cfg, w, kind="lines")}
+    assert res["observations"].rows == 1 and res["daily_temps"].rows == 1 and res["analytics"].rows == 0
+    s = _land(f"{scratch}/s", "s.json", [{"id": "S1", "name": "One"}])
+    res = {r.stage: r for r in run_pipeline(spark, cfg, station_path=s, kind="lines")}
+    assert res["stations"].rows == 1 and res["analytics"].rows == 1
+    assert len(_all(spark, cfg)["analytics"]) == 1
+
+
+def test_null_keys_of_a_load_are_merged_once(spark, scratch):
+    w = _land(f"{scratch}/w", "a.json", [_obs("S1", "2020-01-01", 50), dict(REC, station="S1", date=None, value=1)])
+    for keep, n in (("insert", 2), ("drop", 1)):
+        cfg = PipelineConfig.fresh(spark, "test", null_keys=keep)
+        for _ in range(3):
+            run_pipeline(spark, cfg, w, kind="lines")
+        assert len(_all(spark, cfg)["observations"]) == n
+
+
+def test_second_load_does_not_open_loaded_files(spark, scratch):
+    w = _land(f"{scratch}/w", "a.json", [_obs("S1", "2020-01-01", 50)])
+    cfg = PipelineConfig.fresh(spark, "test")
+    run_pipeline(spark, cfg, w, kind="lines")
+    st = os.stat(f"{w}/a.json")
+    with open(f"{w}/a.json", "r+") as f:  # broken, but as old as before: nobody reads it
+        f.write("{{{")
+    os.utime(f"{w}/a.json", ns=(st.st_atime_ns, st.st_mtime_ns))
+    _land(w, "b.json", [_obs("S1", "2020-01-02", 51)])
+    res = {r.stage: r for r in run_pipeline(spark, cfg, w, kind="lines")}
+    assert res["load"].rows == 1 and res["observations"].rows == 1
+
+
+def test_two_processes_on_one_root(scratch):
+    import json
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=repo)
+    code = ("import sys\nfrom stationday.session import local_session\nspark = local_session(2, 'cli', '1g')\n"
+            "from stationday.__main__ import main\nmain(sys.argv[1:])\n"
+            "import json\nn = lambda t: spark.table(t).count()\n"
+            "print(json.dumps([n(t) for t in ('harmonized.observations', 'raw.observation_staging', 'raw.load_log', "
+            "'analytics.analytics')]))\n")
+    s = _land(f"{scratch}/s", "s.json", [{"id": f"S{i}", "name": f"N{i}"} for i in range(11)])
+    days = [_land(f"{scratch}/d1", "a.json", [_obs(f"S{i}", "2020-01-01", i) for i in range(10)]),
+            _land(f"{scratch}/d2", "b.json", [_obs("S10", "2020-01-01", 10)])]
+    for d in days:
+        out = subprocess.run([sys.executable, "-c", code, "run", "--root", f"{scratch}/wh", "--weather", d,
+                              "--stations", s, "--grain", "month"], env=env, cwd=scratch, capture_output=True, text=True,
+                             timeout=300)
+        assert out.returncode == 0, out.stderr[-3000:]
+        got = json.loads(out.stdout.strip().splitlines()[-1])
+    assert got == [11, 11, 3, 11]

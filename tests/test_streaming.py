@@ -106,3 +106,43 @@ def test_incremental_command_line(spark, scratch, capsys):
     assert main(base + ["--downstream"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["source_rows"] == 2 and len(out["batches"]) == 1
+
+
+def test_downstream_once_per_run_and_after_a_failure(spark, tables, scratch, monkeypatch):
+    import pytest
+
+    from stationday.plans import pipeline
+    from stationday.streaming import incremental
+
+    land, ckpt = f"{scratch}/land", f"{scratch}/ckpt"
+    for i, recs in enumerate([D1[:2], D2[:1], D2[1:]]):
+        _drop(f"{land}/d{i}", f"{i}.json", recs)
+    calls = []
+    pivot = pipeline.pivot_stage
+    monkeypatch.setattr(pipeline, "pivot_stage", lambda *a, **k: calls.append(1) or pivot(*a, **k))
+    with monkeypatch.context() as m:
+        def fail(*a):
+            raise RuntimeError("stopped")
+        m.setattr(incremental, "run_downstream", fail)
+        with pytest.raises(RuntimeError, match="stopped"):
+            incremental_upsert(spark, tables.cfg, land, ckpt, downstream=True, max_files_per_trigger=1)
+    assert calls == [] and _rows(spark, tables, "daily_temps", DAILY_TEMPS) == []
+    run = incremental_upsert(spark, tables.cfg, land, ckpt, downstream=True)  # nothing new has arrived
+    assert run.batches == [] and calls == [1]
+    assert [r[:3] for r in _rows(spark, tables, "daily_temps", DAILY_TEMPS)] == [
+        (dt.date(2020, 1, 1), "S1", 55.0), (dt.date(2020, 2, 3), "S2", 70.0)]
+    _drop(f"{land}/d8", "8.json", D1[:1])
+    _drop(f"{land}/d9", "9.json", D2[:1])
+    run = incremental_upsert(spark, tables.cfg, land, ckpt, downstream=True, max_files_per_trigger=1)
+    assert len(run.batches) == 2 and calls == [1, 1]
+
+
+def test_a_batch_run_takes_up_the_stream(spark, tables, scratch):
+    from stationday.plans.pipeline import run_pipeline
+
+    land, ckpt = f"{scratch}/land", f"{scratch}/ckpt"
+    _drop(land, "a.json", D1)
+    incremental_upsert(spark, tables.cfg, land, ckpt)
+    res = {r.stage: r.status for r in run_pipeline(spark, tables.cfg)}
+    assert res["observations"].startswith("skipped") and res["daily_temps"] == "merged"
+    assert len(_rows(spark, tables)) == 2  # the row with a NULL key stays dropped

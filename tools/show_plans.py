@@ -14,6 +14,8 @@ import os
 import re
 import sys
 
+from pyspark.sql import functions as F
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -37,7 +39,7 @@ def main():
     from stationday.config import PipelineConfig, fresh_dir
     from stationday.operators.analytics import station_analytics
     from stationday.operators.dedupe import dedupe_latest
-    from stationday.operators.merge import _partition_filter, merge_frames, prepare_source
+    from stationday.operators.merge import in_partitions, merge_frames, prepare_source, touched_partitions
     from stationday.operators.parse import parse_observations
     from stationday.operators.pivot import daily_temps
     from stationday.plans import derive, stages
@@ -52,25 +54,25 @@ def main():
     cfg = PipelineConfig.fresh(spark, "plans", sequence_field=derive.SEQUENCE_FIELD)
     run_pipeline(spark, cfg, f"{land}/weather", f"{land}/stations", kind="array", mode="upsert")
     t = stages.Tables(cfg)
-    month = [dt.date(2024, 1, 1)]
     obs_spec = t.spec("observations")
 
     staged = parse_observations(spark.table(t.name("observation_staging")), sequence_field="seq")
     src = prepare_source(staged, obs_spec.keys, "latest", cfg.ingest_order, stages.OBSERVATION_TIEBREAK)
-    target = spark.table(t.name("observations")).filter(_partition_filter(obs_spec, month))
+    one_day = staged.filter(F.col("observation_date").cast("date") == dt.date(2024, 1, 3))
+    touched = touched_partitions(one_day, obs_spec).select(stages.PERIOD_COL)
+    target = in_partitions(spark.table(t.name("observations")), stages.PERIOD_COL, touched)
     merged = obs_spec.with_partition(merge_frames(obs_spec.logical(target), obs_spec.logical(obs_spec.with_partition(src)),
                                                   list(obs_spec.keys), {"obs_value": "source", "attributes": "source"},
                                                   None, obs_spec.columns))
     load_id = spark.table(t.name("observation_staging")).select("_load_id").first()[0]
     plans = {
-        "staging of one load (upsert input)": stages._staged(spark, t.name("observation_staging"), [load_id]),
+        "staging of one load (upsert input)": stages._staged(spark, t, "observation_staging", [load_id]),
         "dedupe (observations)": dedupe_latest(staged, obs_spec.keys, cfg.ingest_order, stages.OBSERVATION_TIEBREAK),
         "touched partitions": staged.select(obs_spec.partition_expr().alias("p")).groupBy("p").count(),
-        "upsert (observations, one month)": merged,
-        "pivot (one month)": daily_temps(stages._restrict_to_periods(spark.table(t.name("observations")), month, obs_spec)),
-        "analytics (one month)": station_analytics(
-            stages._restrict_to_periods(spark.table(t.name("daily_temps")), month, t.spec("daily_temps")),
-            spark.table(t.name("stations"))),
+        "upsert (observations, one day)": merged,
+        "pivot (one day)": daily_temps(target),
+        "analytics (one day)": station_analytics(
+            in_partitions(spark.table(t.name("daily_temps")), stages.PERIOD_COL, touched), spark.table(t.name("stations"))),
     }
     for name, df in plans.items():
         df.write.format("noop").mode("overwrite").save()  # let AQE settle the final plan
