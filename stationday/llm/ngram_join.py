@@ -9,8 +9,9 @@ Documents with equal sets form a class; classes are joined, copies are never
 paired. Both sides of the join meet under keys:
 
 * heavy sets (more than ``x`` shingles) scan inverted lists: a set is listed
-  under its first ``s - ceil(t*s) + 1`` shingles in a global order, and any two
-  sets that link share one of them. The order puts shingles with a rare word
+  under its first ``s - ceil(t*s) + SHARED`` shingles in a global order, and any
+  two sets that link share ``SHARED`` of them (all of the overlap, if that is
+  smaller). A set with fewer keys in common with others links with none. The order puts shingles with a rare word
   first, so that lists stay short;
 * light sets enumerate fixed-size subsets: all that leave out at most
   ``s - ceil(t*s)`` shingles. Two light sets that link share the subset that is
@@ -63,6 +64,7 @@ SCAN_COST = 4.0
 MOST_LIGHT = 40  # sets above are never light, so that subsets stay few
 BLOCK_COST = 1_000_000  # shingles (2,000 at least for each set) in a block
 MIN_COST = 2_000
+SHARED = 5  # first shingles that sets which link have in common, at least
 TOGGLED = 512  # bits of a set's bitmap
 
 _SUBSET = np.uint64(0x5851F42D4C957F2D)
@@ -137,7 +139,7 @@ def _first(h: np.ndarray, ptr: np.ndarray, percent: int, place: np.ndarray) -> t
     """The first shingles of each set in the global order (``place``, then the
     hash), and their offsets."""
     n = np.diff(ptr)
-    take = np.where(n > 0, n - least_common(n, percent) + 1, 0)
+    take = np.minimum(n, n - least_common(n, percent) + SHARED)
     doc = np.repeat(np.arange(len(n)), n)
     order = np.lexsort((h, place, doc))
     rank = np.arange(len(h)) - ptr[:-1][doc]
@@ -223,7 +225,7 @@ def class_keys(docs: DataFrame, k: int, percent: int, seed: int, light: int, wei
     return map_texts(docs.select("text"), run, "cid bigint, n bigint, keys array<bigint>, bits binary")
 
 
-def shared_entries(keyed: DataFrame) -> DataFrame:
+def shared_entries(keyed: DataFrame, percent: int, light: int) -> DataFrame:
     """(key, at, cid, n, bits, marks, blocks): classes under the keys that more
     than one class has; the key is the class's ``at``-th of those in order, marks
     are the lower halves of all of them; blocks is what the key's list is cut
@@ -248,8 +250,9 @@ def shared_entries(keyed: DataFrame) -> DataFrame:
             marks = [own[x:y].astype(np.uint32).tobytes() for x, y in zip(at[:-1], at[1:])]
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(own, at, pa.int64()), batch.column(3), pa.array(marks, pa.binary())], names=["cid", "n", "keys", "bits", "marks"])
             # a class leaves a task once, however many copies it has there
-            cids = batch.column(0).to_pylist()
-            yield out.filter(pa.array([bool(m) and c not in sent and not sent.add(c) for c, m in zip(cids, np.diff(at) > 0)]))
+            cids, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            enough = np.diff(at) >= np.where(n <= light, 1, np.minimum(SHARED, least_common(n, percent)))
+            yield out.filter(pa.array([bool(e) and c not in sent and not sent.add(c) for c, e in zip(cids, enough)]))
 
     classes = saved(keyed.mapInArrow(run, "cid bigint, n bigint, keys array<bigint>, bits binary, marks binary").dropDuplicates(["cid"]), "join-entries")
     entries = classes.select(F.posexplode("keys").alias("at", "key"), "cid", "n", "bits", "marks")
@@ -466,7 +469,7 @@ def join_classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[D
     few = classes.filter(F.col("n") <= 2 * MOST_LIGHT).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()
     light = boundary({r["n"]: r["c"] for r in few}, percent)
     keyed = saved(class_keys(docs, k, percent, seed, light, word_weights(docs)), "join-keys")
-    found = saved(candidates(in_blocks(shared_entries(keyed), "key", "at", "bits", "marks"), percent), "join-candidates")
+    found = saved(candidates(in_blocks(shared_entries(keyed, percent, light), "key", "at", "bits", "marks"), percent), "join-candidates")
     groups = saved(components(found.select(F.col("cid").alias("a"), F.col("root").alias("b"))).withColumnsRenamed({"node": "cid", "label": "cluster"}), "join-clusters")
     sets = needed_sets(docs, groups, k, seed)
     partners = found.filter(F.octet_length("partners") > 0).groupBy("cid").agg(F.collect_list("partners").alias("partners"))
@@ -486,7 +489,7 @@ def boundary(sizes: dict[int, int], percent: int) -> int:
 
     def cost(x: int) -> float:
         enumerate_ = sum(c * subsets(s, percent) for s, c in sizes.items() if s <= x)
-        listed = sum(c * (s - least_common(s, percent) + 1) * SCAN_COST for s, c in sizes.items() if s > x or s >= least_common(x + 1, percent))
+        listed = sum(c * (s - least_common(s, percent) + SHARED) * SCAN_COST for s, c in sizes.items() if s > x or s >= least_common(x + 1, percent))
         return enumerate_ + listed
 
     return min(range(MOST_LIGHT + 1), key=lambda x: (cost(x), x))
