@@ -78,6 +78,7 @@ def day_of(col: str) -> Callable[[], Column]:
 # rewriting a whole month; "month" gives fewer, larger files for small volumes.
 GRAINS = {"month": month_of, "day": day_of}
 PERIOD_COL = "obs_period"
+STATION_BUCKET = "station_bucket"
 
 
 def bucket_of(col: str, n: int) -> Callable[[], Column]:
@@ -180,7 +181,7 @@ ANALYTICS_SCHEMA = T.StructType([
 def stations_spec(buckets: int = 4) -> TableSpec:
     return TableSpec(
         "stations", STATIONS_SCHEMA, ("station_id",),
-        "station_bucket", T.IntegerType(), bucket_of("station_id", buckets),
+        STATION_BUCKET, T.IntegerType(), bucket_of("station_id", buckets),
     )
 
 

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from stationday.schemas import TableSpec
+from stationday.schemas import LOAD_ID, PERIOD_COL, STATION_BUCKET, TableSpec
 
 
 @contextmanager
@@ -69,22 +69,22 @@ def ensure_table(spark: SparkSession, full_name: str, spec: TableSpec, location:
     return True
 
 
-def spread(df: DataFrame, full_name: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Rows of a partition brought together before a write, so that a period
     gets about one file and not one from every task; AQE splits large periods
     and joins small ones."""
-    cols = [c.name for c in df.sparkSession.catalog.listColumns(full_name) if c.isPartition]
-    return df.hint("rebalance", *cols) if cols else df
+    last = df.columns[-1]  # by declaration the partition column, where there is one
+    return df.hint("rebalance", last) if last in (PERIOD_COL, STATION_BUCKET, LOAD_ID) else df
 
 
 def append_table(df: DataFrame, full_name: str) -> None:
-    spread(df, full_name).write.insertInto(full_name, overwrite=False)
+    spread(df).write.insertInto(full_name, overwrite=False)
 
 
 def overwrite_table(df: DataFrame, full_name: str) -> None:
     """Replace all rows (S7). The plan must not read the same table."""
     with _WRITE_LOCK, _conf(df.sparkSession, OVERWRITE_MODE, "static"):
-        spread(df, full_name).write.insertInto(full_name, overwrite=True)
+        spread(df).write.insertInto(full_name, overwrite=True)
 
 
 def overwrite_partitions(df: DataFrame, full_name: str) -> None:
@@ -95,7 +95,7 @@ def overwrite_partitions(df: DataFrame, full_name: str) -> None:
     against the old files, which are still in place until then.
     """
     with _WRITE_LOCK, _conf(df.sparkSession, OVERWRITE_MODE, "dynamic"):
-        spread(df, full_name).write.insertInto(full_name, overwrite=True)
+        spread(df).write.insertInto(full_name, overwrite=True)
 
 
 def empty_like(spark: SparkSession, full_name: str) -> DataFrame:
