@@ -20,10 +20,10 @@ K), because discounts depend on counts of counts over all buckets. Tables of
 the model: partial sums of every history's seen pairs, from which alpha follows,
 are joined only to the tokens that back off.
 
-Frequent words and pairs would make hot buckets. Those with a share of 2**-15
-of the training tokens are found first, exactly and by a bounded list (a pair
-that frequent is frequent in some block of tokens): at most ``MOST_HOT`` words
-and pairs with their counts are broadcast and settled where they stand. Frequent
+Frequent words and pairs would make hot buckets. Words and pairs with twice
+``HOT_WORDS`` and ``HOT_PAIRS`` of the training tokens are found first (what is
+that frequent is frequent in some block of tokens), then counted exactly: at most
+``MOST_HOT`` of each are broadcast with their counts and settled where they stand. Frequent
 words that pair with rare ones go to the bucket of the pair. So no bucket holds
 more than its share and a few keys below the hot share.
 
@@ -47,7 +47,7 @@ from stationday.llm.common import crc_mod, on_workers, saved, table
 
 K = 5
 MOST_HOT = 65_000  # fits two bytes beside the marks
-HOT_SHARE = 2.0**-16
+HOT_WORDS, HOT_PAIRS = 2.0**-18, 2.0**-16
 BLOCK_TOKENS = 1_000_000
 BUCKET_TOKENS = 1_000_000
 CHUNK_BYTES = 2 << 20
@@ -100,10 +100,11 @@ def _often(word: np.ndarray, history: np.ndarray) -> Iterator[pa.RecordBatch]:
     tokens, and the block's size (kind 2)."""
     zero = np.zeros(1, np.uint64)
     yield _hot_rows(2, zero, zero, zero, np.array([len(word)]))
-    least = max(1, math.ceil(HOT_SHARE * len(word)))
+    least = math.ceil(HOT_WORDS * len(word))
     ids, c = np.unique(word, return_counts=True)
     ids, c = ids[c >= least], c[c >= least]
     yield _hot_rows(0, ids, ids, ids, c)
+    least = math.ceil(HOT_PAIRS * len(word))
     ids, first, c = np.unique(pair_hash(history, word), return_index=True, return_counts=True)
     ids, first, c = ids[c >= least], first[c >= least], c[c >= least]
     yield _hot_rows(1, ids, history[first], word[first], c)
@@ -151,10 +152,10 @@ def find_hot(rows: DataFrame) -> tuple[Hot, int]:
     found = saved(training.mapInArrow(often, HOT).groupBy("kind", "id").agg(F.min("p").alias("p"), F.min("w").alias("w"), F.sum("c").alias("c")), "katz-often")
     n = found.filter("kind = 2").agg(F.sum("c")).first()[0] or 0
 
-    def most(kind: int) -> list:
-        return found.filter((F.col("kind") == kind) & (F.col("c") >= HOT_SHARE * n)).orderBy(F.desc("c"), "id").limit(MOST_HOT).collect()
+    def most(kind: int, share: float) -> list:
+        return found.filter((F.col("kind") == kind) & (F.col("c") >= share * n)).orderBy(F.desc("c"), "id").limit(MOST_HOT).collect()
 
-    hot = Hot([r["id"] for r in most(0)], [(r["id"], r["p"], r["w"]) for r in most(1)])
+    hot = Hot([r["id"] for r in most(0, HOT_WORDS)], [(r["id"], r["p"], r["w"]) for r in most(1, HOT_PAIRS)])
     shared = rows.sparkSession.sparkContext.broadcast(hot)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,7 +424,8 @@ class Model:
         self.unknown = 1.0 - mass / (self.n + 1)
 
 
-def _seen_mass(first: str, d: list[float]) -> Column:
+def _mass(first: str, d: list[float]) -> Column:
+    """The discounted counts of a history's pairs, or of their words."""
     out = F.col(f"{first}0").cast("double")
     for r in range(1, K + 1):
         out = out + F.col(f"{first}{r}") * F.lit(d[r - 1] * r)
@@ -433,11 +435,12 @@ def _seen_mass(first: str, d: list[float]) -> Column:
 def backoff_weights(seen: DataFrame, m: Model) -> DataFrame:
     """(key, weight): what a token that backs off from a history adds: log10 of
     alpha, and of c + 1, which the sum over all histories has taken off."""
-    total = seen.groupBy("key").agg(*(F.sum(c).alias(c) for c in SEEN))
     c = F.col("t0") + sum((F.col(f"t{r}") * r for r in range(1, K + 1)), F.lit(0))
-    free = 1 - _seen_mass("t", m.d) / (c + 1)
-    other = 1 - _seen_mass("u", m.d1) / F.lit(m.n + 1.0)
-    return total.select("key", (F.log10(free / other) + F.log10(c + 1)).alias("weight"))
+    part = seen.select("key", c.alias("c"), _mass("t", m.d).alias("pairs"), _mass("u", m.d1).alias("words"))
+    total = part.groupBy("key").agg(F.sum("c").alias("c"), F.sum("pairs").alias("pairs"), F.sum("words").alias("words"))
+    free = 1 - F.col("pairs") / (F.col("c") + 1)
+    other = 1 - F.col("words") / F.lit(m.n + 1.0)
+    return total.select("key", (F.log10(free / other) + F.log10(F.col("c") + 1)).alias("weight"))
 
 
 def texts_of(chunks: DataFrame, id_type: str) -> DataFrame:
@@ -486,15 +489,15 @@ def katz_scores(docs: DataFrame, train: Column, id_col: str = "doc_id") -> DataF
     if settled_rows.num_rows:
         seen = seen.unionByName(spark.createDataFrame(settled_rows))
     weights = backoff_weights(seen, m)
-    back = out.filter("kind = 2").select("key", "doc", F.col("n").alias("chunk")).groupBy("key", "chunk", "doc").agg(F.count(F.lit(1)).alias("k"))
-    back = back.join(weights, "key").groupBy("chunk", "doc").agg(F.sum(F.col("k") * F.col("weight")).alias("back_weight"))
+    back = out.filter("kind = 2").select("key", "doc", F.col("n").alias("chunk"))
+    back = back.join(weights, "key").groupBy("chunk", "doc").agg(F.sum("weight").alias("back_weight"))
     texts = texts_of(out.filter("kind = 0").select("key", "docs", "sums", "train", "ids"), dict(rows.dtypes)["id"])
     t = texts.join(back, ["chunk", "doc"], "left")
     score = F.col("seen_log") - F.col("history_log") + F.coalesce("back_weight", F.lit(0.0)) + F.col("back_log") - F.col("back_known") * math.log10(n + 1)
     for r in range(1, K + 1):
         score = score + F.col(f"seen{r}") * math.log10(r * m.d[r - 1]) + F.col(f"back{r}") * math.log10(r * m.d1[r - 1])
     score = score + F.col("back0") * math.log10(m.unknown)
-    base = F.col("base_log") + (F.col("n_tokens") - F.col("known")) * 0.0 - F.col("n_tokens") * math.log10(n + 0.1 * (m.v + 1))
+    base = F.col("base_log") - F.col("n_tokens") * math.log10(n + 0.1 * (m.v + 1))
     return t.select(F.col("id").alias(id_col), "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score"))
 
 

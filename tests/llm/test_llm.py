@@ -454,7 +454,8 @@ def test_token_counts_rows(odd, none):
 @pytest.mark.parametrize("hot,buckets", [(2.0**-16, 10**9), (0.02, 300)])
 def test_katz_matches_plain_model(spark, odd, none, monkeypatch, hot, buckets):
     rows, df = odd
-    monkeypatch.setattr(katz, "HOT_SHARE", hot)
+    monkeypatch.setattr(katz, "HOT_WORDS", hot)
+    monkeypatch.setattr(katz, "HOT_PAIRS", hot)
     monkeypatch.setattr(katz, "BUCKET_TOKENS", buckets)
     monkeypatch.setattr(katz, "CHUNK_ROWS", 17)
     rows = [r for r in rows if len(r[1] or "") < 5000]
