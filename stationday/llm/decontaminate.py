@@ -3,7 +3,8 @@
 Items and documents are word sequences (A-Z folded); shingles have ``K`` words,
 fewer only for an item that is shorter. A shingle weighs the bytes of its
 words. An item of n words is compared with the windows of n words of a
-document: both have a 64-bit SimHash of their weighted shingles, and a window is
+document, and a document of fewer words with its whole text as the one window
+(so a copy that lacks its last words is found too): both have a 64-bit SimHash of their weighted shingles, and a window is
 a candidate for every item of its size within ``RADIUS`` bits. The index is
 multi-index Hamming: fingerprints are cut into ``BLOCKS`` blocks, and two that
 differ in at most ``RADIUS`` bits agree up to ``RADIUS // BLOCKS`` bits in one
@@ -14,7 +15,9 @@ are verified exactly: the similarity is the weight of the item's shingles
 ``LEAST`` or more is contamination.
 
 Windows without any of the benchmark's shingles have similarity 0 and are not
-fingerprinted; all others are, over whole texts.
+fingerprinted; all others are, over whole texts. Of texts shorter than the item
+those are, once for all sizes, whose shingles of the benchmark weigh enough to
+reach ``LEAST`` of the lightest item; no other one can.
 
 The benchmark is small against the corpus: its items go to the tasks in parts
 of at most ``PART_BYTES`` bytes of text, each part one pass over the documents,
@@ -162,6 +165,7 @@ def search(texts: pa.Array, indexes: list[Index], filters: dict) -> list[tuple[i
     """(text, item, similarity, first word) of the best window of each item in
     each text that reaches ``LEAST``."""
     w = W.words(texts)
+    size = w.counts
     best: dict[tuple[int, int], tuple[float, int]] = {}
     for k, (known, quick) in filters.items():
         if len(w.hash) < k:
@@ -171,12 +175,17 @@ def search(texts: pa.Array, indexes: list[Index], filters: dict) -> list[tuple[i
         at = at[_among(known, h[at])]
         if not len(at):
             continue
+        whole: dict[int, np.uint64] = {}
         for index in indexes:
             if index.k != k:
                 continue
             own = at[_among(index.known, h[at])]
             if not len(own):
                 continue
+            for text, item in _short(index, h, weight, w.ptr, size, doc, own, whole):
+                s = index.overlap(item, h[w.ptr[text] : w.ptr[text + 1] - k + 1])
+                if s >= LEAST:
+                    best[text, index.items[item]] = (s, int(w.ptr[text]))
             m = index.n - k + 1  # shingles of a window
             begins = np.unique((own[:, None] - np.arange(m)[None, :]).ravel())
             begins = begins[begins >= 0]
@@ -194,6 +203,28 @@ def search(texts: pa.Array, indexes: list[Index], filters: dict) -> list[tuple[i
     return [(t, i, s, p - int(w.ptr[t])) for (t, i), (s, p) in sorted(best.items())]
 
 
+def _short(index: Index, h: np.ndarray, weight: np.ndarray, ptr: np.ndarray, size: np.ndarray, doc: np.ndarray, own: np.ndarray, whole: dict[int, np.uint64]):
+    """Candidates among the texts with fewer words than the items: (text, item).
+    ``own`` are the places of the index's shingles; ``whole`` keeps the texts'
+    fingerprints."""
+    own = own[size[doc[own]] < index.n]
+    if not len(own):
+        return
+    held = np.bincount(doc[own], weight[own])
+    texts = np.flatnonzero((held > 0) & (held / min(index.total) >= LEAST))
+    for t in texts.tolist():
+        if t not in whole:
+            sums = np.zeros(64, np.int64)
+            end = ptr[t + 1] - index.k + 1
+            for lo in range(ptr[t], end, 4096):
+                part = slice(lo, min(lo + 4096, end))
+                sums += _signs(h[part], weight[part]).sum(axis=0)
+            whole[t] = _packed(sums[None, :])[0]
+    if len(texts):
+        window, item = index.candidates(np.array([whole[t] for t in texts.tolist()], np.uint64))
+        yield from zip(texts[window].tolist(), item.tolist())
+
+
 def _windows(index: Index, h: np.ndarray, weight: np.ndarray, begins: np.ndarray, m: int):
     """Candidates among the windows at ``begins``, which are fingerprinted from
     running sums, stretch by stretch."""
@@ -220,7 +251,8 @@ def benchmark_parts(bench: DataFrame) -> list[list[tuple]]:
 
 def contamination(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """(doc_id, item_id, similarity, first_word, n_words): for every document
-    and item with a window that reaches ``LEAST``, the best and first such."""
+    and item with a window that reaches ``LEAST``, the best and first such;
+    n_words are the item's, of which a shorter document holds fewer."""
     spark = docs.sparkSession
     on_workers(spark)
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, item_id {dict(bench.dtypes)['item_id']}, similarity double, first_word bigint, n_words bigint"

@@ -401,6 +401,42 @@ def test_decontamination_matches_plain_windows(spark, odd, none, monkeypatch):
     assert decontaminate.contamination(none, bench).count() == 0
 
 
+def test_decontamination_of_texts_shorter_than_the_item(spark, monkeypatch):
+    def whole_similarity(item, text):
+        """Of the item's shingles what the whole text holds."""
+        a, w = brute.words(item), brute.words(text)
+        k = min(5, len(a))
+        bag = lambda x: [tuple(x[i : i + k]) for i in range(len(x) - k + 1)]
+        weigh = lambda g: sum(len(x.encode()) for x in g)
+        left, got = bag(w), 0
+        for g in bag(a):
+            if g in left:
+                left.remove(g)
+                got += weigh(g)
+        return got / sum(map(weigh, bag(a)))
+
+    items = [(j, " ".join(f"i{j}x{i}" for i in range(n))) for j, n in enumerate([40, 40, 23, 7, 5, 3, 59, 5000])]
+    items += [(8, "p q r s t " * 8), (9, items[0][1])]
+    docs = [(0, None), (1, ""), (2, "z")]
+    for j, t in items:
+        a = t.split()
+        n = len(a)
+        for lo, hi in ((0, n - 1), (1, n), (0, n - 2), (2, n - 1), (0, n * 9 // 10), (n // 10, n), (0, n * 17 // 20), (0, n * 3 // 4), (0, n // 2)):
+            docs.append((len(docs), " ".join(a[lo:hi]).upper()))
+        docs.append((len(docs), " ".join([*a[: n // 2], "new", *a[n // 2 + 1 : n - 1]])))
+    want = [(i, j, round(s, 9), 0, len(t.split())) for i, x in docs for j, t in items if len(brute.words(x)) < len(t.split()) and (s := whole_similarity(t, x)) >= decontaminate.LEAST]
+    assert {j for _, j, *_ in want} >= {0, 1, 2, 6, 7, 8, 9} and len({i for i, *_ in want}) > 20
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    long = {i: len(brute.words(x)) for i, x in docs}
+    for part in (decontaminate.PART_BYTES, 20_000):
+        monkeypatch.setattr(decontaminate, "PART_BYTES", part)
+        got = [tuple(r) for r in decontaminate.contamination(frame, bench).collect()]
+        same([(i, j, round(s, 9), p, n) for i, j, s, p, n in got if long[i] < n], want)
+        kept = {r["doc_id"] for r in decontaminate.clean(frame, bench).collect()}
+        assert kept == {i for i, _ in docs} - {i for i, *_ in got}
+
+
 def test_multi_index_finds_all_within_radius():
     rng = np.random.default_rng(3)
     index = decontaminate.build([(i, " ".join(f"a{rng.integers(50)}" for _ in range(12))) for i in range(30)])[0]
