@@ -66,6 +66,7 @@ BLOCK_COST = 1_000_000  # shingles (2,000 at least for each set) in a block
 MIN_COST = 2_000
 SHARED = 5  # first shingles that sets which link have in common, at least
 TOGGLED = 512  # bits of a set's bitmap
+CHANCE = 1e-9  # that a pair is taken for one met before
 
 _SUBSET = np.uint64(0x5851F42D4C957F2D)
 
@@ -269,12 +270,26 @@ def in_blocks(rows: DataFrame, group: str, *more: str) -> DataFrame:
     return out.select(F.col(group).alias("key"), F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "cid", "n", *more)
 
 
+def _agreeing(a: int, b: int) -> int:
+    """How many 32-bit marks of sets of a and b keys, at least two, agree by
+    chance with a probability of ``CHANCE`` at most: t of them do with less than
+    (a b / 2^32)^t / t!."""
+    expected = a * b / 2**32
+    if expected * expected <= 2 * CHANCE:
+        return 2
+    t, chance = 2, 2 * math.log(expected) - math.log(2)
+    while chance > math.log(CHANCE):
+        t += 1
+        chance += math.log(expected / t)
+    return t
+
+
 def _pairs(cross: bool, block: np.ndarray, n: np.ndarray, smaller: list[set[int]], bits: np.ndarray, percent: int) -> list[np.ndarray]:
     """For each member of a list, smallest sets first, the later members it may
     link with: their sizes, bitmaps and the group's two blocks allow it, and not
-    two smaller keys are common by their marks. (A pair meets under its smallest
-    common key and mostly under the next; one mark may agree by chance, two do as
-    rarely as two shingles share a hash.)"""
+    so many smaller keys are common by their marks that chance cannot explain it
+    (``_agreeing``: two for sets of ordinary size). A pair meets under its smallest
+    common key, and under the next ones up to that number."""
     out = []
     for a in range(len(n)):
         last = np.searchsorted(n, 100 * n[a] // percent, side="right")
@@ -286,7 +301,7 @@ def _pairs(cross: bool, block: np.ndarray, n: np.ndarray, smaller: list[set[int]
             # J >= t needs an overlap of t / (1 + t) of both sizes
             most = both - 2 * (-(-percent * both // (100 + percent)))
             later = later[np.bitwise_count(bits[later] ^ bits[a]).sum(axis=1) <= most]
-        out.append(np.array([x for x in later.tolist() if len(smaller[a] & smaller[x]) < 2], np.int64))
+        out.append(np.array([x for x in later.tolist() if len(smaller[a] & smaller[x]) < _agreeing(len(smaller[a]), len(smaller[x]))], np.int64))
     return out
 
 

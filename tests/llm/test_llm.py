@@ -314,6 +314,19 @@ def test_ngram_join_documents(spark):
     same([tuple(r) for r in ngram_join.near_duplicates(docs, 5, 80).collect()], brute.near_duplicates(rows, 5, 80))
 
 
+def test_marks_that_agree_by_chance_lose_no_pair():
+    rng = np.random.default_rng(4)
+    n, bits = np.array([1_000_000, 1_000_000]), np.zeros((2, 1), np.uint64)
+    pairs = lambda a, b, c=n: [x.tolist() for x in ngram_join._pairs(False, np.zeros(2, int), c, [a, b], bits, 80)]
+    a, b = (set(rng.choice(1 << 32, 60_000, replace=False).tolist()) for _ in range(2))
+    b = set(sorted(b - a)[:50_000])
+    for agree in (0, 2, 5):  # 0.7 agree by chance on average
+        assert pairs(a, b | set(sorted(a)[:agree])) == [[1], []]
+    assert pairs(a, b | set(sorted(a)[:40])) == [[], []]
+    assert pairs({1, 2, 3}, {2, 3, 4}, np.array([50, 50])) == [[], []] and pairs({1, 2}, {2, 3}, np.array([50, 50])) == [[1], []]
+    assert ngram_join._agreeing(100, 100) == 2 < ngram_join._agreeing(10_000, 10_000) < ngram_join._agreeing(10**6, 10**6) < ngram_join._agreeing(10**8, 10**8)
+
+
 def test_one_per_group(spark, odd, none):
     rows, df = odd
     plain = brute.near_duplicates([(i, t) for i, t, *_ in rows], 5, 80)
