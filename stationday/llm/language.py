@@ -7,7 +7,8 @@ which the model knows any, then the next shorter one, down to single
 characters. A text's language has the largest sum over all its words.
 
 The model is learned from a bounded sample of the labelled rows (``SAMPLE_DOCS``
-texts, by a hash of their id) and holds at most ``MODEL_WORDS`` words and
+texts, by a hash of their id, and of each language ``LANG_DOCS`` at least, or all
+it has, so that a rare one is learned too) and holds at most ``MODEL_WORDS`` words and
 ``MODEL_GRAMS`` n-grams of each order for each language, so its size does not
 follow the corpus; counts are gathered on the executors. Scoring is one pass
 over the texts, without a shuffle.
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from stationday.llm.common import crc_mod, table, unit_hash
 
 SAMPLE_DOCS = 8000
+LANG_DOCS = 1000
 MODEL_WORDS = 20000
 MODEL_GRAMS = 8000
 ORDERS = (4, 3, 2, 1)
@@ -142,13 +144,24 @@ class _Seen(dict):
         return self.rows
 
 
-def train(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS) -> Model:
+def sampled(pool: DataFrame, sample_docs: int, lang_docs: int) -> DataFrame:
+    """About sample_docs rows of pool(doc_id, lang, text), the same share of each
+    language, but of none fewer than about lang_docs or all that it has."""
+    sizes = {r["lang"]: r["count"] for r in pool.groupBy("lang").count().collect()}
+    share = min(1.0, sample_docs / max(1, sum(sizes.values())))
+    rare = {lang: own for lang, n in sizes.items() if (own := min(1.0, lang_docs / n)) > share}
+    if share == 1.0:
+        return pool
+    least = F.lit(share)
+    if rare:
+        least = F.coalesce(F.create_map(*(F.lit(x) for pair in sorted(rare.items()) for x in pair))[F.col("lang")], least)
+    return pool.filter(unit_hash(F.lit("language"), F.col("doc_id")) < least)
+
+
+def train(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS, lang_docs: int = LANG_DOCS) -> Model:
     """A model from the rows that ``learn`` names, with a lang and a text."""
     pool = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    n = pool.count()
-    share = min(1.0, sample_docs / n) if n else 0.0
-    if share < 1.0:
-        pool = pool.filter(unit_hash(F.lit("language"), F.col("doc_id")) < share)
+    pool = sampled(pool, sample_docs, lang_docs)
     per = Window.partitionBy("lang", "n")
     c = counted(pool.select("lang", "text")).withColumn("total", F.sum("c").over(per)).withColumn("r", F.row_number().over(per.orderBy(F.desc("c"), "gram")))
     bound = F.when(F.col("n") == 0, MODEL_WORDS).otherwise(MODEL_GRAMS)

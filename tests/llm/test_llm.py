@@ -217,6 +217,19 @@ def test_classifiers_on_odd_rows(spark, odd, none):
     assert toxicity.score_toxicity(none, toxicity.train(none, no_labels, always)).count() == 0
 
 
+def test_rare_languages_are_learned(spark, none):
+    common, rare = "the house of the man", "das haus und der garten"
+    rows = [(i, common, "en") for i in range(30_000)] + [(40_000 + i, rare, "de") for i in range(3)] + [(50_000 + i, "la maison et le jardin", "fr") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.train(df, F.lit(True), sample_docs=100, lang_docs=20)
+    assert model.langs == ["de", "en", "fr"]
+    assert model.judge([common, rare, "le jardin"])[0] == ["en", "de", "fr"]
+    by = {r["lang"]: r["count"] for r in language.sampled(df, 100, 20).groupBy("lang").count().collect()}
+    assert by["de"] == 3 and 5 <= by["fr"] <= 35 and 50 <= by["en"] <= 150
+    assert language.sampled(df, 10**6, 20).count() == len(rows)
+    assert language.sampled(none, 100, 20).count() == 0
+
+
 def test_language_backoff_uses_shorter_grams():
     rows = [("de", 0, "haus", 5, 5), ("en", 0, "house", 5, 5), ("de", 4, "^hau", 5, 9), ("en", 2, "ou", 5, 9), ("de", 1, "z", 9, 9), ("en", 1, "y", 9, 9)]
     m = language.Model(rows)
