@@ -6,10 +6,13 @@ transducers over these classes say what counts:
 
 * insults: an insult weighs what was learned for it; a target beside it
   ("you idiot", "he is a moron") or an intensifier adds to it;
-* threats: target or speaker, modal, threat verb, target ("we will hurt you");
+* threats: target or speaker, modal, threat verb, target ("we will hurt you",
+  "we are going to hurt you"), the target also before the verb ("ich werde dich
+  töten", "te voy a matar");
 * negation: "not an idiot" keeps a part of the weight of the insult it governs;
 * reported speech: a report verb or an opening quote before the match keeps a
-  part ("she said: you idiot").
+  part ("she said: you idiot"). A colon after a report verb does not end the
+  clause, and a quote stays open over clauses up to its end or the line's.
 
 They are composed into one machine, of which the best path through a clause is
 the clause's score (max-plus, one left-to-right pass). A clause without an
@@ -54,10 +57,12 @@ THRESHOLD = 0.3
 
 CLASSES = {
     "target": "you your yours yourself u ur he she they them him her it this that these those people "
-    "du dich dir ihr euch sie er tu toi te vous il elle ils usted ustedes ellos ella tú ti vosotros",
+    "du dich dir ihn ihr euch sie er tu toi te vous il elle ils usted ustedes ellos ella tú ti vosotros",
     "speaker": "i we ich wir je nous yo nosotros",
-    "modal": "will shall going gonna should must can would ll werde werden soll vais allons voy vamos",
-    "copula": "is are was were be am look looks seem seems sound sounds bist ist seid sind es est êtes eres es son",
+    "modal": "will shall going gonna should must can would ll werde werden soll vais allons",
+    "vow": "voy vamos",
+    "particle": "to zu",
+    "copula": "is are was were be am m re s look looks seem seems sound sounds bist ist seid sind es est êtes eres es son",
     "intensifier": "so such really very total totally complete utter utterly absolute fucking damn bloody pure",
     "determiner": "a an the some another ein eine der die das un une le la un una el",
     "negation": "not no never isn aren wasn weren don doesn didn ain neither nor without nicht kein keine nie pas jamais non no nunca ni",
@@ -70,8 +75,10 @@ SEEDS = {"idiot": 3.0, "moron": 3.0, "stupid": 2.5, "scum": 3.0, "loser": 2.5, "
 #: threat, and what negation and report leave of a match.
 NEAR, STRONG, THREAT, NEGATED, REPORTED = 1.0, 0.5, 4.0, 0.5, 0.7
 
-_TOKEN = re.compile(r"[^\W\d_]+|[\"“”«»]")
+_TOKEN = re.compile(r"[^\W\d_]+|[\"„“”«»]")
 _CUT = re.compile(r"[.!?;:\n|]+")
+_QUOTE = re.compile(r"[\"„“”«»\n]")
+_LAST = re.compile(r"[^\W\d_]+\s*\Z")
 
 
 @dataclass
@@ -133,16 +140,21 @@ def insults() -> Machine:
 
 def threats() -> Machine:
     idle, to = ("idle", 0.0, 0.0), lambda s: (s, 0.0, 0.0)
-    base = {"speaker": [to("who")], "target": [to("who")], "*": [idle]}
+    base = {"speaker": [to("who")], "target": [to("whom")], "vow": [to("will")], "*": [idle]}
+    who = {**base, "modal": [to("will")], "copula": [to("who")], "negation": [to("who")]}
+    filler = ("modal", "copula", "intensifier", "particle", "determiner")
     return Machine(
         "idle",
         {
             "idle": base,
-            "who": {**base, "modal": [to("will")], "negation": [to("who")]},
-            "will": {**base, "modal": [to("will")], "copula": [to("will")], "intensifier": [to("will")], "threat": [to("verb")]},
-            "verb": {**base, "determiner": [to("verb")], "target": [("who", 0.0, THREAT)]},
+            "who": who,
+            # "voy" has its subject in it, a target before it is the object
+            "whom": {**who, "vow": [to("will"), to("object")]},
+            "will": {**base, **{c: [to("will")] for c in filler}, "target": [to("whom"), to("object")], "threat": [to("verb")]},
+            "object": {**base, **{c: [to("object")] for c in filler}, "target": [to("whom"), to("object")], "threat": [("idle", 0.0, THREAT)]},
+            "verb": {**base, "determiner": [to("verb")], "target": [("whom", 0.0, THREAT)]},
         },
-        {"idle", "who", "will", "verb"},
+        {"idle", "who", "whom", "will", "object", "verb"},
     )
 
 
@@ -152,7 +164,7 @@ def negation() -> Machine:
         "plain",
         {
             "plain": {"negation": [("negated", *one)], "*": [("plain", *one)]},
-            "negated": {c: [("negated", *less)] for c in ("determiner", "intensifier", "copula", "negation", "threat")} | {"*": [("plain", *less)]},
+            "negated": {c: [("negated", *less)] for c in ("determiner", "intensifier", "copula", "negation", "threat", "modal", "vow", "particle")} | {"*": [("plain", *less)]},
         },
         {"plain", "negated"},
     )
@@ -165,7 +177,7 @@ def reported() -> Machine:
         {
             "own": {"report": [("report", *one)], "quote": [("quoted", *one)], "*": [("own", *one)]},
             # a report verb governs what follows directly, a quote all up to its end
-            "report": {c: [("report", *less)] for c in ("target", "determiner", "copula", "intensifier", "negation", "modal")} | {"quote": [("quoted", *less)], "*": [("own", *less)]},
+            "report": {c: [("report", *less)] for c in ("target", "determiner", "copula", "intensifier", "negation", "modal", "vow", "speaker")} | {"quote": [("quoted", *less)], "*": [("own", *less)]},
             "quoted": {"quote": [("own", *less)], "*": [("quoted", *less)]},
         },
         {"own", "report", "quoted"},
@@ -213,7 +225,7 @@ class Reader:
 
     def __init__(self, model: Model):
         self.cls = {w: c for c, ws in CLASSES.items() for w in ws.split()}
-        self.cls |= {q: "quote" for q in '"“”«»'}
+        self.cls |= {q: "quote" for q in '"„“”«»'}
         self.weight = {w: x for w, x in model.insults.items() if w[-1] != "*"}
         self.stems = {w[:-1]: x for w, x in model.insults.items() if w[-1] == "*"}
         self.lengths = sorted({len(w) for w in self.stems}, reverse=True)
@@ -237,6 +249,15 @@ class Reader:
             return 0.0
         return max(best_path(m, classes, weights) for m in self.machines)
 
+    def cuts(self, low: str, start: int, end: int) -> Iterator[re.Match]:
+        """The ends of clauses; a colon after a report verb is none."""
+        for cut in _CUT.finditer(low, start, end):
+            if cut[0] == ":":
+                word = _LAST.search(low[max(0, cut.start() - 20) : cut.start()])
+                if word and self.cls.get(word[0].rstrip()) == "report":
+                    continue
+            yield cut
+
     def matches(self, text: str | None) -> list[tuple[int, int, float]]:
         """(start, end, score) of the clauses that score above 0; places are
         those of the lower-cased text."""
@@ -244,15 +265,19 @@ class Reader:
             return []
         low = text.lower()
         found, done = [], 0
+        read, quoted = 0, False
         for last, (n, whole) in self.triggers.iter(low):
             first = last - n + 1
             if first < done or (first and low[first - 1].isalpha()) or (whole and last + 1 < len(low) and low[last + 1].isalpha()):
                 continue
             start = done
-            for cut in _CUT.finditer(low, done, first):
+            for cut in self.cuts(low, done, first):
                 start = cut.end()
-            end = cut.start() if (cut := _CUT.search(low, last + 1)) else len(low)
-            score = self.clause(_TOKEN.findall(low, start, end))
+            end = cut.start() if (cut := next(self.cuts(low, last + 1, len(low)), None)) else len(low)
+            for mark in _QUOTE.finditer(low, read, start):
+                quoted = not quoted and mark[0] != "\n"
+            read = max(read, start)
+            score = self.clause(['"'] * quoted + _TOKEN.findall(low, start, end))
             if score > 0:
                 found.append((start, end, score))
             done = end

@@ -196,6 +196,23 @@ def test_toxicity_grammar():
     assert score("İ idiot") == pytest.approx(score("x idiot"))
 
 
+def test_toxicity_threats_and_reports():
+    r = toxicity.Model(dict(toxicity.SEEDS)).reader()
+    score = lambda t: sum(s for _, _, s in r.matches(t))
+    for t in ("we will kill you", "we are going to kill you", "I'm gonna kill you", "ich werde dich töten", "je vais te tuer", "te voy a matar", "yo te voy a matar"):
+        assert score(t) >= toxicity.THREAT, t
+    for t in ("this will kill the process", "yo voy a matar el tiempo", "you are going to kill the process", "we will tell you to kill the job", "I am here. To kill you"):
+        assert score(t) == 0, t
+    assert 0 <= score("I am not going to kill you") < toxicity.THREAT
+    own = score("you idiot")
+    assert score("she said: you idiot") == pytest.approx(toxicity.REPORTED * own)
+    assert score("she came: you idiot") == pytest.approx(own)
+    assert score('"It was late. You idiot! he cried." You idiot') == pytest.approx((1 + toxicity.REPORTED) * own)
+    assert score('a 5" screen\nyou idiot') == pytest.approx(own)
+    assert score("„Ach. Du idiot“. Du idiot") == pytest.approx((1 + toxicity.REPORTED) * own)
+    assert len(r.matches("he said: ok: you idiot. you idiot " * 3)) == 6
+
+
 def test_classifiers_on_odd_rows(spark, odd, none):
     rows, df = odd
     labels = spark.createDataFrame([(i, i % 2, (i // 2) % 2) for i in range(300)] + [(None, 1, 1), (1, None, None)], "doc_id bigint, quality int, toxic int")
