@@ -8,10 +8,11 @@ characters. A text's language has the largest sum over all its words.
 
 The model is learned from a bounded sample of the labelled rows (``SAMPLE_DOCS``
 texts, by a hash of their id, and of each language ``LANG_DOCS`` at least, or all
-it has, so that a rare one is learned too) and holds at most ``MODEL_WORDS`` words and
-``MODEL_GRAMS`` n-grams of each order for each language, so its size does not
-follow the corpus; counts are gathered on the executors. Scoring is one pass
-over the texts, without a shuffle.
+it has, so that a rare one is learned too) and holds every word and n-gram of the
+sample, so its size follows the sample, not the corpus; counts are gathered on
+the executors. What a language has not shown has one probability per order, the
+same in all languages: ``SMOOTH`` of a single occurrence in the language with
+most of them. Scoring is one pass over the texts, without a shuffle.
 
 NULL texts and texts without a letter get ``und`` and score 0; so does every
 text when there is nothing to learn from. Ties go to the language first in code
@@ -28,15 +29,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationday.llm.common import crc_mod, table, unit_hash
 
 SAMPLE_DOCS = 8000
 LANG_DOCS = 1000
-MODEL_WORDS = 20000
-MODEL_GRAMS = 8000
 ORDERS = (4, 3, 2, 1)
 SMOOTH = 0.5
 CACHE_WORDS = 150_000
@@ -77,30 +76,36 @@ def counted(docs: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Log frequencies of words and n-grams per language; scores texts."""
+    """Log frequencies of words and n-grams per language; scores texts. An order
+    has the row number of each gram and one row of numbers for each."""
 
     def __init__(self, rows: list[tuple[str, int, str, int, int]]):
+        """rows: language, order (0: words), gram, its count, all counts of that
+        language and order."""
         self.langs = sorted({r[0] for r in rows})
-        self.tables: dict[int, dict[str, np.ndarray]] = {}
+        self.tables: dict[int, tuple[dict[str, int], np.ndarray]] = {}
         at = {lang: i for i, lang in enumerate(self.langs)}
-        totals: dict[int, np.ndarray] = {}
-        for lang, n, gram, c, total in rows:
-            totals.setdefault(n, np.zeros(len(at)))[at[lang]] = total
-            self.tables.setdefault(n, {}).setdefault(gram, np.zeros(len(at)))[at[lang]] = c
-        for n, t in self.tables.items():
-            base = totals[n] + SMOOTH * len(t)
-            for gram, c in t.items():
-                t[gram] = np.log((c + SMOOTH) / base)
+        for n in {r[1] for r in rows}:
+            own = [r for r in rows if r[1] == n]
+            places: dict[str, int] = {}
+            for r in own:
+                places.setdefault(r[2], len(places))
+            counts, totals = np.zeros((len(places), len(at))), np.zeros(len(at))
+            for lang, _, gram, c, total in own:
+                counts[places[gram], at[lang]] = c
+                totals[at[lang]] = total
+            unseen = SMOOTH / totals.max()
+            self.tables[n] = places, np.log(counts / np.maximum(totals, 1) + unseen)
 
     def word(self, w: str) -> np.ndarray:
-        known = self.tables.get(0, {}).get(w)
-        if known is not None:
-            return known
+        places, logs = self.tables.get(0, ({}, None))
+        if (at := places.get(w)) is not None:
+            return logs[at]
         for n in ORDERS:
-            t = self.tables.get(n, {})
-            found = [v for g in grams(w, n) if (v := t.get(g)) is not None]
+            places, logs = self.tables.get(n, ({}, None))
+            found = [at for g in grams(w, n) if (at := places.get(g)) is not None]
             if found:
-                return sum(found) / len(found)
+                return logs[found].mean(axis=0)
         return np.zeros(len(self.langs))
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -162,10 +167,11 @@ def train(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS, lang_d
     """A model from the rows that ``learn`` names, with a lang and a text."""
     pool = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     pool = sampled(pool, sample_docs, lang_docs)
-    per = Window.partitionBy("lang", "n")
-    c = counted(pool.select("lang", "text")).withColumn("total", F.sum("c").over(per)).withColumn("r", F.row_number().over(per.orderBy(F.desc("c"), "gram")))
-    bound = F.when(F.col("n") == 0, MODEL_WORDS).otherwise(MODEL_GRAMS)
-    return Model([tuple(r) for r in c.filter((F.col("r") <= bound) & ((F.col("n") > 0) | (F.col("c") > 1))).select("lang", "n", "gram", "c", "total").collect()])
+    rows = [tuple(r) for r in counted(pool.select("lang", "text")).select("lang", "n", "gram", "c").collect()]
+    totals: Counter = Counter()
+    for lang, n, _, c in rows:
+        totals[lang, n] += c
+    return Model([(*r, totals[r[0], r[1]]) for r in rows])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
