@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
@@ -131,3 +132,55 @@ class Katz:
             s += math.log10(self.prob(p, w))
             p = w
         return s
+
+
+def prefix_trie(rows):
+    """Nodes of the trie of rebuilt conversations from (conv_id, turn, role,
+    text) rows with distinct turns in a conversation."""
+    own = {}
+    for c, turn, role, text in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        own.setdefault(c, []).append((role or "", text or ""))
+    full = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - int(math.fmod(c, 5))
+        full[c] = tuple(own.get(base, [])[:h] + turns[h:])
+    members, kids = {}, {}
+    for c, turns in full.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(turns[:d], []).append(c)
+            if d:
+                kids.setdefault(turns[: d - 1], set()).add(turns[:d])
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        below = kids.get(node, ())
+        leaves[node] = sum(leaves[k] for k in below) or 1
+        weight = (len(members[node]) - 1) * len(node[-1][1].encode()) if node else 0
+        saved[node] = weight + sum(saved[k] for k in below)
+    out = []
+    for node, ids in members.items():
+        ends = ",".join(map(str, sorted(c for c in ids if len(full[c]) == len(node))))
+        out.append((min(ids), len(node), min(members[node[:-1]]) if node else None, len(ids), len(kids.get(node, ())), leaves[node], saved[node], hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def hard_negatives(rows):
+    """(anchor, positive, rank, negative, positive score, negative score) from
+    (vec_id, vector, label) rows with distinct ids."""
+    own = []
+    for i, v, label in rows:
+        if label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        own.append((i, [math.floor(256 * x) for x in v], (label + 1) % 10 if i is not None and i % 7 == 0 else label))
+    out = []
+    order = lambda x: (-x[0], x[1] is None, x[1] or 0)
+    for n, (i, v, label) in enumerate(own):
+        if i is None or i % 100:
+            continue
+        scores = [(sum(a * b for a, b in zip(v, w)), j, l) for k, (j, w, l) in enumerate(own) if k != n]
+        positives = sorted((s for s in scores if s[2] == label), key=order)[:5]
+        others = sorted((s for s in scores if s[2] != label), key=order)
+        for p, j, _ in positives:
+            fits = [s for s in others if 30 * p <= 100 * s[0] <= 90 * p][:10]
+            out += [(i, j, r + 1, s[1], p, s[0]) for r, s in enumerate(fits)]
+    return out
