@@ -1,31 +1,30 @@
-"""Language model scores: a Katz bigram model with Good-Turing discounts.
+"""Language model scores: Katz backoff of any order with Good-Turing discounts.
 
-Tokens are the words of a text (A-Z folded) and one end; the first token's
-history is a start mark. With c a training count, N and V the training tokens
-and the distinct ones among them:
+Tokens are the words of a text (A-Z folded) and one end; before its first token
+a text has start marks. With c a training count, h the tokens before w (order - 1
+of them) and h' all of them but the first:
 
-* seen pairs have P(w|p) = d(c) c(p,w) / (c(p) + 1), d Katz's Good-Turing
+* a seen n-gram has P(w|h) = d(c) c(hw) / (c(h) + 1), d Katz's Good-Turing
   discount for counts up to ``K``; the reserved count keeps some mass for what
   was not seen even where no count is discounted;
-* other pairs back off: P(w|p) = alpha(p) P(w), alpha(p) the history's free mass
-  over the free mass of P, so that the probabilities of all words and of the
+* others back off: P(w|h) = alpha(h) P(w|h'), alpha(h) the free mass of h over
+  the free mass of P(.|h'), so that the probabilities of all words and of the
   unknown word sum to 1 exactly; a history never seen has alpha 1;
-* P(w) = d'(c) c(w) / (N + 1), and the unknown word has what is left.
-
-Every token of every text needs counts over the whole corpus. A token travels
-once: it goes, packed with its chunk's other tokens, to the bucket of its word,
-where unigram and pair counts are exact, and what comes back is one row of sums
-per chunk. Sums keep the discounts symbolic (how many tokens had count 1, 2, ...
-K), because discounts depend on counts of counts over all buckets. Tables of
-the model: partial sums of every history's seen pairs, from which alpha follows,
-are joined only to the tokens that back off.
-
-Frequent words and pairs would make hot buckets. Words and pairs with twice
-``HOT_WORDS`` and ``HOT_PAIRS`` of the training tokens are found first (what is
-that frequent is frequent in some block of tokens), then counted exactly: at most
-``MOST_HOT`` of each are broadcast with their counts and settled where they stand. Frequent
-words that pair with rare ones go to the bucket of the pair. So no bucket holds
-more than its share and a few keys below the hot share.
+* P(w) = d(c) c(w) / (N + 1), and the unknown word has what is left.
+
+**Tables.** Texts become chunks of about ``CHUNK_BYTES``, stored once as numbers of
+the chunk's own words. For each order in turn a chunk sends its *distinct* n-grams
+(not its tokens) to buckets: words by their hash, longer ones by their history, so
+that a bucket has all there is of a history. A bucket adds the counts up, stores
+its part of the order's table, and answers each chunk: counts of its n-grams and,
+for each history, the counts of counts and the lower-order mass that alpha needs.
+Words get numbers in the first round, so an n-gram is exact numbers, not a hash.
+Discounts depend on counts of counts over all buckets, so answers keep them
+symbolic, and a chunk evaluates the recursion for its tokens at the end.
+
+**Hot histories.** A history with ``HOT`` of all training tokens or more (so there
+are 1 / HOT of them at most) is split over the buckets by word. What its alpha
+needs is summed over the buckets and broadcast.
 
 NULL and empty texts have one token, the end. Without training rows all counts
 are 0. Rows are scored one by one; an empty table gives an empty result. Only
@@ -45,358 +44,330 @@ from pyspark.sql import functions as F
 from stationday.llm import words as W
 from stationday.llm.common import crc_mod, on_workers, saved, table
 
+ORDER = 2
 K = 5
-MOST_HOT = 65_000  # fits two bytes beside the marks
-HOT_WORDS, HOT_PAIRS = 2.0**-18, 2.0**-16
-BLOCK_TOKENS = 1_000_000
-BUCKET_TOKENS = 1_000_000
-CHUNK_BYTES = 2 << 20
+HOT = 2.0**-16
+CHUNK_BYTES = 6 << 20
 CHUNK_ROWS = 60_000
+BUCKET_TOKENS = 1_000_000
 
-START, END = np.uint64(1), np.uint64(2)
-COLD = np.uint16(0xFFFF)
-_PAIR = W.constants(2, 303)
+END = np.uint64(2)  # the hash of a text's end; as a history, 0 is the start
 
 
-def pair_hash(p: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return W.mix(p * _PAIR[0] + w * _PAIR[1])
+# --- packing ------------------------------------------------------------------
 
 
-def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, history, text) of every token, in order."""
-    w = W.words(texts)
-    n = len(w.ptr) - 1
-    ends = w.ptr[1:] + np.arange(n)
-    word = np.empty(len(w.hash) + n, np.uint64)
-    is_end = np.zeros(len(word), bool)
-    is_end[ends] = True
-    word[~is_end] = w.hash
-    word[is_end] = END
-    history = np.empty_like(word)
-    history[1:] = word[:-1]
-    history[w.ptr[:-1] + np.arange(n)] = START
-    return word, history, np.repeat(np.arange(n), w.counts + 1)
-
-
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo, hi in W.row_slices(batch.column(batch.schema.get_field_index("text")), CHUNK_BYTES):
-            for at in range(lo, hi, CHUNK_ROWS):
-                yield batch.slice(at, min(CHUNK_ROWS, hi - at))
-
-
-# --- hot words and pairs -----------------------------------------------------
-
-HOT = "kind int, id bigint, p bigint, w bigint, c bigint"
-
-
-def _hot_rows(kind: int, ids: np.ndarray, p: np.ndarray, w: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
-    cols = [pa.array(np.full(len(ids), kind, np.int32)), *(pa.array(x.view(np.int64)) for x in (ids, p, w)), pa.array(c.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(cols, names=["kind", "id", "p", "w", "c"])
-
-
-def _often(word: np.ndarray, history: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Words (kind 0) and pairs (kind 1) with the hot share of a block of
-    tokens, and the block's size (kind 2)."""
-    zero = np.zeros(1, np.uint64)
-    yield _hot_rows(2, zero, zero, zero, np.array([len(word)]))
-    least = math.ceil(HOT_WORDS * len(word))
-    ids, c = np.unique(word, return_counts=True)
-    ids, c = ids[c >= least], c[c >= least]
-    yield _hot_rows(0, ids, ids, ids, c)
-    least = math.ceil(HOT_PAIRS * len(word))
-    ids, first, c = np.unique(pair_hash(history, word), return_index=True, return_counts=True)
-    ids, first, c = ids[c >= least], first[c >= least], c[c >= least]
-    yield _hot_rows(1, ids, history[first], word[first], c)
-
-
-class Hot:
-    """Frequent words and pairs with exact training counts, sorted by id. Start
-    and end are always among the words; the start's count is that of texts."""
-
-    def __init__(self, words_: list[int], pairs: list[tuple[int, int, int]]):
-        self.words = np.unique(np.concatenate([np.array(words_, np.int64).view(np.uint64), [START, END]]).astype(np.uint64))
-        pairs = sorted(pairs, key=lambda x: np.int64(x[0]).view(np.uint64))
-        self.pairs, self.pair_p, self.pair_w = (np.array([x[i] for x in pairs], np.int64).view(np.uint64) for i in range(3))
-        self.word_c, self.pair_c = np.zeros(len(self.words), np.int64), np.zeros(len(self.pairs), np.int64)
-
-    @staticmethod
-    def places(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
-        """Where each value stands, -1 if it is not there."""
-        if not len(sorted_):
-            return np.full(len(x), -1, np.int64)
-        at = np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)
-        return np.where(sorted_[at] == x, at, -1)
-
-    def settled(self) -> np.ndarray:
-        """Pairs that never travel: the word is hot too."""
-        return self.places(self.words, self.pair_w) >= 0
-
-
-def find_hot(rows: DataFrame) -> tuple[Hot, int]:
-    """(hot words and pairs, training tokens) of rows(train, text)."""
-    training = rows.filter("train").select("text")
-
-    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in _slices(batches):
-            word, history, _ = tokens(batch.column(0))
-            held.append((word, history))
-            size += len(word)
-            if size >= BLOCK_TOKENS:
-                yield from _often(*map(np.concatenate, zip(*held)))
-                held, size = [], 0
-        if held:
-            yield from _often(*map(np.concatenate, zip(*held)))
-
-    found = saved(training.mapInArrow(often, HOT).groupBy("kind", "id").agg(F.min("p").alias("p"), F.min("w").alias("w"), F.sum("c").alias("c")), "katz-often")
-    n = found.filter("kind = 2").agg(F.sum("c")).first()[0] or 0
-
-    def most(kind: int, share: float) -> list:
-        return found.filter((F.col("kind") == kind) & (F.col("c") >= share * n)).orderBy(F.desc("c"), "id").limit(MOST_HOT).collect()
-
-    hot = Hot([r["id"] for r in most(0, HOT_WORDS)], [(r["id"], r["p"], r["w"]) for r in most(1, HOT_PAIRS)])
-    shared = rows.sparkSession.sparkContext.broadcast(hot)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h = shared.value
-        words_, pairs = np.zeros(len(h.words), np.int64), np.zeros(len(h.pairs), np.int64)
-        for batch in _slices(batches):
-            word, history, _ = tokens(batch.column(0))
-            for total, ids, x in ((words_, h.words, word), (pairs, h.pairs, pair_hash(history, word))):
-                at = Hot.places(ids, x)
-                total += np.bincount(at[at >= 0], minlength=len(total))
-            words_[np.searchsorted(h.words, START)] += batch.num_rows
-        for kind, total in ((0, words_), (1, pairs)):
-            at = np.flatnonzero(total).astype(np.uint64)
-            yield _hot_rows(kind, at, at, at, total[at.astype(np.int64)])
-
-    for r in training.mapInArrow(count, HOT).groupBy("kind", "id").agg(F.sum("c").alias("c")).collect():
-        (hot.pair_c if r["kind"] else hot.word_c)[r["id"]] = r["c"]
-    return hot, n
-
-
-# --- tokens to buckets -------------------------------------------------------
-
-#: Sums per text: log10 of counts above K of seen pairs, seen pairs by count 1 to
-#: K, then what backs off: log10 of word counts above K, known words, words by
-#: count 0 to K; then log10(c + 0.1), log10(c + 1) of histories, known tokens.
-FLOATS = ("seen_log", "back_log", "base_log", "history_log")
-COUNTS = (*(f"seen{r}" for r in range(1, K + 1)), "back_known", *(f"back{r}" for r in range(K + 1)), "known", "n_tokens")
-
-
-class Sums:
-    """The sums of some texts, by column."""
-
-    def __init__(self, n: int):
-        self.f = {c: np.zeros(n) for c in FLOATS}
-        self.i = {c: np.zeros(n, np.int32) for c in COUNTS}
-        self.n = n
-
-    def add(self, column: str, text: np.ndarray, values: np.ndarray | None = None) -> None:
-        if values is None:
-            self.i[column] += np.bincount(text, minlength=self.n).astype(np.int32)
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of whole numbers (in the smallest width that holds them) or of
+    doubles as one value."""
+    out = [np.array([len(arrays)], "<i4").tobytes()]
+    for a in arrays:
+        if a.dtype.kind == "f":
+            a, code = a.astype("<f8"), 0
         else:
-            self.f[column] += np.bincount(text, values, minlength=self.n)
+            most = int(a.max()) if len(a) else 0
+            code = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+            a = a.astype(f"<u{code}")
+        out += [np.array([code, len(a)], "<i8").tobytes(), a.tobytes()]
+    return b"".join(out)
+
+
+def unpack(raw: bytes) -> list[np.ndarray]:
+    out, at = [], 4
+    for _ in range(int(np.frombuffer(raw, "<i4", 1)[0])):
+        code, n = np.frombuffer(raw, "<i8", 2, at).tolist()
+        kind = np.dtype("<f8" if code == 0 else f"<u{code}")
+        a = np.frombuffer(raw, kind, n, at + 16)
+        out.append(a if code == 0 else a.astype(np.int64))
+        at += 16 + n * kind.itemsize
+    return out
 
-    def words(self, text: np.ndarray, c: np.ndarray) -> None:
-        """Base sums of tokens whose word has the training count c."""
-        self.add("base_log", text, np.log10(c + 0.1))
-        self.add("known", text[c > 0])
 
-    def histories(self, text: np.ndarray, c: np.ndarray) -> None:
-        self.add("history_log", text, np.log10(c + 1.0))
+def joined(raws: list[bytes], n: int) -> list[np.ndarray]:
+    """The n arrays of several packed values, each joined."""
+    parts = [unpack(r) for r in raws]
+    return [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(n)]
 
-    def seen(self, text: np.ndarray, c: np.ndarray) -> None:
-        big = c > K
-        self.add("seen_log", text[big], np.log10(c[big]))
-        for r in range(1, K + 1):
-            self.add(f"seen{r}", text[c == r])
 
-    def backs_off(self, text: np.ndarray, c: np.ndarray) -> None:
-        """Tokens whose pair was not seen and whose word has the count c."""
-        big = c > K
-        self.add("back_log", text[big], np.log10(c[big]))
-        self.add("back_known", text[c > 0])
-        for r in range(K + 1):
-            self.add(f"back{r}", text[c == r])
+#: kind 0: a chunk; 1: what a chunk sends to a bucket, or the answer; 2: a part of
+#: an order's table; 3: counts of counts (1 to K + 1), distinct n-grams and tokens;
+#: 4: a bucket's share in a hot history ``key``: counts of counts 1 to K, lower mass.
+ROWS = "kind int, ord int, chunk bigint, bucket bigint, ids array<{id}>, data binary, key binary, s array<bigint>, lower double"
+NAMES = ["kind", "ord", "chunk", "bucket", "ids", "data", "key", "s", "lower"]
 
-    def pack(self) -> bytes:
-        """Columns that are not all 0, with their numbers."""
-        used = [(k, x) for k, x in enumerate([*self.f.values(), *self.i.values()]) if x.any()]
-        return b"".join([np.array([len(used), *(k for k, _ in used)], np.int32).tobytes(), *(x.tobytes() for _, x in used)])
 
-    def unpack_add(self, raw: bytes, rows: np.ndarray) -> None:
-        """Add packed sums of the texts ``rows``."""
-        n = int(np.frombuffer(raw, np.int32, 1)[0])
-        at = 4 * (1 + n)
-        columns = [*self.f.values(), *self.i.values()]
-        for k in np.frombuffer(raw, np.int32, n, 4):
-            kind = columns[k].dtype
-            columns[k][rows] += np.frombuffer(raw, kind, len(rows), at)
-            at += kind.itemsize * len(rows)
+def _rows(rows: list[tuple], ids: pa.DataType) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), ids, pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.float64()]
+    cols = zip(*rows) if rows else [()] * len(NAMES)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=NAMES)
 
 
-PACKED = "bucket bigint, chunk bigint, train int, w16 binary, w64 binary, p16 binary, p64 binary, d16 binary, ids array<{id}>, sums binary"
-NAMES = ["bucket", "chunk", "train", "w16", "w64", "p16", "p64", "d16", "ids", "sums"]
+def _per_bucket(bucket: np.ndarray) -> list[tuple[int, slice]]:
+    """(bucket, places) of each bucket of sorted buckets."""
+    if not len(bucket):
+        return []
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
+    return [(int(bucket[a]), slice(a, b)) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 
-def _codes(h: Hot, x: np.ndarray, at: np.ndarray) -> tuple[bytes, bytes]:
-    return np.where(at >= 0, at, int(COLD)).astype(np.uint16).tobytes(), x[at < 0].tobytes()
+# --- chunks ---------------------------------------------------------------------
 
 
-def _decode(h: Hot, codes: bytes, cold: bytes) -> np.ndarray:
-    c = np.frombuffer(codes, np.uint16)
-    out = h.words[np.minimum(c, len(h.words) - 1)]
-    out[c == COLD] = np.frombuffer(cold, np.uint64)
-    return out
-
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all tokens, in order, and how many each text has."""
+    w = W.words(texts)
+    n = len(w.ptr) - 1
+    out = np.full(len(w.hash) + n, END, np.uint64)
+    is_end = np.zeros(len(out), bool)
+    is_end[w.ptr[1:] + np.arange(n)] = True
+    out[~is_end] = w.hash
+    return out, w.counts + 1
 
-def packed(rows: DataFrame, hot, buckets: int) -> DataFrame:
-    """The tokens of rows(id, train, text) by bucket, and one row per chunk with
-    its ids (training rows first) and the sums that need no bucket.
 
-    Buckets 0 to ``buckets`` - 1 take rare words, the next ``buckets`` take
-    pairs of frequent words, negative ones the rows of chunks."""
+def chunks(rows: DataFrame, buckets: int) -> DataFrame:
+    """The texts of rows(id, train, text) as chunks, training rows first, and the
+    words that each chunk sends to the buckets with their training counts."""
+    id_type = dict(rows.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        h: Hot = hot.value
         chunk = TaskContext.get().partitionId() << 32
-        for batch in _slices(batches):
-            order = np.argsort(~batch.column(1).to_numpy(zero_copy_only=False), kind="stable")
-            batch = batch.take(pa.array(order))
-            train = int(np.count_nonzero(batch.column(1).to_numpy(zero_copy_only=False)))
-            word, history, text = tokens(batch.column(2))
-            pair = pair_hash(history, word)
-            at_w, at_p, at_pair = Hot.places(h.words, word), Hot.places(h.words, history), Hot.places(h.pairs, pair)
-            sums = Sums(batch.num_rows)
-            sums.add("n_tokens", text)
-            sums.words(text[at_w >= 0], h.word_c[at_w[at_w >= 0]])
-            sums.histories(text[at_p >= 0], h.word_c[at_p[at_p >= 0]])
-            here = (at_w >= 0) & (at_pair >= 0)
-            counts = h.pair_c[at_pair[here]]
-            sums.seen(text[here], counts)
-            out = [(-1 - (chunk % buckets), chunk, train, None, None, None, None, None, batch.column(0).to_pylist(), sums.pack())]
-            go = np.flatnonzero(~here)
-            bucket = np.where(at_w[go] < 0, word[go] % np.uint64(buckets), pair[go] % np.uint64(buckets) + np.uint64(buckets)).astype(np.int64)
-            by = np.argsort(bucket, kind="stable")
-            go, bucket = go[by], bucket[by]
-            cuts = np.flatnonzero(np.diff(bucket)) + 1
-            for part in np.split(np.arange(len(go)), cuts) if len(go) else []:
-                own = go[part]
-                w16, w64 = _codes(h, word[own], at_w[own])
-                p16, p64 = _codes(h, history[own], at_p[own])
-                out.append((int(bucket[part[0]]), chunk, train, w16, w64, p16, p64, text[own].astype(np.uint16).tobytes(), None, None))
-            chunk += 1
-            types = [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 5, pa.list_(batch.column(0).type), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=NAMES)
-
-    return rows.mapInArrow(run, PACKED.format(id=dict(rows.dtypes)["id"]))
-
-
-# --- in a bucket -------------------------------------------------------------
-
-#: Rows a bucket gives. kind 0: sums of a chunk's texts ``docs``; 1: a history's
-#: seen pairs, of counts above K (sum) and by count, and their words likewise;
-#: 2: tokens of text ``doc`` of a chunk that back off from a history; 3: counts of
-#: counts (pairs, then words; 1 to K + 1) and in ``n`` the number of words.
-SEEN = (*(f"t{r}" for r in range(K + 1)), *(f"u{r}" for r in range(K + 1)))
-COUNTED = "kind int, key bigint, doc int, n bigint, " + ", ".join(f"{c} bigint" for c in SEEN) + ", docs binary, sums binary, train int, ids array<{id}>"
-
-
-def _of_pairs(p: np.ndarray, c_pair: np.ndarray, c_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For distinct pairs: the histories and, per history, the ``SEEN`` sums."""
-    ids, inverse = np.unique(p, return_inverse=True)
-    out = np.zeros((2 * (K + 1), len(ids)), np.int64)
-    for base, c in ((0, c_pair), (K + 1, c_word)):
-        big = c > K
-        out[base] = np.bincount(inverse[big], c[big], minlength=len(ids)).astype(np.int64)
-        for r in range(1, K + 1):
-            out[base + r] = np.bincount(inverse[c == r], minlength=len(ids))
-    return ids, out
+        for batch in batches:
+            for lo, hi in W.row_slices(batch.column(2), CHUNK_BYTES):
+                for at in range(lo, hi, CHUNK_ROWS):
+                    part = batch.slice(at, min(CHUNK_ROWS, hi - at))
+                    train = part.column(1).to_numpy(zero_copy_only=False)
+                    order = np.argsort(~train, kind="stable")
+                    part = part.take(pa.array(order))
+                    word, counts = tokens(part.column(2))
+                    vocabulary, local = np.unique(word, return_inverse=True)
+                    bucket = (vocabulary % np.uint64(buckets)).astype(np.int64)
+                    by = np.lexsort((vocabulary, bucket))
+                    place = np.empty(len(by), np.int64)
+                    place[by] = np.arange(len(by))
+                    local = place[local]
+                    n_train = int(np.count_nonzero(train))
+                    c = np.bincount(local[: counts[:n_train].sum()], minlength=len(by))
+                    out = [(0, 1, chunk, -1, part.column(0).to_pylist(), pack(np.array([n_train]), counts, local), None, None, None)]
+                    own = vocabulary[by]
+                    out += [(1, 1, chunk, b, None, pack(own[s], c[s]), None, None, None) for b, s in _per_bucket(bucket[by])]
+                    chunk += 1
+                    yield _rows(out, pa.list_(batch.column(0).type))
+
+    return rows.mapInArrow(run, ROWS.format(id=id_type))
 
 
-def _counts_of_counts(c: np.ndarray) -> np.ndarray:
-    return np.bincount(np.minimum(c, K + 2), minlength=K + 3)[1 : K + 2]
-
-
-def counted(packed_rows: DataFrame, hot, buckets: int) -> DataFrame:
-    schema = COUNTED.format(id=packed_rows.schema["ids"].dataType.elementType.simpleString())
-    names = [c.strip().split(" ")[0] for c in schema.split(",")]
+class Model:
+    """What is known of the whole corpus: for each order the discounts, the
+    counts of hot histories' n-grams and their lower mass."""
+
+    def __init__(self, texts: int):
+        self.texts, self.n, self.v, self.unknown = texts, 0, 0, 1.0
+        self.d: dict[int, np.ndarray] = {}  # discounted counts 0 to K
+        self.hot: dict[int, dict[bytes, tuple]] = {}
+
+    def learn(self, order: int, s: list[int], hot: list) -> None:
+        """s: counts of counts 1 to K + 1, distinct n-grams, tokens."""
+        d = discounts(s[: K + 1])
+        self.d[order] = np.array([0.0, *(r * x for r, x in enumerate(d, 1))])
+        self.hot[order] = {bytes(r["key"]): (r["s"], r["lower"]) for r in hot}
+        if order == 1:
+            self.v, self.n = s[K + 1], s[K + 2]
+            low = sum(r * x for r, x in enumerate(s[:K], 1))
+            mass = self.n - low + sum(self.d[1][r] * s[r - 1] for r in range(1, K + 1))
+            self.unknown = 1.0 - mass / (self.n + 1)
+
+    def discounted(self, order: int, c: np.ndarray) -> np.ndarray:
+        return np.where(c > K, c, self.d[order][np.minimum(c, K)])
+
+    def least_hot(self, share: float) -> float:
+        return max(2.0, share * self.n)
+
+
+class Chunk:
+    """A chunk's tokens and, order by order, the answers of the buckets."""
+
+    def __init__(self, rows: list[dict], model: Model, share: float, buckets: int):
+        own = next(r for r in rows if r["kind"] == 0)
+        self.number, self.ids = own["chunk"], own["ids"]
+        (train,), self.counts, self.word = unpack(own["data"])
+        self.train = int(train)
+        self.model, self.share, self.buckets = model, share, buckets
+        self.begins = np.concatenate([[0], np.cumsum(self.counts)[:-1]]).astype(np.int64)
+        self.n_train = int(self.counts[: self.train].sum())
+        answers: dict[int, list[dict]] = {}
+        for r in sorted((r for r in rows if r["kind"] == 1), key=lambda r: (r["ord"], r["bucket"])):
+            answers.setdefault(r["ord"], []).append(r)
+        self.id, count = joined([r["data"] for r in answers[1]], 2)
+        self.id = self.id + 1  # 0 is the start
+        self.c = count[self.word]  # of the tokens' n-grams, of the order reached so far
+        self.known = self.c
+        self.p = np.where(self.c > 0, model.discounted(1, self.c) / (model.n + 1), model.unknown)
+        self.histories = [np.zeros(len(self.word), np.int64)]
+        for order in range(2, max(answers) + 1):
+            self.step(order)
+            self.answer([r["data"] for r in answers[order]])
+
+    def shifted(self, x: np.ndarray, start) -> np.ndarray:
+        """x of the token before, in the same text."""
+        out = np.empty_like(x)
+        out[1:] = x[:-1]
+        out[self.begins] = start
+        return out
+
+    def step(self, order: int) -> None:
+        """The distinct n-grams of an order as they go to the buckets."""
+        self.order = order
+        last = self.shifted(self.word + 1, 0)
+        before = self.shifted(self.histories[-1], 0)
+        # the start's number is the smallest, so texts begin with history 0
+        history = np.unique(before * (len(self.id) + 2) + last, return_inverse=True)[1]
+        self.histories.append(history)
+        self.c_history = self.shifted(self.c, self.model.texts)
+        pair, first, self.gram = np.unique(history * (len(self.id) + 1) + self.word, return_index=True, return_inverse=True)
+        del pair
+        self.first = first
+        c = np.bincount(self.gram[: self.n_train], minlength=len(first))
+        ids = np.concatenate([[0], self.id])
+        self.tuples, back = [], last
+        for _ in range(order - 1):  # the history's words, the last one first
+            self.tuples.append(ids[back][first])
+            back = self.shifted(back, 0)
+        key = np.zeros(len(first), np.uint64)
+        for x in self.tuples:
+            key = W.mix(key + x.astype(np.uint64) + np.uint64(17))
+        self.is_hot = self.c_history[first] >= self.model.least_hot(self.share)
+        self.w = self.id[self.word[first]]
+        key = np.where(self.is_hot, W.mix(key + self.w.astype(np.uint64)), key)
+        bucket = (key % np.uint64(self.buckets)).astype(np.int64)
+        self.by = np.lexsort((history[first], bucket))
+        self.bucket, self.grams_c, self.gram_history = bucket[self.by], c[self.by], history[first][self.by]
+
+    def requests(self) -> Iterator[tuple]:
+        p = self.p[self.first]
+        for b, s in _per_bucket(self.bucket):
+            own = self.by[s]
+            runs = self.runs(s)
+            values, code = np.unique(p[own], return_inverse=True)
+            heads = own[runs]
+            data = pack(*(x[heads] for x in self.tuples), np.diff(np.append(runs, len(own))), self.c_history[self.first[heads]], self.is_hot[heads], self.w[own], self.grams_c[s], code, values)
+            yield (1, self.order, self.number, b, None, data, None, None, None)
+
+    def runs(self, s: slice) -> np.ndarray:
+        """Where each history begins within the places s."""
+        h = self.gram_history[s]
+        return np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+
+    def answer(self, raws: list[bytes]) -> None:
+        """Take the buckets' answers: probabilities of this order."""
+        m, order = self.model, self.order
+        c, t, lower = joined(raws, 3)
+        t = t.reshape(-1, K)
+        heads = np.concatenate([s.start + self.runs(s) for _, s in _per_bucket(self.bucket)]) if len(self.bucket) else np.zeros(0, np.int64)
+        own = self.by[heads]
+        for i in np.flatnonzero(self.is_hot[own]).tolist():
+            key = np.array([x[own[i]] for x in self.tuples], "<i8").tobytes()
+            t[i], lower[i] = m.hot[order].get(key, ([0] * K, 0.0))
+        c_history = self.c_history[self.first[own]]
+        r = np.arange(1, K + 1)
+        mass = c_history - t @ r + t @ m.d[order][1:]
+        alpha = np.where(c_history > 0, (1 - mass / (c_history + 1)) / (1 - lower), 1.0)
+        run = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(self.by))))
+        of_gram_c, of_gram_alpha = np.empty(len(self.by), np.int64), np.empty(len(self.by))
+        of_gram_c[self.by], of_gram_alpha[self.by] = c, alpha[run]
+        self.c = of_gram_c[self.gram]
+        seen = m.discounted(order, self.c) / (self.c_history + 1)
+        self.p = np.where(self.c > 0, seen, of_gram_alpha[self.gram] * self.p)
+
+
+# --- buckets --------------------------------------------------------------------
+
+
+def _counts_of_counts(c: np.ndarray, tokens_: int = 0) -> list[int]:
+    of = np.bincount(np.minimum(c, K + 2), minlength=K + 3)[1 : K + 2]
+    return [*of.tolist(), int((c > 0).sum()), tokens_]
+
+
+def counted_words(sent: DataFrame, buckets: int) -> DataFrame:
+    """The first round: exact counts and numbers of all words of a bucket."""
+    id_type = sent.schema["ids"].dataType.elementType.simpleString()
 
-    def table_of(cols: dict, n: int, like: pa.Schema) -> pa.Table:
-        types = {"kind": pa.int32(), "doc": pa.int32(), "train": pa.int32(), "docs": pa.binary(), "sums": pa.binary(), "ids": like.field("ids").type}
-        return pa.table({c: cols[c] if c in cols else pa.nulls(n, types.get(c, pa.int64())) for c in names})
+    def run(t: pa.Table) -> pa.Table:
+        bucket, ids = t.column("bucket")[0].as_py(), t.schema.field("ids").type
+        parts = [unpack(raw) for raw in t.column("data").to_pylist()]
+        sizes = [len(p[0]) for p in parts]
+        word, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        c = np.bincount(inverse, np.concatenate([p[1] for p in parts]), minlength=len(word)).astype(np.int64)
+        number = np.arange(len(word)) * buckets + bucket
+        ends = np.cumsum(sizes)
+        out = [(1, 1, k, bucket, None, pack(number[inverse[e - n : e]], c[inverse[e - n : e]]), None, None, None) for k, n, e in zip(t.column("chunk").to_pylist(), sizes, ends.tolist())]
+        out.append((2, 1, -1, bucket, None, pack(word.view(np.uint64), number, c), None, None, None))
+        out.append((3, 1, -1, bucket, None, None, None, _counts_of_counts(c, int(c.sum())), None))
+        return pa.Table.from_batches([_rows(out, ids)])
+
+    return sent.groupBy("bucket").applyInArrow(run, ROWS.format(id=id_type))
+
+
+def counted_grams(sent: DataFrame, order: int) -> DataFrame:
+    """Later rounds: exact counts of a bucket's n-grams, and for each history
+    what its backoff weight needs."""
+    id_type = sent.schema["ids"].dataType.elementType.simpleString()
 
     def run(t: pa.Table) -> pa.Table:
-        h: Hot = hot.value
-        bucket = t.column("bucket")[0].as_py()
-        n = t.num_rows
-        if bucket < 0:
-            return table_of({"kind": pa.array(np.zeros(n, np.int32)), "key": t.column("chunk"), "sums": t.column("sums"), "train": t.column("train"), "ids": t.column("ids")}, n, t.schema)
-        cols = {c: t.column(c).to_pylist() for c in ("w16", "w64", "p16", "p64", "d16")}
-        chunks, trains = t.column("chunk").to_numpy(), t.column("train").to_numpy()
-        word = np.concatenate([_decode(h, a, b) for a, b in zip(cols["w16"], cols["w64"])])
-        history = np.concatenate([_decode(h, a, b) for a, b in zip(cols["p16"], cols["p64"])])
-        sizes = np.array([len(x) // 2 for x in cols["d16"]])
-        doc = np.concatenate([np.frombuffer(x, np.uint16) for x in cols["d16"]]).astype(np.int64)
-        del cols
-        row = np.repeat(np.arange(n), sizes)
-        training = doc < trains[row]
-        text, place = np.unique((row << 16) | doc, return_inverse=True)
-        # exact counts of pairs, and of words where the bucket has all of a word
-        order = np.lexsort((history, word))
-        new = np.ones(len(order), bool)
-        new[1:] = (word[order][1:] != word[order][:-1]) | (history[order][1:] != history[order][:-1])
-        group = np.empty(len(order), np.int64)
-        group[order] = np.cumsum(new) - 1
-        c_pair = np.bincount(group, training).astype(np.int64)
-        first = order[new]  # one token of each distinct pair
-        if bucket < buckets:
-            change = np.ones(len(first), bool)
-            change[1:] = word[first][1:] != word[first][:-1]
-            of_word = np.cumsum(change) - 1
-            c_words = np.bincount(of_word, c_pair).astype(np.int64)
-            c_word_of_pair = c_words[of_word]
-        else:
-            c_words = np.zeros(0, np.int64)
-            c_word_of_pair = h.word_c[Hot.places(h.words, word[first])]
-        sums = Sums(len(text))
-        c, cw = c_pair[group], c_word_of_pair[group]
-        if bucket < buckets:
-            sums.words(place, cw)
-            sums.histories(place, cw)
-        known = c > 0
-        sums.seen(place[known], c[known])
-        back = np.flatnonzero(~known)
-        sums.backs_off(place[back], cw[back])
-        out = []
-        starts = np.searchsorted(text >> 16, np.arange(n + 1))
-        packs, docs = [], []
-        for i in range(n):
-            part = slice(starts[i], starts[i + 1])
-            one = Sums(0)
-            one.f = {k: v[part] for k, v in sums.f.items()}
-            one.i = {k: v[part] for k, v in sums.i.items()}
-            packs.append(one.pack())
-            docs.append((text[part] & 0xFFFF).astype(np.uint16).tobytes())
-        out.append(table_of({"kind": pa.array(np.zeros(n, np.int32)), "key": pa.array(chunks), "docs": pa.array(docs, pa.binary()), "sums": pa.array(packs, pa.binary())}, n, t.schema))
-        seen = c_pair > 0
-        ids, s = _of_pairs(history[first[seen]], c_pair[seen], c_word_of_pair[seen])
-        out.append(table_of({"kind": pa.array(np.ones(len(ids), np.int32)), "key": pa.array(ids.view(np.int64))} | {c: pa.array(s[k]) for k, c in enumerate(SEEN)}, len(ids), t.schema))
-        out.append(table_of({"kind": pa.array(np.full(len(back), 2, np.int32)), "key": pa.array(history[back].view(np.int64)), "doc": pa.array(doc[back].astype(np.int32)), "n": pa.array(chunks[row[back]])}, len(back), t.schema))
-        stats = [0, *_counts_of_counts(c_pair), 0, *_counts_of_counts(c_words)]
-        del stats[K + 2]  # pairs and words by count 1 to K + 1
-        stats = stats[1:]
-        out.append(table_of({"kind": pa.array([3], pa.int32()), "n": pa.array([int((c_words > 0).sum())], pa.int64())} | {c: pa.array([int(x)], pa.int64()) for c, x in zip(SEEN, stats)}, 1, t.schema))
-        return pa.concat_tables(out)
-
-    return packed_rows.groupBy("bucket").applyInArrow(run, schema)
-
-
-# --- the model ---------------------------------------------------------------
+        bucket, ids = t.column("bucket")[0].as_py(), t.schema.field("ids").type
+        raws, chunk = t.column("data").to_pylist(), t.column("chunk").to_pylist()
+        h = order - 1
+        heads, grams, lower, sizes, run_sizes = [[] for _ in range(h + 2)], [[] for _ in range(3)], [], [], []
+        for raw in raws:
+            parts = unpack(raw)
+            for x, y in zip(heads, [*parts[:h], parts[h + 1], parts[h + 2]]):
+                x.append(y)
+            grams[0].append(parts[h + 3])
+            grams[1].append(parts[h + 4])
+            grams[2].append(parts[h])  # sizes of runs
+            lower.append(parts[h + 6][parts[h + 5]])
+            sizes.append(len(parts[h + 3]))
+            run_sizes.append(len(parts[h]))
+        heads = [np.concatenate(x) for x in heads]
+        w, c, size = (np.concatenate(x) for x in grams)
+        lower = np.concatenate(lower)
+        # number the histories, then the n-grams
+        by = np.lexsort(heads[:h])
+        new = np.zeros(len(by), bool)
+        new[:1] = True
+        for x in heads[:h]:
+            new[1:] |= x[by][1:] != x[by][:-1]
+        number = np.empty(len(by), np.int64)
+        number[by] = np.cumsum(new) - 1
+        one = by[new]  # a run of each history
+        history = np.repeat(number, size)
+        by = np.lexsort((w, history))
+        new = np.ones(len(by), bool)
+        new[1:] = (w[by][1:] != w[by][:-1]) | (history[by][1:] != history[by][:-1])
+        gram = np.empty(len(by), np.int64)
+        gram[by] = np.cumsum(new) - 1
+        first = by[new]
+        total = np.bincount(gram, c, minlength=len(first)).astype(np.int64)
+        seen = np.flatnonzero(total)
+        of = history[first[seen]]
+        counts = np.zeros((len(one), K), np.int64)
+        for r in range(1, K + 1):
+            counts[:, r - 1] = np.bincount(of[total[seen] == r], minlength=len(one))
+        mass = np.bincount(of, lower[first[seen]], minlength=len(one))
+        out, at, run_at = [], 0, 0
+        for k, n, runs in zip(chunk, sizes, run_sizes):
+            own = number[run_at : run_at + runs]
+            out.append((1, order, k, bucket, None, pack(total[gram[at : at + n]], counts[own].ravel(), mass[own]), None, None, None))
+            at, run_at = at + n, run_at + runs
+        for i in np.flatnonzero(heads[h + 1][one]).tolist():
+            key = np.array([x[one[i]] for x in heads[:h]], "<i8").tobytes()
+            out.append((4, order, -1, bucket, None, None, key, counts[i].tolist(), float(mass[i])))
+        out.append((2, order, -1, bucket, None, pack(*(x[one] for x in heads[:h]), of, w[first[seen]], total[seen]), None, None, None))
+        out.append((3, order, -1, bucket, None, None, None, _counts_of_counts(total), None))
+        return pa.Table.from_batches([_rows(out, ids)])
+
+    return sent.groupBy("bucket").applyInArrow(run, ROWS.format(id=id_type))
 
 
 def discounts(n: list[int]) -> list[float]:
@@ -412,93 +383,59 @@ def discounts(n: list[int]) -> list[float]:
     return [x if 0 < x <= 1 else y for x, y in zip(d, plain)]
 
 
-class Model:
-    """Numbers of the model that do not depend on a word."""
-
-    def __init__(self, tokens_: int, distinct: int, of_pairs: list[int], of_words: list[int], words_above: int):
-        """of_pairs, of_words: counts of counts 1 to K + 1; words_above: the sum
-        of word counts above K."""
-        self.n, self.v = tokens_, distinct
-        self.d, self.d1 = discounts(of_pairs), discounts(of_words)
-        mass = words_above + sum(self.d1[r - 1] * r * of_words[r - 1] for r in range(1, K + 1))
-        self.unknown = 1.0 - mass / (self.n + 1)
-
-
-def _mass(first: str, d: list[float]) -> Column:
-    """The discounted counts of a history's pairs, or of their words."""
-    out = F.col(f"{first}0").cast("double")
-    for r in range(1, K + 1):
-        out = out + F.col(f"{first}{r}") * F.lit(d[r - 1] * r)
-    return out
+# --- the whole -------------------------------------------------------------------
 
 
-def backoff_weights(seen: DataFrame, m: Model) -> DataFrame:
-    """(key, weight): what a token that backs off from a history adds: log10 of
-    alpha, and of c + 1, which the sum over all histories has taken off."""
-    c = F.col("t0") + sum((F.col(f"t{r}") * r for r in range(1, K + 1)), F.lit(0))
-    part = seen.select("key", c.alias("c"), _mass("t", m.d).alias("pairs"), _mass("u", m.d1).alias("words"))
-    total = part.groupBy("key").agg(F.sum("c").alias("c"), F.sum("pairs").alias("pairs"), F.sum("words").alias("words"))
-    free = 1 - F.col("pairs") / (F.col("c") + 1)
-    other = 1 - F.col("words") / F.lit(m.n + 1.0)
-    return total.select("key", (F.log10(free / other) + F.log10(F.col("c") + 1)).alias("weight"))
+def _learned(model: Model, order: int, answers: DataFrame) -> None:
+    stats = answers.filter("kind = 3").agg(*(F.sum(F.col("s")[i]) for i in range(K + 3))).first()
+    hot = answers.filter("kind = 4").groupBy("key").agg(F.array(*(F.sum(F.col("s")[i]) for i in range(K))).alias("s"), F.sum("lower").alias("lower"))
+    model.learn(order, [x or 0 for x in stats], hot.collect() if order > 1 else [])
 
 
-def texts_of(chunks: DataFrame, id_type: str) -> DataFrame:
-    """(chunk, doc, id, held_out, sums...) of every text, from the chunks' rows."""
-    schema = f"chunk bigint, doc int, id {id_type}, held_out boolean, " + ", ".join([*(f"{c} double" for c in FLOATS), *(f"{c} bigint" for c in COUNTS)])
+def _sender(shared, share: float, buckets: int, order: int):
+    def send(t: pa.Table) -> pa.Table:
+        c = Chunk(t.to_pylist(), shared.value, share, buckets)
+        c.step(order)
+        return pa.Table.from_batches([_rows(list(c.requests()), t.schema.field("ids").type)])
 
-    def run(t: pa.Table) -> pa.Table:
-        ids = t.column("ids")
-        own = next(i for i in range(t.num_rows) if ids[i].is_valid)
-        values = ids[own].values
-        n = len(values)
-        sums = Sums(n)
-        docs, raw = t.column("docs"), t.column("sums")
-        for i in range(t.num_rows):
-            rows = np.arange(n) if i == own else np.frombuffer(docs[i].as_py(), np.uint16).astype(np.int64)
-            sums.unpack_add(raw[i].as_py(), rows)
-        cols = {"chunk": pa.array(np.full(n, t.column("key")[0].as_py(), np.int64)), "doc": pa.array(np.arange(n, dtype=np.int32)), "id": values, "held_out": pa.array(np.arange(n) >= t.column("train")[own].as_py())}
-        return pa.table(cols | {c: pa.array(x) for c, x in sums.f.items()} | {c: pa.array(x.astype(np.int64)) for c, x in sums.i.items()})
-
-    return chunks.groupBy("key").applyInArrow(run, schema)
-
-
-def katz_scores(docs: DataFrame, train: Column, id_col: str = "doc_id") -> DataFrame:
+    return send
+
+
+def katz_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", order: int = ORDER) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score), one
     row per row of docs; ``train`` names the rows to learn from."""
     spark: SparkSession = docs.sparkSession
     on_workers(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), "text")
-    hot, n = find_hot(rows.select("train", "text"))
-    shared = spark.sparkContext.broadcast(hot)
-    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    # rare words are a small part of all tokens, so their buckets are smaller than the others
-    buckets = max(1, math.ceil(size / 6 / BUCKET_TOKENS))
-    out = saved(counted(packed(rows, shared, buckets), shared, buckets), "katz-counted")
-    stats = out.filter("kind = 3").agg(F.sum("n"), *(F.sum(c) for c in SEEN)).first()
-    stats = [x or 0 for x in stats]
-    tokens_of_word = hot.words != START
-    settled = hot.settled()
-    of_pairs = (np.array(stats[1 : K + 2]) + _counts_of_counts(hot.pair_c[settled])).tolist()
-    of_words = (np.array(stats[K + 2 : 2 * K + 3]) + _counts_of_counts(hot.word_c[tokens_of_word])).tolist()
-    low = sum(r * of_words[r - 1] for r in range(1, K + 1))
-    m = Model(n, int(stats[0]) + int((hot.word_c[tokens_of_word] > 0).sum()), of_pairs, of_words, n - low)
-    ids, s = _of_pairs(hot.pair_p[settled], hot.pair_c[settled], hot.word_c[Hot.places(hot.words, hot.pair_w[settled])])
-    settled_rows = pa.table({"key": pa.array(ids.view(np.int64))} | {c: pa.array(s[k]) for k, c in enumerate(SEEN)})
-    seen = out.filter("kind = 1").select("key", *SEEN)
-    if settled_rows.num_rows:
-        seen = seen.unionByName(spark.createDataFrame(settled_rows))
-    weights = backoff_weights(seen, m)
-    back = out.filter("kind = 2").select("key", "doc", F.col("n").alias("chunk"))
-    back = back.join(weights, "key").groupBy("chunk", "doc").agg(F.sum("weight").alias("back_weight"))
-    texts = texts_of(out.filter("kind = 0").select("key", "docs", "sums", "train", "ids"), dict(rows.dtypes)["id"])
-    t = texts.join(back, ["chunk", "doc"], "left")
-    score = F.col("seen_log") - F.col("history_log") + F.coalesce("back_weight", F.lit(0.0)) + F.col("back_log") - F.col("back_known") * math.log10(n + 1)
-    for r in range(1, K + 1):
-        score = score + F.col(f"seen{r}") * math.log10(r * m.d[r - 1]) + F.col(f"back{r}") * math.log10(r * m.d1[r - 1])
-    score = score + F.col("back0") * math.log10(m.unknown)
-    base = F.col("base_log") - F.col("n_tokens") * math.log10(n + 0.1 * (m.v + 1))
-    return t.select(F.col("id").alias(id_col), "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score"))
+    size, texts = rows.agg(F.sum(F.octet_length("text").cast("long")), F.sum(F.col("train").cast("long"))).first()
+    buckets = max(1, math.ceil((size or 0) / 6 / BUCKET_TOKENS))
+    stored = saved(chunks(rows, buckets), "katz-chunks")
+    model = Model(texts or 0)
+    answers = saved(counted_words(stored.filter("kind = 1"), buckets), "katz-words")
+    _learned(model, 1, answers)
+    id_type = dict(rows.dtypes)["id"]
+    whole = stored.filter("kind = 0").unionByName(answers.filter("kind = 1"))
+    share = HOT
+    for k in range(2, order + 1):
+        sent = whole.groupBy("chunk").applyInArrow(_sender(spark.sparkContext.broadcast(model), share, buckets, k), ROWS.format(id=id_type))
+        answers = saved(counted_grams(sent, k), f"katz-grams-{k}")
+        _learned(model, k, answers)
+        whole = whole.unionByName(answers.filter("kind = 1"))
+    shared = spark.sparkContext.broadcast(model)
+
+    def score(t: pa.Table) -> pa.Table:
+        m = shared.value
+        c = Chunk(t.to_pylist(), m, share, buckets)
+        text = np.repeat(np.arange(len(c.counts)), c.counts)
+        add = lambda x: np.bincount(text, x, minlength=len(c.counts))
+        base = add(np.log10(c.known + 0.1)) - c.counts * math.log10(m.n + 0.1 * (m.v + 1))
+        held_out = np.arange(len(c.counts)) >= c.train
+        cols = [pa.array(c.ids, t.schema.field("ids").type.value_type), pa.array(held_out), pa.array(c.counts), pa.array(add(c.known > 0).astype(np.int64)), pa.array(base), pa.array(add(np.log10(c.p)))]
+        return pa.table(cols, names=["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    schema = f"id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+    out = whole.groupBy("chunk").applyInArrow(score, schema)
+    return out.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def training_rows(doc_id: Column) -> Column:

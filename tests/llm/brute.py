@@ -86,52 +86,50 @@ def tokens(text):
 
 
 class Katz:
-    """The bigram model of stationday.llm.katz, with dictionaries."""
+    """The model of stationday.llm.katz, with dictionaries."""
 
-    def __init__(self, texts, k, discounts):
-        self.k = k
-        self.uni, self.bi = Counter(), Counter()
+    def __init__(self, texts, k, discounts, order=2):
+        self.k, self.order = k, order
+        self.c = [Counter() for _ in range(order + 1)]  # n-grams as tuples
         for t in texts:
-            p = "<s>"
-            self.uni["<s>"] += 1
-            for w in tokens(t):
-                self.uni[w] += 1
-                self.bi[p, w] += 1
-                p = w
-        self.n = sum(c for w, c in self.uni.items() if w != "<s>")
-        of = lambda cs: [sum(c == r for c in cs) for r in range(1, k + 2)]
-        self.words = [w for w in self.uni if w != "<s>"]
-        self.d = discounts(of(list(self.bi.values())))
-        self.d1 = discounts(of([self.uni[w] for w in self.words]))
+            ts = tokens(t)
+            for i, w in enumerate(ts):
+                for n in range(1, order + 1):
+                    self.c[n][(*self.history(ts, i, n), w)] += 1
+        self.n = sum(self.c[1].values())
+        self.uni = Counter({w: c for (w,), c in self.c[1].items()})
+        self.words = list(self.uni)
+        self.d = [None] + [discounts([sum(c == r for c in self.c[n].values()) for r in range(1, k + 2)]) for n in range(1, order + 1)]
         self.after = {}
-        for (p, w), c in self.bi.items():
-            self.after.setdefault(p, {})[w] = c
-
-    def disc(self, d, c):
-        return c * (d[c - 1] if c <= self.k else 1.0)
-
-    def p1(self, w):
-        c = 0 if w == "<s>" else self.uni.get(w, 0)
-        if c:
-            return self.disc(self.d1, c) / (self.n + 1)
-        return 1 - sum(self.disc(self.d1, self.uni[x]) for x in self.words) / (self.n + 1)
-
-    def prob(self, p, w):
-        seen = self.after.get(p)
-        if not seen:
-            return self.p1(w)
-        total = sum(seen.values()) + 1
-        if w in seen:
-            return self.disc(self.d, seen[w]) / total
-        free = 1 - sum(self.disc(self.d, c) for c in seen.values()) / total
-        return free / (1 - sum(self.p1(x) for x in seen)) * self.p1(w)
+        for n in range(2, order + 1):
+            for (*h, w), c in self.c[n].items():
+                self.after.setdefault(tuple(h), {})[w] = c
+        self.unknown = 1 - sum(self.less(1, c) for c in self.uni.values()) / (self.n + 1)
+        self.alphas = {}
+
+    @staticmethod
+    def history(ts, i, n):
+        return tuple("<s>" if j < 0 else ts[j] for j in range(i - n + 1, i))
+
+    def less(self, n, c):
+        return c if c > self.k else c * self.d[n][c - 1]
+
+    def prob(self, h, w):
+        if not h:
+            return self.less(1, self.uni[w]) / (self.n + 1) if w in self.uni else self.unknown
+        after, n = self.after.get(h, {}), len(h) + 1
+        if w in after:
+            return self.less(n, after[w]) / (sum(after.values()) + 1)
+        if not after:
+            return self.prob(h[1:], w)
+        if h not in self.alphas:
+            free = 1 - sum(self.less(n, c) for c in after.values()) / (sum(after.values()) + 1)
+            self.alphas[h] = free / (1 - sum(self.prob(h[1:], x) for x in after))
+        return self.alphas[h] * self.prob(h[1:], w)
 
     def score(self, text):
-        p, s = "<s>", 0.0
-        for w in tokens(text):
-            s += math.log10(self.prob(p, w))
-            p = w
-        return s
+        ts = tokens(text)
+        return sum(math.log10(self.prob(self.history(ts, i, self.order), w)) for i, w in enumerate(ts))
 
 
 def prefix_trie(rows):

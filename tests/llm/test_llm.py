@@ -286,7 +286,7 @@ def check_mix(rows, got):
         by.setdefault((r["source_size"], round(r["target"], 6)), [0, 0]).__setitem__(0, by.get((r["source_size"], round(r["target"], 6)), [0, 0])[0] + r["taken"])
     for s, t in target.items():
         taken = by[total[s], round(t, 6)][0]
-        largest = max([size(x) * sum(1 for y in rows if y[0] == i and y[3] == s and size(y[1]) == size(x)) for i, x, _, z in rows if z == s], default=0)
+        largest = max([size(x) for _, x, _, z in rows if z == s], default=0)
         assert abs(taken - t) <= largest + 1e-6, s
 
 
@@ -305,6 +305,21 @@ def test_mixing_targets_and_bounds(spark, odd, none):
     assert mixed.count() == sum(r["taken"] // r["size"] for r in got if r["size"])
 
 
+def test_mixing_of_repeated_rows(spark):
+    """Rows without an id, all alike, and rows whose columns clash."""
+    rows = [(None, "w " * 10, None, "hot")] * 2000 + [(5, "a b c", None, "hot")] * 7 + [(i, "w " * (1 + i % 9), None, "b") for i in range(300)]
+    schema = "doc_id bigint, text string, lang string, source string, _id string, _copies int, copy_no string, _at int"
+    df = spark.createDataFrame([(*r, "i", 1, "c", 2) for r in rows], schema).repartition(6)
+    got = as_query(mixing.mix_sources(df)).collect()
+    check_mix(rows, got)
+    mixed = mixing.mixed_documents(df)
+    assert mixed.columns == ["doc_id", "text", "lang", "source", "_id", "_copies", "_at", "copy_no"]
+    assert mixed.count() == sum(r["taken"] // r["size"] for r in got if r["size"])
+    words = mixed.filter("source = 'hot'").agg(F.sum(F.size(F.split(F.trim("text"), " ")))).first()[0]
+    assert words == sum(r["taken"] for r in got if r["source_size"] == 20021)
+    assert mixed.groupBy("copy_no").count().filter("copy_no > 2").count() == 0
+
+
 def test_mixing_keeps_expectations(spark):
     rows = [(i, "w " * (1 + i % 7), None, "ab"[i % 2]) for i in range(300)]
     df = spark.createDataFrame([(i, t, s) for i, t, _, s in rows], "doc_id bigint, text string, source string").cache()
@@ -530,31 +545,39 @@ def test_token_counts_rows(odd, none):
 # --- 7: language model ----------------------------------------------------------
 
 
-@pytest.mark.parametrize("hot,buckets", [(2.0**-16, 10**9), (0.02, 300)])
-def test_katz_matches_plain_model(spark, odd, none, monkeypatch, hot, buckets):
+@pytest.mark.parametrize("order,hot,buckets", [(2, 2.0**-16, 1_000_000), (2, 0.02, 700), (2, 0.001, 2000), (3, 0.005, 3000), (4, 0.05, 10_000), (1, 0.1, 900)])
+def test_katz_matches_plain_model(spark, odd, none, monkeypatch, order, hot, buckets):
     rows, df = odd
-    monkeypatch.setattr(katz, "HOT_WORDS", hot)
-    monkeypatch.setattr(katz, "HOT_PAIRS", hot)
+    monkeypatch.setattr(katz, "HOT", hot)
     monkeypatch.setattr(katz, "BUCKET_TOKENS", buckets)
     monkeypatch.setattr(katz, "CHUNK_ROWS", 17)
-    rows = [r for r in rows if len(r[1] or "") < 5000]
-    df = df.filter(F.coalesce(F.length("text"), F.lit(0)) < 5000)
-    got = katz.katz_scores(df, katz.training_rows(F.col("doc_id"))).collect()
+    got = katz.katz_scores(df, katz.training_rows(F.col("doc_id")), order=order).collect()
     train = [t for i, t, *_ in rows if brute.crc(i, 10) != 0]
-    m = brute.Katz(train, katz.K, katz.discounts)
+    m = brute.Katz(train, katz.K, katz.discounts, order)
     n, v = m.n, len(m.words)
     want = []
     for i, t, *_ in rows:
         ts = brute.tokens(t)
         base = sum(np.log10((m.uni.get(w, 0) + 0.1) / (n + 0.1 * (v + 1))) for w in ts)
-        want.append((i, brute.crc(i, 10) == 0, len(ts), sum(m.uni.get(w, 0) > 0 for w in ts), n, round(float(base), 6), round(m.score(t), 6)))
-    same([(*tuple(r)[:5], round(r["base_score"], 6), round(r["score"], 6)) for r in got], want)
-    for p in ["<s>", "the", "of", "nope"]:  # the model is a distribution
-        assert sum(m.prob(p, w) for w in m.words) + m.prob(p, "never seen") == pytest.approx(1)
+        want.append((i, brute.crc(i, 10) == 0, len(ts), sum(m.uni.get(w, 0) > 0 for w in ts), n, round(float(base), 5), round(m.score(t), 5)))
+    same([(*tuple(r)[:5], round(r["base_score"], 5), round(r["score"], 5)) for r in got], want)
+    histories = [("<s>", "the", "of")[: order - 1], ("the",) * (order - 1), ("nope", "the", "on")[: order - 1]]
+    for h in histories:  # the model is a distribution
+        assert sum(m.prob(h, w) for w in m.words) + m.prob(h, "never seen") == pytest.approx(1)
+
+
+def test_katz_without_rows_or_training(spark, odd, none):
+    _, df = odd
     assert katz.katz_scores(none, F.lit(True)).count() == 0
     assert all(r["score"] <= 0 for r in katz.katz_scores(df, F.lit(False)).collect())
 
 
+def test_katz_packing():
+    a = [np.array([0, 255]), np.array([70_000, 1]), np.array([2**64 - 1], np.uint64), np.array([0.5, -1.0]), np.zeros(0, np.int64), np.array([True, False])]
+    for x, y in zip(a, katz.unpack(katz.pack(*a))):
+        assert (x.view(np.int64) if x.dtype == np.uint64 else x).tolist() == y.tolist()
+
+
 # --- 10: repetition -------------------------------------------------------------
 
 
