@@ -232,7 +232,10 @@ class Shard:
         self.sides = [(np.array(list(r)), np.array(list(r.values()))) for r in (r1, r2)]
 
     def visits(self, a: np.ndarray) -> Iterator[tuple[float, tuple[int, int]]]:
-        """(bound, cell) in falling order of the bounds."""
+        """(bound, cell) in falling order of the bounds. One of a large cell's
+        shards may have got none of its blocks."""
+        if not self.cells:
+            return
         halves = []
         for h, (at, r), book in zip(self.ix.halves(a[None].astype(np.float64)), self.sides, self.ix.books):
             bound = h[0] @ book[at].T + np.linalg.norm(h[0]) * r
@@ -392,7 +395,7 @@ def hard_negatives(rows: DataFrame) -> DataFrame:
     whole = F.array(F.struct(F.lit(-FAR).alias("lo"), F.lit(FAR).alias("hi")))
     positives = in_two_rounds(blocks, anchors.withColumn("edges", whole), index, shards, True, POSITIVES, "negatives-positives")
     # the least and the greatest whole score of a window; none below 0
-    lo, hi = F.expr(f"(score * {LOW} + 99) div 100"), F.expr(f"score * {HIGH} div 100")
+    lo, hi = F.expr(f"(CAST(score AS decimal(20,0)) * {LOW} + 99) div 100"), F.expr(f"CAST(score AS decimal(20,0)) * {HIGH} div 100")
     positives = positives.filter("score >= 0").select("anchor", (F.row_number().over(Window.partitionBy("anchor").orderBy("rank")) - 1).alias("slot"), F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score"), lo.alias("lo"), hi.alias("hi"))
     positives = saved(positives, "negatives-windows")
     edges = positives.groupBy(F.col("anchor").alias("row")).agg(F.transform(F.sort_array(F.collect_list(F.struct("slot", "lo", "hi"))), lambda e: F.struct(e["lo"].alias("lo"), e["hi"].alias("hi"))).alias("edges"))
