@@ -61,12 +61,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_saved(df: DataFrame) -> None:
-    """Delete the files of a ``saved`` table that nothing reads any more."""
-    spark = df.sparkSession
-    for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def drop_saved(*frames: DataFrame) -> None:
+    """Delete the files of ``saved`` tables that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str = "text", limit: int | None = None) -> DataFrame:
@@ -82,6 +83,14 @@ def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return df.mapInArrow(run, schema)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """A column name from ``name`` that none of ``columns`` has, in any case."""
+    taken, out = {c.lower() for c in columns}, f"_{name}"
+    while out.lower() in taken:
+        out = f"_{out}"
+    return out
+
+
 def null_safe(doc_id: Column) -> Column:
     """Orders NULL ids before all others, as ``min`` does not."""
     return F.struct(doc_id.isNotNull(), doc_id)

@@ -187,10 +187,7 @@ def search(texts: pa.Array, indexes: list[Index], filters: dict) -> list[tuple[i
                 if s >= LEAST:
                     best[text, index.items[item]] = (s, int(w.ptr[text]))
             m = index.n - k + 1  # shingles of a window
-            begins = np.unique((own[:, None] - np.arange(m)[None, :]).ravel())
-            begins = begins[begins >= 0]
-            d = doc[begins]
-            begins = begins[(begins >= w.ptr[d]) & (begins + index.n <= w.ptr[d + 1])]
+            begins = _begins(own, m, w.ptr[doc[own]], w.ptr[doc[own] + 1] - index.n)
             if not len(begins):
                 continue
             for window, item in _windows(index, h, weight, begins, m):
@@ -203,6 +200,16 @@ def search(texts: pa.Array, indexes: list[Index], filters: dict) -> list[tuple[i
     return [(t, i, s, p - int(w.ptr[t])) for (t, i), (s, p) in sorted(best.items())]
 
 
+def _begins(own: np.ndarray, m: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Where windows of m shingles begin that hold a place of ``own`` (rising),
+    between ``first`` and ``last`` of the place's text: the union of intervals,
+    so the work follows the result and not the item's length."""
+    lo, hi = np.maximum(own - m + 1, first), np.minimum(own, last)
+    lo[1:] = np.maximum(lo[1:], np.maximum.accumulate(hi)[:-1] + 1)
+    size = np.maximum(hi - lo + 1, 0)
+    return np.repeat(lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+
+
 def _short(index: Index, h: np.ndarray, weight: np.ndarray, ptr: np.ndarray, size: np.ndarray, doc: np.ndarray, own: np.ndarray, whole: dict[int, np.uint64]):
     """Candidates among the texts with fewer words than the items: (text, item).
     ``own`` are the places of the index's shingles; ``whole`` keeps the texts'

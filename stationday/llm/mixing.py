@@ -18,11 +18,14 @@ DataFrame functions only; nothing but one number (the largest group count)
 reaches the driver. Random numbers are hashes of the document ids and a seed,
 so that reruns agree.
 
-Rows that share doc_id, source and size are one unit with a multiplicity:
-repeated rows (a NULL id in many rows, say) get the same number of copies and
-are aggregated before any shuffle. NULL and empty texts have size 0 and are
-never taken; a NULL source is a source of its own; an empty table gives an
-empty result. Columns other than doc_id, text and source are not looked at.
+Rows that share doc_id, source and size are one unit with a multiplicity n
+(a NULL id in many rows, say) and are aggregated before any shuffle. Of n rows
+with the fraction f, floor(n f) get the extra copy outright, at most one is left
+with the rest as its probability, and the others get none: so repeated rows too
+miss their source's target by one document at most. NULL and empty texts have
+size 0 and are never taken; a NULL source is a source of its own; an empty table
+gives an empty result. Columns other than doc_id, text and source are not looked
+at; ``mixed_documents`` keeps them, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationday.llm.common import WORD, saved, unit_hash
+from stationday.llm.common import WORD, free_name, saved, unit_hash
 
 GROUP = 64
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -116,16 +119,26 @@ UNIT = "struct<doc_id:{id},source:{source},size:bigint,n:bigint,source_size:bigi
 
 
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MAX_COPIES, seed: int = 7) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, n): one row per unit
-    of equal rows, each of which the mix takes ``copies`` times."""
+    """(doc_id, source, size, source_size, target, copies, n): n equal rows each
+    of which the mix takes ``copies`` times; up to three such rows for rows that
+    share doc_id, source and size."""
     types = dict(docs.select("doc_id", "source").dtypes)
     unit_type = UNIT.format(id=types["doc_id"], source=types["source"])
     units = saved(sizes(docs), "mix-sizes")
     t = targets(units, weights, share, most).withColumnRenamed("source", "s")
     u = units.join(t, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     fraction = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    u = u.withColumn("whole", F.floor(fraction).cast("long")).withColumn("words", (F.col("size") * F.col("n")).cast("double"))
-    u = u.withColumn("mass", F.col("words") * (fraction - F.col("whole")))
+    u = u.withColumn("whole", F.floor(fraction).cast("long")).withColumn("part", fraction - F.col("whole"))
+    sure = F.floor(F.col("n") * F.col("part")).cast("long")
+    # of n equal rows: those with an extra copy, the one to draw for, the others
+    split = F.array(
+        F.struct(sure.alias("n"), (F.col("whole") + 1).alias("whole"), F.lit(0.0).alias("p")),
+        F.struct(F.lit(1).cast("long").alias("n"), F.col("whole").alias("whole"), (F.col("n") * F.col("part") - sure).alias("p")),
+        F.struct((F.col("n") - sure - 1).alias("n"), F.col("whole").alias("whole"), F.lit(0.0).alias("p")),
+    )
+    u = u.withColumn("split", F.explode(F.filter(split, lambda x: x["n"] > 0))).drop("n", "whole")
+    u = u.withColumn("n", F.col("split.n")).withColumn("whole", F.col("split.whole")).withColumn("words", F.col("size").cast("double"))
+    u = u.withColumn("mass", F.col("words") * F.col("split.p"))
     u = saved(u.select(F.struct("doc_id", "source", "size", "n", "source_size", "target", "whole", "words", "mass").cast(unit_type).alias("unit")), "mix-units")
     open_ = (F.col("unit.mass") > 0) & (F.col("unit.mass") < F.col("unit.words"))
     done = [u.filter(~open_)]
@@ -157,12 +170,34 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: fl
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix: every document as often as it is taken, with its
-    columns and ``copy_no`` from 1 (an input column of that name is replaced)."""
+    columns and ``copy_no`` from 1 (an input column of that name is replaced).
+
+    Of repeated rows the first few get one copy more. Their order is that of the
+    rows' places, which are numbered within partitions first, so that no task
+    has all rows of a large group."""
     cols = [c for c in docs.columns if c != "copy_no"]
-    plan = mix_sources(docs, **options).filter("copies > 0").select(F.col("doc_id").alias("_m_id"), F.col("source").alias("_m_source"), F.col("size").alias("_m_size"), F.col("copies").alias("_m_copies"))
+    own = {k: free_name(cols, k) for k in ("id", "source", "size", "least", "extra", "at", "part", "before", "copies")}
+    keys = [own["id"], own["source"], own["size"]]
+    plan = mix_sources(docs, **options).groupBy(*(F.col(c).alias(own[k]) for c, k in (("doc_id", "id"), ("source", "source"), ("size", "size"))))
+    plan = plan.agg(F.sum(F.col("copies").cast("long") * F.col("n")).alias("taken"), F.sum("n").alias("rows")).filter("taken > 0")
+    plan = plan.select(*keys, F.expr("taken div rows").alias(own["least"]), (F.col("taken") % F.col("rows")).alias(own["extra"]))
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    joined = docs.select(*cols).join(plan, F.col("doc_id").eqNullSafe(F.col("_m_id")) & F.col("source").eqNullSafe(F.col("_m_source")) & (size == F.col("_m_size")), "inner")
-    return joined.select(*cols, F.explode(F.sequence(F.lit(1), F.col("_m_copies"))).alias("copy_no"))
+    rows = docs.select(*cols, F.monotonically_increasing_id().alias(own["at"]))
+    joined = rows.join(plan, F.col("doc_id").eqNullSafe(F.col(own["id"])) & F.col("source").eqNullSafe(F.col(own["source"])) & (size == F.col(own["size"])), "inner")
+    alike = joined.filter(F.col(own["extra"]) == 0).withColumn(own["copies"], F.col(own["least"]))
+    some = saved(joined.filter(F.col(own["extra"]) > 0).withColumn(own["part"], F.shiftright(own["at"], 33)), "mix-repeated")
+    counts = some.groupBy(*keys, own["part"]).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(*keys).orderBy(own["part"]).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*(F.col(k).alias(f"{k}_c") for k in [*keys, own["part"]]), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(own["before"]))
+    on = F.col(own["part"]) == F.col(f"{own['part']}_c")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"{k}_c"))
+    place = F.row_number().over(Window.partitionBy(*keys, own["part"]).orderBy(own["at"]))
+    some = some.withColumn(own["at"], place).join(counts, on)
+    more = (F.col(own["before"]) + F.col(own["at"]) <= F.col(own["extra"])).cast("long")
+    some = some.withColumn(own["copies"], F.col(own["least"]) + more)
+    both = alike.select(*cols, own["copies"]).unionByName(some.select(*cols, own["copies"])).filter(F.col(own["copies"]) > 0)
+    return both.select(*cols, F.explode(F.sequence(F.lit(1), F.col(own["copies"]).cast("int"))).alias("copy_no"))
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
