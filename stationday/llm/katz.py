@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,29 +58,40 @@ END = np.uint64(2)  # the hash of a text's end; as a history, 0 is the start
 # --- packing ------------------------------------------------------------------
 
 
+_zstd: list = []  # a compressor and a decompressor, made where they are used
+
+
+def _coders() -> list:
+    if not _zstd:
+        _zstd[:] = [zstandard.ZstdCompressor(level=3, write_checksum=False), zstandard.ZstdDecompressor()]
+    return _zstd
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of whole numbers (in the smallest width that holds them) or of
-    doubles as one value."""
-    out = [np.array([len(arrays)], "<i4").tobytes()]
+    doubles as one compressed value; bytes of equal weight stand together."""
+    out = [np.array([len(arrays)], "<i8").tobytes()]
     for a in arrays:
         if a.dtype.kind == "f":
-            a, code = a.astype("<f8"), 0
+            a, code, width = a.astype("<f8"), 0, 8
         else:
             most = int(a.max()) if len(a) else 0
-            code = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+            code = width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
             a = a.astype(f"<u{code}")
-        out += [np.array([code, len(a)], "<i8").tobytes(), a.tobytes()]
-    return b"".join(out)
+        out += [np.array([code, len(a)], "<i8").tobytes(), np.ascontiguousarray(a.view(np.uint8).reshape(len(a), width).T).tobytes()]
+    return _coders()[0].compress(b"".join(out))
 
 
 def unpack(raw: bytes) -> list[np.ndarray]:
-    out, at = [], 4
-    for _ in range(int(np.frombuffer(raw, "<i4", 1)[0])):
+    raw = _coders()[1].decompress(raw)
+    out, at = [], 8
+    for _ in range(int(np.frombuffer(raw, "<i8", 1)[0])):
         code, n = np.frombuffer(raw, "<i8", 2, at).tolist()
-        kind = np.dtype("<f8" if code == 0 else f"<u{code}")
-        a = np.frombuffer(raw, kind, n, at + 16)
+        width = code or 8
+        planes = np.frombuffer(raw, np.uint8, n * width, at + 16).reshape(width, n)
+        a = np.ascontiguousarray(planes.T).reshape(-1).view(np.dtype("<f8" if code == 0 else f"<u{code}"))
         out.append(a if code == 0 else a.astype(np.int64))
-        at += 16 + n * kind.itemsize
+        at += 16 + n * width
     return out
 
 
@@ -141,17 +153,18 @@ def chunks(rows: DataFrame, buckets: int) -> DataFrame:
                     order = np.argsort(~train, kind="stable")
                     part = part.take(pa.array(order))
                     word, counts = tokens(part.column(2))
-                    vocabulary, local = np.unique(word, return_inverse=True)
-                    bucket = (vocabulary % np.uint64(buckets)).astype(np.int64)
-                    by = np.lexsort((vocabulary, bucket))
-                    place = np.empty(len(by), np.int64)
-                    place[by] = np.arange(len(by))
+                    vocabulary, local, often = np.unique(word, return_inverse=True, return_counts=True)
+                    place = np.empty(len(vocabulary), np.int64)  # frequent words get small numbers
+                    place[np.argsort(-often, kind="stable")] = np.arange(len(place))
                     local = place[local]
+                    own = np.empty_like(vocabulary)
+                    own[place] = vocabulary
+                    bucket = (own % np.uint64(buckets)).astype(np.int64)
                     n_train = int(np.count_nonzero(train))
-                    c = np.bincount(local[: counts[:n_train].sum()], minlength=len(by))
-                    out = [(0, 1, chunk, -1, part.column(0).to_pylist(), pack(np.array([n_train]), counts, local), None, None, None)]
-                    own = vocabulary[by]
-                    out += [(1, 1, chunk, b, None, pack(own[s], c[s]), None, None, None) for b, s in _per_bucket(bucket[by])]
+                    c = np.bincount(local[: counts[:n_train].sum()], minlength=len(own))
+                    out = [(0, 1, chunk, -1, part.column(0).to_pylist(), pack(np.array([n_train]), counts, local, bucket), None, None, None)]
+                    by = np.argsort(bucket, kind="stable")
+                    out += [(1, 1, chunk, b, None, pack(own[by[s]], c[by[s]]), None, None, None) for b, s in _per_bucket(bucket[by])]
                     chunk += 1
                     yield _rows(out, pa.list_(batch.column(0).type))
 
@@ -191,7 +204,7 @@ class Chunk:
     def __init__(self, rows: list[dict], model: Model, share: float, buckets: int):
         own = next(r for r in rows if r["kind"] == 0)
         self.number, self.ids = own["chunk"], own["ids"]
-        (train,), self.counts, self.word = unpack(own["data"])
+        (train,), self.counts, self.word, bucket = unpack(own["data"])
         self.train = int(train)
         self.model, self.share, self.buckets = model, share, buckets
         self.begins = np.concatenate([[0], np.cumsum(self.counts)[:-1]]).astype(np.int64)
@@ -199,8 +212,10 @@ class Chunk:
         answers: dict[int, list[dict]] = {}
         for r in sorted((r for r in rows if r["kind"] == 1), key=lambda r: (r["ord"], r["bucket"])):
             answers.setdefault(r["ord"], []).append(r)
-        self.id, count = joined([r["data"] for r in answers[1]], 2)
-        self.id = self.id + 1  # 0 is the start
+        self.id, count = (np.empty(len(bucket), np.int64) for _ in range(2))
+        by = np.argsort(bucket, kind="stable")  # the order in which the words were sent
+        self.id[by], count[by] = joined([r["data"] for r in answers[1]], 2)
+        self.id += 1  # 0 is the start
         self.c = count[self.word]  # of the tokens' n-grams, of the order reached so far
         self.known = self.c
         self.p = np.where(self.c > 0, model.discounted(1, self.c) / (model.n + 1), model.unknown)
@@ -357,8 +372,11 @@ def counted_grams(sent: DataFrame, order: int) -> DataFrame:
         mass = np.bincount(of, lower[first[seen]], minlength=len(one))
         out, at, run_at = [], 0, 0
         for k, n, runs in zip(chunk, sizes, run_sizes):
-            own = number[run_at : run_at + runs]
-            out.append((1, order, k, bucket, None, pack(total[gram[at : at + n]], counts[own].ravel(), mass[own]), None, None, None))
+            own, c_own = number[run_at : run_at + runs], total[gram[at : at + n]]
+            # only a history with an n-gram that was not seen backs off
+            run = np.repeat(np.arange(runs), size[run_at : run_at + runs])
+            back = np.bincount(run[c_own == 0], minlength=runs) > 0
+            out.append((1, order, k, bucket, None, pack(c_own, (counts[own] * back[:, None]).ravel(), mass[own] * back), None, None, None))
             at, run_at = at + n, run_at + runs
         for i in np.flatnonzero(heads[h + 1][one]).tolist():
             key = np.array([x[one[i]] for x in heads[:h]], "<i8").tobytes()
