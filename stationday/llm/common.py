@@ -58,16 +58,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     lineage ends here, and a lost executor costs no more than a re-read."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.saved_path = path
+    return out
 
 
 def drop_saved(*frames: DataFrame) -> None:
-    """Delete the files of ``saved`` tables that nothing reads any more."""
+    """Delete the tables of ``saved`` frames that nothing reads any more."""
     for df in frames:
         spark = df.sparkSession
-        for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(f)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.saved_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str = "text", limit: int | None = None) -> DataFrame:

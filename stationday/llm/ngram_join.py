@@ -20,20 +20,24 @@ paired. Both sides of the join meet under keys:
 The boundary ``x`` minimises the cost over the sizes there are: subsets to
 enumerate against list entries, each of which costs ``SCAN_COST`` subsets.
 
-A pair is looked at once, under its smallest common key. It stays a candidate
-if its sizes allow a link and so do its bitmaps: a set's bitmap has a bit
-toggled by each shingle, so two bitmaps differ in at most as many bits as the
-sets differ in shingles, and no link is lost. Candidates go on as one packed row
-per class, and their connected components gather the sets to compare: a set
-travels once, not once for every list. Each component gives, for every class,
-the number of documents it links with and a root; the roots are merged by
+Entries are (key, class), 16 bytes. Every list is named by its smallest class:
+near copies share most of their lists, and most of these have the same name, so
+a class is sent once for each name, with its keys under it, and not once for each
+list. In the lists of a name two classes that share a key and whose sizes and
+bitmaps allow a link become a candidate: a set's bitmap has a bit toggled by each
+shingle, so two bitmaps differ in at most as many bits as the sets differ in
+shingles, and no link is lost. Candidates go on as one packed row per class, and
+their connected components gather the sets to compare: a set travels once, and a
+pair is compared once. Each component gives, for every class, the number of
+documents it links with and a root; the roots are merged by
 large-star/small-star rounds on tables in the shared folder.
 
-Long lists and large components are cut into blocks, and each pair of blocks is
-a group of its own, so no group grows with a list or with a group of copies.
+Lists of one name and components that are large are cut into blocks, and each
+pair of blocks is a group of its own, so no group grows with a list or with a
+group of copies. Tables of a step are deleted when the next one is written.
 
 What the driver gets is of fixed size: word counts in ``2**WORD_BITS`` buckets and
-a bitmap of ``2**BITS`` bits of the keys that more than one class has, which only
+a bitmap of ``2**BITS`` bits of the classes whose sets are needed, which only
 save work and never decide a link, a histogram of small set sizes and single
 numbers.
 
@@ -51,11 +55,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationday.llm import words as W
-from stationday.llm.common import map_texts, on_workers, saved, table
+from stationday.llm.common import drop_saved, free_name, map_texts, on_workers, saved, table
 
 K, PERCENT = 3, 90
 BITS = 24  # log2 of the bits of a bitmap
@@ -66,7 +70,6 @@ BLOCK_COST = 1_000_000  # shingles (2,000 at least for each set) in a block
 MIN_COST = 2_000
 SHARED = 5  # first shingles that sets which link have in common, at least
 TOGGLED = 512  # bits of a set's bitmap
-CHANCE = 1e-9  # that a pair is taken for one met before
 
 _SUBSET = np.uint64(0x5851F42D4C957F2D)
 
@@ -174,14 +177,16 @@ def _lists(h: np.ndarray, ptr: np.ndarray, type_: pa.DataType) -> pa.Array:
 
 
 def fingerprints(docs: DataFrame, k: int, seed: int) -> DataFrame:
-    """(doc_id, n, cid, f2): set size and two fingerprints of every document."""
+    """(doc_id, n, cid, f2, bits): size, two fingerprints and the bitmap of the
+    set of every document."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         h, ptr = _sets(batch.column(1), k)
         cols = [batch.column(0), pa.array(np.diff(ptr), pa.int64()), *(pa.array(_sums(h, ptr, x).view(np.int64)) for x in (seed, seed + 7919))]
-        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "cid", "f2"])
+        cols.append(pa.array([x.tobytes() if n else None for x, n in zip(_toggled(h, ptr), np.diff(ptr))], pa.binary()))
+        return pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "cid", "f2", "bits"])
 
-    return map_texts(docs.select("doc_id", "text"), run, f"doc_id {dict(docs.dtypes)['doc_id']}, n bigint, cid bigint, f2 bigint")
+    return map_texts(docs.select("doc_id", "text"), run, f"doc_id {dict(docs.dtypes)['doc_id']}, n bigint, cid bigint, f2 bigint, bits binary")
 
 
 def _keys(h: np.ndarray, ptr: np.ndarray, percent: int, light: int, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -213,53 +218,76 @@ def _keys(h: np.ndarray, ptr: np.ndarray, percent: int, light: int, place: np.nd
     return np.concatenate(parts), np.concatenate([[0], np.cumsum(counts)])
 
 
-def class_keys(docs: DataFrame, k: int, percent: int, seed: int, light: int, weight: np.ndarray) -> DataFrame:
-    """(cid, n, keys, bits), one row per document with a set."""
+def entries(docs: DataFrame, k: int, percent: int, seed: int, light: int, weight: np.ndarray) -> DataFrame:
+    """(key, cid): all keys of all classes. A task sends a class once, however
+    many copies it has."""
     shared = docs.sparkSession.sparkContext.broadcast(weight)
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        h, ptr, place = _sets(batch.column(0), k, shared.value)
-        keys, at = _keys(h, ptr, percent, light, place)
-        out = pa.RecordBatch.from_arrays([pa.array(_sums(h, ptr, seed).view(np.int64)), pa.array(np.diff(ptr), pa.int64()), _lists(keys.view(np.int64), at, pa.int64()), pa.array([x.tobytes() for x in _toggled(h, ptr)], pa.binary())], names=["cid", "n", "keys", "bits"])
-        return out.filter(pa.array(np.diff(ptr) > 0))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
+        for batch in batches:
+            for lo, hi in W.row_slices(batch.column(0)):
+                h, ptr, place = _sets(batch.column(0).slice(lo, hi - lo), k, shared.value)
+                cid = _sums(h, ptr, seed).view(np.int64)
+                keys, at = _keys(h, ptr, percent, light, place)
+                new = np.array([c not in sent and not sent.add(c) for c in cid.tolist()], bool)
+                keep = np.repeat(new, np.diff(at))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)[keep]), pa.array(np.repeat(cid, np.diff(at))[keep])], names=["key", "cid"])
 
-    return map_texts(docs.select("text"), run, "cid bigint, n bigint, keys array<bigint>, bits binary")
+    return docs.select("text").mapInArrow(run, "key bigint, cid bigint")
 
 
-def shared_entries(keyed: DataFrame, percent: int, light: int) -> DataFrame:
-    """(key, at, cid, n, bits, marks, blocks): classes under the keys that more
-    than one class has; the key is the class's ``at``-th of those in order, marks
-    are the lower halves of all of them; blocks is what the key's list is cut
-    into (long lists only are looked up)."""
-    spark = keyed.sparkSession
-    counts = keyed.select("cid", F.explode("keys").alias("key")).groupBy("key").agg(F.min("cid").alias("a"), F.max("cid").alias("b")).filter("a != b")
-    bitmap = spark.sparkContext.broadcast(_bitmap(counts, F.shiftrightunsigned("key", 64 - BITS)))
+def shared_entries(sent: DataFrame) -> DataFrame:
+    """(cid, name, key): classes under the keys that more than one class has;
+    a list's name is its smallest class. Lists are read as a sorted stream, so
+    none is held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
+        # the entry before: key, class, its list's name, whether it is the list's first and not yet given out
+        before: tuple[int, int, int, bool] | None = None
         for batch in batches:
-            keys = batch.column(2)
-            flat = keys.flatten().to_numpy()
-            offs = keys.offsets.to_numpy()
-            offs = offs - offs[0]
-            hit = _flagged(bitmap.value, flat.view(np.uint64))
-            many = np.zeros(len(hit) + 1, np.int64)
-            np.cumsum(hit, out=many[1:])
-            at = many[offs]
-            doc = np.repeat(np.arange(batch.num_rows), np.diff(offs))[hit]
-            own = flat[hit][np.lexsort((flat[hit], doc))]
-            marks = [own[x:y].astype(np.uint32).tobytes() for x, y in zip(at[:-1], at[1:])]
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(own, at, pa.int64()), batch.column(3), pa.array(marks, pa.binary())], names=["cid", "n", "keys", "bits", "marks"])
-            # a class leaves a task once, however many copies it has there
-            cids, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            enough = np.diff(at) >= np.where(n <= light, 1, np.minimum(SHARED, least_common(n, percent)))
-            yield out.filter(pa.array([bool(e) and c not in sent and not sent.add(c) for c, e in zip(cids, enough)]))
-
-    classes = saved(keyed.mapInArrow(run, "cid bigint, n bigint, keys array<bigint>, bits binary, marks binary").dropDuplicates(["cid"]), "join-entries")
-    entries = classes.select(F.posexplode("keys").alias("at", "key"), "cid", "n", "bits", "marks")
-    lists = entries.groupBy("key").agg(F.sum(F.greatest("n", F.lit(MIN_COST))).alias("cost"))
-    lists = lists.select("key", F.ceil(F.col("cost") / BLOCK_COST).cast("int").alias("blocks")).filter("blocks > 1")
-    return entries.join(saved(lists, "join-long"), "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+            if not batch.num_rows:
+                continue
+            key, cid = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if before:
+                key, cid = np.concatenate([[before[0]], key]), np.concatenate([[before[1]], cid])
+            keep = np.ones(len(key), bool)
+            keep[1:] = (key[1:] != key[:-1]) | (cid[1:] != cid[:-1])
+            key, cid = key[keep], cid[keep]
+            follows = np.zeros(len(key), bool)
+            follows[1:] = key[1:] == key[:-1]
+            first = ~follows
+            first[0] = before[3] if before else True
+            begin = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
+            name = cid[begin]
+            if before and not before[3]:
+                name[begin == 0] = before[2]
+            give = ~first
+            give[:-1] |= follows[1:]
+            if before and not before[3]:
+                give[0] = False
+            before = int(key[-1]), int(cid[-1]), int(name[-1]), bool(first[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(x[give]) for x in (cid, name, key)], names=["cid", "name", "key"])
+
+    return sent.repartition("key").sortWithinPartitions("key", "cid").mapInArrow(run, "cid bigint, name bigint, key bigint")
+
+
+def named_keys(shared: DataFrame, classes: DataFrame, percent: int, light: int) -> DataFrame:
+    """(name, cid, n, bits, keys): each class under the names of its lists, with
+    its keys there; classes with too few shared keys to link with any are left
+    out. One exchange by class serves all of it."""
+    own = shared.repartition("cid").groupBy("cid", "name").agg(F.collect_list("key").alias("keys"))
+    own = own.withColumn("total", F.sum(F.size("keys")).over(Window.partitionBy("cid")))
+    need = F.when(F.col("n") <= light, 1).otherwise(F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100)))
+    rows = own.join(classes.select("cid", "n", "bits"), "cid").filter(F.col("total") >= need)
+    return rows.select("name", "cid", "n", "bits", "keys")
+
+
+def with_blocks(rows: DataFrame) -> DataFrame:
+    """named_keys with what each name's lists are cut into; names of one class
+    are left out."""
+    cost = rows.groupBy("name").agg(F.count(F.lit(1)).alias("members"), F.sum(F.greatest(F.size("keys"), F.lit(MIN_COST))).alias("cost")).filter("members > 1")
+    return rows.join(cost.select("name", F.ceil(F.col("cost") / BLOCK_COST).cast("int").alias("blocks")), "name")
 
 
 def in_blocks(rows: DataFrame, group: str, *more: str) -> DataFrame:
@@ -270,30 +298,30 @@ def in_blocks(rows: DataFrame, group: str, *more: str) -> DataFrame:
     return out.select(F.col(group).alias("key"), F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "cid", "n", *more)
 
 
-def _agreeing(a: int, b: int) -> int:
-    """How many 32-bit marks of sets of a and b keys, at least two, agree by
-    chance with a probability of ``CHANCE`` at most: t of them do with less than
-    (a b / 2^32)^t / t!."""
-    expected = a * b / 2**32
-    if expected * expected <= 2 * CHANCE:
-        return 2
-    t, chance = 2, 2 * math.log(expected) - math.log(2)
-    while chance > math.log(CHANCE):
-        t += 1
-        chance += math.log(expected / t)
-    return t
-
-
-def _pairs(cross: bool, block: np.ndarray, n: np.ndarray, smaller: list[set[int]], bits: np.ndarray, percent: int) -> list[np.ndarray]:
-    """For each member of a list, smallest sets first, the later members it may
-    link with: their sizes, bitmaps and the group's two blocks allow it, and not
-    so many smaller keys are common by their marks that chance cannot explain it
-    (``_agreeing``: two for sets of ordinary size). A pair meets under its smallest
-    common key, and under the next ones up to that number."""
-    out = []
+def _meeting(keys: list[np.ndarray]) -> np.ndarray:
+    """Which members have a key in common."""
+    m = len(keys)
+    out = np.zeros((m, m), bool)
+    flat, member = np.concatenate(keys), np.repeat(np.arange(m), [len(x) for x in keys])
+    order = np.argsort(flat, kind="stable")
+    flat, member = flat[order], member[order]
+    starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    size = np.diff(np.append(starts, len(flat)))
+    two = starts[size == 2]
+    out[member[two], member[two + 1]] = True
+    for at, n in zip(starts[size > 2].tolist(), size[size > 2].tolist()):
+        own = member[at : at + n]
+        out[np.ix_(own, own)] = True
+    return out
+
+
+def _pairs(cross: bool, block: np.ndarray, n: np.ndarray, keys: list[np.ndarray], bits: np.ndarray, percent: int) -> list[np.ndarray]:
+    """For each member, smallest sets first, the later members it may link with:
+    they share a key, and their sizes, bitmaps and the group's two blocks allow it."""
+    out, meeting = [], _meeting(keys)
     for a in range(len(n)):
         last = np.searchsorted(n, 100 * n[a] // percent, side="right")
-        later = np.arange(a + 1, max(last, a + 1))
+        later = a + 1 + np.flatnonzero(meeting[a, a + 1 : max(last, a + 1)])
         if cross:
             later = later[block[later] != block[a]]
         if len(later):
@@ -301,7 +329,7 @@ def _pairs(cross: bool, block: np.ndarray, n: np.ndarray, smaller: list[set[int]
             # J >= t needs an overlap of t / (1 + t) of both sizes
             most = both - 2 * (-(-percent * both // (100 + percent)))
             later = later[np.bitwise_count(bits[later] ^ bits[a]).sum(axis=1) <= most]
-        out.append(np.array([x for x in later.tolist() if len(smaller[a] & smaller[x]) < _agreeing(len(smaller[a]), len(smaller[x]))], np.int64))
+        out.append(later)
     return out
 
 
@@ -332,22 +360,23 @@ def _by_group(groups: DataFrame) -> DataFrame:
 
 
 def candidates(groups: DataFrame, percent: int) -> DataFrame:
-    """(cid, partners, root): for each class of a list that may link with others
-    there, those that come after it, packed, and the first class of the list's
-    component it is in."""
+    """(cid, partners, root): for each class that may link with others in the
+    lists of a name, those that come after it, packed, and the first class of the
+    component it is in there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, ranges in _grouped(batches):
-            i, j, b, cid, n, at = (t.column(c).to_numpy() for c in ("i", "j", "b", "cid", "n", "at"))
+            i, j, b, cid, n = (t.column(c).to_numpy() for c in ("i", "j", "b", "cid", "n"))
             bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, TOGGLED // 64)
-            marks = t.column("marks").to_pylist()
+            lists = t.column("keys").combine_chunks()
+            flat, offs = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+            offs = offs - offs[0]
             out: list[tuple[int, bytes, int]] = []
             for lo, hi in ranges:
                 if hi - lo == 1:
                     continue
                 rows = lo + np.lexsort((cid[lo:hi], n[lo:hi]))
-                smaller = [set(np.frombuffer(marks[r], np.uint32, at[r]).tolist()) for r in rows]
-                pairs = _pairs(i[lo] != j[lo], b[rows], n[rows], smaller, bits[rows], percent)
+                pairs = _pairs(i[lo] != j[lo], b[rows], n[rows], [flat[offs[r] : offs[r + 1]] for r in rows], bits[rows], percent)
                 root = _roots(len(rows), pairs)
                 own = cid[rows]
                 for a, partners in enumerate(pairs):
@@ -476,26 +505,31 @@ def join_classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[D
     seed = 1
     while True:
         prints = saved(fingerprints(docs, k, seed), "join-prints")
-        ids = prints.filter("n > 0").select("doc_id", "n", "cid", "f2")
-        classes = saved(ids.groupBy("cid", "f2").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("doc_id").isNotNull().alias("has"), F.col("doc_id").alias("id"))).alias("first_id")), "join-classes")
+        ids = prints.filter("n > 0").select("doc_id", "n", "cid", "f2", "bits")
+        classes = saved(ids.groupBy("cid", "f2").agg(F.max("n").alias("n"), F.min("bits").alias("bits"), F.count(F.lit(1)).alias("copies"), F.min(F.struct(F.col("doc_id").isNotNull().alias("has"), F.col("doc_id").alias("id"))).alias("first_id")), "join-classes")
         if classes.groupBy("cid").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty():
             break
         seed += 1  # two sets share a fingerprint: take another one
     few = classes.filter(F.col("n") <= 2 * MOST_LIGHT).groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()
     light = boundary({r["n"]: r["c"] for r in few}, percent)
-    keyed = saved(class_keys(docs, k, percent, seed, light, word_weights(docs)), "join-keys")
-    found = saved(candidates(in_blocks(shared_entries(keyed, percent, light), "key", "at", "bits", "marks"), percent), "join-candidates")
+    shared = saved(shared_entries(entries(docs, k, percent, seed, light, word_weights(docs))), "join-shared")
+    named = saved(named_keys(shared, classes, percent, light), "join-names")
+    drop_saved(shared)
+    found = saved(candidates(in_blocks(with_blocks(named), "name", "bits", "keys"), percent), "join-candidates")
+    drop_saved(named)
     groups = saved(components(found.select(F.col("cid").alias("a"), F.col("root").alias("b"))).withColumnsRenamed({"node": "cid", "label": "cluster"}), "join-clusters")
     sets = needed_sets(docs, groups, k, seed)
     partners = found.filter(F.octet_length("partners") > 0).groupBy("cid").agg(F.collect_list("partners").alias("partners"))
     rows = groups.join(classes.select("cid", "n", "copies"), "cid").join(partners, "cid", "left")
     size = rows.groupBy("cluster").agg(F.ceil(F.sum(F.greatest("n", F.lit(MIN_COST))) / BLOCK_COST).cast("int").alias("blocks"))
     rows = rows.join(size, "cluster").join(sets, "cid")
-    found = saved(verified(in_blocks(rows, "cluster", "copies", "partners", "shingles"), percent), "join-links")
-    links = found.groupBy("cid").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
-    out = classes.drop("f2").join(links, "cid", "left").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
-    out = out.select("cid", "n", "copies", "first_id", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("label", "cid").alias("root"))
+    linked = saved(verified(in_blocks(rows, "cluster", "copies", "partners", "shingles"), percent), "join-links")
+    drop_saved(found, groups)
+    links = linked.groupBy("cid").agg(F.sum("links").alias("links"))
+    roots = components(linked.select(F.col("cid").alias("a"), F.col("root").alias("b")))
+    out = classes.drop("f2", "bits").join(links, "cid", "left").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
+    out = saved(out.select("cid", "n", "copies", "first_id", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("label", "cid").alias("root")), "join-result")
+    drop_saved(linked, classes)
     return prints.select("doc_id", "n", F.when(F.col("n") > 0, F.col("cid")).alias("cid")), out, seed
 
 
@@ -513,7 +547,6 @@ def boundary(sizes: dict[int, int], percent: int) -> int:
 def near_duplicates(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links), one row per row of docs."""
     ids, classes, _ = join_classes(docs, k, percent)
-    classes = saved(classes, "join-result")
     first = classes.groupBy("root").agg(F.min("first_id").alias("f"))
     named = classes.join(first, "root").select("cid", (F.col("copies") - 1 + F.col("links")).alias("l"), F.col("f.id").alias("component"), F.lit(True).alias("found"))
     out = ids.join(named, "cid", "left")
@@ -531,29 +564,33 @@ def one_per_group(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """
     spark = docs.sparkSession
     _, classes, seed = join_classes(docs, k, percent)
-    classes = saved(classes, "join-result")
     first = classes.groupBy("root").agg(F.min(F.struct(F.col("first_id"), F.col("cid"))).alias("f"), F.sum("copies").alias("members")).filter("members > 1")
-    grouped = classes.join(first, "root").select("cid", F.col("f.first_id.id").alias("keep_id"), F.col("f.cid").alias("keep_cid"))
-    grouped = saved(grouped, "join-groups")
-    bitmap = spark.sparkContext.broadcast(_bitmap(grouped, F.shiftrightunsigned("cid", 64 - BITS)))
-    at, names = docs.columns.index("text"), docs.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi in W.row_slices(batch.column(at)):
-                part = batch.slice(lo, hi - lo)
-                h, ptr = _sets(part.column(at), k)
-                cid = _sums(h, ptr, seed)
-                maybe = (np.diff(ptr) > 0) & _flagged(bitmap.value, cid)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cid.view(np.int64)), pa.array(maybe)], names=[*names, "_near_cid", "_near_maybe"])
-
-    schema = docs.select("*", F.lit(0).cast("long").alias("_near_cid"), F.lit(True).alias("_near_maybe")).schema
-    marked = saved(docs.mapInArrow(run, schema), "join-marked")
-    alone = marked.filter("NOT _near_maybe")
-    maybe = marked.filter("_near_maybe").join(grouped.select(F.col("cid").alias("_near_cid"), F.col("keep_id").alias("_near_id"), F.col("keep_cid").alias("_near_keep"), F.lit(True).alias("_near_in")), "_near_cid", "left")
-    rest = maybe.filter(F.col("_near_in").isNull())
-    stays = maybe.filter(F.col("_near_in") & (F.col("_near_cid") == F.col("_near_keep")) & F.col("doc_id").eqNullSafe(F.col("_near_id")))
-    stays = stays.dropDuplicates(["_near_cid"])
+    names = docs.columns
+    cid_, id_, keep_, in_ = (free_name(names, f"near_{x}") for x in ("cid", "id", "keep", "in"))
+    grouped = saved(classes.join(first, "root").select(F.col("cid").alias(cid_), F.col("f.first_id.id").alias(id_), F.col("f.cid").alias(keep_), F.lit(True).alias(in_)), "join-groups")
+    bitmap = spark.sparkContext.broadcast(_bitmap(grouped, F.shiftrightunsigned(cid_, 64 - BITS)))
+    at = names.index("text")
+
+    def looked_up(wanted: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lo, hi in W.row_slices(batch.column(at)):
+                    part = batch.slice(lo, hi - lo)
+                    h, ptr = _sets(part.column(at), k)
+                    cid = _sums(h, ptr, seed)
+                    maybe = (np.diff(ptr) > 0) & _flagged(bitmap.value, cid)
+                    out = pa.RecordBatch.from_arrays([*part.columns, pa.array(cid.view(np.int64))], names=[*names, cid_]) if wanted else part
+                    yield out.filter(pa.array(maybe == wanted))
+
+        return run
+
+    # two passes over the texts: most rows go straight to the result, none is stored
+    alone = docs.mapInArrow(looked_up(False), docs.schema)
+    maybe = docs.mapInArrow(looked_up(True), docs.select("*", F.lit(0).cast("long").alias(cid_)).schema)
+    maybe = saved(maybe.join(grouped, cid_, "left"), "join-marked")
+    rest = maybe.filter(F.col(in_).isNull())
+    stays = maybe.filter(F.col(in_) & (F.col(cid_) == F.col(keep_)) & F.col("doc_id").eqNullSafe(F.col(id_)))
+    stays = stays.dropDuplicates([cid_])
     return alone.select(*names).unionByName(rest.select(*names)).unionByName(stays.select(*names))
 
 

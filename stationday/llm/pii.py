@@ -8,13 +8,17 @@ the text is split at the matches and the lengths of the pieces are summed, in
 chunks, so a text with very many matches stays linear.
 
 Email, IP address, card and phone matches that pass their check (parts up to
-255; 14 to 19 digits and Luhn; 10 to 15 digits) are always spans. The other
-generators (national phone numbers, identity numbers, bank accounts, secrets,
-spelled-out addresses) propose more; gradient-boosted trees over format and
-context features decide. The trees are trained on all candidates of the corpus,
-labelled by their checks and counted per combination of binned features, which
-is at most ``CELLS`` rows whatever the corpus. A threshold per kind is
-calibrated on the other half of the documents to ``PRECISION``.
+255; 14 to 19 digits and Luhn; 10 to 15 digits) are always spans, and so are the
+matches of the other generators (national phone numbers, identity numbers, bank
+accounts, secrets, spelled-out addresses) that pass theirs. Gradient-boosted trees
+over format and context features decide on candidates that fail a check that is
+only a rule of thumb (``WEAK``: a mistyped identity number after "ssn" is still
+private). They learn what private data looks like from other kinds: candidates of
+``PROVEN`` kinds, whose checks (Luhn, mod 97) a number rarely passes by chance, are
+counted per combination of binned features, which is at most ``CELLS`` rows
+whatever the corpus. The kind is no feature, so no candidate is judged by a model
+of its own check. The threshold is calibrated on the other half of the documents
+to ``PRECISION``; where nothing reaches it, checked spans remain.
 
 DataFrame functions only: detection and redaction are projections without a
 shuffle, the trees become one Column expression, and only the table of feature
@@ -34,7 +38,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationday.llm.common import saved, table
+from stationday.llm.common import free_name, saved, table
 
 BASE = ("email", "ip", "card", "phone")
 
@@ -64,8 +68,10 @@ NEEDS_DIGIT = r"[0-9]"
 CUES = r"(?i)(?:tel|phone|fax|call|mobile|mail|contact|card|visa|account|iban|ssn|social|token|key|secret|password|address|host)"
 CONTEXT = 24
 
-FEATURES = ("kind", "digits", "length", "separators", "before", "after", "cue", "distinct")
-DOMAIN = {"kind": len(KINDS), "digits": 6, "length": 5, "separators": 4, "before": 3, "after": 3, "cue": 2, "distinct": 4}
+PROVEN = ("card", "account")
+WEAK = ("national", "identity", "secret", "spelled")
+FEATURES = ("digits", "length", "separators", "before", "after", "cue", "distinct")
+DOMAIN = {"digits": 6, "length": 5, "separators": 4, "before": 3, "after": 3, "cue": 2, "distinct": 4}
 CELLS = math.prod(DOMAIN.values())
 ROUNDS = 24
 RATE = 0.3
@@ -174,18 +180,18 @@ def features(hit: Column, before: Column, after: Column) -> list[Column]:
         _side(F.substring(before, -1, 1)).alias("before"),
         _side(after).alias("after"),
         before.rlike(CUES).cast("int").alias("cue"),
-        _bin(F.size(F.array_distinct(F.split(F.substring(hit, 1, 64), ""))), (4, 7, 11)).alias("distinct"),
+        _bin(F.size(F.array_distinct(F.split(hit, ""))), (4, 7, 11)).alias("distinct"),
     ]
 
 
 # --- boosted trees over the table of feature combinations -------------------
 
-Split = tuple[int, int]  # feature number, edge: left is value <= edge (kind: value == edge)
+Split = tuple[int, int]  # feature number, edge: left is value <= edge
 Node = tuple[Split, float, float] | float
 
 
 def _left(x: tuple[int, ...], s: Split) -> bool:
-    return x[s[0]] == s[1] if s[0] == 0 else x[s[0]] <= s[1]
+    return x[s[0]] <= s[1]
 
 
 def _grow(cells: list[tuple[tuple[int, ...], float, float]], depth: int):
@@ -202,8 +208,8 @@ def _grow(cells: list[tuple[tuple[int, ...], float, float]], depth: int):
             t[0] += gx
             t[1] += hx
         gl = hl = 0.0
-        for v in sorted(by)[: len(by) if f == 0 else -1]:
-            gl, hl = (by[v][0], by[v][1]) if f == 0 else (gl + by[v][0], hl + by[v][1])
+        for v in sorted(by)[:-1]:
+            gl, hl = gl + by[v][0], hl + by[v][1]
             gain = gl * gl / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g * g / (h + 1)
             if gain > best:
                 best, split = gain, (f, v)
@@ -223,7 +229,7 @@ def _value(tree, x: tuple[int, ...]) -> float:
 
 
 class Trees:
-    """Base log odds, boosted trees, and the least log odds for each kind."""
+    """Base log odds, boosted trees, and the least log odds of a span."""
 
     def __init__(self, cells: list[tuple[tuple[int, ...], bool, int, int]]):
         """cells: (features, of the training half, rows, rows whose check passed)."""
@@ -238,15 +244,14 @@ class Trees:
             self.trees.append(tree)
             for x in f:
                 f[x] += RATE * _value(tree, x)
-        self.least = {}
-        for kind in range(len(KINDS)):
-            own = sorted(((self.log_odds(x), nx, yx) for x, t, nx, yx in cells if not t and x[0] == kind), reverse=True)
-            rows = right = 0
-            for i, (v, nx, yx) in enumerate(own):
-                rows, right = rows + nx, right + yx
-                tie = i + 1 < len(own) and own[i + 1][0] == v
-                if not tie and right >= PRECISION * rows:
-                    self.least[kind] = v
+        self.least: float | None = None
+        own = sorted(((self.log_odds(x), nx, yx) for x, t, nx, yx in cells if not t), reverse=True)
+        rows = right = 0
+        for i, (v, nx, yx) in enumerate(own):
+            rows, right = rows + nx, right + yx
+            tie = i + 1 < len(own) and own[i + 1][0] == v
+            if not tie and right >= PRECISION * rows:
+                self.least = v
 
     def log_odds(self, x: tuple[int, ...]) -> float:
         return self.base + RATE * sum(_value(t, x) for t in self.trees)
@@ -258,7 +263,7 @@ class Trees:
             if not isinstance(tree, tuple):
                 return F.lit(float(tree))
             f = c[FEATURES[tree[0][0]]]
-            return F.when(f == tree[0][1] if tree[0][0] == 0 else f <= tree[0][1], of(tree[1])).otherwise(of(tree[2]))
+            return F.when(f <= tree[0][1], of(tree[1])).otherwise(of(tree[2]))
 
         out = F.lit(self.base)
         for t in self.trees:
@@ -266,19 +271,20 @@ class Trees:
         return out
 
     def chosen(self, c: Column) -> Column:
-        """Whether a candidate is a span: a checked base kind, or chosen by the trees."""
-        out = (c["kind"] < len(BASE)) & c["ok"]
-        for kind in range(len(BASE), len(KINDS)):
-            if kind in self.least:
-                out = out | ((c["kind"] == kind) & (self.column(c) >= F.lit(self.least[kind] - 1e-9)))
-        return out
+        """Whether a candidate is a span: a checked one, or one of a weak check
+        that the trees choose."""
+        if self.least is None:
+            return c["ok"]
+        weak = c["kind"].isin(*(KINDS.index(k) for k in WEAK))
+        return c["ok"] | (weak & (self.column(c) >= F.lit(self.least - 1e-9)))
 
 
 def train(found: DataFrame) -> Trees:
-    """Trees from a frame with doc_id and ``_candidates``. Candidates are counted
-    per feature combination and half before anything moves."""
+    """Trees from a frame with doc_id and ``_candidates``. Candidates of proven
+    kinds are counted per feature combination and half before anything moves."""
     half = F.pmod(F.xxhash64(F.lit("pii"), F.col("doc_id")), F.lit(2)) == 0
-    c = found.select(half.alias("t"), F.explode("_candidates").alias("c"))
+    proven = F.filter("_candidates", lambda c: c["kind"].isin(*(KINDS.index(k) for k in PROVEN)))
+    c = found.select(half.alias("t"), F.explode(proven).alias("c"))
     c = c.groupBy("t", *(F.col(f"c.{f}").alias(f) for f in FEATURES)).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("c.ok").cast("long")).alias("y"))
     return Trees([(tuple(r[f] for f in FEATURES), r["t"], r["n"], r["y"] or 0) for r in c.orderBy("t", *FEATURES).collect()])
 
@@ -310,26 +316,27 @@ REDACTION_ORDER = ("email", "spelled", "phone", "card", "ip", "account", "nation
 def redact(docs: DataFrame, trees: Trees) -> DataFrame:
     """docs with every selected span replaced by its kind in brackets, one kind
     after the other; n_chars, where there is one, follows the new text."""
-    out = docs.withColumn("_text", F.col("text")).withColumn("_digit", F.col("_text").rlike(NEEDS_DIGIT))
+    text, digit, hits, gaps = (free_name(docs.columns, x) for x in ("text", "digit", "hits", "gaps"))
+    out = docs.withColumn(text, F.col("text")).withColumn(digit, F.col(text).rlike(NEEDS_DIGIT))
     for kind in REDACTION_ORDER:
-        need = F.col("_text").rlike(NEEDS[kind]) if kind in NEEDS else F.lit(True)
+        need = F.col(text).rlike(NEEDS[kind]) if kind in NEEDS else F.lit(True)
         if kind not in ("email", "spelled"):
-            need = F.col("_digit") & need
-        out = out.withColumn("_hits", F.when(need, F.regexp_extract_all("_text", F.lit(PATTERNS[kind]), F.lit(0))).otherwise(F.array().cast("array<string>")))
-        out = out.withColumn("_gaps", F.when(F.size("_hits") > 0, F.split("_text", PATTERNS[kind], -1)).otherwise(F.array().cast("array<string>")))
-        out = out.withColumn("_text", F.when(F.size("_hits") > 0, F.array_join(F.transform("_gaps", _piece(kind, trees)), "")).otherwise(F.col("_text")))
-    replaced: dict[str, Callable | Column] = {"text": F.col("_text")}
+            need = F.col(digit) & need
+        out = out.withColumn(hits, F.when(need, F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))).otherwise(F.array().cast("array<string>")))
+        out = out.withColumn(gaps, F.when(F.size(hits) > 0, F.split(text, PATTERNS[kind], -1)).otherwise(F.array().cast("array<string>")))
+        out = out.withColumn(text, F.when(F.size(hits) > 0, F.array_join(F.transform(gaps, _piece(kind, trees, hits, gaps)), "")).otherwise(F.col(text)))
+    replaced: dict[str, Callable | Column] = {"text": F.col(text)}
     if "n_chars" in docs.columns:
-        replaced["n_chars"] = F.when(F.col("_text") == F.col("text"), F.col("n_chars")).otherwise(F.length("_text").cast(dict(docs.dtypes)["n_chars"]))
+        replaced["n_chars"] = F.when(F.col(text) == F.col("text"), F.col("n_chars")).otherwise(F.length(text).cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*(replaced[c].alias(c) if c in replaced else F.col(f"`{c}`") for c in docs.columns))
 
 
-def _piece(kind: str, trees: Trees):
+def _piece(kind: str, trees: Trees, hits: str, gaps: str):
     number, mark = KINDS.index(kind), F.lit(f"[{kind.upper()}]")
 
     def piece(gap: Column, i: Column) -> Column:
-        hit = F.get(F.col("_hits"), i)
-        c = F.struct(F.lit(number).alias("kind"), _check(kind, hit).alias("ok"), *features(hit, F.substring(gap, -CONTEXT, CONTEXT), F.coalesce(F.substring(F.get(F.col("_gaps"), i + 1), 1, 1), F.lit(""))))
+        hit = F.get(F.col(hits), i)
+        c = F.struct(F.lit(number).alias("kind"), _check(kind, hit).alias("ok"), *features(hit, F.substring(gap, -CONTEXT, CONTEXT), F.coalesce(F.substring(F.get(F.col(gaps), i + 1), 1, 1), F.lit(""))))
         return F.when(hit.isNull(), gap).when(F.exists(F.array(c), trees.chosen), F.concat(gap, mark)).otherwise(F.concat(gap, hit))
 
     return piece

@@ -9,9 +9,9 @@ difference into a probability of label 1.
 
 The classifier is fitted on a bounded sample of labelled rows: up to
 ``SAMPLE_DOCS`` texts of each label for the dictionaries and as many for the
-calibration, chosen by a hash of the id, texts over ``SAMPLE_BYTES`` bytes left
-out of the sample. Scoring covers every whole text in one pass without a
-shuffle.
+calibration, chosen by a hash of the id and fewer where they would be more than
+about ``SAMPLE_BYTES`` together. Texts of any length can be in it. Scoring covers
+every whole text in one pass without a shuffle.
 
 NULL and empty texts have no blocks, hence difference 0 and one fixed score.
 With only one label to learn from, or none, every text gets the share of label
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from stationday.llm.common import crc_mod, table, unit_hash
 
 SAMPLE_DOCS = 1500
-SAMPLE_BYTES = 16_000
+SAMPLE_BYTES = 32 << 20  # of all sampled texts of a label, as expected from the mean length
 DICTIONARY = 112_640
 BLOCK = 1024
 LEVEL = 3
@@ -42,14 +42,17 @@ THRESHOLD = 0.7
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_label: int, most_bytes: int, seed: str) -> list[tuple[int, str]]:
-    """Up to about ``per_label`` (label, text) rows of each label, by a hash of
-    the id, so that the sample does not depend on the order of rows."""
+    """(label, text) rows, of each label about ``per_label`` and about
+    ``most_bytes`` of text at most, by a hash of the id, so that the sample does not
+    depend on the order of rows. Texts of any length take part."""
     y = labels.filter(learn & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-    texts = docs.filter(F.col("text").isNotNull() & (F.octet_length("text") <= most_bytes) & (F.octet_length("text") > 0)).select("doc_id", "text")
+    texts = docs.filter(F.octet_length("text") > 0).select("doc_id", "text")
     n = {r["y"]: r["n"] for r in y.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n:
         return []
-    share = F.when(F.col("y") == 1, min(1.0, per_label / max(n.get(1, 0), 1))).otherwise(min(1.0, per_label / max(n.get(0, 0), 1)))
+    mean = texts.agg(F.avg(F.octet_length("text"))).first()[0] or 1.0
+    most = min(per_label, most_bytes / mean)
+    share = F.when(F.col("y") == 1, min(1.0, most / max(n.get(1, 0), 1))).otherwise(min(1.0, most / max(n.get(0, 0), 1)))
     y = y.filter(unit_hash(F.lit(seed), F.col("doc_id")) < share)
     # the sample's ids are as many as it has rows: bounded, so the texts need not move
     rows = texts.join(F.broadcast(y), "doc_id").select("y", "text", unit_hash(F.lit(seed), F.lit(1), F.col("doc_id")).alias("u")).collect()
@@ -110,9 +113,11 @@ class Model:
 
 
 def fit(rows: list[tuple[int, str]], dictionary: int = DICTIONARY) -> Model:
-    """Dictionaries from every other row of each label, calibration from the rest."""
+    """Dictionaries from every other row of each label, calibration from the
+    rest (from all rows where a label has one only). A label without any text
+    leaves nothing to compare: a constant by the number of rows."""
     by = {y: [t for l, t in rows if l == y] for y in (0, 1)}
-    if min(len(by[0]), len(by[1])) < 20:
+    if not by[0] or not by[1]:
         n1, n = len(by[1]), len(rows)
         return Model(None, None, 0.0, math.log((n1 + 1) / (n - n1 + 1)))
     raw = {}
@@ -123,7 +128,7 @@ def fit(rows: list[tuple[int, str]], dictionary: int = DICTIONARY) -> Model:
         except zstandard.ZstdError:  # too little text for training: its end is the dictionary
             raw[y] = b"".join(texts)[-dictionary:]
     model = Model(raw[1], raw[0], 0.0, 0.0)
-    rest = [(y, t) for y in (0, 1) for t in by[y][1::2]]
+    rest = [(y, t) for y in (0, 1) for t in by[y][1::2] or by[y]]
     model.slope, model.intercept = platt(model.differences([t for _, t in rest]), np.array([y for y, _ in rest]))
     return model
 

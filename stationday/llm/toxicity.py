@@ -21,7 +21,7 @@ hostile elsewhere cost nothing. A text's evidence is the sum of its clauses'
 scores; a logistic calibration on labelled rows makes it a probability.
 
 Insults are learned: among the words of a bounded sample of labelled texts
-(``SAMPLE_DOCS`` of each label, texts over ``SAMPLE_BYTES`` left out) those that
+(``SAMPLE_DOCS`` of each label, about ``SAMPLE_BYTES`` at most) those that
 cover toxic texts and nearly no other ones, chosen greedily so that words which
 only come along with a chosen one are not taken. A stem with any ending is learned
 like a word (``lostr*``). A few seeds stand for what the sample may lack. Scoring is one pass over all whole texts without a shuffle.
@@ -46,11 +46,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationday.llm.common import crc_mod, table
-from stationday.llm.quality import labelled_sample, platt
+from stationday.llm.quality import SAMPLE_BYTES, labelled_sample, platt
 
 SAMPLE_DOCS = 1500
-SAMPLE_BYTES = 16_000
-MOST_INSULTS = 500
 SHORTEST, LONGEST = 4, 8  # letters of a stem
 COST = 20.0
 THRESHOLD = 0.3
@@ -314,7 +312,7 @@ def learn_insults(rows: list[tuple[int, str]]) -> dict[str, float]:
     hits = Counter(w for s in toxic for w in s)
     total = dict(hits)
     open_ = toxic
-    while open_ and len(chosen) < MOST_INSULTS:
+    while open_:
         share = COST * len(open_) / max(n_clean, 1)
         # of equal ones the longest form, and a word rather than its stem
         best, gain = None, (least - 0.5, 0, "")

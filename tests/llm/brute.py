@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -77,6 +78,33 @@ def spans(text):
     return sorted(out)
 
 
+def more_spans(text):
+    """Checked spans of the further kinds as (kind, start, end), by plain loops
+    over what the text holds."""
+    text = text or ""
+    out = []
+    sides = lambda m, signs: not (m.start() and text[m.start() - 1] in signs) and not (m.end() < len(text) and text[m.end()] in signs)
+    digits, letters = "0123456789", string.ascii_letters + string.digits
+    for m in re.finditer(r"\(?([0-9]{3})\)?[ .-]([0-9]{3})[ .-][0-9]{4}(?![0-9])", text):
+        if not (m.start() and text[m.start() - 1] in digits + "+(") and m[1][0] in "23456789" and m[2][0] in "23456789":
+            out.append(("national", m.start(), m.end()))
+    for m in re.finditer(r"([0-9]{3})-([0-9]{2})-([0-9]{4})", text):
+        if sides(m, digits + "-") and m[1] not in ("000", "666") and m[1][0] != "9" and m[2] != "00" and m[3] != "0000":
+            out.append(("identity", m.start(), m.end()))
+    for m in re.finditer(r"[A-Z]{2}[0-9]{2}( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", text):
+        plain = m[0].replace(" ", "")
+        if sides(m, letters) and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+            out.append(("account", m.start(), m.end()))
+    for m in re.finditer(r"(?i)(token|secret|password|passwd|api[_-]?key|access[_-]?key) {0,3}[=:] {0,3}[\"']?([A-Za-z0-9_/+-]{12,})", text):
+        own = m[2]
+        if not (m.start() and text[m.start() - 1] in letters) and re.search("[0-9]", own) and re.search("[A-Za-z]", own) and len(set(own)) >= 7:
+            out.append(("secret", m.start(), m.end()))
+    for m in re.finditer(r"(?i)[a-z0-9._%+-]+ ?[\[(]at[\])] ?[a-z0-9-]+( ?([\[(]dot[\])]|\.) ?[a-z0-9-]+)+", text):
+        if re.search(r"[A-Za-z]{2,}$", m[0]):
+            out.append(("spelled", m.start(), m.end()))
+    return out
+
+
 def crc(doc_id, m):
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % m
 
