@@ -14,7 +14,7 @@ accounts, secrets, spelled-out addresses) that pass theirs. Gradient-boosted tre
 over format and context features decide on candidates that fail a check that is
 only a rule of thumb (``WEAK``: a mistyped identity number after "ssn" is still
 private). They learn what private data looks like from other kinds: candidates of
-``PROVEN`` kinds, whose checks (Luhn, mod 97) a number rarely passes by chance, are
+``PROVEN`` kinds (of a card's length), whose checks (Luhn, mod 97) a number rarely passes by chance, are
 counted per combination of binned features, which is at most ``CELLS`` rows
 whatever the corpus. The kind is no feature, so no candidate is judged by a model
 of its own check. The threshold is calibrated on the other half of the documents
@@ -69,6 +69,7 @@ CUES = r"(?i)(?:tel|phone|fax|call|mobile|mail|contact|card|visa|account|iban|ss
 CONTEXT = 24
 
 PROVEN = ("card", "account")
+CARD_DIGITS = 4  # the bin of 14 to 19 digits
 WEAK = ("national", "identity", "secret", "spelled")
 FEATURES = ("digits", "length", "separators", "before", "after", "cue", "distinct")
 DOMAIN = {"digits": 6, "length": 5, "separators": 4, "before": 3, "after": 3, "cue": 2, "distinct": 4}
@@ -283,7 +284,9 @@ def train(found: DataFrame) -> Trees:
     """Trees from a frame with doc_id and ``_candidates``. Candidates of proven
     kinds are counted per feature combination and half before anything moves."""
     half = F.pmod(F.xxhash64(F.lit("pii"), F.col("doc_id")), F.lit(2)) == 0
-    proven = F.filter("_candidates", lambda c: c["kind"].isin(*(KINDS.index(k) for k in PROVEN)))
+    # a run of digits too short or too long for a card says nothing about cards
+    fair = lambda c: (c["kind"] != KINDS.index("card")) | (c["digits"] == CARD_DIGITS)
+    proven = F.filter("_candidates", lambda c: c["kind"].isin(*(KINDS.index(k) for k in PROVEN)) & fair(c))
     c = found.select(half.alias("t"), F.explode(proven).alias("c"))
     c = c.groupBy("t", *(F.col(f"c.{f}").alias(f) for f in FEATURES)).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("c.ok").cast("long")).alias("y"))
     return Trees([(tuple(r[f] for f in FEATURES), r["t"], r["n"], r["y"] or 0) for r in c.orderBy("t", *FEATURES).collect()])
