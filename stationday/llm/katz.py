@@ -194,6 +194,10 @@ class Model:
     def discounted(self, order: int, c: np.ndarray) -> np.ndarray:
         return np.where(c > K, c, self.d[order][np.minimum(c, K)])
 
+    def word(self, c: np.ndarray) -> np.ndarray:
+        """The probability of words with the counts c."""
+        return np.where(c > 0, self.discounted(1, c) / (self.n + 1), self.unknown)
+
     def least_hot(self, share: float) -> float:
         return max(2.0, share * self.n)
 
@@ -218,7 +222,7 @@ class Chunk:
         self.id += 1  # 0 is the start
         self.c = count[self.word]  # of the tokens' n-grams, of the order reached so far
         self.known = self.c
-        self.p = np.where(self.c > 0, model.discounted(1, self.c) / (model.n + 1), model.unknown)
+        self.p = model.word(self.c)
         self.histories = [np.zeros(len(self.word), np.int64)]
         for order in range(2, max(answers) + 1):
             self.step(order)
@@ -256,17 +260,26 @@ class Chunk:
         self.w = self.id[self.word[first]]
         key = np.where(self.is_hot, W.mix(key + self.w.astype(np.uint64)), key)
         bucket = (key % np.uint64(self.buckets)).astype(np.int64)
-        self.by = np.lexsort((history[first], bucket))
+        self.by = np.lexsort((*self.tuples[::-1], bucket))
         self.bucket, self.grams_c, self.gram_history = bucket[self.by], c[self.by], history[first][self.by]
 
     def requests(self) -> Iterator[tuple]:
-        p = self.p[self.first]
+        """For each bucket: histories in order, the sizes of their runs, whether
+        they are hot; the distinct words, which one each n-gram has, training
+        counts; and what the lower order gives: for pairs the words' counts."""
+        p, count = self.p[self.first], self.known[self.first]
         for b, s in _per_bucket(self.bucket):
             own = self.by[s]
             runs = self.runs(s)
-            values, code = np.unique(p[own], return_inverse=True)
             heads = own[runs]
-            data = pack(*(x[heads] for x in self.tuples), np.diff(np.append(runs, len(own))), self.c_history[self.first[heads]], self.is_hot[heads], self.w[own], self.grams_c[s], code, values)
+            words_, at, which = np.unique(self.w[own], return_index=True, return_inverse=True)
+            if self.order == 2:
+                lower = (count[own][at],)
+            else:
+                values, code = np.unique(p[own], return_inverse=True)
+                lower = (code, values)
+            first, *others = (x[heads] for x in self.tuples)
+            data = pack(np.diff(first, prepend=0), *others, np.diff(np.append(runs, len(own))), self.is_hot[heads], np.diff(words_, prepend=0), which, self.grams_c[s], *lower)
             yield (1, self.order, self.number, b, None, data, None, None, None)
 
     def runs(self, s: slice) -> np.ndarray:
@@ -314,7 +327,9 @@ def counted_words(sent: DataFrame, buckets: int) -> DataFrame:
         sizes = [len(p[0]) for p in parts]
         word, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         c = np.bincount(inverse, np.concatenate([p[1] for p in parts]), minlength=len(word)).astype(np.int64)
-        number = np.arange(len(word)) * buckets + bucket
+        place = np.empty(len(word), np.int64)  # frequent words get small numbers
+        place[np.argsort(-c, kind="stable")] = np.arange(len(word))
+        number = place * buckets + bucket
         ends = np.cumsum(sizes)
         out = [(1, 1, k, bucket, None, pack(number[inverse[e - n : e]], c[inverse[e - n : e]]), None, None, None) for k, n, e in zip(t.column("chunk").to_pylist(), sizes, ends.tolist())]
         out.append((2, 1, -1, bucket, None, pack(word.view(np.uint64), number, c), None, None, None))
@@ -324,25 +339,27 @@ def counted_words(sent: DataFrame, buckets: int) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(run, ROWS.format(id=id_type))
 
 
-def counted_grams(sent: DataFrame, order: int) -> DataFrame:
+def counted_grams(sent: DataFrame, order: int, shared) -> DataFrame:
     """Later rounds: exact counts of a bucket's n-grams, and for each history
     what its backoff weight needs."""
     id_type = sent.schema["ids"].dataType.elementType.simpleString()
 
     def run(t: pa.Table) -> pa.Table:
+        m: Model = shared.value
         bucket, ids = t.column("bucket")[0].as_py(), t.schema.field("ids").type
         raws, chunk = t.column("data").to_pylist(), t.column("chunk").to_pylist()
         h = order - 1
-        heads, grams, lower, sizes, run_sizes = [[] for _ in range(h + 2)], [[] for _ in range(3)], [], [], []
+        heads, grams, lower, sizes, run_sizes = [[] for _ in range(h + 1)], [[] for _ in range(3)], [], [], []
         for raw in raws:
             parts = unpack(raw)
-            for x, y in zip(heads, [*parts[:h], parts[h + 1], parts[h + 2]]):
+            for x, y in zip(heads, [np.cumsum(parts[0]), *parts[1:h], parts[h + 1]]):
                 x.append(y)
-            grams[0].append(parts[h + 3])
+            which = parts[h + 3]
+            grams[0].append(np.cumsum(parts[h + 2])[which])
             grams[1].append(parts[h + 4])
             grams[2].append(parts[h])  # sizes of runs
-            lower.append(parts[h + 6][parts[h + 5]])
-            sizes.append(len(parts[h + 3]))
+            lower.append(m.word(parts[h + 5])[which] if order == 2 else parts[h + 6][parts[h + 5]])
+            sizes.append(len(which))
             run_sizes.append(len(parts[h]))
         heads = [np.concatenate(x) for x in heads]
         w, c, size = (np.concatenate(x) for x in grams)
@@ -378,10 +395,10 @@ def counted_grams(sent: DataFrame, order: int) -> DataFrame:
             back = np.bincount(run[c_own == 0], minlength=runs) > 0
             out.append((1, order, k, bucket, None, pack(c_own, (counts[own] * back[:, None]).ravel(), mass[own] * back), None, None, None))
             at, run_at = at + n, run_at + runs
-        for i in np.flatnonzero(heads[h + 1][one]).tolist():
+        for i in np.flatnonzero(heads[h][one]).tolist():
             key = np.array([x[one[i]] for x in heads[:h]], "<i8").tobytes()
             out.append((4, order, -1, bucket, None, None, key, counts[i].tolist(), float(mass[i])))
-        out.append((2, order, -1, bucket, None, pack(*(x[one] for x in heads[:h]), of, w[first[seen]], total[seen]), None, None, None))
+        out.append((2, order, -1, bucket, None, pack(*(x[one] for x in heads[:h]), np.diff(of, prepend=0), w[first[seen]], total[seen]), None, None, None))
         out.append((3, order, -1, bucket, None, None, None, _counts_of_counts(total), None))
         return pa.Table.from_batches([_rows(out, ids)])
 
@@ -435,8 +452,9 @@ def katz_scores(docs: DataFrame, train: Column, id_col: str = "doc_id", order: i
     whole = stored.filter("kind = 0").unionByName(answers.filter("kind = 1"))
     share = HOT
     for k in range(2, order + 1):
-        sent = whole.groupBy("chunk").applyInArrow(_sender(spark.sparkContext.broadcast(model), share, buckets, k), ROWS.format(id=id_type))
-        answers = saved(counted_grams(sent, k), f"katz-grams-{k}")
+        shared = spark.sparkContext.broadcast(model)
+        sent = whole.groupBy("chunk").applyInArrow(_sender(shared, share, buckets, k), ROWS.format(id=id_type))
+        answers = saved(counted_grams(sent, k, shared), f"katz-grams-{k}")
         _learned(model, k, answers)
         whole = whole.unionByName(answers.filter("kind = 1"))
     shared = spark.sparkContext.broadcast(model)
