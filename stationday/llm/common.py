@@ -44,7 +44,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder named by spark.checkpoint.dir."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 

@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from stationday.llm.common import crc_mod, table, unit_hash
 
-SAMPLE_DOCS = 8000
-LANG_DOCS = 1000
+SAMPLE_DOCS = 3000
+LANG_DOCS = 700
 ORDERS = (4, 3, 2, 1)
 SMOOTH = 0.5
 CACHE_WORDS = 150_000
@@ -82,20 +82,34 @@ class Model:
     def __init__(self, rows: list[tuple[str, int, str, int, int]]):
         """rows: language, order (0: words), gram, its count, all counts of that
         language and order."""
-        self.langs = sorted({r[0] for r in rows})
+        lang, n, gram, c, total = zip(*rows) if rows else ((), (), (), (), ())
+        self._learn(np.array(lang, object), np.array(n, np.int64), list(gram), np.array(c, np.float64), {(x, k): t for x, k, t in zip(lang, n, total)})
+
+    @classmethod
+    def of(cls, counts: pa.Table) -> Model:
+        """From (lang, n, gram, c) as a table: no Python object for each row but
+        the gram."""
+        lang = counts.column("lang").combine_chunks().dictionary_encode()
+        names, code = np.array(lang.dictionary.to_pylist(), object), lang.indices.to_numpy()
+        n, c = counts.column("n").to_numpy(), counts.column("c").to_numpy().astype(np.float64)
+        totals = {(names[x], k): c[(code == x) & (n == k)].sum() for x in range(len(names)) for k in np.unique(n).tolist()}
+        out = cls([])
+        out._learn(names[code] if len(names) else names, n, counts.column("gram").to_pylist(), c, totals)
+        return out
+
+    def _learn(self, lang: np.ndarray, n: np.ndarray, gram: list[str], c: np.ndarray, totals: dict[tuple[str, int], float]) -> None:
+        self.langs = sorted(set(lang.tolist()))
         self.tables: dict[int, tuple[dict[str, int], np.ndarray]] = {}
-        at = {lang: i for i, lang in enumerate(self.langs)}
-        for n in {r[1] for r in rows}:
-            own = [r for r in rows if r[1] == n]
+        at = np.array([self.langs.index(x) for x in lang.tolist()], np.int64)
+        for k in np.unique(n).tolist():
+            own = np.flatnonzero(n == k)
             places: dict[str, int] = {}
-            for r in own:
-                places.setdefault(r[2], len(places))
-            counts, totals = np.zeros((len(places), len(at))), np.zeros(len(at))
-            for lang, _, gram, c, total in own:
-                counts[places[gram], at[lang]] = c
-                totals[at[lang]] = total
-            unseen = SMOOTH / totals.max()
-            self.tables[n] = places, np.log(counts / np.maximum(totals, 1) + unseen)
+            row = np.array([places.setdefault(gram[i], len(places)) for i in own.tolist()], np.int64)
+            counts = np.zeros((len(places), len(self.langs)))
+            counts[row, at[own]] = c[own]
+            total = np.array([totals.get((x, k), 0.0) for x in self.langs])
+            unseen = SMOOTH / total.max()
+            self.tables[k] = places, np.log(counts / np.maximum(total, 1) + unseen).astype(np.float32)
 
     def word(self, w: str) -> np.ndarray:
         places, logs = self.tables.get(0, ({}, None))
@@ -167,11 +181,7 @@ def train(docs: DataFrame, learn: Column, sample_docs: int = SAMPLE_DOCS, lang_d
     """A model from the rows that ``learn`` names, with a lang and a text."""
     pool = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     pool = sampled(pool, sample_docs, lang_docs)
-    rows = [tuple(r) for r in counted(pool.select("lang", "text")).select("lang", "n", "gram", "c").collect()]
-    totals: Counter = Counter()
-    for lang, n, _, c in rows:
-        totals[lang, n] += c
-    return Model([(*r, totals[r[0], r[1]]) for r in rows])
+    return Model.of(counted(pool.select("lang", "text")).select("lang", "n", "gram", "c").toArrow())
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -48,49 +48,104 @@ def longest_repeats(w: W.Words) -> np.ndarray:
     longest = np.zeros(n, np.int64)
     if n < 2:
         return longest
+    whole = np.int32 if n < 1 << 31 else np.int64  # places and ranks are below n
     doc = w.doc
-    stop = w.ptr[1:][doc]
-    order = np.lexsort((w.hash, doc))
+    stop = w.ptr[1:].astype(whole)[doc]
+    order = np.lexsort((w.hash, doc)).astype(whole)
     new = np.ones(n, bool)
     new[1:] = (w.hash[order][1:] != w.hash[order][:-1]) | (doc[order][1:] != doc[order][:-1])
-    starts = np.flatnonzero(new)
-    rank = np.empty(n, np.int64)
+    del doc
+    starts = np.flatnonzero(new).astype(whole)
+    rank = np.empty(n, whole)
     rank[order] = np.repeat(starts, np.diff(np.append(starts, n)))
-    levels, h = [rank], 1
+    del new, starts
+    h = 1
     tied = _tied(rank[order])
+    first_word = rank.copy()
     while len(tied):
         at = order[tied]  # suffixes that share their first h words with another
         nxt = at + h
-        key = np.full(len(at), -1, np.int64)
+        key = np.full(len(at), -1, whole)
         inside = nxt < stop[at]
         key[inside] = rank[nxt[inside]]
         by = np.lexsort((key, rank[at]))
         at, key = at[by], key[by]
+        del nxt, inside, by
         order[tied] = at
         old = rank[at]
         change = np.ones(len(at), bool)
         change[1:] = (old[1:] != old[:-1]) | (key[1:] != key[:-1])
         first = np.flatnonzero(change)
-        rank = rank.copy()
         rank[at] = np.repeat(tied[first], np.diff(np.append(first, len(at))))
-        levels.append(rank)
+        del old, change, key
         h *= 2
         tied = tied[_tied(rank[at])]
+    del rank
     a, b = order[:-1], order[1:]
-    near = np.flatnonzero(levels[0][a] == levels[0][b])
+    near = np.flatnonzero(first_word[a] == first_word[b])
     a, b = a[near], b[near]
-    lcp = np.zeros(len(a), np.int64)
-    for k in range(len(levels) - 1, -1, -1):
-        x, y = a + lcp, b + lcp
-        inside = (x < stop[a]) & (y < stop[b])
-        same = np.zeros(len(a), bool)
-        same[inside] = levels[k][x[inside]] == levels[k][y[inside]]
-        lcp[same] += 1 << k
-    np.maximum.at(longest, a, lcp)
-    np.maximum.at(longest, b, lcp)
+    lcp = common_prefixes(w.hash, a, b, stop, h)
+    longest[a] = lcp  # each suffix has one neighbour before it and one behind
+    longest[b] = np.maximum(longest[b], lcp)
     return longest
 
 
+#: A prime below 2**61, so that products can be reduced in 64 bits.
+PRIME = np.uint64((1 << 61) - 1)
+_BASE = 0x1F3D5B79A2C4E687 % ((1 << 61) - 1)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a b modulo ``PRIME``, by halves."""
+    low = np.uint64((1 << 31) - 1)
+    ah, al, bh, bl = a >> np.uint64(31), a & low, b >> np.uint64(31), b & low
+    mid = ah * bl + al * bh
+    mid = (mid >> np.uint64(30)) + ((mid & np.uint64((1 << 30) - 1)) << np.uint64(31))
+    return _reduced(_reduced((ah * bh << np.uint64(1)) + mid) + _reduced(al * bl))
+
+
+def _powers(n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    have, step = 1, _BASE
+    while have < n:
+        more = min(have, n - have)
+        out[have : have + more] = _times(out[:more], np.uint64(step))
+        step = step * step % int(PRIME)
+        have += more
+    return out
+
+
+def common_prefixes(words: np.ndarray, a: np.ndarray, b: np.ndarray, stop: np.ndarray, most: int) -> np.ndarray:
+    """How many words the suffixes at a and b share, less than ``most`` (a power
+    of two), by halving steps over prefix sums of one polynomial. What is held is
+    a few numbers for each word, however often the text repeats."""
+    n = len(words)
+    power = _powers(n)
+    term = _times(_reduced(words), power)
+    high = _reduced(np.cumsum(term >> np.uint64(31)))
+    low = _reduced(np.cumsum(term & np.uint64((1 << 31) - 1)))
+    del term
+    sums = np.zeros(n + 1, np.uint64)
+    sums[1:] = _reduced(_times(high, np.uint64(1 << 31)) + low)
+    del high, low
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    lcp, step = np.zeros(len(a), a.dtype), min(most // 2, 1 << (n.bit_length() - 1))
+    while step:
+        x, y = a + lcp, b + lcp
+        at = np.flatnonzero((x + step <= stop[a]) & (y + step <= stop[b]))
+        x, y = x[at], y[at]
+        first = _reduced(sums[x + step] + PRIME - sums[x])
+        second = _reduced(sums[y + step] + PRIME - sums[y])
+        lcp[at[_times(first, power[y - x]) == second]] += step
+        step //= 2
+    return lcp
+
+
 def _tied(sorted_rank: np.ndarray) -> np.ndarray:
     """Places whose rank equals a neighbour's."""
     same = sorted_rank[1:] == sorted_rank[:-1]

@@ -563,6 +563,27 @@ def test_decontamination_of_texts_shorter_than_the_item(spark, monkeypatch):
         assert kept == {i for i, _ in docs} - {i for i, *_ in got}
 
 
+def found_items(sf_dir, monkeypatch, radius):
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(decontaminate, "RADIUS", radius)
+    docs, bench = pq.read_table(f"{sf_dir}/documents.parquet"), pq.read_table(f"{sf_dir}/benchmark.parquet")
+    indexes = decontaminate.build(list(zip(bench.column("item_id").to_pylist(), bench.column("text").to_pylist())))
+    texts = docs.column("text").combine_chunks()
+    out = set()
+    for lo, hi in W.row_slices(texts):
+        out |= {(lo + t, i) for t, i, _, _ in decontaminate.search(texts.slice(lo, hi - lo), indexes, decontaminate._filters(indexes))}
+    return out
+
+
+def test_decontamination_recall_on_documents(monkeypatch):
+    """Against a radius that lets every window pass, on all given documents."""
+    radius = decontaminate.RADIUS
+    every, found = found_items(SF01, monkeypatch, 64), found_items(SF01, monkeypatch, radius)
+    assert found <= every and len(every) > 10
+    assert len(found) >= 0.9 * len(every)
+
+
 def test_multi_index_finds_all_within_radius():
     rng = np.random.default_rng(3)
     index = decontaminate.build([(i, " ".join(f"a{rng.integers(50)}" for _ in range(12))) for i in range(30)])[0]
@@ -689,14 +710,14 @@ def test_longest_repeat_of_long_texts():
 # --- pipeline -------------------------------------------------------------------
 
 
-def test_pipeline_stages(spark):
+def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     before = docs
     for name, stage in corpus_pipeline.STAGES:
         after = stage(spark, before, SF001)
-        after.write.mode("overwrite").parquet(path := f"/tmp/stationday-test-pipeline/{name.replace(' ', '_')}")
+        after.write.parquet(path := f"file://{tmp_path}/{name.replace(' ', '_')}")
         after = spark.read.parquet(path)
         assert after.columns == docs.columns + ["copy_no"] * (name == "mixing")
         rows, kept = [r for r in before.collect()], after.collect()
