@@ -2,7 +2,12 @@
 
 Each stage gets what its predecessor kept. All but the last return the columns
 of documents; the last returns them with ``copy_no``. NULL and empty texts leave
-at the first stage (no language); an empty table stays empty.
+at the first stage (no language); an empty table stays empty. Repeated rows are
+copies of each other: one of them stays. Of near duplicates the smallest doc_id
+stays (a NULL id before all others; of equal ids the smallest set fingerprint), so
+ties give the same rows on every run. Long texts are read whole. Further columns
+are kept as they are, whatever their names; only ``text``, ``n_chars`` and an
+input column named ``copy_no`` are replaced.
 """
 
 from __future__ import annotations

@@ -28,6 +28,25 @@ ST = """st AS (
          CAST(c_nationkey AS DOUBLE) / 25 AS data_coverage
   FROM customer)"""
 
+MOMENTS = """m AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) AS station_id,
+         CASE WHEN event_type = 'click' THEN 'TMAX' WHEN event_type = 'view' THEN 'TMIN' ELSE upper(event_type) END AS datatype,
+         ts AS moment, value AS obs_value
+  FROM events)"""
+
+PERIODS = """p AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS station_id, c_name AS name,
+         DATE '2024-01-01' + CAST(c_nationkey AS INTEGER) AS min_date,
+         DATE '2024-01-01' + CAST(c_nationkey * 2 - 5 AS INTEGER) AS max_date
+  FROM customer)"""
+
+# The drop that a row arrives in, and the latest time of all earlier drops.
+ARRIVALS_PLAIN = """a0 AS (
+  SELECT *, least((CAST(moment AS DATE) - DATE '2024-01-01' + CASE WHEN datatype = 'ERROR' THEN 6 ELSE 0 END) // 10, 2) AS d FROM m)"""
+
+ARRIVALS = ARRIVALS_PLAIN + """, seen AS (SELECT x.d, max(y.moment) AS latest FROM (SELECT DISTINCT d FROM a0) x JOIN a0 y ON y.d < x.d GROUP BY 1),
+a AS (SELECT a0.*, coalesce(date_trunc('day', moment) + INTERVAL 1 DAY <= latest - INTERVAL 3 DAY, false) AS late FROM a0 LEFT JOIN seen ON a0.d = seen.d)"""
+
 OBS5 = "observation_date, datatype, station_id, attributes, obs_value"
 
 
@@ -185,4 +204,53 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey)""",
     "missing_dimension": """SELECT DISTINCT c_custkey FROM customer c WHERE NOT EXISTS (
         SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)""",
+    "asof_join": f"""WITH {MOMENTS}, r AS (SELECT station_id, moment, event_id AS report_id, obs_value AS report_value FROM m WHERE datatype = 'SIGNUP')
+        SELECT t.event_id, t.station_id, t.datatype, t.obs_value, r.report_id AS last_report_id, r.report_value AS last_report_value
+        FROM (SELECT * FROM m WHERE datatype IN ('TMAX', 'TMIN')) t ASOF LEFT JOIN r ON t.station_id = r.station_id AND t.moment >= r.moment""",
+    "asof_join_tolerance": f"""WITH {MOMENTS}, r AS (SELECT station_id, moment, event_id AS report_id FROM m WHERE datatype = 'SIGNUP')
+        SELECT t.event_id, t.station_id,
+               CASE WHEN epoch(date_trunc('second', t.moment)) - epoch(date_trunc('second', r.moment)) <= 2 * 86400 THEN r.report_id END AS last_report_id
+        FROM (SELECT * FROM m WHERE datatype = 'TMAX') t ASOF LEFT JOIN r ON t.station_id = r.station_id AND t.moment > r.moment""",
+    "interval_join": w(OBS, PERIODS) + """SELECT o.event_id, o.station_id, o.observation_date, o.datatype, p.name
+        FROM obs o JOIN p ON o.station_id = p.station_id AND o.observation_date BETWEEN p.min_date AND p.max_date""",
+    "interval_counts": """SELECT a.o_orderkey AS first_key, count(*) AS n_orders, max(b.o_orderkey) AS last_key
+        FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND b.o_orderdate >= a.o_orderdate
+         AND b.o_orderdate < CAST(a.o_orderdate AS DATE) + CAST(floor(a.o_totalprice / 150) AS INTEGER)
+        GROUP BY 1""",
+    "rolling_week": w(OBS, daily("obs", "d")) + f"""SELECT station_id, observation_date, tmax, tmin,
+        max(tmax) OVER week AS week_max, min(tmin) OVER week AS week_min, count(tmax) OVER week AS week_days
+        FROM d WINDOW week AS (PARTITION BY station_id ORDER BY observation_date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)""",
+    "outlier_runs": w(OBS, daily("obs", "d"), """f AS (SELECT station_id, observation_date AS day,
+          observation_date - CAST(row_number() OVER (PARTITION BY station_id ORDER BY observation_date) AS INTEGER) AS g
+          FROM d WHERE tmax IS NOT NULL AND tmin IS NOT NULL AND (tmax NOT BETWEEN 20 AND 90 OR tmin NOT BETWEEN 5 AND 80))""")
+    + "SELECT station_id, min(day) AS run_start, max(day) AS run_end, count(*) AS run_days FROM f GROUP BY station_id, g",
+    "grouping_sets": w(OBS) + """SELECT station_id, month, datatype, grouping(station_id, month, datatype) AS grouping_id,
+        count(*) AS n_obs, max(obs_value) AS highest, min(obs_value) AS lowest
+        FROM (SELECT station_id, CAST(month(observation_date) AS INTEGER) AS month, datatype, obs_value FROM obs)
+        GROUP BY GROUPING SETS ((station_id, month), (month, datatype), (datatype), ())""",
+    "distinct_rollup": w(OBS) + """SELECT datatype, count(station_id) AS n_values, count(DISTINCT station_id) AS exact_distinct, true AS within_bound
+        FROM obs GROUP BY datatype""",
+    "snapshot_diff": """WITH b AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P'),
+        a AS (SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN floor(o_totalprice) ELSE o_totalprice END AS o_totalprice
+              FROM orders WHERE o_totalprice > 1000)
+        SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
+               CASE WHEN b.o_orderkey IS NULL THEN 'insert' WHEN a.o_orderkey IS NULL THEN 'delete' ELSE 'update' END AS change, CAST(1 AS BIGINT) AS copies,
+               coalesce(a.o_custkey, b.o_custkey) AS o_custkey, coalesce(a.o_orderstatus, b.o_orderstatus) AS o_orderstatus, coalesce(a.o_totalprice, b.o_totalprice) AS o_totalprice,
+               CASE WHEN a.o_orderkey = b.o_orderkey THEN b.o_custkey END AS old_o_custkey, CASE WHEN a.o_orderkey = b.o_orderkey THEN b.o_orderstatus END AS old_o_orderstatus,
+               CASE WHEN a.o_orderkey = b.o_orderkey THEN b.o_totalprice END AS old_o_totalprice
+        FROM a FULL OUTER JOIN b ON a.o_orderkey = b.o_orderkey
+        WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR a.o_totalprice <> b.o_totalprice""",
+    "event_windows": f"""WITH {MOMENTS}, {ARRIVALS}
+        SELECT CAST(moment AS DATE) AS day, datatype, count(*) AS n_obs, max(obs_value) AS highest FROM a
+        WHERE NOT late AND date_trunc('day', moment) + INTERVAL 1 DAY <= (SELECT max(moment) FROM a) - INTERVAL 3 DAY GROUP BY 1, 2""",
+    "late_rows": f"WITH {MOMENTS}, {ARRIVALS} SELECT event_id, station_id, datatype, obs_value FROM a WHERE late",
+    "station_sessions": f"""WITH {MOMENTS}, o AS (SELECT * FROM m WHERE datatype <> 'ERROR'),
+        b AS (SELECT *, CASE WHEN moment < lag(moment) OVER (PARTITION BY station_id ORDER BY moment) + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS begins FROM o),
+        n AS (SELECT *, sum(begins) OVER (PARTITION BY station_id ORDER BY moment ROWS UNBOUNDED PRECEDING) AS no FROM b)
+        SELECT station_id, count(*) AS n_obs, min(event_id) AS first_event FROM n GROUP BY station_id, no
+        HAVING max(moment) + INTERVAL 6 HOUR <= (SELECT max(moment) FROM o) - INTERVAL 3 DAY""",
+    "station_anomalies": f"""WITH {MOMENTS}, {ARRIVALS_PLAIN}, t AS (SELECT * FROM a0 WHERE datatype IN ('TMAX', 'TMIN')),
+        x AS (SELECT a.event_id, a.station_id, a.obs_value AS value, count(*) AS n, avg(b.obs_value) AS mean, stddev_pop(b.obs_value) AS deviation
+              FROM t a JOIN t b ON a.station_id = b.station_id AND b.d < a.d GROUP BY 1, 2, 3)
+        SELECT event_id, station_id, value FROM x WHERE n >= 5 AND abs(value - mean) > 1.5 * deviation""",
 }

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stationday.config import PipelineConfig, fresh_dir
 from stationday.functions import avg_temp, call_by_name, outlier_label, temp_change
+from stationday.functions.temperature import OUTLIER_LABELS
 from stationday.functions.registry import AVG_TEMP_FN, OUTLIER_FN, TEMP_CHANGE_FN
 from stationday.operators.analytics import (
     grouped_average,
@@ -25,6 +26,7 @@ from stationday.operators.analytics import (
     top_n,
 )
 from stationday.operators.dedupe import dedupe_latest, distinct_keys, distinct_rows
+from stationday.operators.frames import rolling, runs
 from stationday.operators.merge import coalesce_source_target, merge_into
 from stationday.operators.parse import (
     OBSERVATION_FIELDS,
@@ -40,6 +42,8 @@ from stationday.operators.parse import (
 )
 from stationday.operators.pivot import daily_temps, pivot_max
 from stationday.operators.planning import filter_window, missing_dimension, page_plan, split_yearly, union_tagged
+from stationday.operators.summaries import by_grouping_sets, merged, sketch, snapshot_diff
+from stationday.operators.temporal_joins import asof_join, interval_join
 from stationday.plans import derive, progress
 from stationday.plans.pipeline import run_pipeline
 from stationday.plans.stages import (
@@ -57,7 +61,9 @@ from stationday.schemas import ANALYTICS, DAILY_TEMPS, DAILY_TEMPS_SCHEMA, OBSER
 from stationday.sources.json_rows import load_json_rows, read_json_lines
 from stationday.sources.sink import write_json_lines
 from stationday.sources.tables import empty_like, overwrite_table
+from stationday.streaming.anomalies import anomalies
 from stationday.streaming.incremental import incremental_upsert, skip_existing_files
+from stationday.streaming.windows import close_windows, keep_late_rows, landed, windowed
 
 OBS_KEYS = ["observation_date", "datatype", "station_id"]
 OBS_COLS = ["observation_date", "datatype", "station_id", "attributes", "obs_value"]
@@ -428,6 +434,174 @@ def q_missing_dimension(spark, sf):
     return missing_dimension(customers, _events(spark, sf), "c_custkey", "user_id")
 
 
+# ---- time, grains, snapshots -----------------------------------------------------------
+
+def _moments(spark, sf):
+    """Observations at their full time, with the station as text."""
+    return _events(spark, sf).select(
+        "event_id", F.col("user_id").cast("string").alias("station_id"), derive.kind_of(F.col("event_type")).alias("datatype"),
+        F.col("ts").alias("at"), F.col("value").alias("obs_value"))
+
+
+def q_asof_join(spark, sf):
+    """Each temperature with the station's latest earlier report of another kind."""
+    m = _moments(spark, sf)
+    temps = m.filter(F.col("datatype").isin("TMAX", "TMIN"))
+    reports = m.filter(F.col("datatype") == "SIGNUP").select(
+        "station_id", "at", F.col("event_id").alias("report_id"), F.col("obs_value").alias("report_value"))
+    out = asof_join(temps, reports, ["station_id"], "at", ["report_id", "report_value"], prefix="last_")
+    return out.select("event_id", "station_id", "datatype", "obs_value", "last_report_id", "last_report_value")
+
+
+def q_asof_join_tolerance(spark, sf):
+    """The same with reports of the two days before only."""
+    m = _moments(spark, sf)
+    reports = m.filter(F.col("datatype") == "SIGNUP").select("station_id", "at", F.col("event_id").alias("report_id"))
+    out = asof_join(m.filter(F.col("datatype") == "TMAX"), reports, ["station_id"], "at", ["report_id"],
+                    prefix="last_", strict=True, tolerance=2 * 86_400)
+    return out.select("event_id", "station_id", "last_report_id")
+
+
+def _periods(spark, sf):
+    """Stations with a period of activity that depends on their region."""
+    st = derive.table(spark, sf, "customer")
+    return st.select(F.col("c_custkey").cast("string").alias("station_id"), F.col("c_name").alias("name"),
+                     F.date_add(F.to_date(F.lit(derive.STATION_MIN_DATE)), F.col("c_nationkey").cast("int")).alias("min_date"),
+                     F.date_add(F.to_date(F.lit(derive.STATION_MIN_DATE)), (F.col("c_nationkey") * 2 - 5).cast("int")).alias("max_date"))
+
+
+def q_interval_join(spark, sf):
+    """Observations within their station's period (some periods are empty)."""
+    out = interval_join(_obs(spark, sf), _periods(spark, sf), ["station_id"], "observation_date", "min_date", "max_date")
+    return out.select("event_id", "station_id", "observation_date", "datatype", "name")
+
+
+def q_interval_counts(spark, sf):
+    """For every order, how many orders of the customer fall into the time after
+    it, which is from a day to years long by its price."""
+    o = derive.table(spark, sf, "orders")
+    after = o.select("o_custkey", F.col("o_orderkey").alias("first_key"), F.col("o_orderdate").alias("opened"),
+                     F.date_add(F.col("o_orderdate").cast("date"), F.floor(F.col("o_totalprice") / 150).cast("int")).alias("closes"))
+    pairs = interval_join(o.select("o_custkey", "o_orderkey", "o_orderdate"), after, ["o_custkey"], "o_orderdate", "opened", "closes", closed=False)
+    return pairs.groupBy("first_key").agg(F.count(F.lit(1)).alias("n_orders"), F.max("o_orderkey").alias("last_key"))
+
+
+def q_rolling_week(spark, sf):
+    """Frames of seven days over the daily temperatures of a station."""
+    d = _daily(_obs(spark, sf))
+    out = rolling(d, ["station_id"], "observation_date", 7, {
+        "week_max": F.max("tmax"), "week_min": F.min("tmin"), "week_days": F.count("tmax")}, period=10)
+    return out.select("station_id", "observation_date", "tmax", "tmin", "week_max", "week_min", "week_days")
+
+
+def q_outlier_runs(spark, sf):
+    """Runs of days on which a station's temperatures are outliers of a narrow range."""
+    d = _daily(_obs(spark, sf))
+    label = outlier_label("tmax", "tmin", (20.0, 90.0), (5.0, 80.0))
+    return runs(d, ["station_id"], "observation_date", label != OUTLIER_LABELS[3], period=10)
+
+
+def q_grouping_sets(spark, sf):
+    """Station by month, month by kind, kind, and everything."""
+    o = _obs(spark, sf).select("station_id", F.month("observation_date").alias("month"), "datatype", "obs_value")
+    return by_grouping_sets(o, [["station_id", "month"], ["month", "datatype"], ["datatype"], []], {
+        "n_obs": F.count(F.lit(1)), "highest": F.max("obs_value"), "lowest": F.min("obs_value")})
+
+
+def q_distinct_rollup(spark, sf):
+    """Stations per kind from daily sketches, against the exact number: within
+    three standard errors of a sketch of 2**14 buckets."""
+    o = _obs(spark, sf)
+    daily = sketch(o, ["observation_date", "datatype"], "station_id")
+    rolled = merged(daily, ["datatype"])
+    exact = o.groupBy("datatype").agg(F.countDistinct("station_id").alias("exact_distinct"))
+    close = F.abs(F.col("approx_distinct") - F.col("exact_distinct")) <= F.col("exact_distinct") * 3 * 0.0065 + 1
+    return rolled.join(exact, "datatype").select("datatype", "n_values", "exact_distinct", close.alias("within_bound"))
+
+
+def q_snapshot_diff(spark, sf):
+    """Two versions of orders: some left, some came, some have a new price."""
+    o = derive.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    before = o.filter(F.col("o_orderstatus") != "P")
+    after = o.filter(F.col("o_totalprice") > 1000).withColumn(
+        "o_totalprice", F.when(F.col("o_orderstatus") == "O", F.floor("o_totalprice").cast("double")).otherwise(F.col("o_totalprice")))
+    return snapshot_diff(before, after, ["o_orderkey"])
+
+
+# ---- event time ----------------------------------------------------------------------------
+
+ARRIVED = "event_id long, at timestamp, station_id string, datatype string, obs_value double"
+LATE_DAYS = 6   # reports of errors arrive so many days after the rest
+DELAY = "3 DAYS"
+
+
+def _arrivals(spark, sf):
+    """Observations with the drop they arrive in: by day, errors later."""
+    m = _moments(spark, sf)
+    day = F.datediff(F.col("at").cast("date"), F.to_date(F.lit(derive.STATION_MIN_DATE)))
+    day = day + F.when(F.col("datatype") == "ERROR", LATE_DAYS).otherwise(0)
+    return m.withColumn("drop", F.least(F.floor(day / 10), F.lit(2)))
+
+
+def _drops(spark, sf, run):
+    """Land one drop after the other; ``run`` takes up what has arrived."""
+    land = fresh_dir(spark, "q-windows")
+    rows = _arrivals(spark, sf)
+    for i in range(3):
+        rows.filter(F.col("drop") == i).drop("drop").write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(f"{land}/drop{i}")
+        run(landed(spark, land, ARRIVED))
+
+
+def q_event_windows(spark, sf):
+    """Days by kind, closed three days after; late rows are not in them."""
+    out, ckpt = fresh_dir(spark, "q-closed"), fresh_dir(spark, "q-closed-ckpt")
+
+    def run(stream):
+        day = F.window("at", "1 day")
+        w = windowed(stream, "at", DELAY, day, ["datatype"], {"n_obs": F.count(F.lit(1)), "highest": F.max("obs_value")})
+        close_windows(spark, w, out, ckpt)
+
+    _drops(spark, sf, run)
+    return spark.read.parquet(out).select(F.col("window_start").cast("date").alias("day"), "datatype", "n_obs", "highest")
+
+
+def q_late_rows(spark, sf):
+    """The rows that came too late for the day they belong to."""
+    out, ckpt = fresh_dir(spark, "q-aside"), fresh_dir(spark, "q-aside-ckpt")
+
+    def run(stream):
+        keep_late_rows(spark, stream, "at", DELAY, lambda at: F.date_trunc("day", at) + F.expr("INTERVAL 1 DAY"), out, ckpt)
+
+    _drops(spark, sf, run)
+    return spark.read.parquet(out).select("event_id", "station_id", "datatype", "obs_value")
+
+
+def q_station_sessions(spark, sf):
+    """Sessions of a station's reports (errors apart), six hours apart at most."""
+    out, ckpt = fresh_dir(spark, "q-sessions"), fresh_dir(spark, "q-sessions-ckpt")
+
+    def run(stream):
+        s = F.session_window("at", "6 hours")
+        own = stream.filter(F.col("datatype") != "ERROR")
+        w = windowed(own, "at", DELAY, s, ["station_id"], {"n_obs": F.count(F.lit(1)), "first_event": F.min("event_id")})
+        close_windows(spark, w, out, ckpt)
+
+    _drops(spark, sf, run)
+    return spark.read.parquet(out).select("station_id", "n_obs", "first_event")
+
+
+def q_station_anomalies(spark, sf):
+    """Temperatures far from what the station reported in earlier arrivals."""
+    out, ckpt = fresh_dir(spark, "q-odd"), fresh_dir(spark, "q-odd-ckpt")
+
+    def run(stream):
+        temps = stream.filter(F.col("datatype").isin("TMAX", "TMIN")).select("event_id", "at", "station_id", F.col("obs_value").alias("value"))
+        close_windows(spark, anomalies(temps, width=1.5, keep_days=60), out, ckpt)
+
+    _drops(spark, sf, run)
+    return spark.read.parquet(out).select("event_id", "station_id", "value")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_json_rows": q_load_json_rows,
     "json_round_trip": q_json_round_trip,
@@ -471,4 +645,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "split_yearly": q_split_yearly,
     "page_plan": q_page_plan,
     "missing_dimension": q_missing_dimension,
+    "asof_join": q_asof_join,
+    "asof_join_tolerance": q_asof_join_tolerance,
+    "interval_join": q_interval_join,
+    "interval_counts": q_interval_counts,
+    "rolling_week": q_rolling_week,
+    "outlier_runs": q_outlier_runs,
+    "grouping_sets": q_grouping_sets,
+    "distinct_rollup": q_distinct_rollup,
+    "snapshot_diff": q_snapshot_diff,
+    "event_windows": q_event_windows,
+    "late_rows": q_late_rows,
+    "station_sessions": q_station_sessions,
+    "station_anomalies": q_station_anomalies,
 }

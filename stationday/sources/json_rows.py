@@ -19,16 +19,28 @@ make "the latest record wins" deterministic.
 from __future__ import annotations
 
 import datetime as dt
+import math
+import re
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationday.config import fresh_dir
 from stationday.schemas import LOAD_ID
 from stationday.sources.tables import append_table, comment_table
 
 
+#: Files of one committed batch of a load, about: what the driver names at a time.
+BATCH_FILES = 10_000
+
+
+def literal_path(path: str) -> str:
+    """A path that names just itself: pattern characters escaped."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def _ingest_cols(pos=None):
     return [
         F.col("_metadata.file_path").alias("_file"),
@@ -83,29 +95,39 @@ def load_json_rows(spark: SparkSession, path, table: str, column: str, kind: str
     is compared with the load log, one row per file, and only new files are
     opened. Their rows go to a new partition named by ``load_id``.
 
-    The load is committed by its rows in the log, written last: readers take
-    committed loads only (``committed``), so a load that failed before leaves
-    rows that nobody sees, and its files are loaded again by the next run.
-    Without a log the staged rows themselves are the history.
+    The new files are a table, cut by a hash of their names into batches of
+    about ``BATCH_FILES``; the driver holds the names of one batch. Each batch
+    is a load of its own (the first has ``load_id``, later ones a number behind
+    it) and is committed by its rows in the log, written last from that table:
+    readers take committed loads only (``committed``), so a load that failed
+    before leaves rows that nobody sees, its files are loaded again by the next
+    run, and batches done before stay done. Without a log the staged rows
+    themselves are the history.
     """
     load_id = load_id or new_load_id()
     if log_table:
         loaded = spark.table(log_table).filter(F.col("staging_table") == table).select("_file", "_mtime")
     else:
         loaded = spark.table(table).select("_file", "_mtime").distinct()
-    # the listing was made on the driver already; what is new of it names the input
-    new = listed_files(spark, path).join(loaded, ["_file", "_mtime"], "left_anti").select(
-        "path", "_file", F.unix_micros("_mtime").alias("us")).collect()
-    if new:
-        rows = read_json_rows(spark, [r["path"] for r in new], column, kind)
-        append_table(rows.select(column, "_file", "_mtime", "_pos", F.lit(load_id).alias(LOAD_ID)), table)
+    listing = fresh_dir(spark, "new-files")
+    listed_files(spark, path).join(loaded, ["_file", "_mtime"], "left_anti").write.parquet(listing)
+    new = spark.read.schema("_file string, _mtime timestamp, path string").parquet(listing)
+    n = new.count()
+    batches = math.ceil(n / BATCH_FILES)
+    number = F.pmod(F.xxhash64("path"), F.lit(batches))
+    for b in range(batches):
+        own = new.filter(number == b)
+        names = [literal_path(r["path"]) for r in own.select("path").collect()]
+        if not names:
+            continue
+        own_id = F.lit(f"{load_id}-{b:06d}" if b else load_id).alias(LOAD_ID)
+        rows = read_json_rows(spark, names, column, kind)
+        append_table(rows.select(column, "_file", "_mtime", "_pos", own_id), table)
         if log_table:
-            log = spark.createDataFrame([(r["_file"], r["us"]) for r in new], "f string, us bigint").coalesce(1)
-            append_table(log.select(F.lit(table).alias("staging_table"), F.col("f").alias("_file"),
-                                    F.timestamp_micros("us").alias("_mtime"), F.lit(load_id).alias(LOAD_ID)), log_table)
+            append_table(own.coalesce(1).select(F.lit(table).alias("staging_table"), "_file", "_mtime", own_id), log_table)
     if comment is not None:
         comment_table(spark, table, comment)
-    return len(new)
+    return n
 
 
 def committed(spark: SparkSession, table: str, log_table: str) -> DataFrame:

@@ -117,6 +117,40 @@ def test_load_into_staging_with_comment(spark, tables, scratch):
     assert desc.get("Comment") == "it's tagged"
 
 
+def test_load_in_committed_batches(spark, tables, scratch, monkeypatch):
+    """5,000 files, some with pattern characters in their names: the driver
+    names one batch at a time, and a load that stops keeps its done batches."""
+    from stationday.sources import json_rows
+
+    for i in range(5000):
+        _write(f"{scratch}/many/{i % 50}/w{i}.json", [{**OBS[0], "value": i}])
+    for name in ("a[1].json", "b{2,3}.json", "c*.json", "d?.json", "e\\f.json", "g h%20.json"):
+        _write(f"{scratch}/many/odd/{name}", [{**OBS[0], "value": 10_000}])
+    _write(f"{scratch}/many/odd/a1.json", [{**OBS[0], "value": 20_000}])  # what a[1] as a pattern would name
+    monkeypatch.setattr(json_rows, "BATCH_FILES", 1700)
+    named, real = [], json_rows.read_json_rows
+
+    def read(spark_, paths, *a):
+        named.append(len(paths))
+        if len(named) == 2:
+            raise RuntimeError("stopped")
+        return real(spark_, paths, *a)
+
+    monkeypatch.setattr(json_rows, "read_json_rows", read)
+    staging, log = tables.name("observation_staging"), tables.name("load_log")
+    load = lambda: load_json_rows(spark, f"{scratch}/many/*", staging, "weather_json", "array", log_table=log)
+    with pytest.raises(RuntimeError):
+        load()
+    done = json_rows.committed(spark, staging, log).count()
+    assert 0 < done == named[0] < 5007
+    assert load() == 5007 - done and load() == 0
+    assert max(named) < 2500 and sum(named[2:]) == 5007 - done
+    rows = json_rows.committed(spark, staging, log)
+    assert rows.count() == 5007
+    values = parse_observations(rows, keep_ingest=False).agg({"obs_value": "sum"}).first()[0]
+    assert values == sum(range(5000)) + 6 * 10_000 + 20_000
+
+
 def test_table_exists_both_answers(spark, tables):
     assert table_exists(spark, tables.name("analytics"))
     assert not table_exists(spark, tables.name("analytics")[:-1] + "_missing`")
