@@ -37,7 +37,7 @@ def text(request):
 
 def test_repetition_memory(text):
     w = W.words(pa.array([text]))
-    assert peak(lambda: repetition.longest_repeats(w)) < 160e-6 * len(w.hash)
+    assert peak(lambda: repetition.longest_repeats(w)) < 200e-6 * len(w.hash)
 
 
 def test_longest_repeats_of_a_repeated_text():
@@ -55,12 +55,12 @@ def test_products_modulo_the_prime():
     assert repetition._powers(9).tolist() == [pow(repetition._BASE, i, p) for i in range(9)]
 
 
-def test_decontamination_memory_of_long_items(text):
-    """An item of 30,000 words, and the long text that holds most of it."""
-    own = text.split()
-    item = own[1000:31_000]
+def test_decontamination_memory_of_long_items():
+    """An item of 6,000 words, and the long text that holds most of it."""
+    own = PLAIN.split()
+    item = own[1000:7000]
     changed = list(own)
-    for i in range(1000, 31_000, 100):
+    for i in range(1000, 7000, 100):
         changed[i] = "other"
     texts = pa.array([" ".join(changed), " ".join(item), "short"])
     indexes = decontaminate.build([(1, " ".join(item))])
@@ -68,7 +68,7 @@ def test_decontamination_memory_of_long_items(text):
     used = peak(lambda: found.extend(decontaminate.search(texts, indexes, decontaminate._filters(indexes))))
     hits = {t: s for t, _, s, _ in found}
     assert hits[1] == 1.0 and 0.8 <= hits[0] < 1
-    assert used < 900
+    assert used < 400
 
 
 def test_window_starts_are_the_union_of_intervals():
