@@ -26,15 +26,15 @@ a class is sent once for each name, with its keys under it, and not once for eac
 list. In the lists of a name two classes that share a key and whose sizes and
 bitmaps allow a link become a candidate: a set's bitmap has a bit toggled by each
 shingle, so two bitmaps differ in at most as many bits as the sets differ in
-shingles, and no link is lost. Candidates go on as one packed row per class, and
-their connected components gather the sets to compare: a set travels once, and a
-pair is compared once. Each component gives, for every class, the number of
-documents it links with and a root; the roots are merged by
-large-star/small-star rounds on tables in the shared folder.
+shingles, and no link is lost. Candidates are one packed row per class and name; a
+pair that meets under several names stays with the first (``once``), and a set
+is sent to the names where it has candidates. Each group gives, for every class, the number of documents it links with and a root;
+the roots are merged by large-star/small-star rounds on tables in the shared
+folder.
 
-Lists of one name and components that are large are cut into blocks, and each
-pair of blocks is a group of its own, so no group grows with a list or with a
-group of copies. Tables of a step are deleted when the next one is written.
+Lists of one name that are large are cut into blocks, and each pair of blocks is
+a group of its own, so no group grows with a list or with a group of copies.
+Tables of a step are deleted when the next one is written.
 
 What the driver gets is of fixed size: word counts in ``2**WORD_BITS`` buckets and
 a bitmap of ``2**BITS`` bits of the classes whose sets are needed, which only
@@ -286,7 +286,7 @@ def named_keys(shared: DataFrame, classes: DataFrame, percent: int, light: int)
 def with_blocks(rows: DataFrame) -> DataFrame:
     """named_keys with what each name's lists are cut into; names of one class
     are left out."""
-    cost = rows.groupBy("name").agg(F.count(F.lit(1)).alias("members"), F.sum(F.greatest(F.size("keys"), F.lit(MIN_COST))).alias("cost")).filter("members > 1")
+    cost = rows.groupBy("name").agg(F.count(F.lit(1)).alias("members"), F.sum(F.greatest("n", F.lit(MIN_COST))).alias("cost")).filter("members > 1")
     return rows.join(cost.select("name", F.ceil(F.col("cost") / BLOCK_COST).cast("int").alias("blocks")), "name")
 
 
@@ -315,10 +315,10 @@ def _meeting(keys: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _pairs(cross: bool, block: np.ndarray, n: np.ndarray, keys: list[np.ndarray], bits: np.ndarray, percent: int) -> list[np.ndarray]:
+def _pairs(cross: bool, block: np.ndarray, n: np.ndarray, meeting: np.ndarray, bits: np.ndarray, percent: int) -> list[np.ndarray]:
     """For each member, smallest sets first, the later members it may link with:
-    they share a key, and their sizes, bitmaps and the group's two blocks allow it."""
-    out, meeting = [], _meeting(keys)
+    they meet, and their sizes, bitmaps and the group's two blocks allow it."""
+    out = []
     for a in range(len(n)):
         last = np.searchsorted(n, 100 * n[a] // percent, side="right")
         later = a + 1 + np.flatnonzero(meeting[a, a + 1 : max(last, a + 1)])
@@ -360,32 +360,59 @@ def _by_group(groups: DataFrame) -> DataFrame:
 
 
 def candidates(groups: DataFrame, percent: int) -> DataFrame:
-    """(cid, partners, root): for each class that may link with others in the
-    lists of a name, those that come after it, packed, and the first class of the
-    component it is in there."""
+    """(key, i, j, cid, partners): for each class that may link with others in a
+    group, those that come after it, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, ranges in _grouped(batches):
-            i, j, b, cid, n = (t.column(c).to_numpy() for c in ("i", "j", "b", "cid", "n"))
+            name, i, j, b, cid, n = (t.column(c).to_numpy() for c in ("key", "i", "j", "b", "cid", "n"))
             bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(-1, TOGGLED // 64)
             lists = t.column("keys").combine_chunks()
             flat, offs = lists.flatten().to_numpy(), lists.offsets.to_numpy()
             offs = offs - offs[0]
-            out: list[tuple[int, bytes, int]] = []
+            out: list[tuple] = []
             for lo, hi in ranges:
                 if hi - lo == 1:
                     continue
                 rows = lo + np.lexsort((cid[lo:hi], n[lo:hi]))
-                pairs = _pairs(i[lo] != j[lo], b[rows], n[rows], [flat[offs[r] : offs[r + 1]] for r in rows], bits[rows], percent)
-                root = _roots(len(rows), pairs)
-                own = cid[rows]
+                meeting = _meeting([flat[offs[r] : offs[r + 1]] for r in rows])
+                pairs = _pairs(i[lo] != j[lo], b[rows], n[rows], meeting, bits[rows], percent)
+                own, later = cid[rows], np.zeros(len(rows), bool)
+                for partners in pairs:
+                    later[partners] = True
                 for a, partners in enumerate(pairs):
-                    if len(partners) or root[a] != a:
-                        out.append((int(own[a]), own[partners].tobytes(), int(own[root[a]])))
+                    if len(partners) or later[a]:
+                        out.append((int(name[lo]), int(i[lo]), int(j[lo]), int(own[a]), own[partners].tobytes()))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*out), (pa.int64(), pa.binary(), pa.int64()))], names=["cid", "partners", "root"])
+                types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*out), types)], names=["key", "i", "j", "cid", "partners"])
 
-    return _by_group(groups).mapInArrow(run, "cid bigint, partners binary, root bigint")
+    return _by_group(groups).mapInArrow(run, "key bigint, i int, j int, cid bigint, partners binary")
+
+
+def once(found: DataFrame) -> DataFrame:
+    """The candidates with each pair in one group only. The smaller set of a pair
+    lists it in every group where they meet, so what a class has listed before
+    is known from its own rows."""
+    own = found.groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("key", "i", "j", "partners"))).alias("rows"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for cid, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen = np.zeros(0, np.int64)
+                for r in rows:
+                    partners = np.frombuffer(r["partners"], np.int64)
+                    if len(seen):
+                        partners = partners[~np.isin(partners, seen)]
+                    if len(rows) > 1:
+                        seen = np.concatenate([seen, partners])
+                    out.append((r["key"], r["i"], r["j"], cid, partners.tobytes()))
+            if out:
+                types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, y) for x, y in zip(zip(*out), types)], names=["key", "i", "j", "cid", "partners"])
+
+    return own.mapInArrow(run, "key bigint, i int, j int, cid bigint, partners binary")
 
 
 def _roots(m: int, pairs: list[np.ndarray]) -> np.ndarray:
@@ -427,24 +454,18 @@ def needed_sets(docs: DataFrame, wanted: DataFrame, k: int, seed: int) -> DataFr
 
 
 def verified(groups: DataFrame, percent: int) -> DataFrame:
-    """(cid, links, root): for each class of a component that links in it, the
+    """(cid, links, root): for each class of a group that links in it, the
     documents of the classes it links with, and the first class it is linked to
-    there."""
+    there. A pair is in one group only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, ranges in _grouped(batches):
-            i, j, b, cid, n, copies = (t.column(c).to_numpy() for c in ("i", "j", "b", "cid", "n", "copies"))
+            cid, n, copies = (t.column(c).to_numpy() for c in ("cid", "n", "copies"))
             found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for lo, hi in ranges:
                 part = t.slice(lo, hi - lo)
                 at = {int(c): x for x, c in enumerate(cid[lo:hi])}
-                cross = i[lo] != j[lo]
-                block = b[lo:hi]
-                pairs = []
-                for a, raw in enumerate(part.column("partners").to_pylist()):
-                    # a pair that met in two lists is compared once
-                    own = {at[p] for x in raw or () for p in np.frombuffer(x, np.int64).tolist() if p in at}
-                    pairs.append(np.array(sorted(p for p in own if (block[p] != block[a]) == cross), np.int64))
+                pairs = [np.array([at[p] for p in np.frombuffer(raw, np.int64).tolist()], np.int64) for raw in part.column("partners").to_pylist()]
                 sets = [np.frombuffer(x, np.uint64) for x in part.column("shingles").to_pylist()]
                 links, pairs = _linked(sets, n[lo:hi], copies[lo:hi], pairs, percent)
                 root, use = _roots(hi - lo, pairs), np.flatnonzero(links > 0)
@@ -517,14 +538,9 @@ def join_classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> tuple[D
     drop_saved(shared)
     found = saved(candidates(in_blocks(with_blocks(named), "name", "bits", "keys"), percent), "join-candidates")
     drop_saved(named)
-    groups = saved(components(found.select(F.col("cid").alias("a"), F.col("root").alias("b"))).withColumnsRenamed({"node": "cid", "label": "cluster"}), "join-clusters")
-    sets = needed_sets(docs, groups, k, seed)
-    partners = found.filter(F.octet_length("partners") > 0).groupBy("cid").agg(F.collect_list("partners").alias("partners"))
-    rows = groups.join(classes.select("cid", "n", "copies"), "cid").join(partners, "cid", "left")
-    size = rows.groupBy("cluster").agg(F.ceil(F.sum(F.greatest("n", F.lit(MIN_COST))) / BLOCK_COST).cast("int").alias("blocks"))
-    rows = rows.join(size, "cluster").join(sets, "cid")
-    linked = saved(verified(in_blocks(rows, "cluster", "copies", "partners", "shingles"), percent), "join-links")
-    drop_saved(found, groups)
+    rows = once(found).join(classes.select("cid", "n", "copies"), "cid").join(needed_sets(docs, found, k, seed), "cid")
+    linked = saved(verified(rows.select("key", "i", "j", "cid", "n", "copies", "partners", "shingles"), percent), "join-links")
+    drop_saved(found)
     links = linked.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = components(linked.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     out = classes.drop("f2", "bits").join(links, "cid", "left").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
