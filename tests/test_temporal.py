@@ -189,3 +189,41 @@ def test_station_state_survives_restarts_and_expires(spark, scratch):
         spark.createDataFrame(rows, schema).write.json(f"{scratch}/land/d{i}")
         close_windows(spark, anomalies(landed(spark, f"{scratch}/land", schema), keep_days=20), f"{scratch}/odd", f"{scratch}/ckpt")
     assert [r["event_id"] for r in spark.read.parquet(f"{scratch}/odd").collect()] == [100]
+
+
+def test_a_batch_of_states_merges_as_each_alone():
+    import numpy as np
+    import pandas as pd
+
+    from stationday.streaming.anomalies import merge, merge_all
+
+    rng = np.random.default_rng(5)
+    at, values = rng.integers(0, 7, 300), rng.normal(10, 3, 300)
+    at[at == 3] = 4  # station 3 sends nothing
+    n, mean, m2 = np.array([0, 4, 0, 2, 1, 9, 3]), rng.normal(10, 3, 7), rng.uniform(0, 9, 7)
+    got = merge_all(n, mean, m2, at, values)
+    for i in range(7):
+        want = merge(int(n[i]), float(mean[i]), float(m2[i]), pd.Series(values[at == i], dtype=float))
+        assert [x[i] for x in got] == pytest.approx(list(want))
+    assert merge_all(n, mean, m2, at[:0], values[:0]) == (n, mean, m2)
+
+
+def test_stations_share_state_rows_and_expire_alone(spark, scratch):
+    from stationday.streaming.anomalies import anomalies
+    from stationday.streaming.windows import close_windows, landed
+
+    day = lambda n: T0 + dt.timedelta(days=n)
+    drops = [
+        [(100 * s + i, day(i % 3), f"s{s}", 20.0 + s + i % 3) for s in range(12) for i in range(9)],
+        [(9000 + s, day(15), f"s{s}", 500.0 if s % 3 else 21.0 + s) for s in range(0, 12, 2)],  # the odd ones are silent
+        [(9100, day(30), "s2", None)],  # their state is due, that of the even ones is not
+        [(9200 + s, day(31), f"s{s}", 9e9) for s in range(12)],
+        [(9300 + s, day(2), f"s{s}", -9e9) for s in range(12)],  # too late
+    ]
+    schema = "event_id long, at timestamp, station_id string, value double"
+    for i, rows in enumerate(drops):
+        spark.createDataFrame(rows, schema).write.json(f"{scratch}/land/d{i}")
+        close_windows(spark, anomalies(landed(spark, f"{scratch}/land", schema), keep_days=20, groups=2), f"{scratch}/odd", f"{scratch}/ckpt")
+        assert spark.read.format("statestore").load(f"{scratch}/ckpt").count() <= 2
+    found = {r["event_id"]: r["station_id"] for r in spark.read.parquet(f"{scratch}/odd").collect()}
+    assert found == {9000 + s: f"s{s}" for s in (2, 4, 8, 10)} | {9200 + s: f"s{s}" for s in range(0, 12, 2)}
