@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationday.llm import decontaminate, language, ngram_join, pii
-from stationday.llm.common import on_workers, saved, table
+from stationday.llm.common import BATCH_SETTING, bounded_batches, on_workers, saved, table
 from stationday.llm.mixing import mixed_documents
 
 
@@ -24,17 +24,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised, by a model of the same rows that
     the query learns from."""
     on_workers(spark)
+    bounded_batches(spark)
     return language.accepted(docs, language.train(docs, language.training_rows(F.col("doc_id"))))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8)."""
     on_workers(spark)
+    bounded_batches(spark)
     return ngram_join.one_per_group(docs, k=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
+    bounded_batches(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -62,7 +65,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result is written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    docs, own = table(spark, sf_dir, "documents"), spark.conf.get(BATCH_SETTING, None)
+    try:
+        for name, stage in STAGES:
+            docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    finally:
+        if own is None:
+            spark.conf.unset(BATCH_SETTING)
     return docs

@@ -14,6 +14,8 @@ from stationday.llm.words import row_slices
 
 #: One word: the ASCII white space of the contracts separates, nothing else.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
 
 
 def on_workers(spark: SparkSession) -> None:
@@ -25,6 +27,13 @@ def on_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on a task's Arrow batch of texts holds about ``BATCH_BYTES``: the
+    JVM and Python each hold a batch or two whole. A session's own setting stays."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -122,12 +122,13 @@ class Model:
                 return logs[found].mean(axis=0)
         return np.zeros(len(self.langs))
 
-    def judge(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        seen = _Seen(self)
+    def judge(self, texts: Iterable[str | None], seen: _Seen | None = None) -> tuple[list[str], list[float]]:
+        """Language and score of each text. ``seen`` keeps words from call to call."""
+        seen = _Seen(self) if seen is None else seen
         out, scores = [], []
         for text in texts:
             if len(seen) > CACHE_WORDS:
-                seen = _Seen(self)
+                seen.forget()
             ids = list(map(seen.__getitem__, _RUN.findall(text.lower()))) if text and self.langs else []
             if not any(ids):
                 out.append(NONE)
@@ -145,7 +146,12 @@ class _Seen(dict):
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model, self.rows, self.filled = model, np.zeros((1024, len(model.langs))), 1
+        self.model = model
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.rows, self.filled = np.zeros((1024, len(self.model.langs))), 1
 
     def __missing__(self, run: str) -> int:
         w = letters(run)
@@ -190,8 +196,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        seen = _Seen(m)
         for batch in batches:
-            langs, scores = m.judge(batch.column(1).to_pylist())
+            langs, scores = m.judge((x.as_py() for x in batch.column(1)), seen)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, lang_pred string, score double")
@@ -204,8 +211,9 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        seen = _Seen(m)
         for batch in batches:
-            langs, scores = m.judge(batch.column(at).to_pylist())
+            langs, scores = m.judge((x.as_py() for x in batch.column(at)), seen)
             yield batch.filter(pa.array([x != NONE and s >= least for x, s in zip(langs, scores)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

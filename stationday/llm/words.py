@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _MASK = (1 << 64) - 1
 
@@ -48,9 +48,9 @@ _powers: list[np.ndarray] = []
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """P^i and P^-i for i < n, grown by doubling and kept."""
+    """P^i and P^-i for i < n, for a slice at least, and kept."""
     if not _powers or len(_powers[0]) < n:
-        size = max(SLICE_BYTES * 2, n)
+        size = max(SLICE_BYTES + 1, n)
         tables = []
         for p in (_P, _P_INV):
             t = np.full(size, p, dtype=np.uint64)

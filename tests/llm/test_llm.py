@@ -746,3 +746,34 @@ def test_pipeline_on_odd_rows(spark, odd, none, tmp_path):
         out = corpus_pipeline.run(spark, d)
         assert out.columns == [*df.columns, "copy_no"]
         assert (out.count() == 0) == (frame is none)
+
+
+def test_stages_get_small_batches_and_a_session_keeps_its_own(spark):
+    import corpus_pipeline
+    from stationday.llm.common import BATCH_BYTES, BATCH_SETTING, bounded_batches
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    spark.conf.unset(BATCH_SETTING)  # tests of stages leave it set
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.repeat(F.lit("some words "), 500).alias("text"))
+    try:
+        corpus_pipeline.language_id(spark, docs, "")
+        most = docs.mapInArrow(sizes, "n bigint").agg(F.max("n")).first()[0]
+        assert most < BATCH_BYTES + 100_000
+        spark.conf.set(BATCH_SETTING, "1000000")
+        bounded_batches(spark)
+        assert spark.conf.get(BATCH_SETTING) == "1000000"
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+
+
+def test_words_seen_in_earlier_batches_change_nothing(monkeypatch):
+    model = language.Model([("de", 0, "haus", 5, 9), ("de", 0, "und", 4, 9), ("en", 0, "house", 5, 9), ("en", 2, "^h", 4, 9)])
+    texts = ["haus und", None, "house", "hx 12 hy", "1", "und haus house", "hz"]
+    want = model.judge(texts)
+    monkeypatch.setattr(language, "CACHE_WORDS", 2)
+    seen = language._Seen(model)
+    got = [model.judge((x for x in part), seen) for part in (texts[:3], texts[3:4], texts[4:])]
+    assert [sum((list(g[i]) for g in got), []) for i in (0, 1)] == [list(x) for x in want]

@@ -112,3 +112,15 @@ def test_classifier_memory(text, name):
         model = language.Model([("de", 0, "haus", 5, 5), ("en", 1, "w", 9, 9)])
         used = peak(lambda: model.judge([text]))
     assert used < 250
+
+
+def test_slices_and_their_tables_stay_small():
+    texts = pa.array([" ".join(WORDS[i : i + 300]) for i in range(0, 4500, 3)])
+    W._powers.clear()
+
+    def run():
+        for lo, hi in W.row_slices(texts):
+            ngram_join._sets(texts.slice(lo, hi - lo), 5)
+
+    assert peak(run) < 90  # two slices of text at least, with the tables of powers
+    assert sum(x.nbytes for x in W._powers) < 20e6
